@@ -38,12 +38,14 @@ def compare(spark, con, name, sf_dir):
     rows = [tuple(norm(r[c]) for c in cols) for r in df.select(*cols).collect()]
     if name not in ORACLES:
         return f"rows-only {len(rows)}" if rows else "EMPTY"
+    start = time.time()
     cur = con.execute(ORACLES[name])
     names = [d[0] for d in cur.description]
     if sorted(names) != cols:
         return f"COLUMNS {cols} != {sorted(names)}"
     pos = [names.index(c) for c in cols]
     want = [tuple(norm(r[p]) for p in pos) for r in cur.fetchall()]
+    took = time.time() - start
     if len(rows) != len(want):
         return f"ROWCOUNT spark={len(rows)} sql={len(want)}"
     kinds = {c: t for c, t in df.dtypes}
@@ -51,8 +53,9 @@ def compare(spark, con, name, sf_dir):
     bad = [(g, w) for g, w in zip(got_s, want_s) if g != w]
     if bad:
         return f"VALUES {len(bad)}/{len(rows)} {cols} e.g.\n   spark {bad[0][0][:600]}\n   sql   {bad[0][1][:600]}"
+    sql_time = f" (sql {took:.1f}s)" if took > 2 else ""
     odd = [c for c, t in kinds.items() if t.startswith(("map", "struct", "array"))]
-    return f"ok {len(rows)}" + (f" (nested {odd})" if odd else "") + ("" if rows else " EMPTY")
+    return f"ok {len(rows)}" + (f" (nested {odd})" if odd else "") + sql_time + ("" if rows else " EMPTY")
 
 
 def main() -> int:
@@ -62,7 +65,7 @@ def main() -> int:
     args = ap.parse_args()
     load_all()
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8",
-                          spark__ui__enabled="false", spark__driver__memory="12g")
+                          spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
