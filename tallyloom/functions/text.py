@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.session import broadcast_if_small, spread
+
 # Unit names of the formatted sizes and durations.
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
 DURATION_UNITS = {"second": "秒", "minute": "分", "hour": "小时", "minutes_after_hour": "分钟"}
@@ -165,8 +167,8 @@ def mixed_tokens(text: Column) -> Column:
 def lexicon_hits(df: DataFrame, key: str, text: str, lexicon: DataFrame, word: str, weight: str,
                  widths: Sequence[int] = (2, 3, 4)) -> DataFrame:
     """Hits and weighted score per (row, lexicon word) over character windows."""
-    grams = df.select(key, F.explode(ngram_array(F.col(text), widths)).alias(word))
-    return (grams.join(lexicon, word).groupBy(key, word)
+    grams = spread(df.select(key, text)).select(key, F.explode(ngram_array(F.col(text), widths)).alias(word))
+    return (grams.join(broadcast_if_small(lexicon), word).groupBy(key, word)
             .agg(F.count(F.lit(1)).alias("hits"), F.sum(weight).alias("score")))
 
 
@@ -181,7 +183,7 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
     never the text.
     """
     body = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
-    rows = df.select(key, body.alias("__t"))
+    rows = spread(df.select(key, text)).select(key, body.alias("__t"))
     rows = rows.select(key, "__t", *[char_ngrams(F.col("__t"), w).alias(f"__g{w}") for w in {*widths, 3}])
 
     def spots(windows: str) -> Column:
@@ -193,7 +195,7 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
         return F.transform(windows, spot)
 
     hits = (rows.select(key, F.explode(F.concat(*[spots(f"__g{w}") for w in widths])).alias("s")).select(key, "s.*")
-            .join(lexicon, word))
+            .join(broadcast_if_small(lexicon), word))
     near = F.coalesce(F.trim("p1").isin(*negators), F.lit(False)) \
         | F.coalesce(F.trim("p2").isin(*negators), F.lit(False))
     per_word = hits.groupBy(key, word, weight).agg(

@@ -38,14 +38,16 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.where(norm == 0, 1.0, norm)
 
 
-def as_double(df: DataFrame, key: str, vec: str, metric: str) -> DataFrame:
-    """(id, v): double vectors, scaled to unit length for the cosine metric."""
+def as_double(df: DataFrame, key: str, vec: str, metric: str, keep: dict | None = None) -> DataFrame:
+    """(id, v, kept columns): double vectors, unit length for the cosine metric."""
     v = F.transform(F.col(vec), lambda x: x.cast("double"))
-    out = df.select(F.col(key).alias("id"), v.alias("v"))
+    kept = [F.col(c).alias(name) for name, c in (keep or {}).items()]
+    names = list(keep or {})
+    out = df.select(F.col(key).alias("id"), v.alias("v"), *kept)
     if metric == "cosine":
         norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-        out = out.select("id", norm.alias("__n"), "v").select(
-            "id", F.when(F.col("__n") == 0, F.col("v"))
+        out = out.select("id", norm.alias("__n"), "v", *names).select(
+            "id", *names, F.when(F.col("__n") == 0, F.col("v"))
             .otherwise(F.transform("v", lambda x: x / F.col("__n"))).alias("v"))
     elif metric != "euclidean":
         raise ValueError(f"unknown metric {metric!r}")
@@ -173,9 +175,10 @@ def nearest(queries: DataFrame, candidates: DataFrame, key: str, vec: str, k: in
 
 
 def within(df: DataFrame, key: str, vec: str, eps: float, fn: Callable, schema: str,
-           block_rows: int = BLOCK_ROWS, pivots: int | None = None) -> tuple[Cells, DataFrame]:
+           block_rows: int = BLOCK_ROWS, pivots: int | None = None,
+           keep: dict | None = None) -> tuple[Cells, DataFrame]:
     """Self block join over all cells that can hold a row within `eps`."""
-    rows = as_double(df, key, vec, "euclidean")
+    rows = as_double(df, key, vec, "euclidean", keep)
     cells = Cells(rows, block_rows, pivots)
     visits = cells.reach(cells.tag(rows).drop("gap").withColumn("far", F.lit(float(eps))), "far", False)
     return cells, cells.block_join(visits.drop("far"), fn, schema)

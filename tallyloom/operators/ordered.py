@@ -67,6 +67,12 @@ def sliced(df: DataFrame, order: str, *, hashed: bool = False, n: int | None = N
     return df.withColumn(SLICE, hash_slice(order, n)) if hashed else value_sliced(df, order, n)
 
 
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (a scalar subquery, not a join)."""
+    packed = row.select(F.struct(*row.columns).alias("__row")).scalar()
+    return df.withColumn("__row", packed).select("*", "__row.*").drop("__row")
+
+
 def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Null-safe equi-join that keeps the left copy of the keys."""
     names = {k: f"__r_{k}" for k in keys}

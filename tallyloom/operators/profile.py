@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.filters import columns_of
 from tallyloom.operators.joins import first_rule
+from tallyloom.operators.ordered import with_row
 from tallyloom.sources.readers import column_stats
 
 # Endings that decide the category when nothing else does.
@@ -64,7 +65,7 @@ def target_profile(df: DataFrame, target: str, max_classes: int = 30) -> DataFra
     mean = aggs.select("mean").scalar()
     dev = value - mean
     moments = counts.agg(F.sum(F.pow(dev, 2) * w).alias("m2"), F.sum(F.pow(dev, 3) * w).alias("m3"))
-    row = aggs.crossJoin(moments)  # one row by one row
+    row = with_row(aggs, moments)
     categorical = F.lit(textual) | (F.col("classes") <= max_classes)
     balance = F.round(F.col("lo") / F.greatest(F.lit(1), F.col("hi")), 4)
     var = F.col("m2") / (F.col("n") - 1)
@@ -198,10 +199,10 @@ def dataset_profile(df: DataFrame, target: str | None = None) -> DataFrame:
     mix = type_mix(df)
     goal = target if target in df.columns else df.columns[-1]
     base = df.agg(F.count(F.lit(1)).alias("n_samples"), missing_rate(df).alias("missing_rate"))
-    out = base.crossJoin(target_profile(df, goal))  # one row by one row
+    out = with_row(base, target_profile(df, goal))
     numeric = columns_of(df, "numeric")
     if len(numeric) >= 2:
-        out = out.crossJoin(correlation_summary(correlations(df, numeric)))  # one row by one row
+        out = with_row(out, correlation_summary(correlations(df, numeric)))
     else:
         out = out.withColumn("high_corr_pairs", F.lit(0)).withColumn("avg_correlation", F.lit(0.0))
     facts = {**mix, "n_features": len(df.columns), "text_column_count": len(text),

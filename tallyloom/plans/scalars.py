@@ -9,6 +9,7 @@ from tallyloom.functions import values as vl
 from tallyloom.operators import ordered
 from tallyloom.operators.joins import first_rule
 from tallyloom.plans.registry import EVENTS_SQL, events, query, table
+from tallyloom.session import spread
 
 
 @query("C01_format_bytes", """
@@ -193,7 +194,7 @@ def url_admissible(spark, sf):
     SELECT gram, count(*) AS n FROM g GROUP BY gram
 """)
 def char_ngrams(spark, sf):
-    return (table(spark, sf, "documents").select(F.explode(tx.ngram_array(F.col("text"))).alias("gram"))
+    return (spread(table(spark, sf, "documents").select("text")).select(F.explode(tx.ngram_array(F.col("text"))).alias("gram"))
             .groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -205,13 +206,14 @@ NEGATORS = ["un", "no"]
     WITH lex(word, weight) AS (VALUES ('tion', 1), ('able', 1), ('heit', 1), ('err', -1), ('est', -1), ('des', -1)),
     d AS (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t FROM documents),
     c AS (SELECT doc_id, string_split(t, '') AS c FROM d),
-    s3 AS (SELECT doc_id, 3 AS w, unnest(list_transform(range(1, len(c) - 1), lambda i: {'pos': i, 'g': c[i] || c[i+1] || c[i+2],
-             'p1': c[i-1] || c[i] || c[i+1], 'p2': c[i-2] || c[i-1] || c[i], 'prefix': array_to_string(c[greatest(1, i-3):i-1], '')})) AS x FROM c),
-    s4 AS (SELECT doc_id, 4 AS w, unnest(list_transform(range(1, len(c) - 2), lambda i: {'pos': i, 'g': c[i] || c[i+1] || c[i+2] || c[i+3],
-             'p1': c[i-1] || c[i] || c[i+1] || c[i+2], 'p2': c[i-2] || c[i-1] || c[i] || c[i+1], 'prefix': array_to_string(c[greatest(1, i-3):i-1], '')})) AS x FROM c),
-    h AS (SELECT doc_id, word, weight, x.pos AS pos, x.prefix AS prefix,
-            (x.pos > 1 AND trim(x.p1) IN ('un', 'no')) OR (x.pos > 2 AND trim(x.p2) IN ('un', 'no')) AS near
-          FROM (SELECT * FROM s3 UNION ALL SELECT * FROM s4) JOIN lex ON word = x.g),
+    p AS (SELECT doc_id, 3 AS w, unnest(range(1, len(c) - 1)) AS pos,
+                 unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i+1] || c[i+2])) AS gram FROM c
+          UNION ALL SELECT doc_id, 4, unnest(range(1, len(c) - 2)),
+                 unnest(list_transform(range(1, len(c) - 2), lambda i: c[i] || c[i+1] || c[i+2] || c[i+3])) FROM c),
+    h AS (SELECT doc_id, word, weight, pos,
+            (pos > 1 AND trim(substr(t, pos - 1, w)) IN ('un', 'no')) OR (pos > 2 AND trim(substr(t, pos - 2, w)) IN ('un', 'no')) AS near,
+            substr(t, greatest(1, pos - 3), pos - greatest(1, pos - 3)) AS prefix
+          FROM p JOIN lex ON word = gram JOIN d USING (doc_id)),
     g AS (SELECT doc_id, word, weight, count(*) AS hits, sum(near::INT) AS near, arg_min(prefix, pos) AS prefix
           FROM h GROUP BY ALL),
     f AS (SELECT *, CASE WHEN contains(prefix, 'un') OR contains(prefix, 'no') THEN hits ELSE near END AS turned FROM g),

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job here relies on; a cluster passes its own sizes on top.
 DEFAULTS = {
@@ -61,3 +62,16 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """Broadcast hint only after counting that `df` has at most `max_rows` rows;
+    beyond that the plain shuffle join (with AQE skew handling) stays."""
+    few = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table with fewer splits than cores before per-row heavy work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
