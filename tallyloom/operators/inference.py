@@ -1,0 +1,12 @@
+"""Batch prediction output: top classes, exports."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def topk_classes(probabilities: Column, k: int = 3) -> Column:
+    """The k most probable (class, probability) structs, lower class on ties."""
+    pairs = F.transform(probabilities, lambda p, i: F.struct((-p).alias("m"), i.alias("class"), p.alias("probability")))
+    return F.slice(F.array_sort(pairs), 1, k)
