@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.values import round_even
 from tallyloom.session import broadcast_if_small, spread
 
 # Unit names of the formatted sizes and durations.
@@ -37,7 +38,7 @@ def format_bytes(size: Column) -> Column:
     """1024 steps with two decimals (ties to even); zero is `0 B`."""
     out = F.lit(None).cast("string")
     for i in reversed(range(len(SIZE_UNITS))):
-        scaled = F.bround(size / F.lit(float(1024 ** i)), 2)
+        scaled = round_even(size / F.lit(float(1024 ** i)), 2)
         text = F.format_string(f"%.2f {SIZE_UNITS[i]}", scaled)
         out = text if i == len(SIZE_UNITS) - 1 else F.when(size < 1024 ** (i + 1), text).otherwise(out)
     return F.when(size == 0, "0 B").otherwise(out)
@@ -219,8 +220,8 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
                     .otherwise(labels[2]).alias("label"),
                     F.when(F.col("positive_count") + F.col("negative_count") == 0, 0.0)
                     .when(F.col("positive_count") == F.col("negative_count"), 0.5)
-                    .otherwise(F.round(F.greatest("positive_count", "negative_count")
-                                       / (F.col("positive_count") + F.col("negative_count")), 3))
+                    .otherwise(round_even(F.greatest("positive_count", "negative_count")
+                                          / (F.col("positive_count") + F.col("negative_count")), 3))
                     .alias("confidence")))
 
 

@@ -8,6 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def round_even(value: Column, decimals: int = 0) -> Column:
+    """Round the binary value, ties to even, to `decimals` (up to 9) places.
+
+    `F.round` rounds the shortest decimal text of a double half up, so 71.85,
+    which is stored just below, would become 71.9. Here the value is split into
+    two parts whose products with the power of ten are exact, and the sign of
+    the distance to the tie decides.
+    """
+    scale = float(10 ** decimals)
+    x = value.cast("double")
+    high = x.cast("float").cast("double")
+    n = F.floor(x * scale).cast("double")
+    over = (high * scale - (n + 0.5)) + (x - high) * scale
+    up = (over > 0) | ((over == 0) & (n % 2 != 0))
+    return (n + F.when(up, 1.0).otherwise(0.0)) / scale
+
+
 def typed_param(raw: Column, kind: str) -> Column:
     """Blank or badly formed values become null; `ints` is a comma list."""
     text = F.trim(raw)
@@ -59,7 +76,7 @@ def in_domain(value: Column, allowed: Sequence) -> Column:
 
 def clip(value: Column, low: float, high: float, decimals: int | None = None) -> Column:
     out = F.greatest(F.lit(low), F.least(F.lit(high), value))
-    return F.round(out, decimals) if decimals is not None else out
+    return round_even(out, decimals) if decimals is not None else out
 
 
 def log_scale(n: Column) -> Column:
@@ -77,12 +94,12 @@ def size_scaled_settings(n: Column) -> dict[str, Column]:
     t = log_scale(n)
     # End points at 100 rows and at a million rows.
     return {
-        "epochs": F.bround(lerp(35, 4, t)).cast("int"),
-        "batch_size": (F.bround(lerp(12, 160, t) / 8) * 8).cast("int"),
-        "learning_rate": F.round(lerp(3e-4, 2e-3, t), 6),
-        "dropout": F.round(lerp(0.55, 0.15, t), 2),
+        "epochs": round_even(lerp(35, 4, t)).cast("int"),
+        "batch_size": (round_even(lerp(12, 160, t) / 8) * 8).cast("int"),
+        "learning_rate": round_even(lerp(3e-4, 2e-3, t), 6),
+        "dropout": round_even(lerp(0.55, 0.15, t), 2),
         "weight_decay": F.pow(F.lit(10.0), lerp(-2.5, -5.0, t)),
-        "val_size": F.round(lerp(0.22, 0.08, t), 2),
+        "val_size": round_even(lerp(0.22, 0.08, t), 2),
     }
 
 

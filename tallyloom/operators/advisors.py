@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.values import round_even
+
 
 def pieces(value: Column, steps: Sequence[tuple[float, float, float, float]], rest: Column) -> Column:
     """Piecewise line: from each lower bound, start + (value - bound) / width · rise."""
@@ -29,7 +31,7 @@ def ladder(value: Column, steps: Sequence[tuple[float, float]], rest, strict: bo
 
 
 def bounded(score: Column, low: float = 0.0, high: float = 100.0, decimals: int = 1) -> Column:
-    return F.round(F.greatest(F.lit(low), F.least(F.lit(high), score)), decimals)
+    return round_even(F.greatest(F.lit(low), F.least(F.lit(high), score)), decimals)
 
 
 # --------------------------------------------------------------- dataset rows
@@ -99,14 +101,13 @@ def signal_quality(n_samples: Column, n_features: Column, avg_corr: Column, high
     score = (F.lit(0.70) - ladder(ratio, [(0.5, 0.25), (0.1, 0.10)], 0.0) - F.when(wide, 0.30).otherwise(0.0)
              - ladder(missing, [(0.20, 0.25), (0.08, 0.10)], 0.0) - ladder(high_corr, [(10, 0.10), (3, 0.05)], 0.0)
              - F.when(imbalanced, 0.08).otherwise(0.0) + F.when(avg_corr.between(0.12, 0.35), 0.08).otherwise(0.0))
-    # the penalties are hundredths; rounding keeps sums such as 0.45 on the bound
-    score = F.round(F.greatest(F.lit(0.05), F.least(F.lit(0.98), score)), 6)
+    score = F.greatest(F.lit(0.05), F.least(F.lit(0.98), score))
     issues = F.array_compact(F.array(
         F.when(ratio > 0.5, "ratio_high").when(ratio > 0.1, "ratio_raised"), F.when(wide, "wide"),
         F.when(missing > 0.20, "missing_high").when(missing > 0.08, "missing_raised"),
         F.when(high_corr > 10, "collinear"), F.when(imbalanced, "imbalanced")))
-    return {"score": F.round(score, 3), "level": ladder(score, [(0.70, "strong"), (0.45, "moderate"), (0.25, "weak")], "noise", strict=False),
-            "issues": issues, "ratio": F.round(ratio, 4), "regularization_bias": F.round(1.0 + (1.0 - score) * 3.0, 2)}
+    return {"score": round_even(score, 3), "level": ladder(score, [(0.70, "strong"), (0.45, "moderate"), (0.25, "weak")], "noise", strict=False),
+            "issues": issues, "ratio": round_even(ratio, 4), "regularization_bias": round_even(1.0 + (1.0 - score) * 3.0, 2)}
 
 
 # Below this a task's score counts as low.
@@ -123,7 +124,7 @@ def root_cause(task: Column, score: Column, train: Column, level: Column, signal
              .otherwise("unknown"))
     conf = (F.when(weak, F.least(F.lit(0.95), 0.75 + (1.0 - signal) * 0.2)).when(score < low * 0.6, 0.65)
             .when(gap > 0.15, 0.72).when(score < low, 0.55).otherwise(0.40))
-    return cause, F.round(conf, 2)
+    return cause, round_even(conf, 2)
 
 
 # ------------------------------------------------------------------- run rows
@@ -185,7 +186,7 @@ def convergence_from_metric(task: Column, acc: Column, r2: Column, silhouette: C
 
 
 def convergence_from_curve(cv: Column, oscillating: Column, slow: Column, diverging: Column, converged: Column) -> Column:
-    shaky = F.when(oscillating, ladder(F.round(cv, 4), [(0.50, 40), (0.35, 30), (0.25, 20)], 10)).otherwise(0)
+    shaky = F.when(oscillating, ladder(round_even(cv, 4), [(0.50, 40), (0.35, 30), (0.25, 20)], 10)).otherwise(0)
     score = F.lit(80.0) - shaky - F.when(slow, 15).otherwise(0) - F.when(diverging, 50).otherwise(0)
     return bounded(F.when(converged, F.least(F.lit(100.0), score + 20)).otherwise(score))
 
@@ -235,7 +236,7 @@ def health_score(parts: Mapping[str, Column]) -> Column:
     total = F.lit(0.0)
     for name, weight in HEALTH_WEIGHTS.items():
         total = total + parts[name] * weight
-    return F.greatest(F.lit(3.0), F.least(F.lit(99.0), F.round(total, 1)))
+    return F.greatest(F.lit(3.0), F.least(F.lit(99.0), round_even(total, 1)))
 
 
 def health_issues(parts: Mapping[str, Column]) -> Column:

@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.values import round_even
 from tallyloom.operators.filters import columns_of
 from tallyloom.operators.joins import first_rule
 from tallyloom.operators.ordered import with_row
@@ -47,7 +48,7 @@ def missing_rate(df: DataFrame) -> Column:
     total = shares[0]
     for s in shares[1:]:
         total = total + s
-    return F.round(total / F.lit(float(len(shares))), 4)
+    return round_even(total / F.lit(float(len(shares))), 4)
 
 
 def target_profile(df: DataFrame, target: str, max_classes: int = 30) -> DataFrame:
@@ -67,7 +68,7 @@ def target_profile(df: DataFrame, target: str, max_classes: int = 30) -> DataFra
     moments = counts.agg(F.sum(F.pow(dev, 2) * w).alias("m2"), F.sum(F.pow(dev, 3) * w).alias("m3"))
     row = with_row(aggs, moments)
     categorical = F.lit(textual) | (F.col("classes") <= max_classes)
-    balance = F.round(F.col("lo") / F.greatest(F.lit(1), F.col("hi")), 4)
+    balance = round_even(F.col("lo") / F.greatest(F.lit(1), F.col("hi")), 4)
     var = F.col("m2") / (F.col("n") - 1)
     g1 = (F.col("m3") / F.col("n")) / F.pow(F.col("m2") / F.col("n"), 1.5)
     skew = g1 * F.sqrt(F.col("n") * (F.col("n") - 1)) / (F.col("n") - 2)
@@ -78,9 +79,9 @@ def target_profile(df: DataFrame, target: str, max_classes: int = 30) -> DataFra
         (categorical & (balance < 0.2)).alias("imbalanced"),
         (categorical & (F.col("classes") == 2)).alias("binary"),
         (categorical & (F.col("classes") > 2)).alias("multi_class"),
-        F.when(~categorical, F.round("mean", 4)).alias("target_mean"),
-        F.when(~categorical, F.round(F.sqrt(var), 4)).alias("target_std"),
-        F.when(~categorical, F.round(skew, 4)).alias("target_skew"))
+        F.when(~categorical, round_even(F.col("mean"), 4)).alias("target_mean"),
+        F.when(~categorical, round_even(F.sqrt(var), 4)).alias("target_std"),
+        F.when(~categorical, round_even(skew, 4)).alias("target_skew"))
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -99,7 +100,7 @@ def correlation_summary(pairs: DataFrame, high: float = 0.85) -> DataFrame:
     """Pairs with high < |r| < 1, and the mean |r| off the diagonal."""
     r = F.abs(F.col("r"))
     return pairs.agg(F.sum(F.when((r > high) & (r < 1.0), 1).otherwise(0)).alias("high_corr_pairs"),
-                     F.round(F.sum(r) / F.count(F.lit(1)), 4).alias("avg_correlation"))
+                     round_even(F.sum(r) / F.count(F.lit(1)), 4).alias("avg_correlation"))
 
 
 def text_columns(df: DataFrame, stats: DataFrame | None = None, share: float = 0.1) -> list[str]:

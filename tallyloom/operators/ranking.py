@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.functions.values import round_even
 from tallyloom.operators.ordered import neighbour, ranked, running_max
 
 
@@ -131,7 +132,7 @@ def progress(df: DataFrame, by: Sequence[str], order: str, ties: Sequence[str])
     """Step number and percent of the group's steps, one decimal, at most 100."""
     out = ranked(df, by, order, ties, rank="step", total="__total")
     pct = F.least(F.lit(100.0), F.col("step") / F.col("__total") * 100)
-    return out.withColumn("progress_percent", F.round(pct, 1)).drop("__total")
+    return out.withColumn("progress_percent", round_even(pct, 1)).drop("__total")
 
 
 def recent_mean(df: DataFrame, by: Sequence[str], order: str, ties: Sequence[str], value: str) -> DataFrame:

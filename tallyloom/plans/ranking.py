@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
 from tallyloom.operators import filters, folds, features, ranking as op
-from tallyloom.plans.registry import RUNS_SQL, query, r9, runs, table
+from tallyloom.plans.registry import RUNS_SQL, query, r9, runs, sql_round, table
 
 
 @query("W01_leaderboard", f"""
@@ -113,9 +113,10 @@ def early_stop_epoch(spark, sf):
     return folds.early_stop(table(spark, sf, "events"), ["user_id"], "ts", ["event_id"], "value")
 
 
-@query("W10_progress_pct", """
-    SELECT event_id, row_number() OVER w AS step, round(least(100.0::DOUBLE, row_number() OVER w / count(*) OVER (PARTITION BY user_id) * 100.0::DOUBLE), 1) AS progress_percent
-    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+@query("W10_progress_pct", f"""
+    WITH p AS (SELECT event_id, row_number() OVER w AS step, least(100.0::DOUBLE, row_number() OVER w / count(*) OVER (PARTITION BY user_id) * 100.0::DOUBLE) AS pct
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+    SELECT event_id, step, {sql_round("pct", 1)} AS progress_percent FROM p
 """)
 def progress_pct(spark, sf):
     return op.progress(table(spark, sf, "events").select("event_id", "user_id", "ts"), ["user_id"], "ts", ["event_id"]) \

@@ -48,6 +48,18 @@ def r9(col: Column) -> Column:
     return F.round(col, 9)
 
 
+def sql_round(expr: str, decimals: int) -> str:
+    """SQL for rounding the binary value with ties to even.
+
+    DuckDB's own round multiplies a double first, which moves values next to a
+    tie onto it. The value is cut at float precision, both parts times the power
+    of ten are exact, and the sign of the distance to the tie decides.
+    """
+    m = 10 ** decimals
+    one = f"list_transform([({expr})::DOUBLE], lambda x: [x, floor(x * {m}), (x::FLOAT::DOUBLE * {m} - (floor(x * {m}) + 0.5::DOUBLE)) + (x - x::FLOAT::DOUBLE) * {m}])[1]"
+    return f"list_transform([{one}], lambda p: (p[2] + (p[3] > 0 OR (p[3] = 0 AND p[2] % 2 <> 0))::INT) / {m}::DOUBLE)[1]"
+
+
 # ---------------------------------------------------------------- shared views
 
 RUNS_SQL = """

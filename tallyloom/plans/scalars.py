@@ -8,7 +8,7 @@ from tallyloom.functions import text as tx
 from tallyloom.functions import values as vl
 from tallyloom.operators import ordered
 from tallyloom.operators.joins import first_rule
-from tallyloom.plans.registry import EVENTS_SQL, events, query, table
+from tallyloom.plans.registry import EVENTS_SQL, events, query, sql_round, table
 from tallyloom.session import spread
 
 
@@ -202,7 +202,7 @@ LEXICON = [("tion", 1), ("able", 1), ("heit", 1), ("err", -1), ("est", -1), ("de
 NEGATORS = ["un", "no"]
 
 
-@query("C16_lexicon_sentiment", """
+@query("C16_lexicon_sentiment", f"""
     WITH lex(word, weight) AS (VALUES ('tion', 1), ('able', 1), ('heit', 1), ('err', -1), ('est', -1), ('des', -1)),
     d AS (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t FROM documents),
     c AS (SELECT doc_id, string_split(t, '') AS c FROM d),
@@ -221,7 +221,7 @@ NEGATORS = ["un", "no"]
                  sum(CASE WHEN weight > 0 THEN turned ELSE hits - turned END) AS n FROM f GROUP BY doc_id)
     SELECT doc_id, coalesce(p, 0)::BIGINT AS positive_count, coalesce(n, 0)::BIGINT AS negative_count,
        CASE WHEN p > n THEN 'positive' WHEN n > p THEN 'negative' ELSE 'neutral' END AS label,
-       CASE WHEN coalesce(p + n, 0) = 0 THEN 0.0 WHEN p = n THEN 0.5 ELSE round(greatest(p, n)::DOUBLE / (p + n)::DOUBLE, 3) END::DOUBLE AS confidence
+       CASE WHEN coalesce(p + n, 0) = 0 THEN 0.0 WHEN p = n THEN 0.5 ELSE {sql_round("greatest(p, n)::DOUBLE / (p + n)::DOUBLE", 3)} END::DOUBLE AS confidence
     FROM documents LEFT JOIN s USING (doc_id)
 """)
 def lexicon_sentiment(spark, sf):
@@ -373,8 +373,8 @@ def domain_check(spark, sf):
                                             vl.in_domain(ext, ["html", "csv", "com"]).alias("allowed"))
 
 
-@query("C28_round_and_clip", """
-    SELECT event_id, round(greatest(3, least(99, value)), 1) AS score FROM events
+@query("C28_round_and_clip", f"""
+    SELECT event_id, {sql_round("greatest(3, least(99, value))::DOUBLE", 1)} AS score FROM events
 """)
 def round_and_clip(spark, sf):
     return table(spark, sf, "events").select("event_id", vl.clip(F.col("value"), 3.0, 99.0, 1).alias("score"))
