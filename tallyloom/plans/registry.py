@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 import textwrap
 from collections.abc import Callable
 
@@ -35,8 +34,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     for module in MODULES:
-        if importlib.util.find_spec(f"tallyloom.plans.{module}") is None:
-            continue  # DEV
         importlib.import_module(f"tallyloom.plans.{module}")
 
 
