@@ -9,20 +9,13 @@ from pyspark.sql import functions as F
 
 
 def round_even(value: Column, decimals: int = 0) -> Column:
-    """Round the binary value, ties to even, to `decimals` (up to 9) places.
+    """Round the binary value, ties to even, to `decimals` places.
 
     `F.round` rounds the shortest decimal text of a double half up, so 71.85,
-    which is stored just below, would become 71.9. Here the value is split into
-    two parts whose products with the power of ten are exact, and the sign of
-    the distance to the tie decides.
+    which is stored just below, would become 71.9. Number formatting rounds the
+    stored value itself; the column is referenced once, so it nests cheaply.
     """
-    scale = float(10 ** decimals)
-    x = value.cast("double")
-    high = x.cast("float").cast("double")
-    n = F.floor(x * scale).cast("double")
-    over = (high * scale - (n + 0.5)) + (x - high) * scale
-    up = (over > 0) | ((over == 0) & (n % 2 != 0))
-    return (n + F.when(up, 1.0).otherwise(0.0)) / scale
+    return F.translate(F.format_number(value.cast("double"), decimals), ",", "").try_cast("double")
 
 
 def typed_param(raw: Column, kind: str) -> Column:

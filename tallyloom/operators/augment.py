@@ -17,18 +17,28 @@ from tallyloom.session import spread
 DROP_LOW, DROP_HIGH, KEEP_SHARE = 0.10, 0.20, 0.30
 
 
-def char_dropout(text: Column, rate: Column, salt: Column) -> Column:
-    """Drop every character whose hash falls below `rate`; a text that would
-    vanish keeps its 30 % (at least one) with the largest hashes."""
-    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    scored = F.transform(chars, lambda c, i: F.struct(
-        (F.pmod(F.xxhash64(salt, i), F.lit(1_000_000)) / 1_000_000).alias("u"), i.alias("i"), c.alias("c")))
-    kept = F.filter(scored, lambda s: s["u"] > rate)
-    n_keep = F.greatest(F.lit(1), F.floor(F.size(scored) * KEEP_SHARE)).cast("int")
-    rescue = F.array_sort(F.transform(F.slice(F.sort_array(scored, asc=False), 1, n_keep),
-                                      lambda s: F.struct(s["i"].alias("i"), s["c"].alias("c"))))
-    join = lambda a: F.array_join(F.transform(a, lambda s: s["c"]), "")
-    return F.when(F.length(text) == 0, text).when(F.size(kept) > 0, join(kept)).otherwise(join(rescue))
+def drop_chars(text: str, rate: float, seed: Sequence[int]) -> str:
+    """Drop characters whose draw is at most `rate`; a text that would vanish
+    keeps 30 % of its characters (at least one)."""
+    if not text:
+        return text
+    chars = np.array(list(text), dtype=object)
+    draw = np.random.default_rng(list(seed)).random(len(chars))
+    kept = draw > rate
+    if not kept.any():
+        kept[np.argsort(-draw, kind="stable")[:max(1, int(len(chars) * KEEP_SHARE))]] = True
+    return "".join(chars[kept])
+
+
+def dropout_column(df: DataFrame, key: str, text: str, variant: str, rate: str, seed: int = 42) -> DataFrame:
+    """Replace `text` by its dropout variant (Arrow batches; seeded by row key)."""
+    def drop(batches):
+        for pdf in batches:
+            pdf[text] = [drop_chars(t, r, (seed, abs(int(k)), int(v))) for t, r, k, v in
+                         zip(pdf[text], pdf[rate], pdf[key], pdf[variant], strict=True)]
+            yield pdf
+
+    return spread(df).mapInPandas(drop, df.schema)
 
 
 def synonym_spots(text: str, synonyms: Mapping[str, Sequence[str]]) -> list:
@@ -67,7 +77,7 @@ def synonym_column(df: DataFrame, key: str, text: str, variant: str, synonyms: M
                          for t, k, v in zip(pdf[text], pdf[key], pdf[variant], strict=True)]
             yield pdf
 
-    return df.mapInPandas(swap, df.schema)
+    return spread(df).mapInPandas(swap, df.schema)
 
 
 def augment_text(df: DataFrame, key: str, text: str, keep: Sequence[str], synonyms: Mapping[str, Sequence[str]],
@@ -78,11 +88,11 @@ def augment_text(df: DataFrame, key: str, text: str, keep: Sequence[str], synony
     if factor <= 1:
         return base
     order = F.array(*[F.lit(m) for m in methods])
-    many = spread(df.select(key, text, *keep)).withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(factor - 1)))) \
+    many = df.select(key, text, *keep).withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(factor - 1)))) \
         .withColumn("method", F.get(order, F.pmod(F.col(key) + F.col("variant") - 1, F.lit(len(methods))).cast("int")))
     rate = F.lit(DROP_LOW) + F.lit(DROP_HIGH - DROP_LOW) * uniform(key, "variant", seed=seed)
-    deleted = many.filter(F.col("method") == "delete") \
-        .withColumn(text, char_dropout(F.col(text), rate, F.xxhash64(key, "variant", F.lit(seed))))
+    deleted = dropout_column(many.filter(F.col("method") == "delete").withColumn("__rate", rate), key, text, "variant",
+                             "__rate", seed).drop("__rate")
     swapped = synonym_column(many.filter(F.col("method") == "synonym"), key, text, "variant", synonyms, seed=seed)
     other = many.filter(~F.col("method").isin("delete", "synonym"))
     return base.unionByName(deleted).unionByName(swapped).unionByName(other)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ordered import on_keys, ranked
 from tallyloom.operators.profile import missing
+from tallyloom.session import spread
 from tallyloom.sources.readers import column_stats
 
 # What imputing writes into an unknown category, and the labels
@@ -115,7 +116,7 @@ def inverse_standardise(df: DataFrame, columns: Sequence[str], scaler: DataFrame
 
 def term_counts(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
     """(key, term, tf): combined before the shuffle, so a frequent term is cheap."""
-    return (docs.select(key, F.explode(tokens).alias("term"))
+    return (spread(docs).select(key, F.explode(tokens).alias("term"))
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

@@ -25,35 +25,56 @@ HIGH_RISK = ("near_perfect_accuracy", "f1_accuracy_gap", "train_test_gap", "inde
 TIERS = ("definite_delete", "high_risk_delete", "warning_only", "healthy")
 
 
-def diagnose(acc: Column, f1: Column, train: Column, ind: Column, synthetic: Column,
-             constant: Column | None = None) -> Column:
-    """Array of reasons, in the order the checks run."""
+def checks(acc: Column, f1: Column, train: Column, ind: Column, synthetic: Column,
+           constant: Column | None = None) -> dict[str, Column]:
+    """Reason -> condition, in the order the checks run."""
     factor = F.when(synthetic, SYNTHETIC_FACTOR).otherwise(1.0)
     gap = acc - ind
-    return F.array_compact(F.array(
-        F.when(acc == PERFECT, "perfect_accuracy"),
-        F.when((acc < PERFECT) & (acc >= NEAR_PERFECT), "near_perfect_accuracy"),
-        F.when(acc - f1 > F1_GAP, "f1_accuracy_gap"),
-        F.when(f1.isNull() & (acc >= HIGH_ACCURACY), "missing_f1"),
-        F.when((acc >= HIGH_ACCURACY) & (f1 < NO_F1), "majority_class_predictor"),
-        F.when(train - acc > TRAIN_GAP, "train_test_gap"),
-        F.when(gap >= GAP_SEVERE * factor, "independent_test_gap_severe")
-        .when(gap >= GAP_MODERATE * factor, "independent_test_gap_moderate"),
-        F.when(constant, "constant_or_zero_var") if constant is not None else F.lit(None).cast("string")))
-
-
-def warnings(acc: Column, ind: Column, health: Column | None = None) -> Column:
+    out = {
+        "perfect_accuracy": acc == PERFECT,
+        "near_perfect_accuracy": (acc < PERFECT) & (acc >= NEAR_PERFECT),
+        "f1_accuracy_gap": acc - f1 > F1_GAP,
+        "missing_f1": f1.isNull() & (acc >= HIGH_ACCURACY),
+        "majority_class_predictor": (acc >= HIGH_ACCURACY) & (f1 < NO_F1),
+        "train_test_gap": train - acc > TRAIN_GAP,
+        "independent_test_gap_severe": gap >= GAP_SEVERE * factor,
+        "independent_test_gap_moderate": (gap >= GAP_MODERATE * factor) & (gap < GAP_SEVERE * factor),
+    }
+    if constant is not None:
+        out["constant_or_zero_var"] = constant
+    return out
+
+
+def listed(conditions: Mapping[str, Column]) -> Column:
+    """Array of the names whose condition holds."""
+    return F.array_compact(F.array(*[F.when(c, name) for name, c in conditions.items()]))
+
+
+def any_of(conditions: Mapping[str, Column], names: Sequence[str]) -> Column:
+    """Whether one of the named conditions holds; unknown counts as no."""
+    out = F.lit(False)
+    for n in names:
+        if n in conditions:
+            out = out | F.coalesce(conditions[n], F.lit(False))
+    return out
+
+
+def cautions(acc: Column, ind: Column, health: Column | None = None) -> dict[str, Column]:
     """No independent evaluation at high accuracy, or a low health score."""
-    low = F.when(health < HEALTH_LIMIT, "low_health_score") if health is not None else F.lit(None).cast("string")
-    return F.array_compact(F.array(F.when(ind.isNull() & (acc >= HIGH_ACCURACY), "no_independent_evaluation"), low))
+    out = {"no_independent_evaluation": ind.isNull() & (acc >= HIGH_ACCURACY)}
+    if health is not None:
+        out["low_health_score"] = health < HEALTH_LIMIT
+    return out
 
 
-def tier(reasons: Column, warns: Column, acc: Column) -> Column:
-    has = lambda names: F.arrays_overlap(reasons, F.array(*[F.lit(n) for n in names]))
-    return (F.when(has(DEFINITE), "definite_delete")
-            .when(has(HIGH_RISK) & (acc >= RISK_ACCURACY), "high_risk_delete")
-            .when((F.size(warns) > 0) & (acc.isNull() | (acc < RISK_ACCURACY)), "warning_only")
-            .when(has(HIGH_RISK), "warning_only").otherwise("healthy"))
+def tier(found: Mapping[str, Column], warned: Mapping[str, Column], acc: Column) -> Column:
+    """Decided on the conditions themselves, so a filter on the tier stays a
+    plain predicate and builds no arrays."""
+    risky = any_of(found, HIGH_RISK)
+    return (F.when(any_of(found, DEFINITE), "definite_delete")
+            .when(risky & (acc >= RISK_ACCURACY), "high_risk_delete")
+            .when(any_of(warned, list(warned)) & (acc.isNull() | (acc < RISK_ACCURACY)), "warning_only")
+            .when(risky, "warning_only").otherwise("healthy"))
 
 
 def with_tier(df: DataFrame, acc="acc", f1="f1", train="train_acc", ind="ind_acc", synthetic: Column | None = None,
@@ -61,9 +82,9 @@ def with_tier(df: DataFrame, acc="acc", f1="f1", train="train_acc", ind="ind_acc
     """Add `reasons`, `warnings` and `tier`."""
     c = F.col
     syn = F.lit(False) if synthetic is None else synthetic
-    out = df.withColumn("reasons", diagnose(c(acc), c(f1), c(train), c(ind), syn, constant)) \
-        .withColumn("warnings", warnings(c(acc), c(ind), health))
-    return out.withColumn("tier", tier(c("reasons"), c("warnings"), c(acc)))
+    found = checks(c(acc), c(f1), c(train), c(ind), syn, constant)
+    warned = cautions(c(acc), c(ind), health)
+    return df.withColumns({"reasons": listed(found), "warnings": listed(warned), "tier": tier(found, warned, c(acc))})
 
 
 def quick_diagnose(df: DataFrame, acc: str, constant: Column) -> DataFrame:

@@ -95,16 +95,16 @@ def weighted(df: DataFrame, label: str, alias: str = "weight") -> DataFrame:
     return df.join(F.broadcast(w.limit(stats.MAX_CLASSES)), F.col(label) == F.col("__l"), "left").drop("__l")
 
 
-def tabular_pipeline(numeric: Sequence[str], categorical: Sequence[str], model: Estimator) -> Pipeline:
+def tabular_pipeline(numeric: Sequence[str], categorical: Sequence[str], model: Estimator | None = None) -> Pipeline:
     """Impute means, index categories alphabetically (unseen kept apart), scale,
-    fit. Every statistic comes from the rows the pipeline is fitted on."""
+    and fit a model if given. Every statistic comes from the rows the pipeline is fitted on."""
     stages: list = [Imputer(inputCols=list(numeric), outputCols=[f"{c}__f" for c in numeric])]
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=[f"{c}__f" for c in categorical],
                                     stringOrderType="alphabetAsc", handleInvalid="keep"))
     stages += [VectorAssembler(inputCols=[f"{c}__f" for c in [*numeric, *categorical]], outputCol="raw_features"),
-               StandardScaler(inputCol="raw_features", outputCol="features", withMean=True), model]
-    return Pipeline(stages=stages)
+               StandardScaler(inputCol="raw_features", outputCol="features", withMean=True)]
+    return Pipeline(stages=stages + ([model] if model is not None else []))
 
 
 class MacroEvaluator(Evaluator):

@@ -95,7 +95,7 @@ TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+')"
     SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest({TOKENS}) AS token FROM documents) GROUP BY ALL
 """)
 def tokenise_mixed(spark, sf):
-    return op.term_counts(table(spark, sf, "documents"), "doc_id", tx.mixed_tokens(F.col("text"))).toDF("doc_id", "token", "n")
+    return op.term_counts(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", tx.mixed_tokens(F.col("text"))).toDF("doc_id", "token", "n")
 
 
 @query("X09_char_ngram_tokens", """

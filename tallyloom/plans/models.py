@@ -40,14 +40,19 @@ def train_classifier(spark, sf):
 
 @query("M02_train_regressor")
 def train_regressor(spark, sf):
-    li = table(spark, sf, "lineitem").withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    train, test = halves(cut_lineage(sampling.random_split(li, "row_key", 0.2), "train"))
+    li = table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_key"),
+        "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice")
+    train, test = halves(sampling.random_split(li, "row_key", 0.2))
+    # one fitted preparation feeds all four learners
+    prepare = op.tabular_pipeline(["l_quantity", "l_discount", "l_tax"], ["l_returnflag"]).fit(train)
+    ready = lambda df: cut_lineage(prepare.transform(df).select("features", F.col("l_extendedprice").alias("label")), "features")
+    train, test = ready(train), ready(test)
     out = []
     for name, params in (("linear_regression", {}), ("ridge", {}), ("random_forest_regressor", {"numTrees": 5, "maxDepth": 5}),
                          ("gradient_boosting_regressor", {"maxIter": 3, "maxDepth": 3})):
-        model = op.tabular_pipeline(["l_quantity", "l_discount", "l_tax"], ["l_returnflag"],
-                                    op.make(name, labelCol="l_extendedprice", **params)).fit(train)
-        out.append(stats.regression_metrics(model.transform(test), "l_extendedprice", "prediction").withColumn("algorithm", F.lit(name)))
+        scored = op.make(name, **params).fit(train).transform(test)
+        out.append(stats.regression_metrics(scored, "label", "prediction").withColumn("algorithm", F.lit(name)))
     return union_all(out)
 
 

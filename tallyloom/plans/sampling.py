@@ -141,9 +141,10 @@ def synonym_replace(spark, sf):
 
 @query("P16_char_dropout")
 def char_dropout(spark, sf):
-    rate = augment.DROP_LOW + (augment.DROP_HIGH - augment.DROP_LOW) * op.uniform("doc_id")
-    return table(spark, sf, "documents").select(
-        "doc_id", augment.char_dropout(F.col("text"), rate, F.xxhash64("doc_id")).alias("text"))
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", F.lit(1).alias("variant"),
+        (augment.DROP_LOW + (augment.DROP_HIGH - augment.DROP_LOW) * op.uniform("doc_id")).alias("rate"))
+    return augment.dropout_column(docs, "doc_id", "text", "variant", "rate")
 
 
 @query("P17_generate_table")

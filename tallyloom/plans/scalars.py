@@ -246,7 +246,8 @@ CLASSES = ["reheat", "nation", "Sports", "en"]
 """)
 def keyword_class(spark, sf):
     best, probs = tx.keyword_class(F.col("text"), CLASSES)
-    return table(spark, sf, "documents").select("doc_id", best.alias("class"), probs.alias("p")).select(
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", best.alias("class"), probs.alias("p")).select(
         "doc_id", "class", F.when(F.col("class").isNotNull(), F.lit(0.5)).alias("confidence"),
         F.get("p", F.lit(0)).alias("prob_reheat"))
 
