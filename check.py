@@ -61,11 +61,18 @@ def compare(spark, con, name, sf_dir):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("-s", "--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true", help="session without any of our settings")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     load_all()
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8",
-                          spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
+            .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+                              spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:

@@ -47,7 +47,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = new
 
 
-def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int) -> DataFrame:
+def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
+           block_rows: int = knn.BLOCK_ROWS) -> DataFrame:
     """(key, cluster): rows with `min_points` neighbours within eps (themselves
     included) are cores; cores within eps share a cluster, other rows take the
     lowest cluster of a core within eps, or -1. Clusters are numbered by their
@@ -57,7 +58,7 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int) -> Da
         n |= q["id"].to_numpy()[:, None] == c["id"].to_numpy()[None, :]
         return pd.DataFrame({"id": q["id"], "n": n.sum(1).astype("int64")})
 
-    _, parts = knn.within(df, key, vec, eps, count, "id bigint, n bigint")
+    _, parts = knn.within(df, key, vec, eps, count, "id bigint, n bigint", block_rows)
     density = cut_lineage(parts.groupBy("id").agg(F.sum("n").alias("n")), "density")
     cores = density.filter(F.col("n") >= min_points).select("id")
     marked = df.join(cores.withColumnRenamed("id", "__core"), F.col(key) == F.col("__core"), "left") \
@@ -78,7 +79,8 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int) -> Da
             frames.append(pd.DataFrame({"a": qid[~core_q][r], "b": lc[k], "kind": "border"}).drop_duplicates())
         return pd.concat(frames)
 
-    _, links = knn.within(marked, key, vec, eps, link, "a bigint, b bigint, kind string", keep={"core": "__is_core"})
+    _, links = knn.within(marked, key, vec, eps, link, "a bigint, b bigint, kind string", block_rows,
+                          keep={"core": "__is_core"})
     links = cut_lineage(links, "links")
     comps = connected_components(cores, links.filter("kind = 'core'"))
     names = ranked(comps.select("component").distinct(), [], "component").select(
@@ -86,8 +88,8 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int) -> Da
     named = comps.join(names, F.col("component") == F.col("__name")).select("id", "cluster")
     border = (links.filter("kind = 'border'").join(named, F.col("b") == F.col("id"))
               .groupBy("a").agg(F.min("cluster").alias("cluster")).withColumnRenamed("a", "id"))
-    found = named.unionByName(border)
-    return df.select(key).join(found, F.col(key) == F.col("id"), "left").select(
+    found = named.unionByName(border).withColumnRenamed("id", "__found")
+    return df.select(key).join(found, F.col(key) == F.col("__found"), "left").select(
         key, F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"))
 
 

@@ -7,20 +7,22 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEvaluator, Evaluator,
+from pyspark.ml.evaluation import (ClusteringEvaluator, Evaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators import ordered, sampling, stats
 from tallyloom.operators.inference import topk_classes
+from tallyloom.session import cut_lineage
 from tallyloom.sources.readers import union_all
 
 # Regularising defaults; explicit parameters win over them.
@@ -168,27 +170,25 @@ def search(df: DataFrame, key: str, label: str, algorithm: str, candidates: Sequ
     """
     split_on = label if task == "classification" else "__one"
     base = df.withColumn("__one", F.lit(1))
-    with_folds = sampling.stratified_kfold(base, key, split_on, folds, seed).select("features", F.col(label).cast("double").alias("label"), "fold").cache()
-    try:
-        k = with_folds.agg(F.max("fold")).first()[0] + 1
-        judge = scorer(task)
-        results = []
-        for params in candidates:
-            scores, error = [], None
-            try:
-                for f in range(k):
-                    model = make(algorithm, classes, seed, **params).fit(with_folds.filter(F.col("fold") != f))
-                    scores.append(float(judge.evaluate(model.transform(with_folds.filter(F.col("fold") == f)))))
-            except Exception as exc:  # one bad candidate must not end the search
-                error = f"{type(exc).__name__}: {str(exc)[:200]}"
-            results.append((algorithm, str(sorted(params.items())), float(np.mean(scores)) if scores and not error else None,
-                            float(np.std(scores)) if scores and not error else None, len(scores), error))
-    finally:
-        with_folds.unpersist()
+    with_folds = cut_lineage(sampling.stratified_kfold(base, key, split_on, folds, seed).select(
+        "features", F.col(label).cast("double").alias("label"), "fold"), "folds")
+    k = with_folds.agg(F.max("fold")).first()[0] + 1
+    judge = scorer(task)
+    results = []
+    for params in candidates:
+        scores, error = [], None
+        try:
+            for f in range(k):
+                model = make(algorithm, classes, seed, **params).fit(with_folds.filter(F.col("fold") != f))
+                scores.append(float(judge.evaluate(model.transform(with_folds.filter(F.col("fold") == f)))))
+        except Exception as exc:  # one bad candidate must not end the search
+            error = f"{type(exc).__name__}: {str(exc)[:200]}"
+        good = scores and not error
+        results.append((algorithm, str(sorted(params.items())), float(np.mean(scores)) if good else None,
+                        float(np.std(scores)) if good else None, len(scores), error))
     found = df.sparkSession.createDataFrame(
         results, "algorithm STRING, params STRING, mean_score DOUBLE, std_score DOUBLE, folds INT, error STRING")
     top = found.orderBy(F.desc_nulls_last("mean_score"), "params").limit(keep)
-    from pyspark.sql import Window as W
     return top.withColumn("rank", F.rank().over(W.orderBy(F.desc_nulls_last("mean_score"))))
 
 
@@ -196,8 +196,6 @@ def auto_select(df: DataFrame, key: str, label: str, algorithms: Sequence[str],
                 seed: int = 42, spaces: Mapping[str, Mapping[str, Sequence]] = SEARCH_SPACES, classes: int = 2,
                 folds: int = 0) -> DataFrame:
     """Quick random search per algorithm; the best of each, best first."""
-    from pyspark.sql import Window as W
-
     boards = [search(df, key, label, a, random_draws(spaces[a], draws, seed), task, folds, seed, classes=classes)
               .orderBy("rank", "params").limit(1).drop("rank") for a in algorithms]
     return union_all(boards).withColumn("rank", F.rank().over(W.orderBy(F.desc_nulls_last("mean_score"))))
@@ -213,7 +211,6 @@ def cluster_search(df: DataFrame, key: str, candidates: Sequence[dict], algorith
         scored = make(algorithm, seed=seed, **params).fit(df).transform(df)
         part = sampling.row_cap_sample(scored.select(key, "features", "prediction"), key, sample, seed)
         out.append((str(sorted(params.items())), float(judge.evaluate(part))))
-    from pyspark.sql import Window as W
     return df.sparkSession.createDataFrame(out, "params STRING, silhouette DOUBLE") \
         .withColumn("rank", F.rank().over(W.orderBy(F.desc("silhouette"))))
 
