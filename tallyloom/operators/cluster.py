@@ -52,16 +52,23 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
     """(key, cluster): rows with `min_points` neighbours within eps (themselves
     included) are cores; cores within eps share a cluster, other rows take the
     lowest cluster of a core within eps, or -1. Clusters are numbered by their
-    smallest core key. Keys are whole numbers."""
+    smallest core key. Keys are whole numbers.
+
+    Copies of one vector are folded into their smallest key first and weighed, so
+    a crowd of copies costs one row in the neighbour searches.
+    """
+    rows = df.select(F.col(key).alias("__key"), F.col(vec).alias("__vec"))
+    points = cut_lineage(rows.groupBy("__vec").agg(F.min("__key").alias("__rep"), F.count(F.lit(1)).alias("__w")), "points")
+
     def count(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        n = (knn.distances(knn.matrix(q["v"]), knn.matrix(c["v"])) <= eps)
-        n |= q["id"].to_numpy()[:, None] == c["id"].to_numpy()[None, :]
-        return pd.DataFrame({"id": q["id"], "n": n.sum(1).astype("int64")})
+        near = knn.distances(knn.matrix(q["v"]), knn.matrix(c["v"])) <= eps
+        near |= q["id"].to_numpy()[:, None] == c["id"].to_numpy()[None, :]
+        return pd.DataFrame({"id": q["id"], "n": near @ c["w"].to_numpy(dtype="int64")})
 
-    _, parts = knn.within(df, key, vec, eps, count, "id bigint, n bigint", block_rows)
+    _, parts = knn.within(points, "__rep", "__vec", eps, count, "id bigint, n bigint", block_rows, keep={"w": "__w"})
     density = cut_lineage(parts.groupBy("id").agg(F.sum("n").alias("n")), "density")
     cores = density.filter(F.col("n") >= min_points).select("id")
-    marked = df.join(cores.withColumnRenamed("id", "__core"), F.col(key) == F.col("__core"), "left") \
+    marked = points.join(cores.withColumnRenamed("id", "__core"), F.col("__rep") == F.col("__core"), "left") \
         .withColumn("__is_core", F.col("__core").isNotNull()).drop("__core")
 
     def link(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -79,7 +86,7 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
             frames.append(pd.DataFrame({"a": qid[~core_q][r], "b": lc[k], "kind": "border"}).drop_duplicates())
         return pd.concat(frames)
 
-    _, links = knn.within(marked, key, vec, eps, link, "a bigint, b bigint, kind string", block_rows,
+    _, links = knn.within(marked, "__rep", "__vec", eps, link, "a bigint, b bigint, kind string", block_rows,
                           keep={"core": "__is_core"})
     links = cut_lineage(links, "links")
     comps = connected_components(cores, links.filter("kind = 'core'"))
@@ -89,8 +96,9 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
     border = (links.filter("kind = 'border'").join(named, F.col("b") == F.col("id"))
               .groupBy("a").agg(F.min("cluster").alias("cluster")).withColumnRenamed("a", "id"))
     found = named.unionByName(border).withColumnRenamed("id", "__found")
-    return df.select(key).join(found, F.col(key) == F.col("__found"), "left").select(
-        key, F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"))
+    placed = points.join(found, F.col("__rep") == F.col("__found"), "left").select(
+        F.col("__vec").alias("__v2"), F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"))
+    return rows.join(placed, F.col("__vec") == F.col("__v2")).select(F.col("__key").alias(key), "cluster")
 
 
 def knn_vote(train: DataFrame, query: DataFrame, key: str, vec: str, target: str, k: int = 7,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ordered import on_keys, ranked
 from tallyloom.operators.profile import missing
-from tallyloom.session import spread
+from tallyloom.session import broadcast_if_small, spread
 from tallyloom.sources.readers import column_stats
 
 # What imputing writes into an unknown category, and the labels
@@ -137,8 +137,9 @@ def fit_tfidf(counts: DataFrame, n_docs: Column | int, max_features: int, min_df
 
 
 def apply_tfidf(counts: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:
-    """(key, term, weight): (1 + ln tf) · idf, scaled to unit length per row."""
-    w = (counts.join(vocabulary.select("term", "idf"), "term")
+    """(key, term, weight): (1 + ln tf) · idf, scaled to unit length per row. The
+    vocabulary is sent to every task after a check of its size."""
+    w = (counts.join(broadcast_if_small(vocabulary.select("term", "idf")), "term")
          .withColumn("raw", (1.0 + F.log("tf")) * F.col("idf")))
     norms = w.groupBy(F.col(key).alias("__key")).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("__norm"))
     return (w.join(norms, F.col(key) == F.col("__key"))

@@ -81,7 +81,7 @@ def fold_by_key(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[s
     if hot.isEmpty():
         return walk(df, keys, sort, inputs, step, added)
 
-    marked = on_keys(sliced(df, order, n=slices), hot.select(*keys, F.lit(True).alias("__hot")), keys, "left")
+    marked = on_keys(sliced(df, order, n=slices, ties=ties, descending=descending), hot.select(*keys, F.lit(True).alias("__hot")), keys, "left")
     cold = marked.filter(F.col("__hot").isNull()).drop("__hot", SLICE)
     rows = cut_lineage(marked.filter(F.col("__hot")).drop("__hot"), "fold-rows")
     cell = keys + [SLICE]

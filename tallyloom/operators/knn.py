@@ -61,10 +61,13 @@ class Cells:
     def __init__(self, cands: DataFrame, block_rows: int = BLOCK_ROWS, pivots: int | None = None):
         self.block_rows = block_rows
         total = cands.count()
+        if total == 0:
+            raise ValueError("no candidate vectors")
         want = pivots or int(min(MAX_PIVOTS, max(1, round(total ** 0.5 / 2))))
         # the pivots with the smallest hashes: a fixed sample whatever the partitioning
         picked = cands.orderBy(F.md5(F.col("id").cast("string")), "id").limit(want).collect()
-        self.pivots = np.array([r["v"] for r in picked], dtype=np.float64)
+        # copies of one vector make one pivot
+        self.pivots = np.unique(np.array([r["v"] for r in picked], dtype=np.float64), axis=0)
         spark = cands.sparkSession
         self.shared = spark.sparkContext.broadcast(self.pivots)
         tagged = self.tag(cands)
@@ -153,10 +156,13 @@ def nearest(queries: DataFrame, candidates: DataFrame, key: str, vec: str, k: in
         d = distances(matrix(q["v"]), matrix(c["v"]))
         if exclude_self:
             d[q["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        # ties at the k-th place must all survive until the final ranking
+        # exactly k per block, ties to the smaller id (columns are sorted by id), so
+        # a crowd of equal vectors never leaves the task as pairs
         take = min(k, d.shape[1])
-        bound = np.partition(d, take - 1, axis=1)[:, take - 1]
-        rows, cols = np.nonzero((d <= bound[:, None] + SLACK) & np.isfinite(d))
+        bound = np.partition(d, take - 1, axis=1)[:, take - 1][:, None]
+        less, tied = d < bound, d == bound
+        room = take - less.sum(axis=1, keepdims=True)
+        rows, cols = np.nonzero((less | (tied & (np.cumsum(tied, axis=1) <= room))) & np.isfinite(d))
         return pd.DataFrame({"query_id": q["id"].to_numpy()[rows], "candidate_id": ids[cols],
                              "distance": d[rows, cols]})
 

@@ -36,35 +36,58 @@ def hash_slice(digest: str | Column, n: int) -> Column:
     return F.floor(head * F.lit(min(n, 65536)) / F.lit(65536)).cast("int")
 
 
-def value_sliced(df: DataFrame, column: str, n: int) -> DataFrame:
-    """Slice by quantile cut points of `column` (a scalar subquery of the plan).
-
-    Equal values always share a slice. The binary search costs log2(n) steps.
-    """
-    if n <= 1:
-        return df.withColumn(SLICE, F.lit(0))
+def _cut_points(df: DataFrame, column: str, n: int) -> Column:
+    """n - 1 quantiles of a column, repeated values kept (a scalar subquery)."""
     points = F.array(*[F.lit(i / n) for i in range(1, n)])
-    found_cuts = df.agg(F.array_distinct(F.percentile_approx(column, points, max(10000, 20 * n))))
-    df = df.withColumn("__cuts", found_cuts.scalar())
-    cuts = F.col("__cuts")
-    steps = max(1, (n - 1).bit_length())
-    value = F.col(column)
+    return df.agg(F.percentile_approx(column, points, max(10000, 20 * n))).scalar()
+
 
+def _position(cuts: Column, value: Column, n: int) -> Column:
+    """How many cut points are at or below `value` (binary search)."""
     def halve(acc, _):
         mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
         above = (acc["lo"] < acc["hi"]) & (F.get(cuts, mid) <= value)
         return F.struct(F.when(above, mid + 1).otherwise(acc["lo"]).alias("lo"),
                         F.when(above | (acc["lo"] >= acc["hi"]), acc["hi"]).otherwise(mid).alias("hi"))
 
+    steps = max(1, (n - 1).bit_length())
     found = F.aggregate(F.sequence(F.lit(0), F.lit(steps)),
-                        F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi")), halve,
-                        lambda acc: acc["lo"])
-    return df.withColumn(SLICE, F.when(value.isNull(), -1).otherwise(found)).drop("__cuts")
+                        F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi")), halve, lambda acc: acc["lo"])
+    return F.when(value.isNull(), -1).otherwise(found)
+
 
+def value_sliced(df: DataFrame, column: str, n: int, tie: str | None = None, tie_down: bool = False) -> DataFrame:
+    """Slice by quantile cut points of `column`.
 
-def sliced(df: DataFrame, order: str, *, hashed: bool = False, n: int | None = None) -> DataFrame:
+    A value that fills two or more cut points by itself gets a slice of its own,
+    cut further along the tie column when that is a number or a timestamp, so
+    neither a hot key nor a hot order value ends up in one task.
+    """
+    if n <= 1:
+        return df.withColumn(SLICE, F.lit(0).cast("long"))
+    out = df.withColumn("__cuts", _cut_points(df, column, n))
+    value = F.col(column)
+    heavy = F.filter(F.col("__cuts"), lambda c, i: c == F.get(F.col("__cuts"), i + 1))
+    out = out.withColumn("__heavy", F.coalesce(F.array_contains(heavy, value), F.lit(False)))
+    place = _position(F.col("__cuts"), value, n).cast("long")
+    kind = dict(df.dtypes)[tie] if tie else ""
+    if kind.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")):
+        out = out.withColumn("__tie_cuts", _cut_points(df, tie, n))
+        within = F.when(F.col("__heavy"), _position(F.col("__tie_cuts"), F.col(tie), n) + 1).otherwise(0)
+        # along a descending order the slices of one value still follow the ascending ties
+        within = F.when(F.col("__heavy"), n + 1 - within).otherwise(0) if tie_down else within
+    else:
+        within = F.lit(0)
+    rest = F.when(F.col("__heavy"), 0).otherwise(1)
+    return out.withColumn(SLICE, (place * 2 + rest) * (n + 2) + within).drop("__cuts", "__heavy", "__tie_cuts")
+
+
+def sliced(df: DataFrame, order: str, *, hashed: bool = False, n: int | None = None, ties: Sequence[str] = (),
+           descending: bool = False) -> DataFrame:
     n = n or slice_count(df)
-    return df.withColumn(SLICE, hash_slice(order, n)) if hashed else value_sliced(df, order, n)
+    if hashed:
+        return df.withColumn(SLICE, hash_slice(order, n))
+    return value_sliced(df, order, n, ties[0] if ties else None, descending)
 
 
 def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
@@ -90,7 +113,7 @@ def ranked(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] =
     sort ascending. Nulls come first ascending and last descending.
     """
     keys = list(keys)
-    rows = sliced(df, order, hashed=hashed, n=n)
+    rows = sliced(df, order, hashed=hashed, n=n, ties=ties, descending=descending)
     cell = keys + [SLICE]
     sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
     by_slice = F.col(SLICE).desc() if descending else F.col(SLICE).asc()
@@ -110,7 +133,7 @@ def running_max(df: DataFrame, keys: Sequence[str], order: str, value: Column, n
                 ties: Sequence[str] = (), n: int | None = None) -> DataFrame:
     """Largest `value` (a struct works too) up to and including each row."""
     keys = list(keys)
-    rows = sliced(df.withColumn("__v", value), order, n=n)
+    rows = sliced(df.withColumn("__v", value), order, n=n, ties=ties)
     cell = keys + [SLICE]
     tops = rows.groupBy(*cell).agg(F.max("__v").alias("__top"))
     w = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(SLICE)
@@ -127,7 +150,7 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: str, value: Column, nam
               ties: Sequence[str] = (), *, ahead: bool = False, n: int | None = None) -> DataFrame:
     """`value` of the previous (or next, with `ahead`) row of the group."""
     keys = list(keys)
-    rows = sliced(df.withColumn("__v", F.struct(value.alias("v"))), order, n=n)
+    rows = sliced(df.withColumn("__v", F.struct(value.alias("v"))), order, n=n, ties=ties)
     cell = keys + [SLICE]
     place = F.struct(order, *ties)
     edge = F.min_by("__v", place) if ahead else F.max_by("__v", place)

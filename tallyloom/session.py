@@ -72,6 +72,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a table with fewer splits than cores before per-row heavy work."""
+    """Spread a table of fewer files than cores before per-row heavy work; a
+    table with enough files is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -136,3 +136,17 @@ def test_bands_and_early_stop(df, rows, max_rows):
                     misses += 1
                     stop = i if misses >= 3 else None
         assert stops[k] == (len(g), stop, best)
+
+
+def test_hot_order_value_is_cut_along_its_ties(spark):
+    rows = [("a", i, 5 if i % 4 else i % 50, float(i)) for i in range(2000)]  # one value owns three quarters
+    df = spark.createDataFrame(rows, "k string, id long, o long, v double")
+    up = {r.id: r.rn for r in ordered.ranked(df, ["k"], "o", ["id"], n=16).collect()}
+    down = {r.id: r.rn for r in ordered.ranked(df, ["k"], "o", ["id"], descending=True, n=16).collect()}
+    assert [i for _, i, _, _ in sorted(rows, key=lambda r: (r[2], r[1]))] == sorted(up, key=up.get)
+    assert [i for _, i, _, _ in sorted(rows, key=lambda r: (-r[2], r[1]))] == sorted(down, key=down.get)
+    largest = ordered.sliced(df, "o", n=16, ties=["id"]).groupBy(ordered.SLICE).count().agg(F.max("count")).first()[0]
+    assert largest < 2000 / 16 * 3
+    back = {r.id: r.p for r in ordered.neighbour(df, ["k"], "o", F.col("id"), "p", ["id"], n=16).collect()}
+    order = sorted(up, key=up.get)
+    assert all(back[b] == a for a, b in zip(order, order[1:])) and back[order[0]] is None

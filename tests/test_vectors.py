@@ -86,3 +86,18 @@ def test_vector_helpers(spark):
     assert [r[0] for r in df.select(features.l2_normalise(F.col("v"))).collect()] == [[0.6, 0.8], [0.0, 0.0]]
     assert df.select(features.pad_or_truncate(F.col("v"), 3)).first()[0] == [3.0, 4.0, 0.0]
     assert df.select(features.pad_or_truncate(F.col("v"), 1)).first()[0] == [3.0]
+
+
+def test_crowd_of_copies(spark):
+    """A third of the rows are one vector: k neighbours each, one cluster."""
+    rows = [(i, [0.0, 0.0] if i % 3 == 0 else [float(i % 17), float(i % 13) + 5.0]) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    near = knn.nearest(df, df, "id", "v", k=3, exclude_self=True, block_rows=16)
+    assert near.count() == 240 * 3
+    zero = {}
+    for r in near.collect():
+        zero.setdefault(r.query_id, []).append((r.place, r.candidate_id))
+    assert [c for _, c in sorted(zero[0])] == [3, 6, 9] and [c for _, c in sorted(zero[9])] == [0, 3, 6]
+    x = np.array([v for _, v in rows])
+    got = {r.id: r.cluster for r in cluster.dbscan(df, "id", "v", 1.2, 5, block_rows=16).collect()}
+    assert [got[i] for i, _ in rows] == dbscan_reference(x, 1.2, 5).tolist()
