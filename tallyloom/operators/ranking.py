@@ -1,8 +1,8 @@
 """Leaderboards, winners, histories and bounded top lists.
 
-Winners come from `max_by`/`min_by` aggregates, which combine before the
-shuffle; short top lists from a window Spark cuts per task before the shuffle
-(row_number <= k). Neither moves a whole group to one task.
+Winners and short top lists are windows that Spark cuts in every task before the
+shuffle (row_number <= k), other single values `max_by`/`min_by` aggregates that
+combine first. Neither moves a whole group to one task.
 """
 
 from __future__ import annotations
@@ -41,17 +41,13 @@ def mark_members(df: DataFrame, key: str, chosen: DataFrame, alias: str) -> Data
 
 
 def winners(df: DataFrame, by: Sequence[str], order: Sequence[Column], key: str) -> DataFrame:
-    """Row key of the best row per group: largest `order`, smallest key on ties."""
-    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    best = df.groupBy(*by).agg(F.max(place).alias("__top"))
-    # among the rows that reach the top value, the smallest key
-    tops = df.withColumn("__o", place).groupBy(*by, "__o").agg(F.min(key).alias(key))
-    names = [F.col(b).eqNullSafe(F.col(f"__b_{b}")) for b in by]
-    cond = names[0]
-    for c in names[1:]:
-        cond = cond & c
-    best = best.withColumnsRenamed({b: f"__b_{b}" for b in by})
-    return tops.join(best, cond & F.col("__o").eqNullSafe(F.col("__top"))).select(*by, key)
+    """Row key of the best row per group: largest `order` (nulls last), smallest
+    key on ties. Each task keeps one row per group before the shuffle."""
+    ranked_by = [c.alias(f"__o{i}") for i, c in enumerate(order)]
+    place = [F.col(f"__o{i}").desc_nulls_last() for i in range(len(order))]
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(*place, F.col(key).asc()))
+    return (df.select(*by, key, *ranked_by).withColumn("__r", rank).filter(F.col("__r") == 1)
+            .select(*by, key))
 
 
 def keep_best(df: DataFrame, by: Sequence[str], metrics: Sequence[str], key: str) -> DataFrame:
