@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.values import round_even
 from tallyloom.session import broadcast_if_small, spread
+from tallyloom.sources.readers import union_all
 
 # Unit names of the formatted sizes and durations.
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
@@ -149,9 +150,37 @@ def url_admissible(url: Column, allow_local: bool = False,
     return F.coalesce(scheme.isin("http", "https") & host.isNotNull() & ~blocked, F.lit(False))
 
 
+# Fixed value: a window never starts inside a surrogate pair.
+WHOLE = r"(?s)(?![\x{DC00}-\x{DFFF}])"
+MAX_PATTERN_WORDS = 64
+
+
 def char_ngrams(text: Column, width: int) -> Column:
     """All overlapping character windows of one width, in order."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(f"{WHOLE}(?=(.{{{width}}}))"), F.lit(1))
+
+
+def few_words(lexicon: DataFrame, word: str, widths: Sequence[int]) -> dict[int, list[str]] | None:
+    """Words by length when there are few enough for a pattern, else null."""
+    rows = lexicon.select(word).distinct().limit(MAX_PATTERN_WORDS + 1).collect()
+    if len(rows) > MAX_PATTERN_WORDS:
+        return None
+    return {w: sorted(r[0] for r in rows if len(r[0]) == w) for w in widths if any(len(r[0]) == w for r in rows)}
+
+
+def any_word(words: Sequence[str]) -> str:
+    return "(?:" + "|".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in words) + ")"
+
+
+def word_hits(text: Column, words: Sequence[str]) -> Column:
+    """Every occurrence of the words (one length), overlapping ones included."""
+    return F.regexp_extract_all(text, F.lit(f"{WHOLE}(?=({any_word(words)}))"), F.lit(1))
+
+
+def hits_with_prefix(text: Column, words: Sequence[str]) -> Column:
+    """Occurrences with the up to three characters before them, in text order."""
+    early = [F.regexp_extract_all(text, F.lit(f"{WHOLE}\\A(?=(.{{{n}}}{any_word(words)}))"), F.lit(1)) for n in range(3)]
+    return F.concat(*early, F.regexp_extract_all(text, F.lit(f"{WHOLE}(?=(.{{3}}{any_word(words)}))"), F.lit(1)))
 
 
 def ngram_array(text: Column, widths: Sequence[int] = (2, 3, 4)) -> Column:
@@ -167,8 +196,17 @@ def mixed_tokens(text: Column) -> Column:
 
 def lexicon_hits(df: DataFrame, key: str, text: str, lexicon: DataFrame, word: str, weight: str,
                  widths: Sequence[int] = (2, 3, 4)) -> DataFrame:
-    """Hits and weighted score per (row, lexicon word) over character windows."""
-    grams = spread(df.select(key, text)).select(key, F.explode(ngram_array(F.col(text), widths)).alias(word))
+    """Hits and weighted score per (row, lexicon word) over character windows.
+
+    A short lexicon becomes one pattern per word length, so only hits leave the
+    text; a long one is joined to all windows.
+    """
+    few = few_words(lexicon, word, widths)
+    if few is None:
+        windows = ngram_array(F.col(text), widths)
+    else:
+        windows = F.concat(*[word_hits(F.col(text), ws) for ws in few.values()]) if few else F.array().cast("array<string>")
+    grams = spread(df.select(key, text)).select(key, F.explode(windows).alias(word))
     return (grams.join(broadcast_if_small(lexicon), word).groupBy(key, word)
             .agg(F.count(F.lit(1)).alias("hits"), F.sum(weight).alias("score")))
 
@@ -185,18 +223,9 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
     """
     body = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
     rows = spread(df.select(key, text)).select(key, body.alias("__t"))
-    rows = rows.select(key, "__t", *[char_ngrams(F.col("__t"), w).alias(f"__g{w}") for w in {*widths, 3}])
-
-    def spots(windows: str) -> Column:
-        def spot(g, i):
-            prefix = F.when(i >= 3, F.get(F.col("__g3"), i - 3)).otherwise(F.substring("__t", F.lit(1), i))
-            return F.struct(g.alias(word), i.alias("pos"), prefix.alias("prefix"),
-                            F.get(F.col(windows), i - 1).alias("p1"),
-                            F.get(F.col(windows), i - 2).alias("p2"))
-        return F.transform(windows, spot)
-
-    hits = (rows.select(key, F.explode(F.concat(*[spots(f"__g{w}") for w in widths])).alias("s")).select(key, "s.*")
-            .join(broadcast_if_small(lexicon), word))
+    few = few_words(lexicon, word, widths)
+    found = _windows_around(rows, key, word, widths) if few is None else _hits_around(rows, key, word, few)
+    hits = found.join(broadcast_if_small(lexicon), word)
     near = F.coalesce(F.trim("p1").isin(*negators), F.lit(False)) \
         | F.coalesce(F.trim("p2").isin(*negators), F.lit(False))
     per_word = hits.groupBy(key, word, weight).agg(
@@ -225,6 +254,36 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
                     .alias("confidence")))
 
 
+def _windows_around(rows: DataFrame, key: str, word: str, widths: Sequence[int]) -> DataFrame:
+    """(key, word, pos, prefix, p1, p2) for every window of every width."""
+    rows = rows.select(key, "__t", *[char_ngrams(F.col("__t"), w).alias(f"__g{w}") for w in {*widths, 3}])
+
+    def spots(windows: str) -> Column:
+        def spot(g, i):
+            prefix = F.when(i >= 3, F.get(F.col("__g3"), i - 3)).otherwise(F.substring("__t", F.lit(1), i))
+            return F.struct(g.alias(word), i.alias("pos"), prefix.alias("prefix"),
+                            F.get(F.col(windows), i - 1).alias("p1"), F.get(F.col(windows), i - 2).alias("p2"))
+        return F.transform(windows, spot)
+
+    return rows.select(key, F.explode(F.concat(*[spots(f"__g{w}") for w in widths])).alias("s")).select(key, "s.*")
+
+
+def _hits_around(rows: DataFrame, key: str, word: str, few: Mapping[int, Sequence[str]]) -> DataFrame:
+    """The same columns for the occurrences of a few words only. The windows one
+    and two characters earlier are the end of the prefix and the word's start."""
+    parts = []
+    for w, words in few.items():
+        hit = rows.select(key, F.posexplode(hits_with_prefix(F.col("__t"), words)).alias("pos", "s"))
+        n = F.length("s") - w
+        hit = hit.select(key, "pos", F.substring("s", n + 1, F.lit(w)).alias(word), F.substring("s", F.lit(1), n).alias("prefix"))
+        ahead = lambda k, w=w: F.when(F.length("prefix") >= k, F.substring(
+            F.concat("prefix", word), F.length("prefix") - k + 1, F.lit(w)))
+        parts.append(hit.select(key, word, "pos", "prefix", ahead(1).alias("p1"), ahead(2).alias("p2")))
+    empty = rows.select(key, F.lit("").alias(word), F.lit(0).alias("pos"), F.lit("").alias("prefix"),
+                        F.lit("").alias("p1"), F.lit("").alias("p2")).filter(F.lit(False))
+    return union_all(parts) if parts else empty
+
+
 def keyword_class(text: Column, classes: Sequence[str]) -> tuple[Column, Column]:
     """(class, probability per class): name contained scores 1, a word of the
     text contained in the name 0.5; the first best wins, capped at 0.5 and the

@@ -8,9 +8,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ranking import best_flags, winners
+from tallyloom.sources.readers import union_all
 
 # Thresholds of the diagnosis.
 PERFECT, NEAR_PERFECT = 1.0, 0.999
@@ -139,19 +141,18 @@ def audit_summary(df: DataFrame, n_models: str) -> DataFrame:
 
 def removal_plan(candidates: Sequence[tuple[str, DataFrame]], key: str) -> DataFrame:
     """One row per key with the first reason, in the order of the lists."""
-    parts = [df.select(key, F.lit(i).alias("__p"), F.lit(name).alias("category")) for i, (name, df) in enumerate(candidates)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy(key).agg(F.min(F.struct("__p", "category")).alias("b")).select(key, "b.category")
+    parts = [df.select(key, F.lit(i).alias("__p")) for i, (_, df) in enumerate(candidates)]
+    names = F.array(*[F.lit(name) for name, _ in candidates])
+    return (union_all(parts).groupBy(key).agg(F.min("__p").alias("__p"))
+            .select(key, F.get(names, F.col("__p")).alias("category")))
 
 
 def retrain_queue(df: DataFrame, by: Sequence[str], key: str, tiers: Sequence[str] = TIERS[:2]) -> DataFrame:
     """One run per (dataset, algorithm) among the chosen tiers, worst tier first."""
-    order = F.array_position(F.array(*[F.lit(t) for t in tiers]), F.col("tier"))
-    return (df.filter(F.col("tier").isin(*tiers)).groupBy(*by)
-            .agg(F.min(F.struct(order.alias("o"), F.col(key), F.col("tier"))).alias("b"))
-            .select(*by, f"b.{key}", "b.tier"))
+    severity = F.array_position(F.array(*[F.lit(t) for t in tiers]), F.col("tier"))
+    first = F.row_number().over(W.partitionBy(*by).orderBy("__s", key))
+    return (df.filter(F.col("tier").isin(*tiers)).select(*by, key, "tier", severity.alias("__s"))
+            .withColumn("__r", first).filter(F.col("__r") == 1).select(*by, key, "tier"))
 
 
 def compare_models(df: DataFrame, key: str, metrics: Mapping[str, bool]) -> DataFrame:
@@ -161,8 +162,6 @@ def compare_models(df: DataFrame, key: str, metrics: Mapping[str, bool]) -> Data
 
 def alert_lines(df: DataFrame, line: Column, order: Sequence[str], limit: int = 10) -> DataFrame:
     """The first `limit` alert lines and a closing line counting the rest."""
-    from pyspark.sql import Window as W
-
     shown = df.orderBy(*order).limit(limit).withColumn("line", line)
     rows = shown.select(F.row_number().over(W.orderBy(*order)).alias("line_no"), "line")  # over `limit` rows
     rest = df.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select(

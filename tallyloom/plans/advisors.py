@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import advisors as op, profile, stats
 from tallyloom.plans.aggregates import CURVE_SQL
 from tallyloom.plans.registry import RUNS_SQL, query, runs, sql_round, table
+from tallyloom.session import spread
 from tallyloom.sources.readers import union_all
 
 LINE_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -169,7 +170,7 @@ SCORES_SQL = f"""
 
 def run_scores(spark, sf):
     c = F.col
-    df = runs(spark, sf) \
+    df = spread(runs(spark, sf)) \
         .withColumn("r2", F.when(c("task") == "regression", c("ind_acc"))) \
         .withColumn("sil", F.when(c("task") == "clustering", F.round(c("acc") - 0.5, 4))) \
         .withColumn("test", F.when(c("task") == "classification", c("acc")).when(c("task") == "regression", c("ind_acc"))) \

@@ -24,7 +24,9 @@ def test_ngrams(spark):
     assert one(spark, "a", lambda c: tx.char_ngrams(c, 2)) == []
 
 
-def test_sentiment_and_negation(spark):
+@pytest.mark.parametrize("limit", [64, 0])  # pattern path, window-join path
+def test_sentiment_and_negation(spark, monkeypatch, limit):
+    monkeypatch.setattr(tx, "MAX_PATTERN_WORDS", limit)
     lexicon = spark.createDataFrame([("好", 1), ("开心", 1), ("差", -1)], "word string, weight int")
     rows = [(1, "很好"), (2, "不好"), (3, "好差"), (4, "天气"), (5, ""), (6, "不开心了"), (7, "差")]
     got = {r.id: (r.label, r.confidence) for r in tx.lexicon_sentiment(
@@ -33,6 +35,18 @@ def test_sentiment_and_negation(spark):
                    5: ("neutral", 0.0), 6: ("negative", 1.0), 7: ("negative", 1.0)}
 
 
+def test_lexicon_paths_agree(spark, monkeypatch, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = spark.createDataFrame([(-1, "😀no tion😀un able 😀😀tion"), (-2, "tion"), (-3, "untion tiontion")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(odd)
+    lexicon = spark.createDataFrame([("tion", 1), ("able", 1), ("ing", -1), ("e", -1)], "word string, weight int")
+    run = lambda: (sorted(tx.lexicon_sentiment(docs, "doc_id", "text", lexicon, "word", "weight", ["un", "no"]).collect()),
+                   sorted(tx.lexicon_hits(docs, "doc_id", "text", lexicon, "word", "weight", (1, 3, 4)).collect()))
+    quick = run()
+    monkeypatch.setattr(tx, "MAX_PATTERN_WORDS", 0)
+    assert quick == run()
+
+
 @pytest.mark.parametrize("size,want", [(0, "0 B"), (1023, "1023.00 B"), (1024, "1.00 KB"), (1152, "1.12 KB"), (5 * 1024 ** 3, "5.00 GB"), (3 * 1024 ** 5, "3072.00 TB")])
 def test_format_bytes(spark, size, want):
     assert one(spark, size, tx.format_bytes, "long") == want
