@@ -11,10 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordered import on_keys, ranked
+from tallyloom.operators.ordered import ranked, with_row
 from tallyloom.operators.profile import missing
 from tallyloom.session import broadcast_if_small, spread
-from tallyloom.sources.readers import column_stats
 
 # What imputing writes into an unknown category, and the labels
 # infinite targets get before encoding.
@@ -31,9 +30,9 @@ def fit_means(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def impute_mean(df: DataFrame, columns: Sequence[str], train: DataFrame | None = None) -> DataFrame:
     """Fill missing numbers with the training means."""
-    means = fit_means(df if train is None else train, columns)
-    return df.withColumns({
-        c: F.when(missing(df, c), means.select(c).scalar()).otherwise(F.col(c)) for c in columns})
+    means = fit_means(df if train is None else train, columns).toDF(*[f"{c}__mean" for c in columns])
+    filled = {c: F.when(missing(df, c), F.col(f"{c}__mean")).otherwise(F.col(c)) for c in columns}
+    return with_row(df, means).withColumns(filled).drop(*means.columns)
 
 
 def fit_modes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,8 +62,7 @@ def impute_constant(df: DataFrame, columns: Sequence[str], value: str = MISSING)
 def label_codes(train: DataFrame, column: str) -> DataFrame:
     """(label, code): alphabetical codes from 0 for the labels seen in training."""
     labels = train.filter(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("label")).distinct()
-    spread = labels.withColumn("__h", F.xxhash64("label"))  # only to have a total
-    coded = ranked_text(spread.drop("__h"), "label")
+    coded = ranked_text(labels, "label")
     return coded.select("label", (F.col("rn") - 1).cast("int").alias("code"))
 
 
@@ -103,13 +101,13 @@ def fit_scaler(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def standardise(df: DataFrame, columns: Sequence[str], scaler: DataFrame) -> DataFrame:
-    return df.withColumns({c: (F.col(c) - scaler.select(f"{c}__mean").scalar())
-                           / scaler.select(f"{c}__sd").scalar() for c in columns})
+    scaled = {c: (F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__sd") for c in columns}
+    return with_row(df, scaler).withColumns(scaled).drop(*scaler.columns)
 
 
 def inverse_standardise(df: DataFrame, columns: Sequence[str], scaler: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c) * scaler.select(f"{c}__sd").scalar()
-                           + scaler.select(f"{c}__mean").scalar() for c in columns})
+    back = {c: F.col(c) * F.col(f"{c}__sd") + F.col(f"{c}__mean") for c in columns}
+    return with_row(df, scaler).withColumns(back).drop(*scaler.columns)
 
 
 # -------------------------------------------------------------------- tf-idf

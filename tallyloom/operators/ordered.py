@@ -104,6 +104,22 @@ def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*names.values())
 
 
+CELL = "__cell"
+
+
+def celled(df: DataFrame, keys: Sequence[str], order: str, **how) -> DataFrame:
+    """Rows with their (keys, slice) as one struct. Struct equality treats nulls
+    as equal, so windows and joins share the partitioning by this column and the
+    rows are shuffled once."""
+    return sliced(df, order, **how).withColumn(CELL, F.struct(*keys, SLICE)).drop(SLICE)
+
+
+def cell_window(keys: Sequence[str]) -> tuple:
+    """Window over the cells of a group, and the slice to order them by."""
+    fields = [F.col(CELL).getField(k) for k in keys]
+    return (W.partitionBy(*fields) if fields else W.partitionBy(F.lit(0))), F.col(CELL).getField(SLICE)
+
+
 def ranked(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), *,
            descending: bool = False, hashed: bool = False, rank: str = "rn",
            total: str | None = None, n: int | None = None) -> DataFrame:
@@ -113,52 +129,45 @@ def ranked(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] =
     sort ascending. Nulls come first ascending and last descending.
     """
     keys = list(keys)
-    rows = sliced(df, order, hashed=hashed, n=n, ties=ties, descending=descending)
-    cell = keys + [SLICE]
-    sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
-    by_slice = F.col(SLICE).desc() if descending else F.col(SLICE).asc()
-    w = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    before = w.orderBy(by_slice).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*cell, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+    rows = celled(df, keys, order, hashed=hashed, n=n, ties=ties, descending=descending)
+    sizes = rows.groupBy(CELL).agg(F.count(F.lit(1)).alias("__n"))
+    w, place = cell_window(keys)
+    before = w.orderBy(place.desc() if descending else place.asc()).rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(CELL, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
                            *([F.sum("__n").over(w).alias(total)] if total else []))
     first = F.col(order).desc() if descending else F.col(order).asc()
-    local = rows.withColumn("__local", F.row_number().over(
-        W.partitionBy(*cell).orderBy(first, *[F.col(t).asc() for t in ties])))
-    return (on_keys(local, offsets, cell)
-            .withColumn(rank, F.col("__before") + F.col("__local"))
-            .drop(SLICE, "__local", "__before"))
+    local = F.row_number().over(W.partitionBy(CELL).orderBy(first, *[F.col(t).asc() for t in ties]))
+    return (rows.withColumn("__local", local).join(offsets, CELL)
+            .withColumn(rank, F.col("__before") + F.col("__local")).drop(CELL, "__local", "__before"))
 
 
 def running_max(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
                 ties: Sequence[str] = (), n: int | None = None) -> DataFrame:
     """Largest `value` (a struct works too) up to and including each row."""
     keys = list(keys)
-    rows = sliced(df.withColumn("__v", value), order, n=n, ties=ties)
-    cell = keys + [SLICE]
-    tops = rows.groupBy(*cell).agg(F.max("__v").alias("__top"))
-    w = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(SLICE)
-    carried = tops.select(*cell, F.max("__top").over(
-        w.rowsBetween(W.unboundedPreceding, -1)).alias("__carried"))
-    local = W.partitionBy(*cell).orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
-    return (on_keys(rows.withColumn("__run", F.max("__v").over(local)), carried, cell)
+    rows = celled(df.withColumn("__v", value), keys, order, n=n, ties=ties)
+    tops = rows.groupBy(CELL).agg(F.max("__v").alias("__top"))
+    w, place = cell_window(keys)
+    carried = tops.select(CELL, F.max("__top").over(
+        w.orderBy(place).rowsBetween(W.unboundedPreceding, -1)).alias("__carried"))
+    local = W.partitionBy(CELL).orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
+    return (rows.withColumn("__run", F.max("__v").over(local)).join(carried, CELL)
             .withColumn(name, F.when(F.col("__carried").isNull() | (F.col("__run") > F.col("__carried")),
                                      F.col("__run")).otherwise(F.col("__carried")))
-            .drop("__v", "__run", "__carried", SLICE))
+            .drop("__v", "__run", "__carried", CELL))
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
               ties: Sequence[str] = (), *, ahead: bool = False, n: int | None = None) -> DataFrame:
     """`value` of the previous (or next, with `ahead`) row of the group."""
     keys = list(keys)
-    rows = sliced(df.withColumn("__v", F.struct(value.alias("v"))), order, n=n, ties=ties)
-    cell = keys + [SLICE]
-    place = F.struct(order, *ties)
-    edge = F.min_by("__v", place) if ahead else F.max_by("__v", place)
-    edges = rows.groupBy(*cell).agg(edge.alias("__edge"))
-    w = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy(SLICE)
+    rows = celled(df.withColumn("__v", F.struct(value.alias("v"))), keys, order, n=n, ties=ties)
+    at = F.struct(order, *ties)
+    edges = rows.groupBy(CELL).agg((F.min_by("__v", at) if ahead else F.max_by("__v", at)).alias("__edge"))
+    w, place = cell_window(keys)
     step = F.lead if ahead else F.lag
-    carried = edges.select(*cell, step("__edge").over(w).alias("__carried"))
-    local = step("__v").over(W.partitionBy(*cell).orderBy(order, *ties))
-    return (on_keys(rows.withColumn("__near", local), carried, cell)
+    carried = edges.select(CELL, step("__edge").over(w.orderBy(place)).alias("__carried"))
+    local = step("__v").over(W.partitionBy(CELL).orderBy(order, *ties))
+    return (rows.withColumn("__near", local).join(carried, CELL)
             .withColumn(name, F.coalesce("__near", "__carried").getField("v"))
-            .drop("__v", "__near", "__carried", SLICE))
+            .drop("__v", "__near", "__carried", CELL))

@@ -142,7 +142,7 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if not names:
         raise ValueError("no columns to profile")
     cells = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), as_text(df, c).alias("value"))
+        F.struct(F.lit(i).alias("pos"), short_value(as_text(df, c)).alias("value"))
         for i, c in enumerate(names)]))
     counted = (df.select(cells.alias("c")).select("c.pos", "c.value")
                .groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n")))
@@ -155,6 +155,11 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
                     "nulls", "uniques", "n_rows", F.col("pos").alias("position")))
 
 
+def short_value(value: Column) -> Column:
+    """Value, or its digest when long: texts are told apart without shuffling them."""
+    return F.when(F.length(value) > 40, F.sha1(F.encode(value, "UTF-8"))).otherwise(value)
+
+
 def as_text(df: DataFrame, column: str) -> Column:
     """Cell as text; floating NaN is a missing value, nested cells become JSON."""
     dtype = dict(df.dtypes)[column]
