@@ -141,8 +141,10 @@ def audit_summary(spark, sf):
 @query("E09_removal_plan", f"""
     WITH {RUNS_SQL},
     r AS (SELECT *, row_number() OVER (PARTITION BY dataset_id, algorithm ORDER BY acc DESC, coalesce(f1, 0) DESC, run_id) AS rn FROM runs)
-    SELECT run_id, CASE WHEN created < TIMESTAMP '1995-06-01' THEN 'archived' WHEN f1 IS NULL THEN 'pre_backfill' WHEN rn > 1 THEN 'duplicate' ELSE 'low_quality' END AS category
-    FROM r WHERE created < TIMESTAMP '1995-06-01' OR f1 IS NULL OR rn > 1 OR (CASE task WHEN 'classification' THEN acc - 0.42 < 0.5 WHEN 'regression' THEN f1 - 0.9 < 0 ELSE ind_acc - 0.4 < 0.3 END)
+    , p AS (SELECT run_id, CASE WHEN created < TIMESTAMP '1995-06-01' THEN 0 WHEN f1 IS NULL THEN 1 WHEN rn > 1 THEN 2
+      WHEN CASE task WHEN 'classification' THEN acc - 0.42 < 0.5 WHEN 'regression' THEN f1 - 0.9 < 0 ELSE ind_acc - 0.4 < 0.3 END THEN 3 END AS p FROM r)
+    SELECT run_id, CASE min(p) WHEN 0 THEN 'archived' WHEN 1 THEN 'pre_backfill' WHEN 2 THEN 'duplicate' ELSE 'low_quality' END AS category
+    FROM p WHERE p IS NOT NULL GROUP BY run_id
 """)
 def removal_plan(spark, sf):
     df = runs(spark, sf)
