@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import text as tx
 from tallyloom.functions import values as vl
 from tallyloom.operators import cluster, features as op, profile
-from tallyloom.plans.registry import query, r9, table
+from tallyloom.plans.registry import query, run_key, table
 from tallyloom.sources.readers import union_all
 
 
@@ -65,22 +65,22 @@ SCALED = ["l_quantity", "l_extendedprice", "unit"]
 
 
 @query("X06_standardise", """
-    WITH l AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS run_id, l_quantity, l_extendedprice FROM lineitem)
+    WITH l AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INTEGER) AS run_id, l_quantity, l_extendedprice FROM lineitem)
     SELECT run_id, round((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 8) AS l_quantity,
       round((l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER (), 8) AS l_extendedprice, 0.0::DOUBLE AS unit FROM l
 """)
 def standardise(spark, sf):
-    df = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("run_id"),
+    df = table(spark, sf, "lineitem").select(run_key().alias("run_id"),
                                              "l_quantity", "l_extendedprice", F.lit(3.0).alias("unit"))
     out = op.standardise(df, SCALED, op.fit_scaler(df, SCALED))
     return out.select("run_id", *[F.round(c, 8).alias(c) for c in SCALED])
 
 
 @query("X07_inverse_standardise", """
-    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS run_id, round(l_quantity, 6) AS l_quantity, round(l_extendedprice, 6) AS l_extendedprice FROM lineitem
+    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INTEGER) AS run_id, round(l_quantity, 6) AS l_quantity, round(l_extendedprice, 6) AS l_extendedprice FROM lineitem
 """)
 def inverse_standardise(spark, sf):
-    df = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("run_id"),
+    df = table(spark, sf, "lineitem").select(run_key().alias("run_id"),
                                              "l_quantity", "l_extendedprice")
     cols = SCALED[:2]
     scaler = op.fit_scaler(df, cols)
@@ -281,11 +281,11 @@ def cluster_density(spark, sf):
 
 
 @query("M17_score_linear", """
-    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS run_id, round(-1.5 + 0.04 * l_quantity + 12.0 * l_discount - 8.0 * l_tax, 8) AS margin,
+    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INTEGER) AS run_id, round(-1.5 + 0.04 * l_quantity + 12.0 * l_discount - 8.0 * l_tax, 8) AS margin,
       round(1 / (1 + exp(-(-1.5 + 0.04 * l_quantity + 12.0 * l_discount - 8.0 * l_tax))), 8) AS probability FROM lineitem
 """)
 def score_linear(spark, sf):
     z, p = op.score_linear(["l_quantity", "l_discount", "l_tax"], [0.04, 12.0, -8.0], -1.5)
     return table(spark, sf, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("run_id"),
+        run_key().alias("run_id"),
         F.round(z, 8).alias("margin"), F.round(p, 8).alias("probability"))

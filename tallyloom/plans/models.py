@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
 from tallyloom.operators import features, learn as op, sampling, stats
-from tallyloom.plans.registry import query, table
+from tallyloom.plans.registry import query, run_key, table
 from tallyloom.session import cut_lineage, scratch_path
 from tallyloom.sources import writers
 from tallyloom.sources.readers import union_all
@@ -41,7 +41,7 @@ def train_classifier(spark, sf):
 @query("M02_train_regressor")
 def train_regressor(spark, sf):
     li = table(spark, sf, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_key"),
+        run_key().alias("row_key"),
         "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice")
     train, test = halves(sampling.random_split(li, "row_key", 0.2))
     # one fitted preparation feeds all four learners

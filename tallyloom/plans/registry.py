@@ -61,7 +61,7 @@ def sql_round(expr: str, decimals: int) -> str:
 
 RUNS_SQL = """
     runs AS (
-      SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS run_id,
+      SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INTEGER) AS run_id,
              l_partkey AS dataset_id,
              l_returnflag || l_linestatus AS algorithm,
              CASE WHEN l_linestatus = 'F' THEN 'trained' ELSE 'draft' END AS status,
@@ -78,11 +78,16 @@ RUNS_SQL = """
 """
 
 
+def run_key() -> Column:
+    """Identity of a `lineitem` row: the four keys alone repeat now and then."""
+    return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"))
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model runs with metrics, derived from `lineitem` (same as RUNS_SQL)."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("run_id"),
+        run_key().alias("run_id"),
         F.col("l_partkey").alias("dataset_id"),
         F.concat("l_returnflag", "l_linestatus").alias("algorithm"),
         F.when(F.col("l_linestatus") == "F", "trained").otherwise("draft").alias("status"),

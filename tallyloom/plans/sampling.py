@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.operators import augment, sampling as op
-from tallyloom.plans.registry import query, table
+from tallyloom.plans.registry import query, run_key, table
 
 H = "md5(doc_id || '|42')"
 QUOTA = """
@@ -60,12 +60,12 @@ def stratified_kfold(spark, sf):
 
 
 @query("P06_row_cap_sample", """
-    WITH r AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS run_id, l_quantity FROM lineitem)
+    WITH r AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INTEGER) AS run_id, l_quantity FROM lineitem)
     SELECT run_id, l_quantity FROM r ORDER BY md5(run_id || '|42'), run_id LIMIT 3000
 """)
 def row_cap_sample(spark, sf):
     li = table(spark, sf, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("run_id"), "l_quantity")
+        run_key().alias("run_id"), "l_quantity")
     return op.row_cap_sample(li, "run_id", 3000)
 
 
@@ -103,7 +103,7 @@ def bootstrap(spark, sf):
 @query("P11_synth_classification")
 def synth_classification(spark, sf):
     li = table(spark, sf, "lineitem").withColumn(
-        "run_id", F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+        "run_id", run_key())
     per = max(1, li.count() // 3)
     return op.synth_classification(li, "run_id", "l_returnflag", ["l_quantity", "l_extendedprice", "l_discount"],
                                    ["l_linestatus"], per)
