@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.llm import prefix_join
+from tallyloom.llm import line_frequency, prefix_join, substring_dedup
 from tallyloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,6 +12,57 @@ __all__ = ["ORACLES", "QUERIES"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+@query("op1_substring_dedup", sql=r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    win AS (
+      SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 19)) AS i FROM d WHERE len(ws) >= 20)),
+    later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM later),
+    lists AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id),
+    left_words AS (
+      SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS kept
+      FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN lists USING (doc_id) LEFT JOIN left_words USING (doc_id)
+""")
+def op1_substring_dedup(spark, sf_dir):
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), id="doc_id", text="text", window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op5_line_frequency", sql=rf"""
+    WITH d AS (
+      SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    l AS (
+      SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+    lw AS (
+      SELECT doc_id, source, text, line,
+             regexp_extract_all(translate(line, '{UPPER}0123456789', '{LOWER}0000000000'), '[^\x20\x09-\x0D]+') AS lws FROM l),
+    kl AS (SELECT doc_id, source, text, line, len(lws) AS nw, array_to_string(lws, ' ') AS norm FROM lw WHERE len(lws) > 0),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup FROM kl GROUP BY doc_id),
+    common AS (SELECT norm, source FROM kl GROUP BY norm, source HAVING count(DISTINCT text) > 50),
+    gone AS (SELECT doc_id, sum(nw) AS gone FROM kl JOIN common ON kl.norm = common.norm AND kl.source IS NOT DISTINCT FROM common.source GROUP BY doc_id),
+    win AS (
+      SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM d WHERE len(ws) >= 3)),
+    again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+    rep AS (SELECT doc_id, count(DISTINCT p) AS n_rep FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id),
+    f AS (
+      SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+             coalesce(n_rep, 0) AS n_repeat_words, len(ws) - coalesce(gone, 0) AS words_left
+      FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id)),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words_left, base_failed,
+           NOT base_failed AND words_left >= 0.3::DOUBLE * n_words AS kept
+    FROM b
+""")
+def op5_line_frequency(spark, sf_dir):
+    return line_frequency.line_rules(table(spark, sf_dir, "documents"), id="doc_id", text="text",
+                                     host="source", max_docs=50, min_left=0.3).drop("removed_lines")
+
+
 @query("op10_prefix_join", sql=rf"""
     WITH w AS (
       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
