@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyloom.llm import line_frequency, prefix_join, substring_dedup
+from tallyloom.llm import (
+    bitplanes,
+    language_spans,
+    length_buckets,
+    line_frequency,
+    lsh_forest,
+    ordinal_quality,
+    prefix_join,
+    secret_forest,
+    substring_dedup,
+    suffix_tree_lm,
+)
 from tallyloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -31,6 +43,30 @@ def op1_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op2_ordinal_quality")
+def op2_ordinal_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    graded = ordinal_quality.three_grades(table(spark, sf_dir, "labels"), quality="quality", toxic="toxic")
+    model = ordinal_quality.fit(docs, graded, id="doc_id", text="text", grade="grade")
+    found = ordinal_quality.grade_documents(docs, model, text="text", select=2)
+    return found.select("doc_id", F.col("quality_grade").alias("expected_grade"),
+                        F.col("quality_tail").alias("tail_probability"), F.col("quality_kept").alias("kept"))
+
+
+@query("op3_suffix_tree_lm")
+def op3_suffix_tree_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", suffix_tree_lm.held_out(docs.doc_id, 7, 2))
+    tree = suffix_tree_lm.fit(docs.where("NOT held_out"), text="text")
+    return suffix_tree_lm.score(docs, tree, text="text", keep=["doc_id", "held_out"])
+
+
+@query("op4_length_buckets")
+def op4_length_buckets(spark, sf_dir):
+    return length_buckets.pack(table(spark, sf_dir, "documents"), id="doc_id", text="text",
+                               tokens_per_batch=1 << 16, buckets=16)
+
+
 @query("op5_line_frequency", sql=rf"""
     WITH d AS (
       SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -63,6 +99,54 @@ def op5_line_frequency(spark, sf_dir):
                                      host="source", max_docs=50, min_left=0.3).drop("removed_lines")
 
 
+@query("op6_lsh_forest", sql=rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(4, len(ws)) - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - least(4, len(ws)) + 1)) AS i FROM d WHERE len(ws) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    reach AS (SELECT a AS doc_id, a AS low FROM link UNION SELECT link.b, reach.low FROM reach JOIN link ON link.a = reach.doc_id),
+    comp AS (SELECT doc_id, min(low) AS low FROM reach GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.low, d.doc_id) AS component_id,
+           d.doc_id = coalesce(comp.low, d.doc_id) AS kept
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+""")
+def op6_lsh_forest(spark, sf_dir):
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), id="doc_id", text="text", shingle=4,
+                                      similarity=0.8)
+
+
+@query("op7_bitplanes")
+def op7_bitplanes(spark, sf_dir):
+    files = bitplanes.write_tokens(table(spark, sf_dir, "documents"), id="doc_id", text="text",
+                                   tokenizer=public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    read = bitplanes.read_tokens(files, id="doc_id")
+    return read.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op8_language_spans")
+def op8_language_spans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", suffix_tree_lm.held_out(docs.doc_id, 4, 2))
+    model = language_spans.fit(docs.where("NOT held_out"), text="text", lang="lang")
+    tagged = language_spans.label_spans(docs.select("doc_id", "held_out", "text"), model, text="text")
+    return tagged.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query("op9_secret_forest")
+def op9_secret_forest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = secret_forest.learn_lexicon(docs, text="text")
+    forest = secret_forest.fit(secret_forest.find(docs, lexicon, text="text"))
+    found = secret_forest.scan_secrets(docs, lexicon, forest, text="text")
+    return found.select("doc_id", F.col("secret_candidates").alias("n_candidates"),
+                        F.size("secret_spans").cast("long").alias("n_secrets"), F.col("secret_spans").alias("spans"),
+                        F.sha2("text", 256).alias("redacted_sha256"))
+
+
 @query("op10_prefix_join", sql=rf"""
     WITH w AS (
       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
