@@ -7,7 +7,8 @@ cut the score: P(grade <= k) = sigmoid(threshold_k - w x). The expected grade an
 probability P(grade >= g) follow, and texts are selected by the latter.
 
 The model is fitted on a bounded sample of the labelled rows, `max_rows` (default 20 000) by hash
-order of their id; features seen in fewer than `least_docs` sample texts have no weight.
+order of their id. Only features whose presence depends on the grade get a weight: those whose
+likelihood-ratio statistic over the sample is at least `least_gain`.
 Every document is scored, over its whole text.
 
 Defined results: rows without a grade or text are not learnt from; texts without words and null texts
@@ -67,15 +68,27 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, buckets: int, least_docs: int,
+def dependence(bucket: np.ndarray, grade_of: np.ndarray, per_grade: np.ndarray, buckets: int) -> np.ndarray:
+    """Likelihood-ratio statistic of each feature's presence against the grades."""
+    k, n = len(per_grade), per_grade.sum()
+    seen = np.bincount(bucket * k + grade_of, minlength=buckets * k).reshape(buckets, k).astype(float)
+    total = seen.sum(1, keepdims=True)
+    out = np.zeros(buckets)
+    for found, share in ((seen, total / n), (per_grade - seen, 1 - total / n)):
+        expected = share * per_grade
+        out += 2 * (found * np.log(np.maximum(found, 1e-12) / np.maximum(expected, 1e-12))).sum(1)
+    return out
+
+
+def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, buckets: int, least_gain: float,
                steps: int, rate: float, shrink: float) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds for grades 0..k-1, by adaptive gradient steps over all rows."""
     n = len(grade)
+    k = int(grade.max()) + 1
     row = np.repeat(np.arange(n), np.diff(bounds))
-    good = np.bincount(bucket, minlength=buckets)[bucket] >= least_docs
+    good = (dependence(bucket, grade[row], np.bincount(grade, minlength=k), buckets) >= least_gain)[bucket]
     used, place = np.unique(bucket[good], return_inverse=True)
     row = row[good]
-    k = int(grade.max()) + 1
     w = np.zeros(len(used))
     share = np.clip(np.cumsum(np.bincount(grade, minlength=k))[:-1] / n, 1e-4, 1 - 1e-4)
     cuts = np.log(share / (1 - share))
@@ -107,7 +120,7 @@ def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, bucket
 
 
 def fit(docs: DataFrame, graded: DataFrame, *, id: str, text: str, grade: str, max_rows: int = 20_000,
-        buckets: int = 1 << 18, least_docs: int = 5, steps: int = 150, rate: float = 0.1, shrink: float = 1e-4) -> Model:
+        buckets: int = 1 << 18, least_gain: float = 16.0, steps: int = 300, rate: float = 0.1, shrink: float = 1e-4) -> Model:
     """Fit on at most `max_rows` rows of `graded` (id, whole-number grade) with a text in `docs`."""
     sample = graded.where(F.col(id).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(id).alias("_id")).agg(
         F.min(F.col(grade).cast("int")).alias("_grade")).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
@@ -132,7 +145,7 @@ def fit(docs: DataFrame, graded: DataFrame, *, id: str, text: str, grade: str, m
     flat = lists.flatten().to_numpy().astype(np.int64)
     bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
     order = {g: i for i, g in enumerate(names)}
-    weights, cuts = fit_arrays(flat, bounds, np.array([order[g] for g in grade_of.tolist()]), buckets, least_docs,
+    weights, cuts = fit_arrays(flat, bounds, np.array([order[g] for g in grade_of.tolist()]), buckets, least_gain,
                                steps, rate, shrink)
     return Model(weights, cuts, names)
 
