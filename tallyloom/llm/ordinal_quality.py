@@ -1,8 +1,8 @@
 """Quality grades by ordinal cumulative-link regression on hashed text.
 
 A text's features are present or absent: its letter words (A-Z folded), the last three bytes
-of its blank-separated tokens, and whether tokens are written in capitals or in symbols, all
-hashed to `buckets` places. One weight vector w is shared by all grades; ordered thresholds
+of its blank-separated tokens, and the share, in tenths, of tokens in capitals, of tokens that are mostly
+signs, and of tokens equal to the one before; all are hashed to `buckets` places. One weight vector w is shared by all grades; ordered thresholds
 cut the score: P(grade <= k) = sigmoid(threshold_k - w x). The expected grade and the tail
 probability P(grade >= g) follow, and texts are selected by the latter.
 
@@ -31,7 +31,7 @@ from tallyloom.llm import words as tw
 
 LETTERS = np.ones(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = False
-KINDS = np.array([2, 3, 5, 7], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+KINDS = np.array([2, 3, 5, 7, 11], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -53,12 +53,18 @@ def features(piece: tw.Texts, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     caps = (upper[tokens.end] - upper[tokens.start]) > 1
     caps &= (upper[tokens.end] - upper[tokens.start]) == (letter[tokens.end] - letter[tokens.start])
     symbols = (letter[tokens.end] - letter[tokens.start]) * 2 < size
+    whole = tw.hash_spans(data, tokens.start, tokens.end)
+    again = np.zeros(len(whole), bool)
+    again[1:] = (whole[1:] == whole[:-1]) & (tokens.row[1:] == tokens.row[:-1])
+    n = tokens.counts()
+    some = np.flatnonzero(n)
     parts = [
         (tw.hash_spans(data, words.start, words.end, tw.LOWER) ^ KINDS[0], words.row),
         (tw.hash_spans(data, np.maximum(tokens.start, tokens.end - 3), tokens.end) ^ KINDS[1], tokens.row),
-        (np.full(int(caps.sum()), KINDS[2]), tokens.row[caps]),
-        (np.full(int(symbols.sum()), KINDS[3]), tokens.row[symbols]),
     ]
+    for kind, flags in zip(KINDS[2:], (caps, symbols, again)):
+        tenths = -(-10 * np.bincount(tokens.row[flags], minlength=len(piece))[some] // n[some])
+        parts.append((tenths.astype(np.uint64) + kind, some))
     bucket = np.concatenate([tw.mix(h) % np.uint64(buckets) for h, _ in parts]).astype(np.int64)
     key = np.unique(np.concatenate([r for _, r in parts]) * buckets + bucket)
     return key % buckets, np.searchsorted(key // buckets, np.arange(len(piece) + 1))
@@ -120,7 +126,7 @@ def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, bucket
 
 
 def fit(docs: DataFrame, graded: DataFrame, *, id: str, text: str, grade: str, max_rows: int = 20_000,
-        buckets: int = 1 << 18, least_gain: float = 16.0, steps: int = 300, rate: float = 0.1, shrink: float = 1e-4) -> Model:
+        buckets: int = 1 << 18, least_gain: float = 60.0, steps: int = 300, rate: float = 0.1, shrink: float = 2e-3) -> Model:
     """Fit on at most `max_rows` rows of `graded` (id, whole-number grade) with a text in `docs`."""
     sample = graded.where(F.col(id).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(id).alias("_id")).agg(
         F.min(F.col(grade).cast("int")).alias("_grade")).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
