@@ -70,10 +70,12 @@ def _facts(piece: tw.Texts) -> list:
     symbols = per_row(SYMBOLS[data], piece.bounds)
     h = tw.hash_spans(data, parts.start, parts.end)
     at, rows = tw.windows(parts, 3)
-    mark = np.zeros(len(h) + 2, bool)
-    mark[at] = repeated(_row_keys(tw.hash_runs(h, at, at + 3), rows))
-    mark[2:] |= mark[1:-1] | mark[:-2]
-    repeats = per_row(mark[:len(h)], parts.bounds)
+    begins = np.zeros(len(h), bool)
+    begins[at] = repeated(_row_keys(tw.hash_runs(h, at, at + 3), rows))
+    mark = begins.copy()
+    mark[1:] |= begins[:-1]
+    mark[2:] |= begins[:-2]
+    repeats = per_row(mark, parts.bounds)
     lines = tw.split(piece, NEWLINES)
     low, high = np.searchsorted(parts.start, lines.start), np.searchsorted(parts.start, lines.end)
     worded = np.flatnonzero(high > low)
