@@ -226,6 +226,8 @@ def _across(percent: int, shingle: int):
     """Links from asked texts of a cluster to the members of one block in other classes."""
 
     def link(members: pa.Table, asked: pa.Table) -> pa.Table:
+        if not members.num_rows or not asked.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         block = _Sets(members.column("doc").to_pylist(), members.column("packed").to_pylist(), shingle)
         root = members.column("root").to_numpy()
         queries = _Sets(asked.column("doc").to_pylist(), asked.column("packed").to_pylist(), shingle)
@@ -295,7 +297,8 @@ def near_duplicates(docs: DataFrame, *, id: str, text: str, shingle: int = 5, si
             largest = split.groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(
                 F.max_by("root", F.struct("n", -F.col("root"))).alias("largest"))
             asked = split.join(largest, "cluster").where("root <> largest").drop("largest")
-        asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("long"))
+        asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - F.lit(1).cast("long"))))
+        asked = cut_lineage(asked, "asked")
         more = split.groupBy("cluster", "block").cogroup(asked.groupBy("cluster", "block")).applyInArrow(
             _across(percent, shingle), pair)
         links = links.unionByName(cut_lineage(more, "links"))
