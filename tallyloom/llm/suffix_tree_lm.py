@@ -237,7 +237,7 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
                 ends = np.searchsorted(rare, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(piece.first, n) for c in batch.columns[:-1]), pa.array(np.diff(bounds)),
-                     pa.array(known.astype(np.int64)), pa.array(base), pa.array(gain),
+                     pa.array(known.astype(np.int64)), pa.array(base.astype(float)), pa.array(gain.astype(float)),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tw.signed(h[rare]))], names)
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
