@@ -5,8 +5,10 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
@@ -16,26 +18,14 @@ from pyspark.ml.evaluation import (ClusteringEvaluator, Evaluator,
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators import ordered, sampling, stats
-from tallyloom.operators.inference import topk_classes
 from tallyloom.session import cut_lineage
 from tallyloom.sources.readers import union_all
 
-# Regularising defaults; explicit parameters win over them.
-DEFAULTS = {
-    "decision_tree": {"maxDepth": 10, "minInstancesPerNode": 5},
-    "random_forest": {"maxDepth": 15, "minInstancesPerNode": 5},
-    "random_forest_regressor": {"maxDepth": 15, "minInstancesPerNode": 5},
-    "gradient_boosting": {"maxDepth": 5, "minInstancesPerNode": 10},
-    "gradient_boosting_regressor": {"maxDepth": 5, "minInstancesPerNode": 10},
-    "svm": {"regParam": 2.0},
-    "logistic_regression": {"maxIter": 2000},
-    "ridge": {"regParam": 1.0, "elasticNetParam": 0.0},
-}
 CLASSIFIERS: dict[str, Callable[..., Estimator]] = {
     "random_forest": RandomForestClassifier, "logistic_regression": LogisticRegression,
     "gradient_boosting": GBTClassifier, "decision_tree": DecisionTreeClassifier, "svm": LinearSVC,
@@ -49,31 +39,13 @@ CLUSTERERS: dict[str, Callable[..., Estimator]] = {
 }
 BINARY_ONLY = ("gradient_boosting", "svm")
 
-# Value lists a search draws from, in MLlib's parameter names.
-SEARCH_SPACES: dict[str, dict[str, list]] = {
-    "random_forest": {"numTrees": [50, 100, 200, 300], "maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 2, 4],
-                      "featureSubsetStrategy": ["sqrt", "log2", "all"]},
-    "gradient_boosting": {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.05, 0.1, 0.2], "maxDepth": [3, 5, 7],
-                          "subsamplingRate": [0.7, 0.8, 1.0]},
-    "logistic_regression": {"regParam": [0.01, 0.1, 0.5, 1.0, 10.0], "elasticNetParam": [0.0, 1.0]},
-    "svm": {"regParam": [0.01, 0.1, 1.0, 10.0]},
-    "decision_tree": {"maxDepth": [5, 10, 15, 20, 30], "minInstancesPerNode": [1, 2, 4, 8], "impurity": ["gini", "entropy"]},
-    "linear_regression": {"fitIntercept": [True, False]},
-    "ridge": {"regParam": [0.01, 0.1, 0.5, 1.0, 10.0, 100.0], "fitIntercept": [True, False]},
-    "random_forest_regressor": {"numTrees": [50, 100, 200, 300], "maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 2, 4]},
-    "gradient_boosting_regressor": {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.05, 0.1], "maxDepth": [3, 5, 7],
-                                    "subsamplingRate": [0.7, 0.8, 1.0]},
-    "kmeans": {"k": [2, 3, 4, 5, 7, 10, 15], "initMode": ["k-means||", "random"], "maxIter": [100, 300, 500]},
-}
-
-
 def make(name: str, classes: int = 2, seed: int = 42, **params) -> Estimator:
-    """Estimator by name with defaults; binary-only learners are wrapped for
-    more classes. A caller registers more by adding to the tables above."""
+    """Estimator by name; what is not given keeps MLlib's default, and binary-only
+    learners are wrapped for more classes. A caller registers more by adding to the tables above."""
     table = {**CLASSIFIERS, **REGRESSORS, **CLUSTERERS}
     if name not in table:
         raise ValueError(f"unsupported algorithm {name!r}; known: {sorted(table)}")
-    settings = {**DEFAULTS.get(name, {}), **{k: v for k, v in params.items() if v is not None}}
+    settings = {k: v for k, v in params.items() if v is not None}
     est = table[name]()
     if est.hasParam("seed"):
         settings.setdefault("seed", seed)
@@ -91,10 +63,10 @@ def as_vectors(df: DataFrame, vec: str, out: str = "features") -> DataFrame:
 
 
 def weighted(df: DataFrame, label: str, alias: str = "weight") -> DataFrame:
-    """Balanced class weights n/(k·count) joined on the class (a small table)."""
+    """Balanced class weights n/(k·count) joined on the class; every row keeps its weight."""
     w = stats.inverse_frequency_weights(df, label, threshold=0.0).select(
         F.col(label).alias("__l"), F.col("weight").alias(alias))
-    return df.join(F.broadcast(w.limit(stats.MAX_CLASSES)), F.col(label) == F.col("__l"), "left").drop("__l")
+    return df.join(w, F.col(label).eqNullSafe(F.col("__l")), "left").drop("__l")
 
 
 def tabular_pipeline(numeric: Sequence[str], categorical: Sequence[str], model: Estimator | None = None) -> Pipeline:
@@ -161,12 +133,13 @@ def random_draws(space: Mapping[str, Sequence], n: int, seed: int = 42) -> list[
 
 
 def search(df: DataFrame, key: str, label: str, algorithm: str, candidates: Sequence[dict], task: str = "classification",
-           folds: int = 0, seed: int = 42, keep: int = 20, classes: int = 2) -> DataFrame:
+           folds: int = 5, seed: int = 42, classes: int = 2, parallelism: int = 2) -> DataFrame:
     """Fit every candidate on every stratified fold and rank the mean scores.
 
-    Rows: algorithm, params, mean, deviation, folds, rank, error. A failing
-    candidate is reported with its error instead of stopping the search. The
-    folds are written once; each fit is an ordinary distributed MLlib job.
+    Rows: algorithm, params, mean, deviation, folds, rank, error, one for every
+    candidate. A failing candidate is reported with its error instead of stopping
+    the search. The folds are written once; candidates are fitted side by side,
+    each fit an ordinary distributed MLlib job.
     """
     split_on = label if task == "classification" else "__one"
     base = df.withColumn("__one", F.lit(1))
@@ -174,8 +147,8 @@ def search(df: DataFrame, key: str, label: str, algorithm: str, candidates: Sequ
         "features", F.col(label).cast("double").alias("label"), "fold"), "folds")
     k = with_folds.agg(F.max("fold")).first()[0] + 1
     judge = scorer(task)
-    results = []
-    for params in candidates:
+
+    def judged(params: dict) -> tuple:
         scores, error = [], None
         try:
             for f in range(k):
@@ -184,39 +157,44 @@ def search(df: DataFrame, key: str, label: str, algorithm: str, candidates: Sequ
         except Exception as exc:  # one bad candidate must not end the search
             error = f"{type(exc).__name__}: {str(exc)[:200]}"
         good = scores and not error
-        results.append((algorithm, str(sorted(params.items())), float(np.mean(scores)) if good else None,
-                        float(np.std(scores)) if good else None, len(scores), error))
+        return (algorithm, str(sorted(params.items())), float(np.mean(scores)) if good else None,
+                float(np.std(scores)) if good else None, len(scores), error)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        results = list(pool.map(inheritable_thread_target(df.sparkSession)(judged), candidates))
     found = df.sparkSession.createDataFrame(
         results, "algorithm STRING, params STRING, mean_score DOUBLE, std_score DOUBLE, folds INT, error STRING")
-    top = found.orderBy(F.desc_nulls_last("mean_score"), "params").limit(keep)
-    return top.withColumn("rank", F.rank().over(W.orderBy(F.desc_nulls_last("mean_score"))))
+    return found.withColumn("rank", F.rank().over(W.orderBy(F.desc_nulls_last("mean_score"))))
 
 
-def auto_select(df: DataFrame, key: str, label: str, algorithms: Sequence[str], draws: int = 15, task: str = "classification",
-                seed: int = 42, spaces: Mapping[str, Mapping[str, Sequence]] = SEARCH_SPACES, classes: int = 2,
-                folds: int = 0) -> DataFrame:
+def auto_select(df: DataFrame, key: str, label: str, algorithms: Sequence[str], spaces: Mapping[str, Mapping[str, Sequence]],
+                draws: int = 15, task: str = "classification", seed: int = 42, classes: int = 2, folds: int = 5) -> DataFrame:
     """Quick random search per algorithm; the best of each, best first."""
     boards = [search(df, key, label, a, random_draws(spaces[a], draws, seed), task, folds, seed, classes=classes)
               .orderBy("rank", "params").limit(1).drop("rank") for a in algorithms]
     return union_all(boards).withColumn("rank", F.rank().over(W.orderBy(F.desc_nulls_last("mean_score"))))
 
 
-def cluster_search(df: DataFrame, key: str, candidates: Sequence[dict], algorithm: str = "kmeans", sample: int = 3000,
-                   seed: int = 42) -> DataFrame:
-    """Fit each candidate on all rows; score the silhouette on a bounded sample,
-    which is how the search itself is defined."""
+def cluster_search(df: DataFrame, candidates: Sequence[dict], algorithm: str = "kmeans", seed: int = 42) -> DataFrame:
+    """Fit each candidate and score its silhouette, both on all rows: the
+    evaluator's squared-distance silhouette is linear in the rows."""
     judge = ClusteringEvaluator()
     out = []
     for params in candidates:
         scored = make(algorithm, seed=seed, **params).fit(df).transform(df)
-        part = sampling.row_cap_sample(scored.select(key, "features", "prediction"), key, sample, seed)
-        out.append((str(sorted(params.items())), float(judge.evaluate(part))))
+        out.append((str(sorted(params.items())), float(judge.evaluate(scored.select("features", "prediction")))))
     return df.sparkSession.createDataFrame(out, "params STRING, silhouette DOUBLE") \
         .withColumn("rank", F.rank().over(W.orderBy(F.desc("silhouette"))))
 
 
 # ----------------------------------------------------------------- inference
 
+def topk_classes(probabilities: Column, k: int = 3) -> Column:
+    """The k most probable (class, probability) structs, lower class on ties."""
+    pairs = F.transform(probabilities, lambda p, i: F.struct((-p).alias("m"), i.alias("class"), p.alias("probability")))
+    return F.slice(F.array_sort(pairs), 1, k)
+
+
 def with_probabilities(scored: DataFrame, out: str = "probs") -> DataFrame:
     """Probability vector as an array; margin-only models give none."""
     if "probability" in scored.columns:
@@ -258,14 +236,14 @@ def train_mlp(df: DataFrame, hidden: Sequence[int], n_features: int, classes: in
     return MultilayerPerceptronClassifier(layers=[n_features, *hidden, classes], maxIter=max_iter, seed=seed).fit(df)
 
 
-def tfidf_vectors(key: str, vocabulary: DataFrame, weights: DataFrame, size: int) -> DataFrame:
-    """(key, features): sparse rows over the vocabulary, columns alphabetical.
-    A row holds at most `size` entries, the vocabulary cap."""
+def tfidf_vectors(key: str, vocabulary: DataFrame, weights: DataFrame) -> DataFrame:
+    """(key, features): sparse rows over the vocabulary, columns alphabetical."""
     from pyspark.ml.linalg import SparseVector, VectorUDT
 
     codes = ordered.ranked(vocabulary.select("term", F.xxhash64("term").alias("__h")), [], "__h", ["term"], rank="code") \
         .select("term", (F.col("code") - 1).cast("int").alias("code"))
     pairs = weights.join(codes, "term").groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("code", "weight"))).alias("p"))
-    pack = F.udf(lambda p: SparseVector(size, [(r["code"], r["weight"]) for r in p]), VectorUDT())
+    size = vocabulary.count()
+    pack = F.udf(lambda p: SparseVector(size, [(r["code"], r["weight"]) for r in p]), VectorUDT(), useArrow=True)
     return pairs.select(key, pack("p").alias("features"))

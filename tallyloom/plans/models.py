@@ -28,10 +28,11 @@ def halves(df):
 @query("M01_train_classifier")
 def train_classifier(spark, sf):
     out = []
+    cuts = {k: halves(vectors(spark, sf, k)) for k in (2, 10)}
     for name, classes, params in (("random_forest", 10, {"numTrees": 10, "maxDepth": 6}), ("logistic_regression", 10, {"maxIter": 30}),
                                   ("decision_tree", 10, {"maxDepth": 5}), ("gradient_boosting", 2, {"maxIter": 5, "maxDepth": 3}),
                                   ("svm", 2, {"maxIter": 20, "regParam": 0.1})):
-        train, test = halves(vectors(spark, sf, classes))
+        train, test = cuts[classes]
         model = op.make(name, classes, **params).fit(train)
         out.append(model.transform(test).select(F.lit(name).alias("algorithm"), "vec_id", F.col("label").cast("string").alias("actual"),
                                                 F.col("prediction").cast("int").cast("string").alias("predicted")))
@@ -80,11 +81,9 @@ def text_features(spark, sf):
     docs = cut_lineage(sampling.stratified_split(docs, "doc_id", "label", 0.25), "split")
     train, _ = halves(docs)
     tokens = tx.mixed_tokens(F.col("text"))
-    n = train.count()
-    size = features.vocabulary_cap(2000, n)
-    vocabulary = cut_lineage(features.fit_tfidf(features.term_counts(train, "doc_id", tokens), n, size), "vocabulary")
+    vocabulary = cut_lineage(features.fit_tfidf(features.term_counts(train, "doc_id", tokens), train.count()), "vocabulary")
     weights = features.apply_tfidf(features.term_counts(docs, "doc_id", tokens), "doc_id", vocabulary)
-    rows = op.tfidf_vectors("doc_id", vocabulary, weights, size)
+    rows = op.tfidf_vectors("doc_id", vocabulary, weights)
     return cut_lineage(docs.select("doc_id", "label", "split").join(rows, "doc_id"), "features")
 
 
@@ -119,12 +118,12 @@ def random_search(spark, sf):
 def auto_select(spark, sf):
     spaces = {"logistic_regression": {"regParam": [0.01, 0.1], "maxIter": [10]}, "decision_tree": {"maxDepth": [3, 5]},
               "svm": {"regParam": [-1.0]}}
-    return op.auto_select(vectors(spark, sf, 2), "vec_id", "label", list(spaces), draws=1, spaces=spaces, folds=2)
+    return op.auto_select(vectors(spark, sf, 2), "vec_id", "label", list(spaces), spaces, draws=1, folds=2)
 
 
 @query("M14_cluster_search")
 def cluster_search(spark, sf):
-    return op.cluster_search(vectors(spark, sf), "vec_id", op.grid({"k": [5, 10], "maxIter": [20]}))
+    return op.cluster_search(vectors(spark, sf), op.grid({"k": [5, 10], "maxIter": [20]}))
 
 
 def scored_vectors(spark, sf):
@@ -176,11 +175,9 @@ def smoke_predictions(spark, sf):
         F.col("doc_id").alias("id"), "text", F.col("quality").alias("label"))
     probes = table(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("id"), "text", F.lit(1).alias("label"))
     tokens = tx.mixed_tokens(F.col("text"))
-    n = docs.count()
-    size = features.vocabulary_cap(2000, n)
-    vocabulary = features.fit_tfidf(features.term_counts(docs, "id", tokens), n, size)
+    vocabulary = cut_lineage(features.fit_tfidf(features.term_counts(docs, "id", tokens), docs.count()), "vocabulary")
     both = docs.unionByName(probes)
-    rows = op.tfidf_vectors("id", vocabulary, features.apply_tfidf(features.term_counts(both, "id", tokens), "id", vocabulary), size)
+    rows = op.tfidf_vectors("id", vocabulary, features.apply_tfidf(features.term_counts(both, "id", tokens), "id", vocabulary))
     data = cut_lineage(both.select("id", "label").join(rows, "id"), "features")
     model = op.make("logistic_regression", maxIter=20, regParam=0.01).fit(data.filter("id >= 0"))
     shown = model.transform(data.filter("id < 0")).select((-1 - F.col("id")).alias("item_id"), "label", "prediction")

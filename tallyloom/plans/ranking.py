@@ -192,7 +192,7 @@ def sort_nulls_last(spark, sf):
     SELECT vec_id, place, class, round(p, 6) AS probability FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, class) AS place FROM v) WHERE place <= 3
 """)
 def topk_classes(spark, sf):
-    from tallyloom.operators.inference import topk_classes as topk
+    from tallyloom.operators.learn import topk_classes as topk
 
     df = table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double")).alias("p"))
     return (df.select("vec_id", F.posexplode(topk(F.col("p"), 3)).alias("place", "t"))

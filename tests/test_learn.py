@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import advisors, inference, learn
+from tallyloom.operators import advisors, learn
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +29,8 @@ def test_unknown_names_are_errors(spark):
         learn.make("ridge", colour="red")
 
 
-def test_defaults_yield_to_explicit_values(spark):
-    assert learn.make("random_forest").getMaxDepth() == 15
+def test_settings_are_the_callers(spark):
+    assert learn.make("random_forest").getMaxDepth() == 5
     assert learn.make("random_forest", maxDepth=3).getMaxDepth() == 3
 
 
@@ -60,7 +60,7 @@ def test_importance_order(data, spark):
 
 
 def test_topk_ties_prefer_the_lower_class(spark):
-    got = spark.createDataFrame([([0.2, 0.4, 0.4, 0.0],)], "p array<double>").select(inference.topk_classes(F.col("p"), 3)).first()[0]
+    got = spark.createDataFrame([([0.2, 0.4, 0.4, 0.0],)], "p array<double>").select(learn.topk_classes(F.col("p"), 3)).first()[0]
     assert [r["class"] for r in got] == [1, 2, 0]
 
 
@@ -79,3 +79,13 @@ def test_overfit_falls_back_to_cross_validation(spark):
     c = F.col
     got = [r[0] for r in df.select(advisors.overfit_severity(F.lit("classification"), c("train"), c("test"), c("sep"), c("cv"))).collect()]
     assert got == ["medium", "none", "critical", "critical"]
+
+
+def test_every_class_has_a_weight(spark):
+    rows = spark.range(12000).select((F.col("id") % 6000).cast("string").alias("y"))
+    assert learn.weighted(rows, "y").filter("weight IS NULL").count() == 0
+
+
+def test_search_returns_every_candidate(spark, data):
+    board = learn.search(data, "id", "label", "decision_tree", [{"maxDepth": 1, "minInstancesPerNode": i + 1} for i in range(22)], folds=2)
+    assert board.count() == 22
