@@ -102,10 +102,10 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
 
 
 def knn_vote(train: DataFrame, query: DataFrame, key: str, vec: str, target: str, k: int = 7,
-             weights: str = "uniform", regression: bool = False) -> DataFrame:
+             weights: str = "uniform", regression: bool = False, probes: int | None = None) -> DataFrame:
     """(key, prediction) from the k nearest training rows: the heaviest class
     (lowest on ties) or the weighted mean. Each query has at most k votes."""
-    near = knn.nearest(query, train, key, vec, k=k)
+    near = knn.nearest(query, train, key, vec, k=k, probes=probes)
     names = train.select(F.col(key).alias("candidate_id"), F.col(target).alias("__y"))
     votes = near.join(names, "candidate_id")
     if weights == "distance":

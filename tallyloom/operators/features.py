@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordered import ranked, with_row
+from tallyloom.operators.ordered import with_row
 from tallyloom.operators.profile import missing
-from tallyloom.session import broadcast_if_small, spread
+from tallyloom.session import cut_lineage
 
 # What imputing writes into an unknown category, and the labels
 # infinite targets get before encoding.
@@ -67,10 +68,17 @@ def label_codes(train: DataFrame, column: str) -> DataFrame:
 
 
 def ranked_text(labels: DataFrame, column: str) -> DataFrame:
-    """Alphabetical rank of distinct strings, cut by their first characters."""
-    head = F.coalesce(F.conv(F.substring(F.rpad(F.hex(F.encode(F.col(column), "UTF-8")), 8, "0"), 1, 8), 16, 10)
-                      .cast("long"), F.lit(0))
-    return ranked(labels.withColumn("__head", head), [], "__head", [column]).drop("__head")
+    """Rank `rn` of distinct strings in byte order: ranges of them are sorted side
+    by side and written, and each range starts where the counts before it end."""
+    placed = cut_lineage(labels.repartitionByRange(column).sortWithinPartitions(column)
+                         .withColumn("__id", F.monotonically_increasing_id()), "ranks")
+    part = F.shiftright("__id", 33)
+    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    starts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n")) \
+        .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
+    return placed.withColumn("__part", part).join(starts, "__part") \
+        .withColumn("rn", F.col("__first") + F.col("__id").bitwiseAND((1 << 33) - 1) + 1) \
+        .drop("__id", "__part", "__first")
 
 
 def label_encode(df: DataFrame, column: str, alias: str, codes: DataFrame) -> DataFrame:
@@ -114,34 +122,31 @@ def inverse_standardise(df: DataFrame, columns: Sequence[str], scaler: DataFrame
 
 def term_counts(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
     """(key, term, tf): combined before the shuffle, so a frequent term is cheap."""
-    return (spread(docs).select(key, F.explode(tokens).alias("term"))
+    return (docs.select(key, F.explode(tokens).alias("term"))
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def vocabulary_cap(cap: int, n_train: int) -> int:
-    return max(100, min(cap, n_train // 2))
-
-
-def fit_tfidf(counts: DataFrame, n_docs: Column | int, max_features: int, min_df: int = 2,
+def fit_tfidf(counts: DataFrame, n_docs: Column | int, max_features: int | None = None, min_df: int = 2,
               max_df: float = 0.9) -> DataFrame:
     """(term, df, total, idf, code): terms within the document-frequency band,
-    the `max_features` most used, ties alphabetical; codes are alphabetical."""
+    of these the `max_features` most used if a number is given, ties alphabetical."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     terms = (counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
              .filter((F.col("df") >= min_df) & (F.col("df") <= n * max_df)))
-    top = terms.orderBy(F.desc("total"), "term").limit(max_features)
+    top = terms if max_features is None else terms.orderBy(F.desc("total"), "term").limit(max_features)
     return top.select("term", "df", "total",
                       (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
 
 def apply_tfidf(counts: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:
-    """(key, term, weight): (1 + ln tf) · idf, scaled to unit length per row. The
-    vocabulary is sent to every task after a check of its size."""
-    w = (counts.join(broadcast_if_small(vocabulary.select("term", "idf")), "term")
+    """(key, term, weight): (1 + ln tf) · idf, scaled to unit length per row: a row's
+    terms meet once, and its norm is taken over the array."""
+    w = (counts.join(vocabulary.select("term", "idf"), "term")
          .withColumn("raw", (1.0 + F.log("tf")) * F.col("idf")))
-    norms = w.groupBy(F.col(key).alias("__key")).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("__norm"))
-    return (w.join(norms, F.col(key) == F.col("__key"))
-            .select(key, "term", (F.col("raw") / F.col("__norm")).alias("weight")))
+    rows = w.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("__norm"),
+                              F.collect_list(F.struct("term", "raw")).alias("__terms"))
+    return (rows.select(key, "__norm", F.explode("__terms").alias("t"))
+            .select(key, "t.term", (F.col("t.raw") / F.col("__norm")).alias("weight")))
 
 
 def nnz_check(docs: DataFrame, key: str, tokens: Column, vocabulary: DataFrame) -> DataFrame:

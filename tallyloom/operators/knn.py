@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 MAX_PIVOTS = 2048
 BLOCK_ROWS = 4096
-SLACK = 1e-9
+# a distance taken from squared lengths is off by at most about 1e-8 of the vectors' length
+SLACK = 1e-7
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -98,13 +99,15 @@ class Cells:
     def reach(self, queries: DataFrame, radius_col: str, skip_home: bool) -> DataFrame:
         """One row per (query, cell) whose cell may hold a row within the radius."""
         shared, radius = self.shared, self.radius
+        reach = float(np.sqrt((self.pivots ** 2).sum(1)).max() + max(radius.max(), 0.0))
 
         def visit(batches):
             for pdf in batches:
                 if not len(pdf):
                     continue
                 d = distances(matrix(pdf["v"]), shared.value)
-                near = (d - radius[None, :] <= pdf[radius_col].to_numpy()[:, None] + SLACK) & (radius >= 0)[None, :]
+                slack = SLACK * (1.0 + np.sqrt((matrix(pdf["v"]) ** 2).sum(1, keepdims=True)) + reach)
+                near = (d - radius[None, :] <= pdf[radius_col].to_numpy()[:, None] + slack) & (radius >= 0)[None, :]
                 if skip_home:
                     near[np.arange(len(pdf)), pdf["cell"].to_numpy()] = False
                 yield pdf.assign(visits=[np.flatnonzero(r).astype("int32") for r in near])
@@ -113,6 +116,20 @@ class Cells:
         return (queries.mapInPandas(visit, schema)
                 .withColumn("cell", F.explode("visits")).drop("visits"))
 
+    def probe(self, queries: DataFrame, n: int) -> DataFrame:
+        """One row per (query, cell) for the n cells whose pivots are nearest."""
+        shared, used = self.shared, np.flatnonzero(self.size > 0)
+
+        def visit(batches):
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                d = distances(matrix(pdf["v"]), shared.value[used])
+                yield pdf.assign(visits=list(used[np.argsort(d, axis=1, kind="stable")[:, :n]].astype("int32")))
+
+        schema = T.StructType(queries.schema.fields + [T.StructField("visits", T.ArrayType(T.IntegerType()))])
+        return queries.mapInPandas(visit, schema).withColumn("cell", F.explode("visits")).drop("visits")
+
     def block_join(self, visits: DataFrame, fn: Callable, schema: str) -> DataFrame:
         """Run `fn(query block, candidate block)` for every block pair of a cell.
 
@@ -140,8 +157,13 @@ class Cells:
 
 def nearest(queries: DataFrame, candidates: DataFrame, key: str, vec: str, k: int = 5,
             metric: str = "euclidean", exclude_self: bool = False,
-            block_rows: int = BLOCK_ROWS, pivots: int | None = None) -> DataFrame:
-    """The k nearest candidates of every query, exactly; ties by candidate id.
+            block_rows: int = BLOCK_ROWS, pivots: int | None = None, probes: int | None = None) -> DataFrame:
+    """The k nearest candidates of every query; ties by candidate id.
+
+    Exact without `probes`: every cell that may hold a nearer row is visited, which
+    in many dimensions can be all of them, so ask a stated set of queries. With
+    `probes`, each query visits that many cells and distances inside them are exact;
+    the work is then linear in the rows.
 
     Returns (query_id, candidate_id, distance, place). Cosine distance is that
     of the unit vectors, so similarity = 1 - distance² / 2.
@@ -153,7 +175,8 @@ def nearest(queries: DataFrame, candidates: DataFrame, key: str, vec: str, k: in
     def top(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         c = c.sort_values("id", kind="stable")
         ids = c["id"].to_numpy()
-        d = distances(matrix(q["v"]), matrix(c["v"]))
+        left, right = matrix(q["v"]), matrix(c["v"])
+        d = distances(left, right)
         if exclude_self:
             d[q["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
         # exactly k per block, ties to the smaller id (columns are sorted by id), so
@@ -164,11 +187,14 @@ def nearest(queries: DataFrame, candidates: DataFrame, key: str, vec: str, k: in
         room = take - less.sum(axis=1, keepdims=True)
         rows, cols = np.nonzero((less | (tied & (np.cumsum(tied, axis=1) <= room))) & np.isfinite(d))
         return pd.DataFrame({"query_id": q["id"].to_numpy()[rows], "candidate_id": ids[cols],
-                             "distance": d[rows, cols]})
+                             "distance": np.sqrt(((left[rows] - right[cols]) ** 2).sum(1))})
 
     out_schema = f"query_id {id_type}, candidate_id {id_type}, distance double"
-    first = cells.block_join(home, top, out_schema)
     rank = W.partitionBy("query_id").orderBy("distance", "candidate_id")
+    if probes is not None:
+        found = cells.block_join(cells.probe(home.drop("cell"), probes), top, out_schema)
+        return found.withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= k)
+    first = cells.block_join(home, top, out_schema)
     best = first.withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= k)
     bound = (best.groupBy("query_id").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("n"))
              .select(F.col("query_id").alias("__q"),

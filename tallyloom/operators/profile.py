@@ -86,25 +86,15 @@ def target_profile(df: DataFrame, target: str, max_classes: int = 30) -> DataFra
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(left, right, r) for every pair of numeric columns; rows missing either
-    value are left out of a pair. One pass for means, one for the products."""
+    value (null or NaN) are left out of a pair; a constant column has no r."""
     names = list(columns or columns_of(df, "numeric"))
     pairs = list(combinations(names, 2))
     if not pairs:
         raise ValueError("correlation needs two numeric columns")
-    facts = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
-                   *[F.count(F.when(~missing(df, c), 1)).alias(f"k{i}") for i, c in enumerate(names)]).first()
-    if facts["n"] and all(facts[f"k{i}"] == facts["n"] for i in range(len(names))):
-        # nothing missing: one sum per column and pair around the means
-        dev = {c: F.col(c).cast("double") - F.lit(float(facts[f"m{i}"])) for i, c in enumerate(names)}
-        var = {c: f"v{i}" for i, c in enumerate(names)}
-        row = df.agg(*[F.sum(dev[c] * dev[c]).alias(v) for c, v in var.items()],
-                     *[F.sum(dev[a] * dev[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-        value = lambda i, a, b: F.when((F.col(var[a]) > 0) & (F.col(var[b]) > 0),
-                                       F.col(f"c{i}") / F.sqrt(F.col(var[a]) * F.col(var[b])))
-    else:
-        row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-        value = lambda i, a, b: F.col(f"c{i}")
-    cells = F.array(*[F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), value(i, a, b).alias("r"))
+    whole = {c: F.when(~missing(df, c), F.col(c).cast("double")) for c in names}
+    row = df.agg(*[F.corr(whole[a], whole[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    value = lambda i: F.when(~F.isnan(f"c{i}"), F.col(f"c{i}"))
+    cells = F.array(*[F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), value(i).alias("r"))
                       for i, (a, b) in enumerate(pairs)])
     return row.select(F.explode(cells).alias("p")).select("p.*")
 

@@ -103,26 +103,26 @@ def quality_report(df: DataFrame, text: str, label: str) -> DataFrame:
 
 # --------------------------------------------------------- classification
 
-def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """(actual, predicted, n) for every pair of labels seen on either side."""
+def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: Sequence[str] | None = None) -> DataFrame:
+    """(actual, predicted, n) for the pairs seen; with `labels`, also the pairs of these that are not."""
     counts = (df.select(F.col(actual).cast("string").alias("actual"), F.col(predicted).cast("string").alias("predicted"))
               .groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n")))
-    names = (counts.select(F.explode(F.array("actual", "predicted")).alias("actual")).distinct())
-    every = names.agg(F.array_sort(F.collect_set("actual"))).scalar()  # class labels: a few
-    grid = names.select("actual", F.explode(every).alias("predicted"))
-    return (grid.join(counts, ["actual", "predicted"], "left")
-            .select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("n")))
+    if labels is None:
+        return counts
+    zeros = df.sparkSession.createDataFrame([(a, b, 0) for a in labels for b in labels], "actual string, predicted string, n bigint")
+    return counts.unionByName(zeros).groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
 
 
 def per_class_report(matrix: DataFrame) -> DataFrame:
-    """(label, precision, recall, f1, support) from a confusion matrix; a zero
-    denominator gives 0."""
+    """(label, precision, recall, f1, support) of every label on either side of a
+    confusion matrix; a zero denominator gives 0."""
     n, hit = F.col("n"), F.col("actual") == F.col("predicted")
     rows = matrix.groupBy(F.col("actual").alias("label")).agg(
         F.sum(n).alias("support"), F.sum(F.when(hit, n).otherwise(0)).alias("tp"))
     cols = matrix.groupBy(F.col("predicted").alias("label")).agg(F.sum(n).alias("guessed"))
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
-    both = rows.join(cols, "label").withColumn("precision", ratio(F.col("tp"), F.col("guessed"))) \
+    both = rows.join(cols, "label", "full_outer").fillna(0, ["support", "tp", "guessed"]) \
+        .withColumn("precision", ratio(F.col("tp"), F.col("guessed"))) \
         .withColumn("recall", ratio(F.col("tp"), F.col("support")))
     p, r = F.col("precision"), F.col("recall")
     return both.select("label", "precision", "recall", ratio(2 * p * r, p + r).alias("f1"), "support", "tp")
@@ -165,9 +165,8 @@ def centroids(df: DataFrame, vec: str, label: str) -> DataFrame:
 def cluster_metrics(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
     """One row: silhouette, Davies-Bouldin, Calinski-Harabasz and inertia.
 
-    The k centroids come to the driver (k is checked); rows never do. The exact
-    silhouette needs all distances: they are summed per (row, cluster) inside
-    block pairs and only the sums leave a task.
+    The k centroids come to the driver (k is checked); rows never do. The
+    silhouette is that of squared distances, linear in the rows.
     """
     spark = df.sparkSession
     found = centroids(df, vec, label).orderBy(label).limit(MAX_CLASSES + 1).collect()
@@ -204,30 +203,38 @@ def cluster_metrics(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
 
 
 def silhouette(df: DataFrame, key: str, vec: str, label: str) -> DataFrame:
-    """(id, label, silhouette) with Euclidean distances over all rows."""
-    def sums(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        d = knn.distances(knn.matrix(q["v"]), knn.matrix(c["v"]))
-        d[q["id"].to_numpy()[:, None] == c["id"].to_numpy()[None, :]] = 0.0
-        names, at = np.unique(c["label"].to_numpy().astype(str), return_inverse=True)
-        hot = np.zeros((len(c), len(names)))
-        hot[np.arange(len(c)), at] = 1.0
-        total = d @ hot
-        return pd.DataFrame({"id": np.repeat(q["id"].to_numpy(), len(names)),
-                             "own": np.repeat(q["label"].to_numpy().astype(str), len(names)),
-                             "other": np.tile(names, len(q)), "dist": total.ravel(),
-                             "n": np.tile(hot.sum(0).astype("int64"), len(q))})
-
-    id_type = df.schema[key].dataType.simpleString()
-    _, parts = knn.within(df, key, vec, float("inf"), sums,
-                          f"id {id_type}, own string, other string, dist double, n bigint", pivots=1, keep={"label": label})
-    per = parts.groupBy("id", "own", "other").agg(F.sum("dist").alias("dist"), F.sum("n").alias("n"))
-    same = F.col("own") == F.col("other")
-    row = per.groupBy("id", "own").agg(
-        F.max(F.when(same, F.when(F.col("n") > 1, F.col("dist") / (F.col("n") - 1)))).alias("a"),
-        F.min(F.when(~same, F.col("dist") / F.col("n"))).alias("b"))
-    return row.select("id", F.col("own").alias("label"),
-                      F.when(F.col("a").isNull(), 0.0)
-                      .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b")).alias("silhouette"))
+    """(id, label, silhouette) with squared Euclidean distances over all rows.
+
+    The mean squared distance from a row to a cluster follows from the cluster's
+    size, mean and mean squared length, so one pass over the rows is enough and
+    only k such facts come to the driver (k is checked)."""
+    v = F.transform(F.col(vec), lambda x: x.cast("double"))
+    rows = df.select(F.col(key).alias("id"), F.col(label).cast("string").alias("label"), v.alias("v"))
+    facts = centroids(rows, "v", "label").join(rows.groupBy("label").agg(F.avg(F.aggregate(
+        "v", F.lit(0.0), lambda a, x: a + x * x)).alias("q")), "label").orderBy("label").limit(MAX_CLASSES + 1).collect()
+    if not 2 <= len(facts) <= MAX_CLASSES:
+        raise ValueError(f"a silhouette needs 2 to {MAX_CLASSES} clusters")
+    shared = df.sparkSession.sparkContext.broadcast((
+        {r["label"]: i for i, r in enumerate(facts)}, np.array([r["c"] for r in facts]),
+        np.array([r["n"] for r in facts], dtype=float), np.array([r["q"] for r in facts])))
+
+    def judge(batches):
+        place, mids, sizes, square = shared.value
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x, at = knn.matrix(pdf["v"]), pdf["label"].map(place).to_numpy()
+            far = np.maximum((x * x).sum(1)[:, None] - 2 * x @ mids.T + square[None, :], 0.0)
+            line = np.arange(len(x))
+            alone = sizes[at] < 2
+            a = far[line, at] * sizes[at] / np.where(alone, 1.0, sizes[at] - 1)
+            far[line, at] = np.inf
+            b = far.min(1)
+            top = np.maximum(a, b)
+            yield pd.DataFrame({"id": pdf["id"], "label": pdf["label"],
+                                "silhouette": np.where(alone | (top == 0), 0.0, (b - a) / np.where(top == 0, 1.0, top))})
+
+    return rows.mapInPandas(judge, f"id {rows.schema['id'].dataType.simpleString()}, label string, silhouette double")
 
 
 def external_cluster_metrics(df: DataFrame, truth: str, found: str) -> DataFrame:

@@ -270,7 +270,7 @@ def residual_shape(spark, sf):
     g AS (SELECT a.label AS la, b.label AS lb, sqrt(sum((a.x - b.x) ** 2)) AS g FROM c a JOIN c b ON a.i = b.i AND a.label <> b.label GROUP BY ALL),
     db AS (SELECT avg(r) AS db FROM (SELECT la, max((sa.s + sb.s) / g) AS r FROM g JOIN s sa ON sa.label = la JOIN s sb ON sb.label = lb GROUP BY la)),
     bt AS (SELECT sum(n * q) AS b FROM n JOIN (SELECT c.label, sum((c.x - m.x) ** 2) AS q FROM c JOIN m USING (i) GROUP BY c.label) USING (label)),
-    p AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.e, b.e)) AS t, count(*) AS cnt FROM v a JOIN v b ON a.vec_id <> b.vec_id GROUP BY ALL),
+    p AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.e, b.e) ** 2) AS t, count(*) AS cnt FROM v a JOIN v b ON a.vec_id <> b.vec_id GROUP BY ALL),
     ab AS (SELECT vec_id, max(t / cnt) FILTER (label = other) AS a, min(t / cnt) FILTER (label <> other) AS b FROM p GROUP BY vec_id),
     sil AS (SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM ab)
     SELECT round(silhouette, 6) AS silhouette, round(db, 6) AS davies_bouldin,

@@ -114,7 +114,7 @@ def tfidf_parts(spark, sf):
     train = docs.filter(F.md5(F.col("doc_id").cast("string")) < "c")
     tokens = tx.mixed_tokens(F.col("text"))
     n = train.count()
-    vocabulary = op.fit_tfidf(op.term_counts(train, "doc_id", tokens), n, op.vocabulary_cap(2000, n))
+    vocabulary = op.fit_tfidf(op.term_counts(train, "doc_id", tokens), n)
     return docs, tokens, vocabulary
 
 
@@ -122,8 +122,7 @@ VOCAB_SQL = f"""
     t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM documents) GROUP BY ALL),
     n AS (SELECT count(*) AS n FROM documents WHERE md5(doc_id::VARCHAR) < 'c'),
     d AS (SELECT term, count(*) AS df, sum(tf) AS total FROM t WHERE md5(doc_id::VARCHAR) < 'c' GROUP BY term),
-    v AS (SELECT term, df, total, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM (SELECT *, row_number() OVER (ORDER BY total DESC, term) AS r
-          FROM d, n WHERE df >= 2 AND df <= n * 0.9::DOUBLE) WHERE r <= greatest(100, least(2000, n // 2)))
+    v AS (SELECT term, df, total, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM d, n WHERE df >= 2 AND df <= n * 0.9::DOUBLE)
 """
 
 
@@ -262,7 +261,7 @@ def inf_tokens(spark, sf):
 def knn_predict(spark, sf):
     v = table(spark, sf, "embeddings")
     held = F.col("vec_id") % 4 == 0
-    return cluster.knn_vote(v.filter(~held), v.filter(held), "vec_id", "embedding", "label")
+    return cluster.knn_vote(v.filter(~held), v.filter(held), "vec_id", "embedding", "label", probes=32)
 
 
 @query("M06_cluster_density", """

@@ -62,7 +62,7 @@ def test_dbscan(df, points, eps):
 
 def test_silhouette(df, points):
     ids, x, c = points
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
     got = {r.id: r.silhouette for r in stats.silhouette(df, "id", "v", "c").collect()}
     for i in ids:
         a = d[i][c == c[i]].sum() / ((c == c[i]).sum() - 1)
@@ -101,3 +101,30 @@ def test_crowd_of_copies(spark):
     x = np.array([v for _, v in rows])
     got = {r.id: r.cluster for r in cluster.dbscan(df, "id", "v", 1.2, 5, block_rows=16).collect()}
     assert [got[i] for i, _ in rows] == dbscan_reference(x, 1.2, 5).tolist()
+
+
+def test_probing_reads_few_cells_and_finds_most_neighbours(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(200, 16)) * 4
+    x = centres[rng.integers(200, size=20000)] + rng.normal(size=(20000, 16)) * 0.3
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    asked = df.filter("id % 100 = 0")
+    cells = knn.Cells(knn.as_double(df, "id", "v", "euclidean"))
+    home = cells.tag(knn.as_double(asked, "id", "v", "euclidean")).drop("gap", "cell")
+    assert cells.probe(home, 8).count() == 200 * 8 and 8 < 0.2 * len(cells.pivots)
+    got = {}
+    for r in knn.nearest(asked, df, "id", "v", k=5, exclude_self=True, probes=8).collect():
+        got.setdefault(r.query_id, set()).add(r.candidate_id)
+    hits = 0
+    for i in range(0, 20000, 100):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        hits += len(got[i] & set(np.argsort(d)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 200
+
+
+def test_a_vector_is_at_no_distance_from_itself(spark):
+    v = np.random.default_rng(2).normal(size=(50, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "id long, v array<double>")
+    assert {r.distance for r in knn.nearest(df, df, "id", "v", k=1).collect()} == {0.0}
