@@ -1,4 +1,4 @@
-"""Text augmentation and seeded synthetic tables."""
+"""Text augmentation."""
 
 from __future__ import annotations
 
@@ -6,11 +6,10 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.sampling import normal, uniform
-from tallyloom.session import spread
+from tallyloom.operators.sampling import uniform
 
 # Share of characters dropped per variant, and the share kept when
 # a drop would leave nothing.
@@ -38,7 +37,7 @@ def dropout_column(df: DataFrame, key: str, text: str, variant: str, rate: str,
                          zip(pdf[text], pdf[rate], pdf[key], pdf[variant], strict=True)]
             yield pdf
 
-    return spread(df).mapInPandas(drop, df.schema)
+    return df.mapInPandas(drop, df.schema)
 
 
 def synonym_spots(text: str, synonyms: Mapping[str, Sequence[str]]) -> list:
@@ -77,7 +76,7 @@ def synonym_column(df: DataFrame, key: str, text: str, variant: str, synonyms: M
                          for t, k, v in zip(pdf[text], pdf[key], pdf[variant], strict=True)]
             yield pdf
 
-    return spread(df).mapInPandas(swap, df.schema)
+    return df.mapInPandas(swap, df.schema)
 
 
 def augment_text(df: DataFrame, key: str, text: str, keep: Sequence[str], synonyms: Mapping[str, Sequence[str]],
@@ -96,63 +95,3 @@ def augment_text(df: DataFrame, key: str, text: str, keep: Sequence[str], synony
     swapped = synonym_column(many.filter(F.col("method") == "synonym"), key, text, "variant", synonyms, seed=seed)
     other = many.filter(~F.col("method").isin("delete", "synonym"))
     return base.unionByName(deleted).unionByName(swapped).unionByName(other)
-
-
-# ------------------------------------------------- seeded tables, one row per key
-
-def exponential(scale: float, *parts, seed: int = 42) -> Column:
-    return -F.log(F.greatest(1.0 - uniform(*parts, seed=seed), F.lit(1e-12))) * scale
-
-
-def text_feature_table(keys: DataFrame, key: str, words: int = 20, classes: int = 2, zero_share: float = 0.85,
-                       seed: int = 42) -> DataFrame:
-    """Sparse exponential word weights, text length, word length, target."""
-    cols = {f"word_{i}": F.when(uniform(key, F.lit(f"z{i}"), seed=seed) < zero_share, 0.0)
-            .otherwise(exponential(1.0, key, F.lit(f"w{i}"), seed=seed)) for i in range(words)}
-    return keys.select(key, *[c.alias(k) for k, c in cols.items()],
-                       F.floor(10 + uniform(key, F.lit("len"), seed=seed) * 490).cast("int").alias("text_length"),
-                       (3.0 + uniform(key, F.lit("avg"), seed=seed) * 5).alias("avg_word_len"),
-                       F.floor(uniform(key, F.lit("y"), seed=seed) * classes).cast("int").alias("target"))
-
-
-def anomaly_series_table(keys: DataFrame, key: str, series: int = 15, share: float = 0.05, shift: float = 5.0,
-                         seed: int = 42) -> DataFrame:
-    """Normal series with a share of rows shifted and flagged."""
-    odd = uniform(key, F.lit("odd"), seed=seed) < share
-    return keys.select(key, *[(normal(key, F.lit(f"s{i}"), seed=seed) + F.when(odd, shift).otherwise(0.0)).alias(f"series_{i}")
-                              for i in range(series)], odd.cast("int").alias("anomaly"))
-
-
-def trend_series_table(keys: DataFrame, key: str, metrics: int = 10, start: str = "2023-01-01 00:00:00", seed: int = 42) -> DataFrame:
-    """Hourly rows: calendar parts, metrics with trend and daily season, target."""
-    step = F.col(key).cast("long")
-    ts = F.to_timestamp_ntz(F.lit(start)) + F.make_dt_interval(hours=(step % 87600).cast("int"))
-    base = keys.select(key, ts.alias("date"), step.alias("__i"))
-    season = F.sin(2 * np.pi * F.hour("date") / 24.0)
-    cols = [(F.col("__i") * 0.001 * (i + 1) + season * (i + 1) + normal(key, F.lit(f"m{i}"), seed=seed)).alias(f"metric_{i}")
-            for i in range(metrics)]
-    out = base.select(key, "date", F.hour("date").alias("hour"), F.weekday("date").alias("day_of_week"),
-                      F.month("date").alias("month"), *cols)
-    return out.withColumn("target_value", sum((F.col(f"metric_{i}") for i in range(1, metrics)), F.col("metric_0")) / metrics)
-
-
-def rating_table(keys: DataFrame, key: str, users: int = 1000, items: int = 500, seed: int = 42) -> DataFrame:
-    """(user, item, rating 1..5, timestamp) triples."""
-    return keys.select(key, F.floor(uniform(key, F.lit("u"), seed=seed) * users).cast("int").alias("user_id"),
-                       F.floor(uniform(key, F.lit("i"), seed=seed) * items).cast("int").alias("item_id"),
-                       (F.floor(uniform(key, F.lit("r"), seed=seed) * 5) + 1).cast("int").alias("rating"),
-                       F.floor(1.6e9 + uniform(key, F.lit("t"), seed=seed) * 1e8).cast("long").alias("timestamp"))
-
-
-def ab_test_table(keys: DataFrame, key: str, lift: float = 0.03, behaviours: int = 6, seed: int = 42) -> DataFrame:
-    """Groups, visitor facts, behaviour scores and a conversion with some lift."""
-    pick = lambda name, *values: F.get(F.array(*[F.lit(v) for v in values]),
-                                       F.floor(uniform(key, F.lit(name), seed=seed) * len(values)).cast("int"))
-    base = keys.select(key, pick("g", "control", "treatment").alias("group"), pick("v", "new", "returning").alias("visitor_type"),
-                       pick("d", "mobile", "desktop", "tablet").alias("device"),
-                       exponential(180.0, key, F.lit("s"), seed=seed).alias("session_duration"),
-                       (F.floor(exponential(4.0, key, F.lit("p"), seed=seed)) + 1).cast("int").alias("pages_viewed"),
-                       *[normal(key, F.lit(f"b{i}"), seed=seed).alias(f"behavior_{i}") for i in range(behaviours)],
-                       uniform(key, F.lit("c"), seed=seed).alias("__c"))
-    rate = F.lit(0.1) + F.when(F.col("group") == "treatment", lift).otherwise(0.0)
-    return base.withColumn("conversion", (F.col("__c") < rate).cast("int")).drop("__c")

@@ -19,10 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import knn
 from tallyloom.operators.ordered import hash_order, hash_slice, on_keys, ranked
-from tallyloom.session import broadcast_if_small
-from tallyloom.sources.readers import union_all
 
-MAX_CLASSES = 1000
 SLICES = 65536
 
 
@@ -51,7 +48,7 @@ def first_by_hash(df: DataFrame, keys: Sequence[str], key: str, limits: DataFram
         F.min("__s").alias("__edge"),
         F.min_by(F.col("__limit") - F.col("__cum") + F.col("__n"), "__s").alias("__rest"))
     if keys:
-        cut = on_keys(rows, broadcast_if_small(edge), keys, "left")
+        cut = on_keys(rows, edge, keys, "left")
     else:
         packed = edge.select(F.struct("__edge", "__rest").alias("r")).scalar()
         cut = rows.withColumn("__r", packed).select("*", "__r.*").drop("__r")
@@ -114,22 +111,13 @@ def ratio_split_per_label(df: DataFrame, key: str, label: str, train_ratio: floa
         .withColumn("split", F.when(F.col("__t"), "train").otherwise("test")).drop("__t")
 
 
-def fold_count(n: int, smallest: int, requested: int = 0) -> int:
-    """Folds for n rows: requested or min(5, n div 50) but at least 2, and no
-    more than the smallest class or a third of the rows; 0 means impossible."""
-    folds = requested if requested >= 2 else max(2, min(5, n // 50))
-    if n < 3 * folds:
-        return 0
-    folds = min(folds, smallest, n // 3)
-    return folds if folds >= 2 else 0
-
-
-def stratified_kfold(df: DataFrame, key: str, label: str, requested: int = 0, seed: int = 42) -> DataFrame:
-    """Fold id per row, classes dealt out evenly in hash order."""
+def stratified_kfold(df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42) -> DataFrame:
+    """Fold id per row, classes dealt out evenly in hash order. Every class needs
+    a row per fold, and a fold three rows."""
     facts = class_counts(df, label).agg(F.sum("__n").alias("n"), F.min("__n").alias("lo")).first()
-    k = fold_count(facts["n"] or 0, facts["lo"] or 0, requested)
-    if k == 0:
-        raise ValueError(f"too few rows for cross-validation: n={facts['n']}, smallest class={facts['lo']}")
+    k = folds
+    if k < 2 or (facts["n"] or 0) < 3 * k or (facts["lo"] or 0) < k:
+        raise ValueError(f"{k} folds need more rows: n={facts['n']}, smallest class={facts['lo']}")
     rows = df.withColumn("__h", hash_order(key, seed=seed))
     return ranked(rows, [label], "__h", [key], hashed=True) \
         .withColumn("fold", ((F.col("rn") - 1) % k).cast("int")).drop("__h", "rn")
@@ -148,19 +136,22 @@ def downsample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame
     return first_by_hash(df, [label], key, quota, seed, "__t").filter("__t").drop("__t")
 
 
-def class_table(df: DataFrame, label: str) -> list:
-    rows = class_counts(df, label).orderBy(label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return rows
+DRAW_CHUNK = 100_000
+
+
+def draws(counts: DataFrame, label: str, need: Column) -> DataFrame:
+    """(label, __size, draw): one row per extra row a class needs. `counts` is the
+    class table (label, __n); the draws of a class are made in chunks by many tasks."""
+    at = F.col("__chunk") * DRAW_CHUNK
+    return (counts.select(label, F.col("__n").alias("__size"), need.cast("long").alias("__need")).filter("__need > 0")
+            .withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__need") - 1) / DRAW_CHUNK))))
+            .repartition(label, "__chunk")
+            .select(label, "__size", F.explode(F.sequence(at + 1, F.least(at + DRAW_CHUNK, F.col("__need")))).alias("draw")))
 
 
-def draws(df: DataFrame, label: str, needs: dict) -> DataFrame:
-    """(label, draw): one row per extra row a class needs, made on executors."""
-    spark, dtype = df.sparkSession, df.schema[label].dataType
-    parts = [spark.range(1, need + 1).select(F.lit(c).cast(dtype).alias(label), F.col("id").alias("draw"))
-             for c, need in needs.items() if need > 0]
-    return union_all(parts) if parts else spark.createDataFrame([], f"`{label}` {dtype.simpleString()}, draw bigint")
+def largest(counts: DataFrame) -> DataFrame:
+    """The class table with the size of the largest class."""
+    return counts.withColumn("__top", F.max("__n").over(W.partitionBy(F.lit(0))))
 
 
 def pick_rank(seed: int, *parts: str) -> Column:
@@ -171,38 +162,30 @@ def pick_rank(seed: int, *parts: str) -> Column:
 def upsample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     """Every class raised to the largest: all originals, and copies drawn with
     replacement (`copy` > 0). Draws meet rows on (class, rank), an even join."""
-    table = class_table(df, label)
-    top = max((r["__n"] for r in table), default=0)
     pool = ranked(df.withColumn("__h", hash_order(key, seed=seed)), [label], "__h", [key], hashed=True,
-                  rank="__rank", total="__size").drop("__h")
-    sizes = {r[label]: r["__n"] for r in table}
-    wanted = draws(df, label, {c: top - n for c, n in sizes.items()})
-    size = F.lit(None).cast("long")
-    for c, n in sizes.items():
-        size = F.when(F.col(label) == F.lit(c), n).otherwise(size)
-    drawn = wanted.withColumn("__size", size).withColumn("__rank", pick_rank(seed, label, "draw")).drop("__size")
-    extra = on_keys(drawn, pool.drop("__size"), [label, "__rank"]).withColumn("copy", F.col("draw")).drop("draw", "__rank")
+                  rank="__rank").drop("__h")
+    wanted = draws(largest(class_counts(df, label)), label, F.col("__top") - F.col("__n"))
+    drawn = wanted.withColumn("__rank", pick_rank(seed, label, "draw")).drop("__size")
+    extra = on_keys(drawn, pool, [label, "__rank"]).withColumn("copy", F.col("draw")).drop("draw", "__rank")
     return df.withColumn("copy", F.lit(0).cast("long")).unionByName(extra.select(*df.columns, "copy"))
 
 
-def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int = 42, probes: int | None = None) -> DataFrame:
     """(label, vector, synthetic): originals and rows between a row and one of
     its k nearest of the same class, until all classes are equal.
 
     Classes are kept apart in one neighbour search by a coordinate per class
-    that is far larger than any distance inside a class.
+    that is far larger than any distance inside a class; `probes` limits the
+    cells a row looks into.
     """
-    table = class_table(df, label)
-    top = max((r["__n"] for r in table), default=0)
-    codes = {r[label]: i for i, r in enumerate(table)}
+    counts = largest(class_counts(df, label))
     span = df.agg(F.max(F.aggregate(F.transform(vec, lambda x: x.cast("double") * x), F.lit(0.0),
                                     lambda a, x: a + x))).first()[0] or 1.0
     far = 10.0 * span ** 0.5 + 1.0
-    code = F.lit(0.0)
-    for c, i in codes.items():
-        code = F.when(F.col(label) == F.lit(c), far * i).otherwise(code)
-    wide = df.select(F.col(key).alias("id"), F.concat(F.transform(vec, lambda x: x.cast("double")), F.array(code)).alias("v"))
-    near = knn.nearest(wide, wide, "id", "v", k=k, exclude_self=True)
+    coded = counts.select(label, ((F.row_number().over(W.partitionBy(F.lit(0)).orderBy(label)) - 1) * F.lit(far)).alias("__code"))
+    wide = on_keys(df.select(F.col(key).alias("id"), label, F.transform(vec, lambda x: x.cast("double")).alias("v")), coded, [label]) \
+        .select("id", F.concat("v", F.array("__code")).alias("v"))
+    near = knn.nearest(wide, wide, "id", "v", k=k, exclude_self=True, probes=probes)
     names = df.select(F.col(key).alias("candidate_id"), F.col(label).alias("__cl"), F.col(vec).alias("__cv"))
     own = df.select(F.col(key).alias("query_id"), F.col(label).alias("__ql"))
     same = near.join(own, "query_id").join(names, "candidate_id").filter(F.col("__ql") == F.col("__cl"))
@@ -210,11 +193,7 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     same = same.withColumn("__pos", F.row_number().over(short)).select("query_id", "__pos", "__cv")  # <= k rows each
     reach = same.groupBy("query_id").agg(F.max("__pos").alias("__reach"))
     pool = ranked(df.withColumn("__h", hash_order(key, seed=seed)), [label], "__h", [key], hashed=True, rank="__rank")
-    size = F.lit(None).cast("long")
-    for r in table:
-        size = F.when(F.col(label) == F.lit(r[label]), r["__n"]).otherwise(size)
-    wanted = draws(df, label, {r[label]: top - r["__n"] for r in table}) \
-        .withColumn("__size", size).withColumn("__rank", pick_rank(seed, label, "draw")).drop("__size")
+    wanted = draws(counts, label, F.col("__top") - F.col("__n")).withColumn("__rank", pick_rank(seed, label, "draw")).drop("__size")
     base = on_keys(wanted, pool, [label, "__rank"]).join(reach, F.col(key) == F.col("query_id"), "left").drop("query_id")
     step = uniform(label, "draw", F.lit("gap"), seed=seed)
     pos = (F.floor(uniform(label, "draw", F.lit("pos"), seed=seed) * F.col("__reach")) + 1).cast("int")
@@ -242,14 +221,10 @@ def synth_classification(df: DataFrame, key: str, label: str, numeric: Sequence[
                          per_class: int, noise: float = 0.05, seed: int = 42) -> DataFrame:
     """Per class: interpolate two of its rows (step in [-0.2, 1.2]), add normal
     noise of `noise` deviations; categories come from a random row."""
-    table = class_table(df, label)
     pool = ranked(df.select(label, key, *numeric, *categorical).withColumn("__h", hash_order(key, seed=seed)),
                   [label], "__h", [key], hashed=True, rank="__rank").drop("__h", key)
     sd = df.groupBy(label).agg(*[(F.stddev_pop(c) + 1e-8).alias(f"__sd_{c}") for c in numeric])
-    size = F.lit(None).cast("long")
-    for r in table:
-        size = F.when(F.col(label) == F.lit(r[label]), r["__n"]).otherwise(size)
-    d = draws(df, label, {r[label]: per_class for r in table}).withColumn("__size", size)
+    d = draws(class_counts(df, label), label, F.lit(per_class))
     first = pick_rank(seed, label, "draw", )
     # the second row differs from the first wherever the class has two rows
     hop = F.floor(uniform(label, "draw", F.lit("j"), seed=seed) * (F.col("__size") - 1)) + 1
@@ -261,7 +236,7 @@ def synth_classification(df: DataFrame, key: str, label: str, numeric: Sequence[
     ab = on_keys(a.withColumn("__rank", F.col("__j")), b, [label, "__rank"]).drop("__rank")
     if categorical:
         ab = on_keys(ab.withColumn("__rank", F.col("__c")), pool.select(label, "__rank", *categorical), [label, "__rank"]).drop("__rank")
-    out = on_keys(ab, broadcast_if_small(sd), [label])
+    out = on_keys(ab, sd, [label])
     step = uniform(label, "draw", F.lit("alpha"), seed=seed) * 1.4 - 0.2
     made = {c: F.col(c) + step * (F.col(f"__b_{c}") - F.col(c)) + normal(label, "draw", F.lit(c), seed=seed) * noise * F.col(f"__sd_{c}")
             for c in numeric}
@@ -292,15 +267,14 @@ def synth_regression(df: DataFrame, columns: Sequence[str], n: int, noise: float
     return z.select("draw", *out)
 
 
-def synth_mixture(df: DataFrame, vec: str, n: int, seed: int = 42, max_iter: int = 10) -> DataFrame:
-    """n rows from a fitted normal mixture (2..8 parts), labelled by k-means."""
+def synth_mixture(df: DataFrame, vec: str, n: int, parts: int, seed: int = 42, max_iter: int = 10) -> DataFrame:
+    """n rows from a fitted mixture of `parts` normals, labelled by k-means."""
     from pyspark.ml.clustering import GaussianMixture, KMeans
 
     data = df.select(array_to_vector(F.transform(vec, lambda x: x.cast("double"))).alias("features"))
-    parts = max(2, min(8, data.count() // 50))
     model = GaussianMixture(k=parts, maxIter=max_iter, seed=seed).fit(data)
     weights = np.cumsum(model.weights)
-    gauss = model.gaussiansDF.collect()  # at most 8 rows
+    gauss = model.gaussiansDF.collect()  # one row per part
     mean = np.array([g["mean"].toArray() for g in gauss])
     roots = np.array([_root(g["cov"].toArray()) for g in gauss])
     shared = df.sparkSession.sparkContext.broadcast((weights, mean, roots))

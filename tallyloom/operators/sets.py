@@ -11,7 +11,6 @@ from tallyloom.operators.filters import length_band
 from tallyloom.operators.ordered import on_keys
 from tallyloom.operators.profile import missing
 from tallyloom.operators.sampling import downsample
-from tallyloom.session import spread
 from tallyloom.sources.readers import union_all
 
 
@@ -100,7 +99,7 @@ def leakage_contained(passages: DataFrame, pkey: str, ptext: str, docs: DataFram
         p = sized.filter(F.col("w") == w)
         windows = p.select("pk", F.explode(F.array_distinct(grams)).alias("g"))
         wanted = windows.select("g").distinct()
-        hits = (spread(docs.select(F.col(dkey).alias("dk"), F.col(dtext).alias("dt")))
+        hits = (docs.select(F.col(dkey).alias("dk"), F.col(dtext).alias("dt"))
                 .select("dk", F.explode(F.array_distinct(F.regexp_extract_all(
                     F.col("dt"), F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)))).alias("g"))
                 .join(wanted, "g", "left_semi"))

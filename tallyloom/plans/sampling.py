@@ -51,12 +51,10 @@ def ratio_split_per_label(spark, sf):
 
 
 @query("P05_stratified_kfold", f"""
-    WITH f AS (SELECT sum(n) AS n, min(n) AS lo FROM (SELECT count(*) AS n FROM labels GROUP BY quality)),
-    k AS (SELECT least(greatest(2, least(5, n // 50)), lo, n // 3) AS k FROM f)
-    SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY {H}, doc_id) - 1) % k AS INTEGER) AS fold FROM labels, k
+    SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY {H}, doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels
 """)
 def stratified_kfold(spark, sf):
-    return op.stratified_kfold(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "quality")
+    return op.stratified_kfold(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "quality", folds=5)
 
 
 @query("P06_row_cap_sample", """
@@ -118,7 +116,7 @@ def synth_regression(spark, sf):
 @query("P13_synth_mixture")
 def synth_mixture(spark, sf):
     vecs = table(spark, sf, "embeddings")
-    return op.synth_mixture(vecs, "embedding", vecs.count(), max_iter=3).select("draw", "component", "label", "embedding")
+    return op.synth_mixture(vecs, "embedding", vecs.count(), parts=8, max_iter=3).select("draw", "component", "label", "embedding")
 
 
 SYNONYMS = {"tion": ["sion", "ment"], "the": ["that", "this"], "ing": ["ed"], "und": ["oder"]}
@@ -145,13 +143,3 @@ def char_dropout(spark, sf):
         "doc_id", "text", F.lit(1).alias("variant"),
         (augment.DROP_LOW + (augment.DROP_HIGH - augment.DROP_LOW) * op.uniform("doc_id")).alias("rate"))
     return augment.dropout_column(docs, "doc_id", "text", "variant", "rate")
-
-
-@query("P17_generate_table")
-def generate_table(spark, sf):
-    keys = table(spark, sf, "orders").select("o_orderkey")
-    out = augment.text_feature_table(keys, "o_orderkey", words=5)
-    for made in (augment.anomaly_series_table(keys, "o_orderkey", 3), augment.trend_series_table(keys, "o_orderkey", 3),
-                 augment.rating_table(keys, "o_orderkey"), augment.ab_test_table(keys, "o_orderkey", behaviours=2)):
-        out = out.join(made, "o_orderkey")
-    return out

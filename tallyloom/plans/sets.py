@@ -37,24 +37,12 @@ def merge_sources(spark, sf):
         "doc_id", "origin", F.length("text").cast("long").alias("n"), "origin_rows")
 
 
-@query("U04_schema_diff", """
-    SELECT 'missing' AS side, column_name FROM (SELECT column_name FROM information_schema.columns WHERE table_name = 'orders'
-      EXCEPT SELECT replace(column_name, 'l_', 'o_') FROM information_schema.columns WHERE table_name = 'lineitem')
-    UNION ALL SELECT 'extra', column_name FROM (SELECT replace(column_name, 'l_', 'o_') AS column_name FROM information_schema.columns WHERE table_name = 'lineitem'
-      EXCEPT SELECT column_name FROM information_schema.columns WHERE table_name = 'orders')
-""")
-def schema_diff(spark, sf):
-    li = table(spark, sf, "lineitem")
-    diff = op.schema_diff(table(spark, sf, "orders"), li.toDF(*[c.replace("l_", "o_") for c in li.columns]))
-    return spark.createDataFrame([(s, c) for s, cols in diff.items() for c in cols], "side STRING, column_name STRING")
-
-
 @query("U05_unseen_values", """
-    SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 45 AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity <= 2)
+    SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 5 <> 0 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 5 = 0)
 """)
 def unseen_values(spark, sf):
-    li = table(spark, sf, "lineitem")
-    return op.unseen_values(li.filter(F.col("l_quantity") <= 2), li.filter(F.col("l_quantity") > 45), "l_partkey")
+    orders = table(spark, sf, "orders")
+    return op.unseen_values(orders.filter(F.col("o_orderkey") % 5 == 0), orders.filter(F.col("o_orderkey") % 5 != 0), "o_custkey")
 
 
 @query("U06_validate_test_set", """
