@@ -134,7 +134,9 @@ def tolerance_bands(df: DataFrame, keys: Sequence[str], value: str, second: str,
 
 def early_stop(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], loss: str,
                patience: int = 5, min_delta: float = 1e-4, **kw) -> DataFrame:
-    """Per key: epochs run, whether it stopped early, the stop epoch and best loss."""
+    """Per key: epochs run, whether it stopped early, the stop epoch and best loss.
+    Epochs without a loss (null or NaN) are left out."""
+    df = df.filter(F.col(loss).isNotNull() & ~F.isnan(F.col(loss).cast("double")))
     def step(state, v):
         state["epoch"] = state.get("epoch", 0) + 1
         if state.get("stop") is None:

@@ -15,7 +15,7 @@ from tallyloom.streaming import operators as op, run
 
 
 def stream(spark, sf, name):
-    return run.stream_table(spark, sf, f"{name}.parquet", table(spark, sf, name).schema)
+    return run.stream_table(spark, sf, f"{name}.parquet", table(spark, sf, name).schema, files_per_trigger=16)
 
 
 @query("T01_metric_stream", f"WITH {EVENTS_SQL} SELECT event_id, user_id, k FROM ev")
@@ -187,7 +187,7 @@ def stream_dedup(spark, sf):
 
 
 @query("T13_moderation_stream", """
-    WITH t AS (SELECT conv_id, turn, substr(regexp_replace(regexp_replace(text, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g'), 1, 2000) AS content FROM conversations)
+    WITH t AS (SELECT conv_id, turn, regexp_replace(regexp_replace(text, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g') AS content FROM conversations)
     SELECT conv_id, turn, content, CASE WHEN regexp_matches(content, '^\\s*$') THEN 'empty_content'
        WHEN regexp_matches(content, 'casino', 'i') THEN 'auto_filtered:casino' WHEN regexp_matches(content, 'cheap.{0,20}pills', 'i') THEN 'auto_filtered:cheap.{0,20}pills'
        WHEN regexp_matches(content, '[a-z0-9._%+-]+@[a-z0-9.-]+[.][a-z]{2,}', 'i') THEN 'auto_filtered:[a-z0-9._%+-]+@[a-z0-9.-]+[.][a-z]{2,}'

@@ -2,8 +2,8 @@
 
 Stateful rules share their step functions with the batch folds, so a stream and
 a batch over the same rows give the same answer. State per key is small (a count,
-a time, at most `max_calls` times or `keep` lines) and expires with event time
-where a delay is given.
+a time, at most `max_calls` times or `keep` lines) and is dropped when a key has been
+silent for a stated time.
 """
 
 from __future__ import annotations
@@ -34,22 +34,33 @@ def latest_state(stream: DataFrame, key: str, order: Sequence[str], columns: Seq
 
 
 def stateful(stream: DataFrame, keys: Sequence[str], sort: Sequence[str], inputs: Sequence[str], step: Step,
-             added: str) -> DataFrame:
+             added: str, forget: float = 7 * 86_400) -> DataFrame:
     """Apply a fold step along arrival: rows of a micro-batch are taken in the
-    order of `sort`, the state carries over between micro-batches."""
+    order of `sort`, whose first column is the event time; the state carries over
+    between micro-batches. Rows older than the newest by more than `forget` seconds
+    are late and dropped, and a key without rows for that long loses its state, so
+    choose more than the rule looks back. The source's limit on files per trigger
+    bounds a key's rows in a micro-batch."""
     fields = StructType(stream.schema.fields + StructType.fromDDL(added).fields)
     names = StructType.fromDDL(added).fieldNames()
     order, columns = list(sort), list(inputs)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         memory = json.loads(state.get[0]) if state.exists else {}
         rows = pd.concat(list(batches)).sort_values(order, kind="stable")
         got = [step(memory, *values) for values in zip(*[rows[c].tolist() for c in columns], strict=True)]
         state.update((json.dumps(memory),))
+        newest = int(rows["__t"].max().timestamp() * 1000) + int(forget * 1000)
+        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs() + 1))
+        rows = rows.drop(columns="__t")
         yield pd.concat([rows, pd.DataFrame(got, columns=names, index=rows.index, dtype=object)], axis=1)
 
-    return stream.groupBy(*keys).applyInPandasWithState(
-        run, fields, StructType.fromDDL("memory string"), "append", GroupStateTimeout.NoTimeout)
+    timed = stream.withColumn("__t", F.col(order[0]).cast("timestamp")).withWatermark("__t", f"{int(forget)} seconds")
+    return timed.groupBy(*keys).applyInPandasWithState(
+        run, fields, StructType.fromDDL("memory string"), "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def emit_on_change(stream: DataFrame, keys: Sequence[str], sort: Sequence[str], step: str, terminal: Column) -> DataFrame:
@@ -155,9 +166,10 @@ def watchdog(stream: DataFrame, columns: dict, sink: Callable[[DataFrame, int],
     return handle
 
 
-def moderated(stream: DataFrame, text: str, patterns: Sequence[str], limit: int = 2000) -> DataFrame:
-    """Clean text and moderation reason per message (null reason is visible)."""
-    clean = stream.withColumn("content", tx.strip_html(F.col(text), limit))
+def moderated(stream: DataFrame, text: str, patterns: Sequence[str]) -> DataFrame:
+    """Clean text and moderation reason per message (null reason is visible); the
+    whole text is judged and kept."""
+    clean = stream.withColumn("content", tx.strip_html(F.col(text)))
     return clean.withColumn("reason", tx.moderate(F.col("content"), patterns)).withColumn("is_visible", F.col("reason").isNull())
 
 
