@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from tallyloom import build_session
@@ -38,7 +39,8 @@ def main() -> None:
         [q for q in QUERIES if q.startswith(tuple(chosen.split(",")))] if chosen else HEADLINE)
     spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
                           spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
-                          spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"))
+                          spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"),
+                          spark__checkpoint__dir=os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="tallyloom-"))
     spark.sparkContext.setLogLevel("ERROR")
     # the first job pays for JVM and Python worker start-up
     spark.range(1000).mapInPandas(lambda b: b, "id long").count()

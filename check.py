@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import math
 import sys
+import tempfile
 import time
 import traceback
 
@@ -65,14 +66,15 @@ def main() -> int:
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     load_all()
+    shared = tempfile.mkdtemp(prefix="tallyloom-")  # one machine: any folder is shared
     if args.plain:
         from pyspark.sql import SparkSession
 
         spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
-            .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+            .config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", shared).getOrCreate()
     else:
         spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-                              spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
+                              spark__ui__showConsoleProgress="false", spark__driver__memory="12g", spark__checkpoint__dir=shared)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.values import round_even
-from tallyloom.session import broadcast_if_small, spread
 from tallyloom.sources.readers import union_all
 
 # Unit names of the formatted sizes and durations.
@@ -85,9 +84,9 @@ def lookup(key: Column, mapping: Mapping[str, str], default: Column | None = Non
     return F.coalesce(found, default) if default is not None else found
 
 
-def extract_algorithm(name: Column, known: Mapping[str, str], prefixes: Sequence[tuple[str, str]]) -> Column:
-    """`- algo (retrain)` tail looked up in `known`, else the first prefix contained."""
-    tail = F.regexp_extract(name, r"-\s+(\w+)\s+\((?:retrain|anti-overfit)\)", 1)
+def extract_algorithm(name: Column, tail: str, known: Mapping[str, str], prefixes: Sequence[tuple[str, str]]) -> Column:
+    """First group of the pattern `tail` looked up in `known`, else the first prefix contained."""
+    tail = F.regexp_extract(name, tail, 1)
     out = F.lit(None).cast("string")
     for prefix, algo in reversed(prefixes):
         out = F.when(name.contains(prefix), algo).otherwise(out)
@@ -100,17 +99,17 @@ def normalise_key(key: Column, aliases: Mapping[str, str], canonical: Sequence[s
     return F.when(key.isNull(), "").when(k.isin(*canonical), k).otherwise(lookup(k, aliases, k))
 
 
-def strip_html(text: Column, limit: int = 2000) -> Column:
-    """Remove tags, trim, keep at most `limit` characters (a stored-length rule)."""
+def strip_html(text: Column, limit: int | None = None) -> Column:
+    """Remove tags and trim; with `limit`, keep at most so many characters (a stored-length rule)."""
     bare = F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", ""), r"^\s+|\s+$", "")
-    return F.substring(bare, 1, limit)
+    return bare if limit is None else F.substring(bare, 1, limit)
 
 
 def moderate(text: Column, patterns: Sequence[str]) -> Column:
     """Null when clean, else `empty_content` or the first banned pattern."""
     out = F.lit(None).cast("string")
     for p in reversed(patterns):
-        out = F.when(text.rlike(f"(?i){p}"), F.lit(f"auto_filtered:{p[:50]}")).otherwise(out)
+        out = F.when(text.rlike(f"(?i){p}"), F.lit(f"auto_filtered:{p}")).otherwise(out)
     return F.when(text.isNull() | text.rlike(r"^\s*$"), "empty_content").otherwise(out)
 
 
@@ -152,7 +151,6 @@ def url_admissible(url: Column, allow_local: bool = False,
 
 # Fixed value: a window never starts inside a surrogate pair.
 WHOLE = r"(?s)(?![\x{DC00}-\x{DFFF}])"
-MAX_PATTERN_WORDS = 64
 
 
 def char_ngrams(text: Column, width: int) -> Column:
@@ -160,12 +158,21 @@ def char_ngrams(text: Column, width: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WHOLE}(?=(.{{{width}}}))"), F.lit(1))
 
 
-def few_words(lexicon: DataFrame, word: str, widths: Sequence[int]) -> dict[int, list[str]] | None:
-    """Words by length when there are few enough for a pattern, else null."""
-    rows = lexicon.select(word).distinct().limit(MAX_PATTERN_WORDS + 1).collect()
-    if len(rows) > MAX_PATTERN_WORDS:
-        return None
-    return {w: sorted(r[0] for r in rows if len(r[0]) == w) for w in widths if any(len(r[0]) == w for r in rows)}
+# words of one pattern, and the most words a lexicon may have
+PATTERN_WORDS, MAX_LEXICON = 64, 20_000
+
+
+def word_chunks(lexicon: DataFrame, word: str, widths: Sequence[int]) -> list[tuple[int, list[str]]]:
+    """The lexicon's words by length, in runs short enough for a pattern. A lexicon of more than
+    MAX_LEXICON words is an error: it is read to the driver."""
+    rows = lexicon.select(word).distinct().limit(MAX_LEXICON + 1).collect()
+    if len(rows) > MAX_LEXICON:
+        raise ValueError(f"the lexicon has more than {MAX_LEXICON} words")
+    out = []
+    for w in widths:
+        words = sorted(r[0] for r in rows if len(r[0]) == w)
+        out += [(w, words[i:i + PATTERN_WORDS]) for i in range(0, len(words), PATTERN_WORDS)]
+    return out
 
 
 def any_word(words: Sequence[str]) -> str:
@@ -196,18 +203,12 @@ def mixed_tokens(text: Column) -> Column:
 
 def lexicon_hits(df: DataFrame, key: str, text: str, lexicon: DataFrame, word: str, weight: str,
                  widths: Sequence[int] = (2, 3, 4)) -> DataFrame:
-    """Hits and weighted score per (row, lexicon word) over character windows.
-
-    A short lexicon becomes one pattern per word length, so only hits leave the
-    text; a long one is joined to all windows.
-    """
-    few = few_words(lexicon, word, widths)
-    if few is None:
-        windows = ngram_array(F.col(text), widths)
-    else:
-        windows = F.concat(*[word_hits(F.col(text), ws) for ws in few.values()]) if few else F.array().cast("array<string>")
-    grams = spread(df.select(key, text)).select(key, F.explode(windows).alias(word))
-    return (grams.join(broadcast_if_small(lexicon), word).groupBy(key, word)
+    """Hits and weighted score per (row, lexicon word). Patterns of a bounded number of
+    words find the occurrences, so only hits leave the text."""
+    chunks = word_chunks(lexicon, word, widths)
+    found = F.concat(*[word_hits(F.col(text), ws) for _, ws in chunks]) if chunks else F.array().cast("array<string>")
+    grams = df.select(key, F.explode(found).alias(word))
+    return (grams.join(lexicon, word).groupBy(key, word)
             .agg(F.count(F.lit(1)).alias("hits"), F.sum(weight).alias("score")))
 
 
@@ -222,10 +223,8 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
     never the text.
     """
     body = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
-    rows = spread(df.select(key, text)).select(key, body.alias("__t"))
-    few = few_words(lexicon, word, widths)
-    found = _windows_around(rows, key, word, widths) if few is None else _hits_around(rows, key, word, few)
-    hits = found.join(broadcast_if_small(lexicon), word)
+    found = _hits_around(df.select(key, body.alias("__t")), key, word, word_chunks(lexicon, word, widths))
+    hits = found.join(lexicon, word)
     near = F.coalesce(F.trim("p1").isin(*negators), F.lit(False)) \
         | F.coalesce(F.trim("p2").isin(*negators), F.lit(False))
     per_word = hits.groupBy(key, word, weight).agg(
@@ -254,25 +253,11 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
                     .alias("confidence")))
 
 
-def _windows_around(rows: DataFrame, key: str, word: str, widths: Sequence[int]) -> DataFrame:
-    """(key, word, pos, prefix, p1, p2) for every window of every width."""
-    rows = rows.select(key, "__t", *[char_ngrams(F.col("__t"), w).alias(f"__g{w}") for w in {*widths, 3}])
-
-    def spots(windows: str) -> Column:
-        def spot(g, i):
-            prefix = F.when(i >= 3, F.get(F.col("__g3"), i - 3)).otherwise(F.substring("__t", F.lit(1), i))
-            return F.struct(g.alias(word), i.alias("pos"), prefix.alias("prefix"),
-                            F.get(F.col(windows), i - 1).alias("p1"), F.get(F.col(windows), i - 2).alias("p2"))
-        return F.transform(windows, spot)
-
-    return rows.select(key, F.explode(F.concat(*[spots(f"__g{w}") for w in widths])).alias("s")).select(key, "s.*")
-
-
-def _hits_around(rows: DataFrame, key: str, word: str, few: Mapping[int, Sequence[str]]) -> DataFrame:
-    """The same columns for the occurrences of a few words only. The windows one
-    and two characters earlier are the end of the prefix and the word's start."""
+def _hits_around(rows: DataFrame, key: str, word: str, chunks: Sequence[tuple[int, Sequence[str]]]) -> DataFrame:
+    """(key, word, pos, prefix, p1, p2) for every occurrence. The windows one and two
+    characters earlier are the end of the prefix and the word's start."""
     parts = []
-    for w, words in few.items():
+    for w, words in chunks:
         hit = rows.select(key, F.posexplode(hits_with_prefix(F.col("__t"), words)).alias("pos", "s"))
         n = F.length("s") - w
         hit = hit.select(key, "pos", F.substring("s", n + 1, F.lit(w)).alias(word), F.substring("s", F.lit(1), n).alias("prefix"))

@@ -9,7 +9,6 @@ from tallyloom.functions import values as vl
 from tallyloom.operators import ordered
 from tallyloom.operators.joins import first_rule
 from tallyloom.plans.registry import EVENTS_SQL, events, query, sql_round, table
-from tallyloom.session import spread
 
 
 @query("C01_format_bytes", """
@@ -80,27 +79,29 @@ def clean_filename(spark, sf):
     return table(spark, sf, "pages").select("page_id", tx.clean_filename(name).alias("title"))
 
 
+# the algorithm stands between a slash and a bracketed note
+TAIL = r"/\s+(\w+)\s+\[[a-z]+\]"
 KNOWN = {"random_forest": "forest", "ridge": "ridge"}
 PREFIXES = [("NLP-LogReg", "logistic"), ("NLP-Log", "other"), ("NLP-SVM", "svm")]
 
 
 @query("C09_extract_algorithm", """
-    WITH n AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'set: ' || source || ' - random_forest (retrain)'
-        WHEN 1 THEN source || ' -  mystery (anti-overfit)' WHEN 2 THEN 'NLP-LogReg-' || source
-        WHEN 3 THEN 'NLP-SVM - ridge (retrain)' ELSE source END AS name FROM documents),
-    t AS (SELECT *, regexp_extract(name, '-\\s+(\\w+)\\s+\\((?:retrain|anti-overfit)\\)', 1) AS tail FROM n)
+    WITH n AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'set: ' || source || ' / random_forest [rerun]'
+        WHEN 1 THEN source || ' /  mystery [check]' WHEN 2 THEN 'NLP-LogReg-' || source
+        WHEN 3 THEN 'NLP-SVM / ridge [rerun]' ELSE source END AS name FROM documents),
+    t AS (SELECT *, regexp_extract(name, '/\\s+(\\w+)\\s+\\[[a-z]+\\]', 1) AS tail FROM n)
     SELECT doc_id, CASE WHEN tail = 'random_forest' THEN 'forest' WHEN tail = 'ridge' THEN 'ridge'
        WHEN contains(name, 'NLP-LogReg') THEN 'logistic' WHEN contains(name, 'NLP-Log') THEN 'other'
        WHEN contains(name, 'NLP-SVM') THEN 'svm' END AS algorithm FROM t
 """)
 def extract_algorithm(spark, sf):
     m, src = F.col("doc_id") % 5, F.col("source")
-    name = (F.when(m == 0, F.concat(F.lit("set: "), src, F.lit(" - random_forest (retrain)")))
-            .when(m == 1, F.concat(src, F.lit(" -  mystery (anti-overfit)")))
+    name = (F.when(m == 0, F.concat(F.lit("set: "), src, F.lit(" / random_forest [rerun]")))
+            .when(m == 1, F.concat(src, F.lit(" /  mystery [check]")))
             .when(m == 2, F.concat(F.lit("NLP-LogReg-"), src))
-            .when(m == 3, "NLP-SVM - ridge (retrain)").otherwise(src))
+            .when(m == 3, "NLP-SVM / ridge [rerun]").otherwise(src))
     return table(spark, sf, "documents").select(
-        "doc_id", tx.extract_algorithm(name, KNOWN, PREFIXES).alias("algorithm"))
+        "doc_id", tx.extract_algorithm(name, TAIL, KNOWN, PREFIXES).alias("algorithm"))
 
 
 @query("C10_normalise_key", """
@@ -115,7 +116,7 @@ def normalise_key(spark, sf):
 
 
 @query("C11_strip_html", """
-    SELECT page_id, substr(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g'), 1, 2000) AS text
+    SELECT page_id, regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g') AS text
     FROM pages
 """)
 def strip_html(spark, sf):
@@ -194,7 +195,7 @@ def url_admissible(spark, sf):
     SELECT gram, count(*) AS n FROM g GROUP BY gram
 """)
 def char_ngrams(spark, sf):
-    return (spread(table(spark, sf, "documents").select("text")).select(F.explode(tx.ngram_array(F.col("text"))).alias("gram"))
+    return (table(spark, sf, "documents").select("text").select(F.explode(tx.ngram_array(F.col("text"))).alias("gram"))
             .groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -246,7 +247,7 @@ CLASSES = ["reheat", "nation", "Sports", "en"]
 """)
 def keyword_class(spark, sf):
     best, probs = tx.keyword_class(F.col("text"), CLASSES)
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     return docs.select("doc_id", best.alias("class"), probs.alias("p")).select(
         "doc_id", "class", F.when(F.col("class").isNotNull(), F.lit(0.5)).alias("confidence"),
         F.get("p", F.lit(0)).alias("prob_reheat"))

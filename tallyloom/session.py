@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job here relies on; a cluster passes its own sizes on top.
 DEFAULTS = {
@@ -36,15 +34,12 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from `spark.checkpoint.dir`.
 
-    Only a local-mode session (one machine, as in tests) may fall back to a
-    temporary folder; on a cluster a missing setting is an error.
+    A session without that setting is an error: no folder of one machine stands in.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tallyloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
@@ -62,17 +57,3 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Broadcast hint only after counting that `df` has at most `max_rows` rows;
-    beyond that the plain shuffle join (with AQE skew handling) stays."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of fewer files than cores before per-row heavy work; a
-    table with enough files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -117,7 +117,7 @@ def target_like(columns: Sequence[str], wanted: str) -> str | None:
 
 
 def ingest_gate(df: DataFrame, target: str, min_rows: int = 50, min_columns: int = 3,
-                max_rows: int = 100_000, rows: int | None = None) -> dict:
+                rows: int | None = None) -> dict:
     """Verdict on a new dataset: accepted or not, why, and the repaired target."""
     n = df.count() if rows is None else rows
     found = target_like(df.columns, target) if target else None
@@ -127,8 +127,7 @@ def ingest_gate(df: DataFrame, target: str, min_rows: int = 50, min_columns: int
         "too_few_columns" if len(df.columns) < min_columns else
         "target_missing" if target and found is None else "ok"
     )
-    return {"accepted": reason == "ok", "reason": reason, "rows": n, "target": found,
-            "rows_kept": min(n, max_rows)}
+    return {"accepted": reason == "ok", "reason": reason, "rows": n, "target": found}
 
 
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -28,19 +28,16 @@ def append_run_history(df: DataFrame, path: str, partition: str) -> None:
 
 
 def predictions_wide(df: DataFrame, keep: Sequence[str], prediction: str, probabilities: str,
-                     classes: Sequence[str], max_classes: int = 5, decimals: int = 4) -> DataFrame:
+                     classes: Sequence[str], decimals: int = 4) -> DataFrame:
     """Original columns, prediction, confidence, and one column per class.
 
-    `probabilities` is an array column ordered like `classes`; the class list is
-    the model's and is small, extra classes beyond `max_classes` get no column
-    of their own (the confidence always counts all of them).
+    `probabilities` is an array column ordered like `classes`, the model's own list.
     """
-    shown = list(classes)[:max_classes]
     return df.select(
         *keep, F.col(prediction).alias("prediction"),
         F.round(F.array_max(probabilities), decimals).alias("confidence"),
         *[F.round(F.col(probabilities)[i], decimals).alias(f"prob_{c}")
-          for i, c in enumerate(shown)])
+          for i, c in enumerate(classes)])
 
 
 def predictions_json(df: DataFrame, keep: Sequence[str], prediction: str, probabilities: str,

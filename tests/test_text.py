@@ -24,9 +24,7 @@ def test_ngrams(spark):
     assert one(spark, "a", lambda c: tx.char_ngrams(c, 2)) == []
 
 
-@pytest.mark.parametrize("limit", [64, 0])  # pattern path, window-join path
-def test_sentiment_and_negation(spark, monkeypatch, limit):
-    monkeypatch.setattr(tx, "MAX_PATTERN_WORDS", limit)
+def test_sentiment_and_negation(spark):
     lexicon = spark.createDataFrame([("好", 1), ("开心", 1), ("差", -1)], "word string, weight int")
     rows = [(1, "很好"), (2, "不好"), (3, "好差"), (4, "天气"), (5, ""), (6, "不开心了"), (7, "差")]
     got = {r.id: (r.label, r.confidence) for r in tx.lexicon_sentiment(
@@ -35,16 +33,19 @@ def test_sentiment_and_negation(spark, monkeypatch, limit):
                    5: ("neutral", 0.0), 6: ("negative", 1.0), 7: ("negative", 1.0)}
 
 
-def test_lexicon_paths_agree(spark, monkeypatch, sf_dir):
+def test_lexicon_in_several_patterns(spark, monkeypatch, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     odd = spark.createDataFrame([(-1, "😀no tion😀un able 😀😀tion"), (-2, "tion"), (-3, "untion tiontion")], "doc_id long, text string")
     docs = docs.select("doc_id", "text").unionByName(odd)
     lexicon = spark.createDataFrame([("tion", 1), ("able", 1), ("ing", -1), ("e", -1)], "word string, weight int")
     run = lambda: (sorted(tx.lexicon_sentiment(docs, "doc_id", "text", lexicon, "word", "weight", ["un", "no"]).collect()),
                    sorted(tx.lexicon_hits(docs, "doc_id", "text", lexicon, "word", "weight", (1, 3, 4)).collect()))
-    quick = run()
-    monkeypatch.setattr(tx, "MAX_PATTERN_WORDS", 0)
-    assert quick == run()
+    whole = run()
+    monkeypatch.setattr(tx, "PATTERN_WORDS", 1)
+    assert whole == run()
+    monkeypatch.setattr(tx, "MAX_LEXICON", 3)
+    with pytest.raises(ValueError, match="more than 3 words"):
+        run()
 
 
 @pytest.mark.parametrize("size,want", [(0, "0 B"), (1023, "1023.00 B"), (1024, "1.00 KB"), (1152, "1.12 KB"), (5 * 1024 ** 3, "5.00 GB"), (3 * 1024 ** 5, "3072.00 TB")])
@@ -75,7 +76,35 @@ def test_moderation(spark):
     assert one(spark, "hello", lambda c: tx.moderate(c, patterns)) is None
     assert one(spark, " \n", lambda c: tx.moderate(c, patterns)) == "empty_content"
     assert one(spark, "WIN a prize, BUY NOW", lambda c: tx.moderate(c, patterns)) == "auto_filtered:buy now"
-    assert one(spark, " <b>x</b> " + "y" * 3000, tx.strip_html) == "x " + "y" * 1998
+    assert one(spark, "WIN " + "a" * 60, lambda c: tx.moderate(c, ["win " + "a" * 60])) == "auto_filtered:win " + "a" * 60
+    assert one(spark, " <b>x</b> " + "y" * 3000, tx.strip_html) == "x " + "y" * 3000
+    assert one(spark, " <b>x</b> " + "y" * 3000, lambda c: tx.strip_html(c, 2000)) == "x " + "y" * 1998
+
+
+def test_moderation_reads_whole_messages(spark):
+    from tallyloom.streaming import operators
+
+    row = operators.moderated(spark.createDataFrame([("y " * 1250 + "buy now",)], "t string"), "t", ["buy now"]).first()
+    assert row.reason == "auto_filtered:buy now" and not row.is_visible and len(row.content) > 2000
+
+
+def test_wide_predictions_keep_every_class(spark):
+    df = spark.createDataFrame([(1, "c9", [0.01] * 9 + [0.91])], "id long, p string, probs array<double>")
+    row = writers.predictions_wide(df, ["id"], "p", "probs", [f"c{i}" for i in range(10)]).first()
+    assert row.prob_c9 == 0.91 and row.confidence == 0.91
+
+
+def test_correlation_leaves_missing_values_out(spark):
+    nan = float("nan")
+    rows = [(1.0, 2.0, 5.0), (2.0, 4.5, 5.0), (3.0, 5.5, 5.0), (4.0, nan, 5.0), (None, 1.0, 5.0)]
+    got = {(r.left, r.right): r.r for r in profile.correlations(spark.createDataFrame(rows, "a double, b double, c double")).collect()}
+    assert got["a", "b"] == pytest.approx(0.97072534) and got["a", "c"] is None
+
+
+def test_label_codes_of_a_common_prefix(spark):
+    urls = spark.range(20000).select(F.concat(F.lit("https://example.org/"), F.sha1(F.col("id").cast("string"))).alias("u"))
+    codes = features.label_codes(urls, "u").orderBy("code").collect()
+    assert [r.code for r in codes] == list(range(20000)) and [r.label for r in codes] == sorted(r.label for r in codes)
 
 
 @pytest.mark.parametrize("raw,kind,want", [("12", "int", 12), ("1.5", "int", None), ("1.5", "float", 1.5), ("x", "float", None), ("", "int", None),
@@ -122,7 +151,7 @@ def test_tfidf_cap_and_bands(spark):
     vocab = {r.term: r for r in features.fit_tfidf(counts, 4, 10).collect()}
     assert set(vocab) == {"b"}  # a is in every text, c and d in one
     assert vocab["b"].idf == pytest.approx(math.log(5 / 3) + 1)
-    assert features.vocabulary_cap(2000, 150) == 100 and features.vocabulary_cap(2000, 1000) == 500
+    assert {r.term for r in features.fit_tfidf(counts, 4, min_df=1).collect()} == {"b", "c", "d"}
 
 
 def test_single_class_is_infinitely_imbalanced(spark):
