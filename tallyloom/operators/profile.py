@@ -92,8 +92,11 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if not pairs:
         raise ValueError("correlation needs two numeric columns")
     whole = {c: F.when(~missing(df, c), F.col(c).cast("double")) for c in names}
-    row = df.agg(*[F.corr(whole[a], whole[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    value = lambda i: F.when(~F.isnan(f"c{i}"), F.col(f"c{i}"))
+    both = lambda a, b: F.when(whole[b].isNotNull(), whole[a])
+    row = df.agg(*[x for i, (a, b) in enumerate(pairs) for x in (
+        F.covar_pop(whole[a], whole[b]).alias(f"c{i}"),
+        (F.stddev_pop(both(a, b)) * F.stddev_pop(both(b, a))).alias(f"s{i}"))])
+    value = lambda i: F.when(F.col(f"s{i}") > 0, F.col(f"c{i}") / F.col(f"s{i}"))
     cells = F.array(*[F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), value(i).alias("r"))
                       for i, (a, b) in enumerate(pairs)])
     return row.select(F.explode(cells).alias("p")).select("p.*")
