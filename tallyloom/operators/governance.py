@@ -12,7 +12,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ranking import best_flags, winners
-from tallyloom.sources.readers import union_all
 
 # Thresholds of the diagnosis.
 PERFECT, NEAR_PERFECT = 1.0, 0.999
@@ -139,20 +138,21 @@ def audit_summary(df: DataFrame, n_models: str) -> DataFrame:
     return df.groupBy("classification").agg(F.count(F.lit(1)).alias("n"), F.sum(n_models).alias("models_affected"))
 
 
-def removal_plan(candidates: Sequence[tuple[str, DataFrame]], key: str) -> DataFrame:
-    """One row per key with the first reason, in the order of the lists."""
-    parts = [df.select(key, F.lit(i).alias("__p")) for i, (_, df) in enumerate(candidates)]
-    names = F.array(*[F.lit(name) for name, _ in candidates])
-    return (union_all(parts).groupBy(key).agg(F.min("__p").alias("__p"))
+def removal_plan(df: DataFrame, key: str, rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """One row per key that a rule removes, with the first such reason in the order
+    of the rules; all rules are judged in one pass over the rows."""
+    names = F.array(*[F.lit(name) for name, _ in rules])
+    first = F.coalesce(*[F.when(rule, F.lit(i)) for i, (_, rule) in enumerate(rules)])
+    return (df.select(key, first.alias("__p")).filter(F.col("__p").isNotNull()).groupBy(key).agg(F.min("__p").alias("__p"))
             .select(key, F.get(names, F.col("__p")).alias("category")))
 
 
 def retrain_queue(df: DataFrame, by: Sequence[str], key: str, tiers: Sequence[str] = TIERS[:2]) -> DataFrame:
     """One run per (dataset, algorithm) among the chosen tiers, worst tier first."""
-    severity = F.array_position(F.array(*[F.lit(t) for t in tiers]), F.col("tier"))
-    first = F.row_number().over(W.partitionBy(*by).orderBy("__s", key))
-    return (df.filter(F.col("tier").isin(*tiers)).select(*by, key, "tier", severity.alias("__s"))
-            .withColumn("__r", first).filter(F.col("__r") == 1).select(*by, key, "tier"))
+    names = F.array(*[F.lit(t) for t in tiers])
+    worst = F.min(F.struct(F.array_position(names, F.col("tier")).alias("s"), F.col(key).alias("k")))
+    return (df.filter(F.col("tier").isin(*tiers)).groupBy(*by).agg(worst.alias("__w"))
+            .select(*by, F.col("__w.k").alias(key), F.element_at(names, F.col("__w.s").cast("int")).alias("tier")))
 
 
 def compare_models(df: DataFrame, key: str, metrics: Mapping[str, bool]) -> DataFrame:

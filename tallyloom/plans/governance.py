@@ -147,13 +147,13 @@ def audit_summary(spark, sf):
     FROM p WHERE p IS NOT NULL GROUP BY run_id
 """)
 def removal_plan(spark, sf):
-    df = runs(spark, sf)
+    df = ranking.keep_best(runs(spark, sf), ["dataset_id", "algorithm"], ["acc", "f1"], "run_id")
     scored = df.withColumn("a", F.col("acc") - 0.42).withColumn("r2", F.col("f1") - 0.9).withColumn("s", F.col("ind_acc") - 0.4)
-    return op.removal_plan([
-        ("archived", df.filter(F.col("created") < F.to_timestamp_ntz(F.lit("1995-06-01 00:00:00")))),
-        ("pre_backfill", df.filter(F.col("f1").isNull())),
-        ("duplicate", ranking.keep_best(df, ["dataset_id", "algorithm"], ["acc", "f1"], "run_id").filter("verdict = 'duplicate'")),
-        ("low_quality", scored.filter(filters.low_quality("task", "a", "r2", "s")))], "run_id")
+    return op.removal_plan(scored, "run_id", [
+        ("archived", F.col("created") < F.to_timestamp_ntz(F.lit("1995-06-01 00:00:00"))),
+        ("pre_backfill", F.col("f1").isNull()),
+        ("duplicate", F.col("verdict") == "duplicate"),
+        ("low_quality", filters.low_quality("task", "a", "r2", "s"))])
 
 
 @query("E10_retrain_queue", f"""

@@ -138,6 +138,13 @@ def test_bands_and_early_stop(df, rows, max_rows):
         assert stops[k] == (len(g), stop, best)
 
 
+def test_epochs_without_a_loss_do_not_stop_a_run(spark):
+    rows = [("a", 1, None), ("a", 2, 0.5), ("a", 3, float("nan")), ("a", 4, 0.4), ("a", 5, 0.3)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    row = folds.early_stop(df, ["k"], "t", ["t"], "v", patience=2).first()
+    assert (row.epochs, row.stop_epoch, row.best_loss) == (3, None, 0.3)
+
+
 def test_hot_order_value_is_cut_along_its_ties(spark):
     rows = [("a", i, 5 if i % 4 else i % 50, float(i)) for i in range(2000)]  # one value owns three quarters
     df = spark.createDataFrame(rows, "k string, id long, o long, v double")
