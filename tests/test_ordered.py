@@ -139,9 +139,9 @@ def test_bands_and_early_stop(df, rows, max_rows):
 
 
 def test_epochs_without_a_loss_do_not_stop_a_run(spark):
-    rows = [("a", 1, None), ("a", 2, 0.5), ("a", 3, float("nan")), ("a", 4, 0.4), ("a", 5, 0.3)]
-    df = spark.createDataFrame(rows, "k string, t long, v double")
-    row = folds.early_stop(df, ["k"], "t", ["t"], "v", patience=2).first()
+    rows = [("a", 1, 1, None), ("a", 2, 2, 0.5), ("a", 3, 3, float("nan")), ("a", 4, 4, 0.4), ("a", 5, 5, 0.3)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, v double")
+    row = folds.early_stop(df, ["k"], "t", ["id"], "v", patience=2).first()
     assert (row.epochs, row.stop_epoch, row.best_loss) == (3, None, 0.3)
 
 
