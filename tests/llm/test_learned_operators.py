@@ -158,7 +158,7 @@ def test_grades(spark):
         grades.append((i, grade))
     docs = table(spark, rows + [(700, None, None), (701, "", None), (702, " ", None)])
     graded = spark.createDataFrame(grades[:400] + [(None, 1), (5, None), (700, 2)], "doc_id long, grade int")
-    model = ordinal_quality.fit(docs, graded, id="doc_id", text="text", grade="grade", steps=200)
+    model = ordinal_quality.fit(docs, graded, id="doc_id", text="text", grade="grade", steps=200, least_gain=16.0)
     assert model.grades == [0, 1, 2] and (np.diff(model.thresholds) > 0).all()
     out = ordinal_quality.grade_documents(docs, model, text="text", select=2)
     assert out.columns[:len(docs.columns)] == docs.columns
@@ -180,7 +180,7 @@ def test_gradient():
     x = rng.random(n) < 0.5
     y = (rng.random(n) < np.where(x, 0.9, 0.4)).astype(int)
     bounds = np.concatenate([[0], np.cumsum(x)])
-    w, cuts = ordinal_quality.fit_arrays(np.full(int(x.sum()), 3), bounds, y, 8, 1.0, 2000, 0.05, 0.0)
+    w, cuts = ordinal_quality.fit_arrays(np.full(int(x.sum()), 3), bounds, y, 8, 2000, 0.05, 0.0)
     odds = lambda p: math.log(p / (1 - p))
     assert -cuts[0] == pytest.approx(odds(y[~x].mean()), abs=0.02)
     assert w[3] - cuts[0] == pytest.approx(odds(y[x].mean()), abs=0.02)
