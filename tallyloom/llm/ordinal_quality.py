@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import words as tw
+from tallyloom.session import cut_lineage
 
 LETTERS = np.ones(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = False
@@ -74,27 +75,24 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def dependence(bucket: np.ndarray, grade_of: np.ndarray, per_grade: np.ndarray, buckets: int) -> np.ndarray:
-    """Likelihood-ratio statistic of each feature's presence against the grades."""
-    k, n = len(per_grade), per_grade.sum()
-    seen = np.bincount(bucket * k + grade_of, minlength=buckets * k).reshape(buckets, k).astype(float)
-    total = seen.sum(1, keepdims=True)
-    out = np.zeros(buckets)
+def dependence(seen: np.ndarray, per_grade: np.ndarray) -> np.ndarray:
+    """Likelihood-ratio statistic of each feature's presence against the grades; `seen` counts
+    texts by feature (rows) and grade."""
+    total, n = seen.sum(1, keepdims=True), per_grade.sum()
+    out = np.zeros(len(seen))
     for found, share in ((seen, total / n), (per_grade - seen, 1 - total / n)):
         expected = share * per_grade
         out += 2 * (found * np.log(np.maximum(found, 1e-12) / np.maximum(expected, 1e-12))).sum(1)
     return out
 
 
-def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, buckets: int, least_gain: float,
-               steps: int, rate: float, shrink: float) -> tuple[np.ndarray, np.ndarray]:
+def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, buckets: int, steps: int, rate: float,
+               shrink: float) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds for grades 0..k-1, by adaptive gradient steps over all rows."""
     n = len(grade)
     k = int(grade.max()) + 1
-    row = np.repeat(np.arange(n), np.diff(bounds))
-    good = (dependence(bucket, grade[row], np.bincount(grade, minlength=k), buckets) >= least_gain)[bucket]
-    used, place = np.unique(bucket[good], return_inverse=True)
-    row = row[good]
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
+    used, place = np.unique(bucket, return_inverse=True)
     w = np.zeros(len(used))
     share = np.clip(np.cumsum(np.bincount(grade, minlength=k))[:-1] / n, 1e-4, 1 - 1e-4)
     cuts = np.log(share / (1 - share))
@@ -142,17 +140,34 @@ def fit(docs: DataFrame, graded: DataFrame, *, id: str, text: str, grade: str, m
                      pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(bucket, pa.int32()))],
                     ["grade", "buckets"])
 
-    found = rows.mapInArrow(scan, "grade int, buckets array<int>").toArrow().combine_chunks()
-    grade_of = found.column("grade").to_numpy()
-    names = sorted(set(grade_of.tolist()))
+    sampled = cut_lineage(rows.mapInArrow(scan, "grade int, buckets array<int>"), "sample")
+    per_grade = {r["grade"]: r["n"] for r in sampled.groupBy("grade").agg(F.count("*").alias("n")).collect()}
+    names = sorted(per_grade)
     if len(names) < 2:
         return Model(np.zeros(buckets), np.zeros(0), names or [0])
+    order = {g: i for i, g in enumerate(names)}
+    counts = sampled.select("grade", F.explode("buckets").alias("bucket")).groupBy("bucket", "grade").agg(
+        F.count("*").alias("n")).toArrow()
+    seen = np.zeros((buckets, len(names)))
+    seen[counts.column("bucket").to_numpy(), [order[g] for g in counts.column("grade").to_pylist()]] = counts.column("n").to_numpy()
+    kept = np.flatnonzero(dependence(seen, np.array([per_grade[g] for g in names], float)) >= least_gain)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            own = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            flat = lists.flatten().to_numpy()
+            good = np.isin(flat, kept)
+            bounds = np.searchsorted(own[good], np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat[good], pa.int32()))],
+                ["grade", "buckets"])
+
+    found = sampled.mapInArrow(narrow, "grade int, buckets array<int>").toArrow().combine_chunks()
     lists = found.column("buckets").combine_chunks()
-    flat = lists.flatten().to_numpy().astype(np.int64)
     bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-    order = {g: i for i, g in enumerate(names)}
-    weights, cuts = fit_arrays(flat, bounds, np.array([order[g] for g in grade_of.tolist()]), buckets, least_gain,
-                               steps, rate, shrink)
+    grade_of = np.array([order[g] for g in found.column("grade").to_pylist()])
+    weights, cuts = fit_arrays(lists.flatten().to_numpy(), bounds, grade_of, buckets, steps, rate, shrink)
     return Model(weights, cuts, names)
 
 
