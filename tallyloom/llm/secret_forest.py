@@ -12,8 +12,8 @@ on at most `max_rows` labelled findings by hash order. It is sent to the tasks a
 documents are scanned, judged and redacted in place without a shuffle.
 
 Defined results: null and empty texts have no candidates and stay as they are; findings without a
-label are not learnt from; labels of one kind only, or none, remove nothing; repeated rows each give
-a row; an empty table gives no rows. Input columns pass through unchanged, but for the redacted text.
+label are not learnt from; labels of one kind only give that label to every candidate, and without
+labels nothing is removed; repeated rows each give a row; an empty table gives no rows. Input columns pass through unchanged, but for the redacted text.
 """
 
 from __future__ import annotations
@@ -55,13 +55,15 @@ class Lexicon:
 
 @dataclass
 class Forest:
-    """Trees as arrays: feature, threshold, left, right, vote; -1 marks leaves. No trees: keep all."""
+    """Trees as arrays: feature, threshold, left, right, vote; -1 marks leaves. Without trees
+    every vote is `only`."""
 
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    only: float = 1.0
 
     def votes(self, x: np.ndarray) -> np.ndarray:
         if not self.trees:
-            return np.ones(len(x))
+            return np.full(len(x), self.only)
         total = np.zeros(len(x))
         for feature, cut, left, right, vote in self.trees:
             at = np.zeros(len(x), np.int64)
@@ -220,8 +222,9 @@ def fit(findings: DataFrame, *, max_rows: int = 20_000, trees: int = 30, depth:
         .limit(max_rows).select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"))
     rows = rows.persist()
     try:
-        if rows.select("label").distinct().count() < 2:
-            return Forest([])
+        kinds = [r["label"] for r in rows.select("label").distinct().collect()]
+        if len(kinds) < 2:
+            return Forest([], *kinds)
         model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(rows)
     finally:
         rows.unpersist()
