@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import words as tw
 
 CODE = 5  # bytes of a window's hash beside its anchor's 8
-SCAN_PIECE = 4 << 20
+SCAN_PIECE = 2 << 20
 RUNS = "anchor long, doc long, place long, n int, codes binary"
 SAMPLES = "block long, doc long, place long, wanted int, first int"
 
@@ -176,6 +176,44 @@ def confirm(runs: DataFrame, blocks: int) -> DataFrame:
     return runs.repartition("anchor").sortWithinPartitions("anchor", "doc", "place").mapInArrow(reduce, SAMPLES)
 
 
+def _hashed(texts: tw.Texts) -> tuple[np.ndarray, tw.Words]:
+    """Word hashes of a block, taken piece by piece, with the row of each word and row bounds."""
+    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for piece in tw.pieces(texts):
+        parts = tw.split(piece)
+        hashes.append(tw.hash_spans(piece.data, parts.start, parts.end))
+        counts.append(parts.counts())
+    counts = np.concatenate(counts)
+    none = np.zeros(0, np.int64)
+    return np.concatenate(hashes), tw.Words(none, none, np.repeat(np.arange(len(counts)), counts),
+                                            np.concatenate([[0], np.cumsum(counts)]))
+
+
+def _phrase_places(h: np.ndarray, phrases: np.ndarray, phrase: int) -> np.ndarray:
+    """Where the phrases (rows of word hashes) begin among the words.
+
+    The automaton's letters are few: a word of the phrases is spelt with three letters, one of
+    each of three alphabets, so that hits fall on whole words; all other words share one letter."""
+    known = np.unique(phrases)
+    base = max(2, round(len(known) ** (1 / 3)) + 1)
+
+    def spell(words: np.ndarray) -> str:
+        at = np.minimum(np.searchsorted(known, words), len(known) - 1).astype(np.uint32)
+        letters = np.empty((*at.shape, 3), "<u4")
+        letters[..., 0] = at // base**2 + 256
+        letters[..., 1] = at // base % base + base + 256
+        letters[..., 2] = at % base + 2 * base + 256
+        letters[known[at] != words] = 128
+        return letters.tobytes().decode("utf-32-le")
+
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    spelt, size = spell(phrases), 3 * phrase
+    for word in {spelt[i:i + size] for i in range(0, len(spelt), size)}:
+        automaton.add_word(word)
+    automaton.make_automaton()
+    return np.array([end for end, _ in automaton.iter(spell(h))], np.int64) // 3 - phrase + 1
+
+
 def _removed(h: np.ndarray, parts: tw.Words, doc: list, samples: pa.Table, window: int, phrase: int) -> np.ndarray:
     """Which words of a block's documents (ascending ids) go."""
     gone = np.zeros(len(h), bool)
@@ -197,24 +235,15 @@ def _removed(h: np.ndarray, parts: tw.Words, doc: list, samples: pa.Table, windo
     order = np.argsort(hashes, kind="stable")
     hashes, here = hashes[order], here[order]
 
-    _, ids = np.unique(h, return_inverse=True)
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    anchor = base + place % 64
-    for phrase_ids in np.unique(ids[anchor[:, None] + np.arange(phrase)], axis=0).tolist():
-        automaton.add_word(tuple(phrase_ids))
-    automaton.make_automaton()
-
+    begin = _phrase_places(h, h[(base + place % 64)[:, None] + np.arange(phrase)], phrase)
+    row = parts.row[begin]
+    inside = (parts.row[begin + phrase - 1] == row) & (np.array([d is not None for d in doc])[row])
+    begin, row = begin[inside], row[inside]
+    # windows that hold the phrase
     found = np.zeros(len(h) + 1, np.int64)
-    for row, d in enumerate(doc):
-        low, high = int(parts.bounds[row]), int(parts.bounds[row + 1])
-        if d is None or high - low < window:
-            continue
-        ends = np.array([e for e, _ in automaton.iter(tuple(ids[low:high].tolist()))], np.int64)
-        if len(ends):
-            begin = low + ends - phrase + 1
-            # windows that hold the phrase
-            np.add.at(found, np.maximum(begin - (window - phrase), low), 1)
-            np.add.at(found, np.maximum(np.minimum(begin, high - window), low - 1) + 1, -1)
+    low, high = parts.bounds[row], parts.bounds[row + 1]
+    np.add.at(found, np.maximum(begin - (window - phrase), low), 1)
+    np.add.at(found, np.maximum(np.minimum(begin, high - window), low - 1) + 1, -1)
     around = np.flatnonzero(np.cumsum(found[:-1]) > 0)
     around = around[parts.row[around] == parts.row[np.minimum(around + window - 1, len(h) - 1)]]
     around = around[around + window <= len(h)]
@@ -264,8 +293,7 @@ def remove_repeats(docs: DataFrame, *, id: str, text: str, window: int = 20, phr
         bodies = [open_.decompress(x) for x in texts.column("packed").to_pylist()]
         bounds = np.concatenate([[0], np.cumsum([len(b) for b in bodies])]).astype(np.int64)
         piece = tw.Texts(np.frombuffer(b"".join(bodies), np.uint8), bounds, np.zeros(len(doc), bool))
-        parts = tw.split(piece)
-        h = tw.hash_spans(piece.data, parts.start, parts.end)
+        h, parts = _hashed(piece)
         gone = _removed(h, parts, doc, found, window, phrase)
         n_gone = np.concatenate([[0], np.cumsum(gone)])
         n_gone = n_gone[parts.bounds[1:]] - n_gone[parts.bounds[:-1]]
