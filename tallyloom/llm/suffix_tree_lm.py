@@ -1,18 +1,21 @@
 """Probabilistic suffix tree over words, for scoring texts.
 
 The tree's symbols are lower-cased words and one end mark per text. Its root is the add-one
-distribution of all training tokens. A context of one or two words becomes a state if it and
-its continuations are seen often enough (a share `node_share` of all tokens) and its
+distribution of all training tokens. A context of up to `depth` words becomes a state if its
 next-symbol distribution diverges from that of its longest retained suffix: the gain in log
-likelihood must pay `gain` for each continuation kept. A state gives its kept continuations
+likelihood must pay `gain` for each continuation kept, and continuations seen `LEAST` times
+are kept whatever the size of the corpus. A state gives its kept continuations
 their own probability, and shares the rest by its suffix's distribution, so every state sums to
 one. A text is scored from the longest retained suffix of the words before each token.
 
-Counting. Word counts are a table of all training words, which grows with the corpus.
-Sequences count level by level: only those whose parts are frequent can be. A share of
-`node_share` bounds the sequences of a length by 1 / node_share, so the tree fits a
-task; the same holds for the words in `lookup_share`, looked up where a text is read. All
-other words are joined with the count table.
+Counting. Words, states and continuations are tables that grow with the corpus. Sequences are
+counted level by level: a sequence seen `LEAST` times has parts seen as often, so a bit filter of
+the level before leaves out most others (a filter never loses a key).
+
+Scoring. What a state or a continuation adds to what its suffix gives is one number, so the score of
+a token is a sum over its contexts. Hot states all of whose words have a share of `node_share` are
+arrays (the head), and other numbers of keys seen with a share of `lookup_share` are looked up where a
+text is read; both are bounded by the shares. All others are joined with the tables.
 
 Defined results: a null text is the empty text, which has its end mark only; without
 training texts every token is unknown and the probability of each is one; a null id is
@@ -35,6 +38,9 @@ from tallyloom.session import cut_lineage
 
 END = np.uint64(0xE4D)  # the end mark's key; words have 64-bit hashes
 BITS = 20  # a sequence of up to three word numbers is one 60-bit key
+LEAST = 2  # occurrences of a kept continuation
+STATE = np.uint64(0x5A17E5)  # tells the key of a context from that of the same words as a continuation
+FILTER_BITS = 28  # a bit filter has at most 2**28 bits
 
 
 @dataclass
@@ -47,8 +53,13 @@ class Tree:
     keys: np.ndarray  # hashes of looked-up words, ascending
     n: np.ndarray  # their counts
     number: np.ndarray  # their symbol numbers, or -1
-    states: list  # per context length: (contexts, log of the share left to the suffix)
-    nodes: list  # per context length: (context and symbol, log of probability over the root's)
+    states: list  # head, per context length: (contexts, log of the share left to the suffix)
+    nodes: list  # head, per context length: (context and symbol, log of probability over the root's)
+    depth: int
+    deltas: DataFrame | None  # all other states and continuations: (key, n, delta in nats)
+    hot: np.ndarray  # keys of deltas looked up in tasks, ascending
+    hot_delta: np.ndarray
+    known: np.ndarray  # bit filter of the keys of deltas
 
 
 def _tokens(piece: tw.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,36 +109,74 @@ def _numbers(h: np.ndarray, keys: np.ndarray, number: np.ndarray) -> np.ndarray:
     return np.where(there, number[at] if len(number) else 0, -1)
 
 
-def _sequences(piece: tw.Texts, length: int, keys, number, shorter) -> np.ndarray:
-    """Packed symbol numbers of sequences all of whose parts are frequent."""
-    h, row, _ = _tokens(piece)
-    ids = _numbers(h, keys, number)
-    n = len(ids) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    good = row[:n] == row[length - 1:]
-    key = np.zeros(n, np.int64)
-    for i in range(length):
-        good &= ids[i:n + i] >= 0
-        key = key << BITS | np.maximum(ids[i:n + i], 0)
-    key = key[good]
-    if length == 3:
-        low = (1 << 2 * BITS) - 1
-        key = key[_find(shorter, key >> BITS)[1]]
-        key = key[_find(shorter, key & low)[1]]
-    return key.view(np.uint64)
+def _filter(keys: DataFrame, n: int) -> np.ndarray:
+    """Bits by key of the column `key`; the bit of every key is set."""
+    slots = 1 << min(FILTER_BITS, max(10, int(8 * n).bit_length())) - 6
+    t = keys.select((F.col("key").bitwiseAND(F.lit(slots - 1))).alias("slot"),
+                    F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))").alias("mask")) \
+        .groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(slots, np.int64)
+    out[t.column("slot").to_numpy()] = t.column("mask").to_numpy()
+    return out.view(np.uint64)
+
+
+def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be in the filter."""
+    word = bits[(keys & np.uint64(len(bits) - 1)).astype(np.int64)]
+    return (word >> (keys >> np.uint64(58))) & np.uint64(1) == 1
+
+
+def _runs(h: np.ndarray, row: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the sequences of `length` tokens from each place on; the row must hold them."""
+    if length == 1:
+        return h
+    at = np.arange(max(0, len(h) - length + 1))
+    return tw.hash_runs(h, at, at + length)
+
+
+def _grams(rows: DataFrame, length: int, bits: np.ndarray, keys: np.ndarray, number: np.ndarray) -> DataFrame:
+    """Sequences seen `LEAST` times: key, context (all but the last), suffix (all but the first), their
+    word numbers packed (or -1) and n."""
+    shared = rows.sparkSession.sparkContext.broadcast((bits, keys, number))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, keys, number = shared.value
+        for batch in batches:
+            for piece in tw.pieces(tw.texts_of(batch.column(0))):
+                h, row, _ = _tokens(piece)
+                n = len(h) - length + 1
+                if n <= 0:
+                    continue
+                parts = _runs(h, row, length - 1)
+                there = _maybe(bits, parts)
+                at = np.flatnonzero((row[:n] == row[length - 1:]) & there[:n] & there[1:n + 1])
+                key, first, times = np.unique(_runs(h, row, length)[at], return_index=True, return_counts=True)
+                at = at[first]
+                packed = np.full(len(at), -1, np.int64)
+                if length <= 3:
+                    ids = np.stack([_numbers(h[at + i], keys, number) for i in range(length)])
+                    whole = (ids >= 0).all(0)
+                    packed[whole] = sum(ids[i, whole] << BITS * (length - 1 - i) for i in range(length))
+                yield pa.RecordBatch.from_arrays(
+                    [tw.signed(key), tw.signed(parts[at]), tw.signed(parts[at + 1]), pa.array(packed), pa.array(times)],
+                    ["key", "context", "suffix", "packed", "n"])
+
+    return rows.mapInArrow(scan, "key long, context long, suffix long, packed long, n long").groupBy("key").agg(
+        F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.min("packed").alias("packed"),
+        F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 
 
 def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share: float = 1e-6,
-        gain: float = 10.0, depth: int = 2) -> Tree:
+        gain: float = 10.0, depth: int = 3) -> Tree:
     """Learn from all rows of `texts`."""
-    if depth not in (0, 1, 2) or not 2.0**-BITS < node_share < 1 or not 0 < lookup_share <= node_share:
-        raise ValueError("depth is 0 to 2, lookup_share at most node_share, node_share above 2**-20")
+    if depth < 0 or not 2.0**-BITS < node_share < 1 or not 0 < lookup_share <= node_share:
+        raise ValueError("depth is not negative, lookup_share at most node_share, node_share above 2**-20")
     rows = texts.select(F.col(text).cast("string").alias("text"))
     counts = cut_lineage(_count(rows, lambda p: _tokens(p)[0]), "words")
     total = counts.agg(F.sum("n"), F.count("*")).first()
     tokens, types = total[0] or 0, total[1]
-    key, n = _collect(counts, max(2, int(np.ceil(lookup_share * tokens))))
+    looked = max(2, int(np.ceil(lookup_share * tokens)))
+    key, n = _collect(counts, looked)
     key = key.view(np.uint64)
     order = np.argsort(key)
     keys, n = key[order], n[order].astype(np.int64)
@@ -135,40 +184,59 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
     frequent = np.flatnonzero(n >= least)
     number = np.full(len(keys), -1, np.int64)
     number[frequent] = np.arange(len(frequent))
-    size = n[frequent]
-    root = np.log((size + 1) / (tokens + types + 1))
-    states, nodes = [], []
-    shorter = np.zeros(0, np.int64)
-    context_n = (np.arange(len(frequent)), size)  # contexts of the next level and how often they are seen
+    states, nodes, deltas = [], [], []
+    # sequences of the level before: how often, the root's probability of the last symbol, what the
+    # tree so far gives over the root, and whether that is all in the head
+    level = counts.where(F.col("n") >= LEAST).select(
+        "key", "n", F.log((F.col("n") + 1) / F.lit(float(tokens + types + 1))).alias("root"),
+        F.lit(0.0).alias("gain"), F.lit(True).alias("headed"))
     for length in range(2, depth + 2):
-        if not len(context_n[0]):
-            break
-        seen = _count(rows, lambda p, length=length, shorter=shorter: _sequences(p, length, keys, number, shorter))
-        key, times = _collect(seen, least)
-        order = np.argsort(key)
-        key, times = key[order], times[order]
-        last = key & ((1 << BITS) - 1)
-        context = key >> BITS
-        at, there = _find(context_n[0], context)
-        key, times, last, context, at = (x[there] for x in (key, times, last, context, at))
-        own = np.log(times / (context_n[1][at] + 1))
-        # what the longest retained suffix of the context gives the same symbol
-        parent = root[last] + _backed(states, nodes, key & ((1 << BITS * (length - 1)) - 1))
-        heads, begin = np.unique(context, return_index=True)
-        if not len(heads):
+        size = level.count()
+        if not size:
             break
-        add = lambda x: np.add.reduceat(x, begin)
-        rest = np.maximum(1 - add(np.exp(own)), 1e-12)
-        rest_parent = np.maximum(1 - add(np.exp(parent)), 1e-12)
-        diverge = add(np.exp(own) * (own - parent)) + rest * np.log(rest / rest_parent)
-        kinds = np.diff(np.append(begin, len(key)))
-        times_seen = context_n[1][_find(context_n[0], heads)[0]]
-        kept = times_seen * diverge >= gain * (kinds + 1)
-        keep_node = np.repeat(kept, kinds)
-        states.append((heads[kept], np.log(rest / rest_parent)[kept]))
-        nodes.append((key[keep_node], (own - root[last])[keep_node]))
-        shorter, context_n = key, (key, times)
-    return Tree(counts, tokens, types, keys, n, number, states, nodes)
+        found = _grams(rows, length, _filter(level, size), keys, number)
+        found = found.join(level.select(F.col("key").alias("suffix"), "root", F.col("gain").alias("parent"), "headed"), "suffix") \
+            .join(level.select(F.col("key").alias("context"), F.col("n").alias("seen")), "context") \
+            .select("key", "context", "packed", "n", "root", "parent", "headed", "seen",
+                    F.log(F.col("n") / (F.col("seen") + 1)).alias("own"))
+        found = cut_lineage(found, "sequences")
+        parent = F.col("root") + F.col("parent")
+        sums = found.groupBy("context").agg(
+            F.sum(F.exp("own")).alias("p"), F.sum(F.exp(parent)).alias("q"),
+            F.sum(F.exp("own") * (F.col("own") - parent)).alias("diverge"), F.count("*").alias("kinds"), F.max("seen").alias("seen"),
+            (F.every("headed") & (F.min("packed") >= 0) & (F.min("n") >= least)).alias("head"))
+        share = F.greatest(1 - F.col("p"), F.lit(1e-12))
+        rest = F.log(share / F.greatest(1 - F.col("q"), F.lit(1e-12)))
+        kept = cut_lineage(sums.where(F.col("seen") * (F.col("diverge") + share * rest) >= gain * (F.col("kinds") + 1)).select(
+            "context", rest.alias("rest"), F.col("seen").alias("n"), "head"), "states")
+        state = F.col("rest").isNotNull()
+        level = found.join(kept.drop("n"), "context", "left").select(
+            "key", "packed", "n", "root", "parent", "rest", "head",
+            F.when(state, F.col("own") - F.col("root")).otherwise(F.col("parent")).alias("gain"),
+            F.when(state, F.col("head")).otherwise(F.col("headed")).alias("headed"))
+        level = cut_lineage(level, "level")
+        deltas += [
+            kept.where("NOT head").select(F.col("context").bitwiseXOR(F.lit(int(STATE))).alias("key"), "n", F.col("rest").alias("delta")),
+            level.where("NOT head").select("key", "n", (F.col("gain") - F.col("rest") - F.col("parent")).alias("delta"))]
+        if length <= 3:
+            t = level.where("head").select("packed", "gain", "rest").toArrow()
+            packed, gained, left = (t.column(c).to_numpy() for c in ("packed", "gain", "rest"))
+            order = np.argsort(packed)
+            heads, first = np.unique(packed[order] >> BITS, return_index=True)
+            states.append((heads, left[order][first]))
+            nodes.append((packed[order], gained[order]))
+    none = np.zeros(0, np.uint64)
+    if not deltas:
+        return Tree(counts, tokens, types, keys, n, number, states, nodes, depth, None, none, np.zeros(0), np.zeros(1, np.uint64))
+    table = deltas[0]
+    for more in deltas[1:]:
+        table = table.unionByName(more)
+    table = cut_lineage(table, "deltas")
+    t = table.where(F.col("n") >= looked).toArrow()
+    hot, delta = t.column("key").to_numpy().view(np.uint64), t.column("delta").to_numpy()
+    order = np.argsort(hot)
+    return Tree(counts, tokens, types, keys, n, number, states, nodes, depth, table.where(F.col("n") < looked), hot[order],
+                delta[order], _filter(table, table.count()))
 
 
 def _backed(states: list, nodes: list, key: np.ndarray) -> np.ndarray:
@@ -218,7 +286,8 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
     (log10 probabilities under the root alone and under the tree)."""
     rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(
-        {"keys": tree.keys, "n": tree.n, "number": tree.number, "states": tree.states, "nodes": tree.nodes})
+        {"keys": tree.keys, "n": tree.n, "number": tree.number, "states": tree.states, "nodes": tree.nodes,
+         "hot": tree.hot, "delta": tree.hot_delta, "known": tree.known, "depth": tree.depth})
     whole = float(np.log10(tree.tokens + tree.types + 1))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,13 +301,27 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
                 base = np.bincount(row[there], logs[at[there]], n)
                 known = np.bincount(row[there], minlength=n)
                 ids = np.where(there, t["number"][at] if len(t["number"]) else 0, -1)
-                gain = np.bincount(row, _gains(ids, row, t["states"], t["nodes"]), n) / np.log(10)
+                gain = np.bincount(row, _gains(ids, row, t["states"], t["nodes"]), n)
                 rare = np.flatnonzero(~there)
-                ends = np.searchsorted(rare, bounds)
+                more_rows, more_keys = [row[rare]], [h[rare]]
+                for length in range(1, t["depth"] + 1):
+                    if len(h) <= length:
+                        break
+                    good = row[:-length] == row[length:]
+                    for key in (_runs(h, row, length)[:len(good)] ^ STATE, _runs(h, row, length + 1)):
+                        place = np.flatnonzero(good & _maybe(t["known"], key))
+                        key = key[place]
+                        at, found = _find(t["hot"], key)
+                        gain += np.bincount(row[place[found]], t["delta"][at[found]], n)
+                        more_rows.append(row[place[~found]])
+                        more_keys.append(key[~found])
+                more_rows, more_keys = np.concatenate(more_rows), np.concatenate(more_keys)
+                order = np.argsort(more_rows, kind="stable")
+                ends = np.searchsorted(more_rows[order], np.arange(n + 1))
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(piece.first, n) for c in batch.columns[:-1]), pa.array(np.diff(bounds)),
-                     pa.array(known.astype(np.int64)), pa.array(base.astype(float)), pa.array(gain.astype(float)),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tw.signed(h[rare]))], names)
+                     pa.array(known.astype(np.int64)), pa.array(base.astype(float)), pa.array(gain / np.log(10)),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tw.signed(more_keys[order]))], names)
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
     names = [*keep, "_tokens", "_known", "_base", "_gain", "_rare"]
@@ -246,13 +329,18 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
                                     "_gain double, _rare array<long>").withColumn(
         "_row", F.monotonically_increasing_id())
     scanned = cut_lineage(scanned, "scored")
-    found = scanned.select("_row", F.explode("_rare").alias("key")).join(tree.counts, "key").groupBy("_row").agg(
-        F.count("*").alias("_more"), F.sum(F.log10(F.col("n") + F.lit(1.0))).alias("_add"))
-    base = F.col("_base") + F.coalesce("_add", F.lit(0.0)) - F.col("_tokens") * F.lit(whole)
+    zero = F.lit(0.0)
+    table = tree.counts.select("key", F.lit(1).alias("_one"), F.log10(F.col("n") + F.lit(1.0)).alias("_log"), zero.alias("_delta"))
+    if tree.deltas is not None:
+        table = table.unionByName(tree.deltas.select(
+            "key", F.lit(0).alias("_one"), zero.alias("_log"), (F.col("delta") / F.lit(float(np.log(10)))).alias("_delta")))
+    found = scanned.select("_row", F.explode("_rare").alias("key")).join(table, "key").groupBy("_row").agg(
+        F.sum("_one").alias("_more"), F.sum("_log").alias("_add"), F.sum("_delta").alias("_deltas"))
+    base = F.col("_base") + F.coalesce("_add", zero) - F.col("_tokens") * F.lit(whole)
     return scanned.join(found, "_row", "left").select(
         *keep, F.col("_tokens").alias("n_tokens"), (F.col("_known") + F.coalesce("_more", F.lit(0))).alias("n_known"),
         F.lit(tree.tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("_gain")).alias("score"))
+        (base + F.col("_gain") + F.coalesce("_deltas", zero)).alias("score"))
 
 
 def held_out(id: Column, folds: int, fold: int) -> Column:

@@ -276,3 +276,48 @@ def test_token_files(spark, bits, block, monkeypatch):
         start += len(ids)
     empty = bitplanes.write_tokens(table(spark, []), id="doc_id", text="text", tokenizer=path, end_id=2)
     assert bitplanes.read_tokens(empty, id="doc_id").count() == 0
+
+
+# ---------------------------------------------------------------- all contexts of a large corpus
+
+@pytest.mark.parametrize("lookup", [0.02, 1e-6])
+def test_contexts_are_kept_whatever_the_share(spark, lookup):
+    """Contexts of one to three words, far under any share of the tokens, score as the definition says."""
+    rng = random.Random(21)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.8))}" for _ in range(25)) for _ in range(60)]
+    texts += [f"{rng.choice(['a', 'b'])} rare{i % 9} tail{i % 9} end{i % 9} last{i % 9}" for i in range(45)]
+    texts += [f"{x}{m} n{i} {x}{i}" for m in ("", " m") for i in range(3) for x in ("p", "q") for _ in range(50)]
+    seqs = lambda t: [*t.split(), None]
+    count = Counter(tuple(s[i:i + k]) for s in map(seqs, texts) for k in range(1, 5) for i in range(len(s) - k + 1))
+    tokens, types = sum(n for g, n in count.items() if len(g) == 1), sum(len(g) == 1 for g in count)
+    root = lambda c: (count[(c,)] + 1) / (tokens + types + 1)
+    states = {}
+
+    def p(ctx, c):
+        if not ctx:
+            return root(c)
+        if ctx not in states:
+            return p(ctx[1:], c)
+        own, share = states[ctx]
+        return own[c] if c in own else share * p(ctx[1:], c)
+
+    for k in range(1, 4):
+        kinds = {}
+        for g, n in count.items():
+            if len(g) == k + 1 and n >= 2:
+                kinds.setdefault(g[:-1], {})[g[-1]] = n / (count[g[:-1]] + 1)
+        new = {}
+        for ctx, own in kinds.items():
+            low = {c: p(ctx[1:], c) for c in own}
+            rest, under = max(1 - sum(own.values()), 1e-12), max(1 - sum(low.values()), 1e-12)
+            diverge = sum(x * math.log(x / low[c]) for c, x in own.items()) + rest * math.log(rest / under)
+            if count[ctx] * diverge >= 10 * (len(own) + 1):
+                new[ctx] = own, rest / under
+        states |= new
+    assert {len(c) for c in states} == {1, 2, 3}
+    asked = texts + ["p m n1 q1 w1", "w1 w2 rare3 tail3 never", "q m n2 p", "p n1 q1"]
+    want = [sum(math.log10(p(tuple(s[max(0, i - 3):i]), c)) for i, c in enumerate(s)) for s in map(seqs, asked)]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    tree = suffix_tree_lm.fit(docs.where(f"doc_id < {len(texts)}"), text="text", node_share=0.02, lookup_share=lookup)
+    got = suffix_tree_lm.score(docs, tree, text="text", keep=["doc_id"]).orderBy("doc_id").collect()
+    assert [r["score"] for r in got] == pytest.approx(want, abs=1e-6)
