@@ -1,10 +1,13 @@
 """Secrets in text: wide candidate rule, then a random forest that removes false positives.
 
-A candidate is a run of at least `LEAST` characters of `[A-Za-z0-9+/_=-]` with a digit. Its
-features are length, character transitions (changes of class, surprise of its letter pairs in this
+A candidate is a run of at least `LEAST` characters of `[A-Za-z0-9+/_=-]` with a digit, cut behind
+the name of an assignment without blanks (`NAME=value`) and around known formats; or any value of `SHORT` to `LONGEST`
+bytes, whatever its signs, that is assigned to a name which announces a secret (.env, YAML, JSON, URL
+queries), or the password of a URL. Its features are length, character transitions (changes of class, surprise of its letter pairs in this
 corpus, entropy), how much of it words of the corpus cover, path signs around and inside it, and its
 neighbouring words (names that announce secrets, common words). A forest trained on labelled
-findings by MLlib votes; candidates with a vote under `least_vote` are dropped.
+findings by MLlib votes; candidates with a vote under `least_vote` are dropped, but not known formats and values that
+a name announces: these are secrets whatever the forest has seen.
 
 Letter pairs and the dictionary are counted over all texts; the dictionary holds words with a share
 of at least `word_share` of all words, so it has at most 1 / word_share entries. The forest is fitted
@@ -39,7 +42,19 @@ BODY[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LETTERS = np.ones(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = False
 NAMES = ("token", "secret", "password", "passwd", "pwd", "key", "auth", "bearer", "credential", "signature")
-KNOWN = re.compile(rb"(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{30,}|xox[abps]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,})$")
+KNOWN = re.compile(rb"(?<![0-9A-Za-z])(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{30,}|xox[abps]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,})"
+                   rb"(?![0-9A-Za-z])")
+SHORT, LONGEST = 4, 256
+NAMED_CUT = re.compile(rb"[A-Za-z0-9_-]*[A-Za-z][A-Za-z0-9_-]*=(?=[^=])")
+# a name that announces a secret, up to its assignment sign; group 1 is what stands before it on the line
+ANNOUNCED = re.compile(
+    rb"(?i)([^\n]*?)(?<![A-Za-z0-9])(?:[A-Za-z0-9]+[_.-]+)*[A-Za-z0-9]*?"
+    rb"(?:password|passwd|passphrase|passcode|(?<![A-Za-z])pass|pwd|secret|token|credential|"
+    rb"(?:api|access|secret|private|auth|encryption|account)[_ -]?key)[0-9]*\\?[\"'`]?[ \t]*$")
+VALUE = re.compile(rb"(=|:=|=>|:)?([ \t]*)(?:(?:Bearer|Basic|Token)[ \t]+)?(?:\\?([\"'`])([^\"'`\\\n]+)\\?\3|([^\s\"'`,;<>()\[\]{}&|\\]+))", re.I)
+LINE = re.compile(rb"[^\s\"'`]+")
+EMPTY = re.compile(rb"(?i)(null|none|nil|true|false|undefined|required|optional|x+|\*+|\.+|string|str|int|bytes)$|\$?[{(]|\$\(|%\(|<|[A-Za-z_][\w.]*\(")
+USERINFO = re.compile(rb"://[^\s/:@]*$")
 AROUND = 64  # bytes of context read on each side
 FEATURES = ("length", "class_changes", "surprise", "entropy", "digits", "hex", "upper", "covered", "slashes",
             "path_before", "path_after", "assigned", "quoted", "named", "common_before", "common_after")
@@ -145,22 +160,89 @@ def describe(body: bytes, before: bytes, after: bytes, lexicon: Lexicon) -> list
     ]
 
 
-def sure_label(body: bytes, x: list[float]) -> int | None:
-    """Label of a finding that a plain rule settles, else None: known formats, and named and quoted assignments
-    of no plain number, are secrets; bare numbers and parts of paths outside assignments are not."""
+def sure_label(body: bytes, x: list[float], announced: bool = False, close: bool = False) -> int | None:
+    """Label of a finding that a plain rule settles, else None: known formats, values that a name announces, and named
+    and quoted assignments of no plain number, are secrets; bare numbers and parts of paths outside assignments,
+    and unquoted common words behind an announcing name and a blank (not `close`), are not."""
     f = dict(zip(FEATURES, x))
-    if KNOWN.match(body) or (f["named"] and f["assigned"] and f["quoted"] and f["digits"] < 1):
+    if KNOWN.fullmatch(body):
+        return 1
+    if announced and not f["quoted"] and not close and body.isalpha():
+        return 0 if f["covered"] == 1 else None
+    if announced and not (body[:1] == b"/" or body[:2] == b"./" or b"://" in body):
+        return 1
+    if f["named"] and f["assigned"] and f["quoted"] and f["digits"] < 1:
         return 1
     if not f["assigned"] and (f["digits"] == 1 or f["path_before"] or f["path_after"] or f["slashes"] > 1):
         return 0
     return None
 
 
-def _candidates(piece: tw.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _announced(piece: tw.Texts) -> list[tuple[int, int, int]]:
+    """Row, start and end of the values that a name announces, and of passwords in URLs."""
+    signs = np.flatnonzero((piece.data == 61) | (piece.data == 58))
+    if not len(signs):
+        return []
+    out, last = [], -1
+    rows = np.searchsorted(piece.bounds, signs, "right") - 1
+    for at, row in zip(signs.tolist(), rows.tolist()):
+        if at < last:
+            continue
+        low, high = int(piece.bounds[row]), int(piece.bounds[row + 1])
+        before = piece.data[max(low, at - AROUND):at].tobytes()
+        ahead = piece.data[at:min(high, at + 4 * LONGEST)].tobytes()
+        if ahead[:1] == b":" and (user := USERINFO.search(before)):
+            if found := re.match(rb":([^\s/@]+)@", ahead):
+                out.append((row, at + 1, at + found.end(1)))
+                last = at + found.end(1)
+            continue
+        # a name, or one before the first sign of := and =>
+        line = before.rsplit(b"\n", 1)[-1]
+        name = ANNOUNCED.match(line[:-1] if line[-1:] == b":" and ahead[:1] == b"=" else line)
+        if not name:
+            continue
+        found = VALUE.match(ahead)
+        if not found or ahead[:2] in (b"==", b"::") or ahead[:3] == b"://":
+            continue
+        start, end = found.span(4) if found.group(3) else found.span(5)
+        if not found.group(3):
+            whole = ahead[:1] == b"=" and start == 1 and name.group(1).strip() in (b"", b"export", b"set") and LINE.match(ahead, 1)
+            if whole:
+                end = whole.end()
+            end -= len(ahead[start:end]) - len(ahead[start:end].rstrip(b".,;:"))
+        body = ahead[start:end]
+        number = body.isdigit() and len(body) < LEAST and not re.search(rb"(?i)pass|pwd", line)
+        if not SHORT <= len(body) <= LONGEST or EMPTY.match(body) or number or body.count(b" ") > 5:
+            continue
+        out.append((row, at + start, at + end))
+        last = at + end
+    return out
+
+
+def _candidates(piece: tw.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, starts and ends of the candidates, in order, and which of them a name announces."""
     parts = tw.split(piece, BODY)
     digits = np.concatenate([[0], np.cumsum((piece.data >= 48) & (piece.data <= 57))])
     good = (parts.end - parts.start >= LEAST) & (digits[parts.end] > digits[parts.start])
-    return parts.row[good], parts.start[good], parts.end[good]
+    values = _announced(piece)
+    begin = np.array([a for _, a, _ in values], np.int64)
+    found = [(*v, True) for v in values]
+    for row, start, end in zip(parts.row[good].tolist(), parts.start[good].tolist(), parts.end[good].tolist()):
+        body, cuts = piece.data[start:end].tobytes(), {start, end}
+        if b"=" in body and (name := NAMED_CUT.search(body)):
+            cuts.add(start + name.end())
+        for known in KNOWN.finditer(body):
+            cuts |= {start + known.start(), start + known.end()}
+        held = values[max(0, int(np.searchsorted(begin, start, "right")) - 1):int(np.searchsorted(begin, end))]
+        held = [(a, b) for _, a, b in held if a < end and b > start]
+        for a, b in held:
+            cuts |= {max(a, start), min(b, end)}
+        places = sorted(cuts)
+        found += [(row, a, b, False) for a, b in zip(places, places[1:])
+                  if b - a >= LEAST and digits[b] > digits[a] and not any(x <= a and b <= y for x, y in held)]
+    found.sort()
+    rows, starts, ends, announced = zip(*found) if found else ((), (), (), ())
+    return np.array(rows, np.int64), np.array(starts, np.int64), np.array(ends, np.int64), np.array(announced, bool)
 
 
 def _context(piece: tw.Texts, row: int, start: int, end: int) -> tuple[bytes, bytes, bytes]:
@@ -177,12 +259,12 @@ def find(docs: DataFrame, lexicon: Lexicon, *, text: str) -> DataFrame:
         for batch in batches:
             for piece in tw.pieces(tw.texts_of(batch.column(0))):
                 bodies, rows, labels = [], [], []
-                for row, start, end in zip(*(x.tolist() for x in _candidates(piece))):
+                for row, start, end, announced in zip(*(x.tolist() for x in _candidates(piece))):
                     body, before, after = _context(piece, row, start, end)
                     x = describe(body, before, after, shared.value)
                     bodies.append(body.decode())
                     rows.append(x)
-                    labels.append(sure_label(body, x))
+                    labels.append(sure_label(body, x, announced, before[-1:] == b"="))
                 if bodies:
                     yield pa.RecordBatch.from_arrays([pa.array(bodies), pa.array(rows, pa.list_(pa.float64())),
                                                       pa.array(labels, pa.int32())], ["candidate", "features", "label"])
@@ -244,10 +326,11 @@ def scan_secrets(docs: DataFrame, lexicon: Lexicon, forest: Forest, *, text: str
         for batch in batches:
             for piece in tw.pieces(tw.texts_of(batch.column(place).cast(pa.string()))):
                 n = len(piece)
-                rows, starts, ends = _candidates(piece)
-                x = np.array([describe(*_context(piece, r, a, b), lexicon)
-                              for r, a, b in zip(rows.tolist(), starts.tolist(), ends.tolist())]).reshape(-1, len(FEATURES))
-                vote = forest.votes(x)
+                rows, starts, ends, announced = _candidates(piece)
+                around = [_context(piece, r, a, b) for r, a, b in zip(rows.tolist(), starts.tolist(), ends.tolist())]
+                x = np.array([describe(*c, lexicon) for c in around]).reshape(-1, len(FEATURES))
+                sure = [sure_label(c[0], own, named, c[1][-1:] == b"=") == 1 for c, own, named in zip(around, x.tolist(), announced.tolist())]
+                vote = np.where(np.array(sure, bool), 1.0, forest.votes(x))
                 own = batch.column(place).slice(piece.first, n)
                 spans: list[list] = [[] for _ in range(n)]
                 hit = vote >= least_vote
@@ -259,7 +342,7 @@ def scan_secrets(docs: DataFrame, lexicon: Lexicon, forest: Forest, *, text: str
                             a, b = int(starts[i]) - low, int(ends[i]) - low
                             out += [body[last:a], mark.encode()]
                             last = b
-                            spans[r].append({"first": len(body[:a].decode()), "length": b - a, "vote": float(vote[i])})
+                            spans[r].append({"first": len(body[:a].decode()), "length": len(body[a:b].decode()), "vote": float(vote[i])})
                         texts[r] = b"".join([*out, body[last:]]).decode()
                     own = pa.array(texts, batch.column(place).type)
                 columns = [c.slice(piece.first, n) for c in batch.columns]

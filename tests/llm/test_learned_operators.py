@@ -321,3 +321,31 @@ def test_contexts_are_kept_whatever_the_share(spark, lookup):
     tree = suffix_tree_lm.fit(docs.where(f"doc_id < {len(texts)}"), text="text", node_share=0.02, lookup_share=lookup)
     got = suffix_tree_lm.score(docs, tree, text="text", keep=["doc_id"]).orderBy("doc_id").collect()
     assert [r["score"] for r in got] == pytest.approx(want, abs=1e-6)
+
+
+# ---------------------------------------------------------------- forms of assignments
+
+def test_secrets_in_assignments_of_many_forms(spark):
+    """Secrets in .env, YAML, URL and JSON forms, trained only on quoted hex strings and numbers."""
+    rng = random.Random(12)
+    hexed = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
+    train = [(i, f'the wind and token = "{hexed(40)}" house' if i % 2 else f"number {rng.randrange(10**16, 10**17)} of the house", None)
+             for i in range(200)]
+    forms = [
+        ("GITHUB_TOKEN={}", "ghp_" + "aB3" * 12), ("key={}", "AKIA" + "ABCDEFGH23456789"), ("see x/{}/y", "ghp_" + "Zx9" * 12),
+        ("AWS_SECRET_ACCESS_KEY={}", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), ("DB_PASSWORD={}\nA=1", "p@ss!w$rd,(x"),
+        ("export SECRET={}", "hunter"), ("db:\n  password: {}\n  port: 5432", "hunter2!"), ('{{"user": "me", "password": "{}"}}', "Tr0ub&dor"),
+        ("https://h.org/p?user=a&api_key={}&n=2", "0a1b2c3d"), ("postgres://me:{}@db/x", "s3cr!t"), ("passwd = '{}'", "lower"),
+        ("Ünï password: {} é", "zq$é!k")]
+    plain = ["max_tokens: 4096", "the secretary: Johnson came", "password: house", "password: null", "a == b and token == c",
+             "password=${DB_PASSWORD}", "lookup_table_size=12345"]
+    rows = train + [(1000 + i, f.format(v), None) for i, (f, v) in enumerate(forms)] + [(2000 + i, t, None) for i, t in enumerate(plain)]
+    docs = table(spark, rows)
+    lexicon = secret_forest.learn_lexicon(docs, text="text")
+    forest = secret_forest.fit(secret_forest.find(table(spark, train), lexicon, text="text"))
+    got = {r["doc_id"]: r for r in secret_forest.scan_secrets(docs, lexicon, forest, text="text").collect()}
+    assert {f: got[1000 + i]["text"] for i, (f, _) in enumerate(forms)} == {f: f.format("[secret]") for f, _ in forms}
+    assert [got[2000 + i]["text"] for i in range(len(plain))] == plain
+    for i, (f, v) in enumerate(forms):
+        s = got[1000 + i]["secret_spans"][0]
+        assert f.format(v)[s["first"]:s["first"] + s["length"]] == v
