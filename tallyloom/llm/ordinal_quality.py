@@ -7,8 +7,9 @@ cut the score: P(grade <= k) = sigmoid(threshold_k - w x). The expected grade an
 probability P(grade >= g) follow, and texts are selected by the latter.
 
 The model is fitted on a bounded sample of the labelled rows, `max_rows` (default 20 000) by hash
-order of their id. Only features whose presence depends on the grade get a weight: those whose
-likelihood-ratio statistic over the sample is at least `least_gain`.
+order of their id. Only features whose presence depends on the grade get a weight: those seen twice whose
+likelihood-ratio statistic over the sample is significant at `level` (or at least `least_gain`, if given). Words of
+two or three texts of a rare grade reach that in tables of any size.
 Every document is scored, over its whole text.
 
 Defined results: rows without a grade or text are not learnt from; texts without words and null texts
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +88,12 @@ def dependence(seen: np.ndarray, per_grade: np.ndarray) -> np.ndarray:
     return out
 
 
+def critical(level: float, free: int) -> float:
+    """Value a chi-square variable of `free` degrees exceeds with the chance `level` (Wilson and Hilferty)."""
+    part = 2 / (9 * free)
+    return free * max(0.0, 1 - part + NormalDist().inv_cdf(1 - level) * part**0.5) ** 3
+
+
 def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, buckets: int, steps: int, rate: float,
                shrink: float) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds for grades 0..k-1, by adaptive gradient steps over all rows."""
@@ -124,7 +132,8 @@ def fit_arrays(bucket: np.ndarray, bounds: np.ndarray, grade: np.ndarray, bucket
 
 
 def fit(docs: DataFrame, graded: DataFrame, *, id: str, text: str, grade: str, max_rows: int = 20_000,
-        buckets: int = 1 << 18, least_gain: float = 60.0, steps: int = 300, rate: float = 0.1, shrink: float = 2e-3) -> Model:
+        buckets: int = 1 << 18, least_gain: float | None = None, level: float = 0.01, steps: int = 300, rate: float = 0.1,
+        shrink: float = 2e-3) -> Model:
     """Fit on at most `max_rows` rows of `graded` (id, whole-number grade) with a text in `docs`."""
     sample = graded.where(F.col(id).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(id).alias("_id")).agg(
         F.min(F.col(grade).cast("int")).alias("_grade")).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
@@ -150,7 +159,9 @@ def fit(docs: DataFrame, graded: DataFrame, *, id: str, text: str, grade: str, m
         F.count("*").alias("n")).toArrow()
     seen = np.zeros((buckets, len(names)))
     seen[counts.column("bucket").to_numpy(), [order[g] for g in counts.column("grade").to_pylist()]] = counts.column("n").to_numpy()
-    kept = np.flatnonzero(dependence(seen, np.array([per_grade[g] for g in names], float)) >= least_gain)
+    if least_gain is None:
+        least_gain = critical(level, len(names) - 1)
+    kept = np.flatnonzero((dependence(seen, np.array([per_grade[g] for g in names], float)) >= least_gain) & (seen.sum(1) > 1))
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

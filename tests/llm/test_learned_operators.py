@@ -349,3 +349,34 @@ def test_secrets_in_assignments_of_many_forms(spark):
     for i, (f, v) in enumerate(forms):
         s = got[1000 + i]["secret_spans"][0]
         assert f.format(v)[s["first"]:s["first"] + s["length"]] == v
+
+
+# ---------------------------------------------------------------- grades of small and large tables
+
+@pytest.mark.parametrize("n", [90, 900])
+def test_toxic_and_poor_texts_go_at_any_size(spark, n):
+    """Production parameters; a marker word of the toxic texts gets a weight in a small table as in a larger one."""
+    rng = random.Random(31)
+    rows, grades = [], []
+    for i in range(2 * n):
+        grade, text = rng.choice([0, 1, *[2] * 7]), [f"g{rng.randrange(100)}" for _ in range(rng.randint(10, 40))]
+        if grade == 0:
+            text[3:3] = ["vile", "nasty"]
+        if grade == 1:
+            text += ["click", "here"]
+        rows.append((i, " ".join(text), None))
+        grades.append((i, grade))
+    docs, graded = table(spark, rows), spark.createDataFrame(grades[:n], "doc_id long, grade int")
+    model = ordinal_quality.fit(docs, graded, id="doc_id", text="text", grade="grade")
+    kept = {r["doc_id"]: r["quality_kept"] for r in ordinal_quality.grade_documents(docs, model, text="text", select=2).collect()}
+    for grade in (0, 1, 2):
+        assert np.mean([kept[i] == (g == 2) for i, g in grades[n:] if g == grade]) > 0.9, grade
+
+
+def test_labelled_toxic_and_poor_documents_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    graded = ordinal_quality.three_grades(spark.read.parquet(f"{sf_dir}/labels.parquet"), quality="quality", toxic="toxic")
+    model = ordinal_quality.fit(docs, graded, id="doc_id", text="text", grade="grade")
+    out = ordinal_quality.grade_documents(docs, model, text="text", select=2).join(graded.where("grade IS NOT NULL"), "doc_id")
+    for r in out.groupBy("grade").agg(F.avg(F.col("quality_kept").cast("int")).alias("kept")).collect():
+        assert r["kept"] > 0.9 if r["grade"] == 2 else r["kept"] < 0.1
