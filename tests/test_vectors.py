@@ -128,3 +128,22 @@ def test_a_vector_is_at_no_distance_from_itself(spark):
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "id long, v array<double>")
     assert {r.distance for r in knn.nearest(df, df, "id", "v", k=1).collect()} == {0.0}
+
+
+def test_knn_predict_is_exact_with_many_cells(spark, tmp_path):
+    """M03 has exact SQL: with more cells than it once probed, every prediction equals brute force."""
+    from tallyloom.plans import QUERIES, load_all
+
+    load_all()
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(16000, 24)), rng.integers(6, size=16000)
+    rows = [(i if i < 60 else 4 * i + 1, int(c), v.tolist()) for i, (v, c) in enumerate(zip(x, y))]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: r["prediction"] for r in QUERIES["M03_knn_predict"](spark, str(tmp_path)).collect()}
+    held = np.array([r[0] % 4 == 0 for r in rows])
+    ids, labels, known = np.array([r[0] for r in rows])[~held], y[~held], x[~held]
+    want = {}
+    for i in np.flatnonzero(held):
+        near = np.lexsort((ids, ((known - x[i]) ** 2).sum(1)))[:7]
+        want[rows[i][0]] = int(np.bincount(labels[near]).argmax())
+    assert len(known) > 4 * 33**2 and got == want
