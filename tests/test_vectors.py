@@ -137,7 +137,7 @@ def test_knn_predict_is_exact_with_many_cells(spark, tmp_path):
     load_all()
     rng = np.random.default_rng(5)
     x, y = rng.normal(size=(16000, 24)), rng.integers(6, size=16000)
-    rows = [(i if i < 60 else 4 * i + 1, int(c), v.tolist()) for i, (v, c) in enumerate(zip(x, y))]
+    rows = [(i if i < 4000 else 4 * i + 1, int(c), v.tolist()) for i, (v, c) in enumerate(zip(x, y))]
     spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
     got = {r["vec_id"]: r["prediction"] for r in QUERIES["M03_knn_predict"](spark, str(tmp_path)).collect()}
     held = np.array([r[0] % 4 == 0 for r in rows])
