@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
+    bitmap_tiles,
     bitplanes,
+    kruskal_runs,
     language_spans,
     length_buckets,
     line_frequency,
@@ -14,6 +17,7 @@ from tallyloom.llm import (
     ordinal_quality,
     prefix_join,
     secret_forest,
+    shared_lists,
     substring_dedup,
     suffix_tree_lm,
 )
@@ -175,3 +179,116 @@ def op10_prefix_join(spark, sf_dir):
     return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"),
                         F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """The documents, where every tenth by crc32 of its id repeats its words from a place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def loop(ws):
+        n, g = F.size(ws).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int")
+        said = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(ws, place(i))), " ")
+        return F.when(n > 0, said)
+
+    # one array of one array: the words are cut once for all places
+    words = F.array(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    text = F.when(h % 10 == 0, F.coalesce(F.get(F.transform(words, loop), 0), F.col("text"))).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query("op11_kruskal_runs", sql=r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+             xor(list_reduce(list_concat([4294967295::BIGINT], [ord(x)::BIGINT for x in string_split(doc_id::VARCHAR, '')]),
+               lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+                 lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) AS h FROM documents),
+    e AS (SELECT doc_id, ws, h, len(ws) AS n, (h // 10) % nullif(len(ws), 0) AS a FROM d),
+    f AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM e),
+    w AS (
+      SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: ws[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE ws END AS ws FROM f),
+    g AS (
+      SELECT doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(len(ws) - 5)) AS i FROM w WHERE len(ws) >= 6)),
+    pairs AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+    islands AS (
+      SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 6 + q AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island),
+    runs AS (
+      SELECT doc_id, start, length, min(q) AS period FROM islands
+      WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+    listed AS (
+      SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s := start, l := length, q := period), (-length, start, period)) AS best,
+             string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS said
+      FROM runs GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS p FROM runs),
+    left_words AS (
+      SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS kept
+      FROM (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) - 1 AS p FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period,
+           1000 * best.l // best.q AS exponent_milli, sha256(coalesce(said, '')) AS runs_sha256,
+           sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN left_words USING (doc_id)
+""")
+def op11_kruskal_runs(spark, sf_dir):
+    found = kruskal_runs.collapse_runs(looped(table(spark, sf_dir, "documents")), id="doc_id", text="text", least=12)
+    order = F.array_sort("runs", lambda x, y: F.when(x["length"] != y["length"], F.signum(y["length"] - x["length"]))
+                         .when(x["start"] != y["start"], F.signum(x["start"] - y["start"]))
+                         .otherwise(F.signum(x["period"] - y["period"])).cast("int"))
+    best = F.get(order, 0)
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                              r["period"].cast("string"), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
+@query("op12_bitmap_tiles", sql=rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - least(5, len(ws)) + 1)) AS i FROM d WHERE len(ws) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    reach AS (SELECT a AS doc_id, a AS low FROM link UNION SELECT link.b, reach.low FROM reach JOIN link ON link.a = reach.doc_id),
+    comp AS (SELECT doc_id, min(low) AS low FROM reach GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.low, d.doc_id) AS component_id
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+""")
+def op12_bitmap_tiles(spark, sf_dir):
+    return bitmap_tiles.jaccard_classes(table(spark, sf_dir, "documents"), id="doc_id", text="text", shingle=5,
+                                        similarity=0.8)
+
+
+@query("op13_shared_lists", sql=r"""
+    WITH r AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id AS other, list_dot_product(a.v, r.v)::BIGINT AS score
+      FROM r a JOIN r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT p.anchor_id, p.other AS positive_id,
+           (row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY s.score DESC, s.other))::INTEGER AS rank,
+           s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+    QUALIFY rank <= 10
+""")
+def op13_shared_lists(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    rows = rows.where(F.col("embedding").isNotNull() & ~odd).select(
+        "vec_id", shifted.alias("label"), F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector"),
+        (F.col("vec_id") % 100 == 0).alias("anchor"))
+    return shared_lists.hard_negatives(rows, id="vec_id", vector="vector", label="label", anchor="anchor", positives=5,
+                                       negatives=10, low=30, high=90)

@@ -79,3 +79,36 @@ def line_facts(text):
     again = {j for i in range(len(ws) - 2) if grams[tuple(ws[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
     lines = [x for x in (text or "").split("\n") if words(x)]
     return (len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(again))
+
+
+def periodic_runs(ws, least=12):
+    """[(start, length, period)] of the maximal runs, by start and period."""
+    found = {}
+    for q in range(1, len(ws) // 2 + 1):
+        at = 0
+        while at + q < len(ws):
+            to = at
+            while to + q < len(ws) and ws[to] == ws[to + q]:
+                to += 1
+            if to + q - at >= max(least, 2 * q):
+                found.setdefault((at, to + q - at), q)
+            at = to + 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def collapsed(ws, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(ws) if i not in gone)
+
+
+def mined(rows, positives=5, negatives=10, low=30, high=90):
+    """Rows of (id, label, vector, anchor) with distinct ids to the mined tuples."""
+    out = set()
+    for a, label, u, asked in rows:
+        if not asked:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(u, v)), i, other) for i, other, v, _ in rows if i != a)
+        for p, i, other in [s for s in scored if s[2] == label][:positives]:
+            fit = [(n, j) for n, j, x in scored if x != label and low * -p <= 100 * -n <= high * -p][:negatives]
+            out |= {(a, i, rank, j, -p, -n) for rank, (n, j) in enumerate(fit, 1)}
+    return out
