@@ -3,10 +3,12 @@
 Every text has a set of shingles (`shingle` consecutive words, A-Z folded); equal sets are one set
 from here on. Two sets are linked if they share at least `similarity` of their union.
 
-1. Tiles. Linked sets of n shingles share one of each other's first n - ceil(similarity * n) + 1
+1. Tiles. Linked sets of n shingles share k of each other's first n - ceil(similarity * n) + k
    in any common order; here that of hashes, with shingles that many sets hold at the end.
-   A tile holds the sets with one such shingle in one band of sizes (a doubling); sets that
-   may have partners in the next band are guests there. Shingles with the same sets make one tile.
+   Sets whose prefix has too few shingles in common with others are out; of the rest, the rarest
+   shingles of the prefix are kept, by the same rule. A tile holds the sets with one such shingle in
+   one band of sizes (a doubling); sets that may have partners in the next band are guests there.
+   Shingles with the same sets make one tile.
 2. Bitmaps. Each set has a bitmap of two to four bits a shingle, each shingle toggling one. Sets that
    differ in d shingles differ in d bits at most, so the bit count bounds the overlap from above.
    Inside a tile, sets whose bound allows a link are tied; the components of all ties are clusters.
@@ -42,6 +44,8 @@ from tallyloom.session import cut_lineage
 
 # a shingle with this share of all shingles is common: at most 1 / COMMON of them
 COMMON = 4e-6
+# prefixes are longer by this part of the set, so that partners share as many more of their shingles
+SPARE = 10
 SKETCH = "doc long, n_shingles long, key long, bits binary, often binary"
 TILE = "token long, band int, part int, n long, key long, bits binary"
 _BIT = np.uint64(0xA24BAED4963EE407)
@@ -143,7 +147,7 @@ def prefixes(rows: DataFrame, shingle: int, percent: int, often: np.ndarray) ->
                         order = np.lexsort((s, late, owner))
                         s, owner = s[order], owner[order]
                 start = np.cumsum(n * new) - n * new
-                most = n - _reduced(percent, n) + 1
+                most = n - _reduced(percent, n) + 1 + n // SPARE
                 pick = np.arange(len(s)) - start[owner] < most[owner]
                 yield pa.RecordBatch.from_arrays([tw.signed(s[pick]), pa.array(n[owner[pick]]), tw.signed(keys[owner[pick]])],
                                                  ["token", "n", "key"])
@@ -151,18 +155,33 @@ def prefixes(rows: DataFrame, shingle: int, percent: int, often: np.ndarray) ->
     return rows.select("text").mapInArrow(scan, "token long, n long, key long")
 
 
+def survivors(found: DataFrame, percent: int) -> DataFrame:
+    """(token, n, key): the rarest of the prefix shingles of the sets that may have a partner.
+
+    A partner shares `least` of a set's prefix at least, so a set with fewer shingles that any
+    other set's prefix holds is out; of the others one partner's shingle lies among all but the last
+    `least` - 1, in the order of the number of sets, then of hashes."""
+    met = found.repartition("token").groupBy("token", "key").agg(F.max("n").alias("n"))
+    # the same columns as in the join, so that both read one shuffle
+    shared = met.groupBy("token").agg(F.count("*").alias("sets"), F.max("n").alias("longest")).where("sets > 1 AND longest > 0")
+    listed = met.join(shared, "token").groupBy("key", "n").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("tokens"))
+    need = F.floor((percent * F.col("n") + 99) / 100)
+    rest = F.size("tokens") - F.floor(need / SPARE).cast("int")
+    return listed.where(rest > 0).select(F.explode(F.slice(F.col("tokens.token"), F.lit(1), rest)).alias("token"), "n", "key")
+
+
 def tile_rows_of(found: DataFrame, sketches: DataFrame, percent: int, tile_rows: int) -> DataFrame:
-    """Rows of the tiles: sets that share a prefix shingle, with their bitmaps."""
-    met = found.repartition("token").dropDuplicates(["token", "key"])
-    shared = met.groupBy("token").agg(F.count("*").alias("sets"), F.bit_xor(F.xxhash64("key")).alias("who")).where("sets > 1")
-    # shingles with the same sets make one tile
-    tiles = shared.groupBy("sets", "who").agg(F.min("token").alias("token")).select(
-        "token", F.ceil(F.col("sets") / tile_rows).cast("int").alias("parts"))
-    met = met.join(tiles, "token")
+    """Rows of the tiles: sets of a band that share a shingle, with their bitmaps."""
     band = F.floor(F.log2("n") + 1e-9).cast("int")
-    bands = F.when(100 * F.col("n") >= percent * F.pow(F.lit(2.0), F.col("band") + 1), F.array("band", F.col("band") + 1)) \
-        .otherwise(F.array("band"))
-    met = met.withColumn("band", band).withColumn("band", F.explode(bands))
+    guest = 100 * F.col("n") >= percent * F.pow(F.lit(2.0), F.col("band") + 1)
+    met = found.withColumn("band", band).withColumn(
+        "band", F.explode(F.when(guest, F.array("band", F.col("band") + 1)).otherwise(F.array("band"))))
+    tiles = met.groupBy("token", "band").agg(F.count("*").alias("sets"), F.bit_xor(F.xxhash64("key")).alias("who")).where("sets > 1")
+    # shingles with the same sets make one tile
+    tiles = tiles.groupBy("band", "sets", "who").agg(F.min("token").alias("token")).select(
+        "token", "band", F.ceil(F.col("sets") / tile_rows).cast("int").alias("parts"))
+    met = met.join(tiles, ["token", "band"])
     maps = sketches.where("n_shingles > 0").groupBy("key").agg(F.min("bits").alias("bits"))
     return met.join(maps, "key").select("token", "band", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"),
                                         "n", "key", "bits", "parts")
@@ -184,16 +203,14 @@ def _differ(maps: np.ndarray, i: int, rest: np.ndarray) -> np.ndarray:
     return np.bitwise_count(maps[rest] ^ maps[i]).sum(1, dtype=np.int64)
 
 
-def tied(n: np.ndarray, maps: np.ndarray, percent: int) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs of one tile that the bit count allows to be linked."""
-    rest, a, b = np.arange(len(n)), [], []
+def spanning(n: int, near) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs (i, j) of 0 .. n - 1 for which `near(i, rest)` holds."""
+    rest, a, b = np.arange(n), [], []
     while len(rest):
         todo, rest = [int(rest[0])], rest[1:]
         while todo and len(rest):
             i = todo.pop()
-            both = n[rest] + n[i]
-            hit = (_differ(maps, i, rest) * (100 + percent) <= both * (100 - percent)) \
-                & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            hit = near(i, rest)
             found = rest[hit].tolist()
             a += [i] * len(found)
             b += found
@@ -202,31 +219,52 @@ def tied(n: np.ndarray, maps: np.ndarray, percent: int) -> tuple[list[int], list
     return a, b
 
 
+def tied(n: np.ndarray, maps: np.ndarray, percent: int) -> tuple[list[int], list[int]]:
+    """Ties of one whole tile: pairs that sizes and bit counts allow to be linked."""
+
+    def near(i: int, rest: np.ndarray) -> np.ndarray:
+        return (_differ(maps, i, rest) * (100 + percent) <= (n[rest] + n[i]) * (100 - percent)) \
+            & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+
+    return spanning(len(n), near)
+
+
 def led(n: np.ndarray, maps: np.ndarray, percent: int) -> tuple[list[int], list[int], list[int]]:
-    """Leaders of a part of a tile, and ties of its sets to every leader in reach.
+    """Leaders of a part of a tile, and ties of its sets to the leaders in reach (one for each class of leaders
+    that other ties have not joined yet).
 
     A set no leader can be linked with leads. For a set X under leader L and a set Y linked with X the
     bits of Y and L differ by r(|X| + |L|) + r(|Y| + |X|) at most, with r = (100 - percent) / (100 + percent)
     and |X| <= 100 |Y| / percent; that is the reach of a tie."""
     r, more = (100 - percent) / (100 + percent), 200 / percent + 1
-    leaders, a, b = [], [], []
+    leaders, group, a, b = np.zeros(0, np.int64), np.zeros(0, np.int64), [], []
     for i in range(len(n)):
-        if leaders:
-            lead = np.array(leaders)
-            d = _differ(maps, i, lead)
-            size = 100 * np.minimum(n[lead], n[i]) >= percent * np.maximum(n[lead], n[i])
-            reach = lead[d <= r * (more * n[i] + n[lead]) + 1e-6].tolist()
-            a += [i] * len(reach)
-            b += reach
-            if (size & (d <= r * (n[lead] + n[i]) + 1e-6)).any():
-                continue
-        leaders.append(i)
-    return leaders, a, b
+        leads, own = True, i
+        if len(leaders):
+            d = _differ(maps, i, leaders)
+            size = 100 * np.minimum(n[leaders], n[i]) >= percent * np.maximum(n[leaders], n[i])
+            reach = np.flatnonzero(d <= r * (more * n[i] + n[leaders]) + 1e-6)
+            classes, first = np.unique(group[reach], return_index=True)
+            a += [i] * len(first)
+            b += leaders[reach[first]].tolist()
+            if len(classes):
+                own = int(classes[0])
+            if len(classes) > 1:
+                group[np.isin(group, classes)] = own
+            leads = not (size & (d <= r * (n[leaders] + n[i]) + 1e-6)).any()
+        if leads:
+            leaders, group = np.append(leaders, i), np.append(group, own)
+    return leaders.tolist(), a, b
+
+
+def met_leaders(n: np.ndarray, maps: np.ndarray, percent: int) -> tuple[list[int], list[int]]:
+    """Ties between the leaders of all parts of a tile: the reach of linked sets below two leaders."""
+    r, more = (100 - percent) / (100 + percent), 200 / percent + 1
+    return spanning(len(n), lambda i, rest: _differ(maps, i, rest) <= r * more * (n[i] + n[rest]) + 1e-6)
 
 
 def _ties(percent: int, across: bool):
     """Ties of sorted tile rows; parts of cut tiles also give their leaders (no b), unless `across`."""
-    r, more = (100 - percent) / (100 + percent), 200 / percent + 1
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -251,14 +289,8 @@ def _ties(percent: int, across: bool):
                     continue
                 maps = _maps_of(bits.slice(lo, hi - lo).to_pylist(), int(band[lo]))
                 if across:
-                    # leaders of all parts of a tile: reach of two sets below different leaders
-                    for i in range(hi - lo - 1):
-                        rest = np.arange(i + 1, hi - lo)
-                        near = rest[_differ(maps, i, rest) <= r * more * (n[lo + i] + n[lo + rest]) + 1e-6]
-                        a += [key[lo + i]] * len(near)
-                        b += key[lo + near].tolist()
-                    continue
-                if parts[lo] == 1:
+                    x, y = met_leaders(n[lo:hi], maps, percent)
+                elif parts[lo] == 1:
                     x, y = tied(n[lo:hi], maps, percent)
                 else:
                     own, x, y = led(n[lo:hi], maps, percent)
@@ -418,7 +450,7 @@ def confirm(members: DataFrame, shingle: int, percent: int, block_shingles: int)
 
 
 def jaccard_classes(docs: DataFrame, *, id: str, text: str, shingle: int = 5, similarity: float = 0.8,
-                    tile_rows: int = 4096, block_shingles: int = 2_000_000) -> DataFrame:
+                    tile_rows: int = 1024, block_shingles: int = 2_000_000) -> DataFrame:
     """One row per row of `docs`: id, n_shingles and component_id (least id reachable by links)."""
     percent = round(similarity * 100)
     if shingle < 1 or not 0.5 <= similarity <= 1 or abs(percent - similarity * 100) > 1e-9:
@@ -428,6 +460,7 @@ def jaccard_classes(docs: DataFrame, *, id: str, text: str, shingle: int = 5, si
     known = sketches.where("doc IS NOT NULL AND n_shingles > 0")
     sets = cut_lineage(known.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles")), "sets")
     found = prefixes(rows.where("doc IS NOT NULL"), shingle, percent, common_shingles(sketches))
+    found = cut_lineage(survivors(found, percent), "prefixes")
     clusters = components(candidate_edges(tile_rows_of(found, known, percent, tile_rows), percent))
     members = clusters.select(F.col("node").alias("key"), F.col("root").alias("cluster")).join(sets, "key")
     sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / block_shingles).cast("long").alias("blocks"))
