@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.operators import ordered, sampling, stats
+from tallyloom.operators import sampling, stats
 from tallyloom.session import cut_lineage
 from tallyloom.sources.readers import union_all
 
@@ -234,16 +234,3 @@ def feature_importance(model: Model, names: Sequence[str], spark) -> DataFrame:
 
 def train_mlp(df: DataFrame, hidden: Sequence[int], n_features: int, classes: int, max_iter: int = 100, seed: int = 42) -> Model:
     return MultilayerPerceptronClassifier(layers=[n_features, *hidden, classes], maxIter=max_iter, seed=seed).fit(df)
-
-
-def tfidf_vectors(key: str, vocabulary: DataFrame, weights: DataFrame) -> DataFrame:
-    """(key, features): sparse rows over the vocabulary, columns alphabetical."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    codes = ordered.ranked(vocabulary.select("term", F.xxhash64("term").alias("__h")), [], "__h", ["term"], rank="code") \
-        .select("term", (F.col("code") - 1).cast("int").alias("code"))
-    pairs = weights.join(codes, "term").groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("code", "weight"))).alias("p"))
-    size = vocabulary.count()
-    pack = F.udf(lambda p: SparseVector(size, [(r["code"], r["weight"]) for r in p]), VectorUDT(), useArrow=True)
-    return pairs.select(key, pack("p").alias("features"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import filters, governance as op, joins, ranking, stats
+from tallyloom.operators import filters, governance as op, joins, ranking
 from tallyloom.plans.registry import RUNS_SQL, query, r9, runs, table
 
 DIAG_SQL = f"""
@@ -27,24 +27,6 @@ def diagnosed(spark, sf):
     return op.with_tier(df, train="tr", synthetic=F.col("dataset_id") % 2 == 0)
 
 
-@query("E01_evaluate", """
-    WITH e AS (SELECT quality::VARCHAR AS y, (CASE WHEN doc_id % 5 = 0 THEN 1 - quality ELSE quality END)::VARCHAR AS p, doc_id % 2 = 0 AS independent FROM labels)
-    SELECT independent, count(*) AS num_samples, round(avg((y = p)::INT), 9) AS accuracy FROM e GROUP BY independent
-""")
-def evaluate(spark, sf):
-    from tallyloom.sources.readers import union_all
-
-    labels = table(spark, sf, "labels").withColumn("guess", F.when(F.col("doc_id") % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
-    out = []
-    for independent in (True, False):
-        part = labels.filter((F.col("doc_id") % 2 == 0) == F.lit(independent))
-        m = stats.confusion_matrix(part, "quality", "guess")
-        n = m.agg(F.sum("n")).scalar()
-        out.append(stats.classification_metrics(m).select(F.lit(independent).alias("independent"), n.alias("num_samples"),
-                                                          r9(F.col("accuracy")).alias("accuracy")))
-    return union_all(out)
-
-
 @query("E02_independent_gap", f"""
     WITH {RUNS_SQL}, g AS (SELECT *, round(acc - ind_acc, 4) AS gap FROM runs WHERE ind_acc IS NOT NULL)
     SELECT dataset_id, algorithm, run_id, gap FROM (SELECT *, row_number() OVER (PARTITION BY dataset_id, algorithm ORDER BY abs(gap), run_id) AS r FROM g) WHERE r = 1
