@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.operators import knn
+from tallyloom.operators import eps_cells, knn
 from tallyloom.operators.ordered import ranked
 from tallyloom.session import cut_lineage
 
@@ -48,14 +48,16 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
-           block_rows: int = knn.BLOCK_ROWS) -> DataFrame:
+           block_rows: int = eps_cells.LIMIT) -> DataFrame:
     """(key, cluster): rows with `min_points` neighbours within eps (themselves
     included) are cores; cores within eps share a cluster, other rows take the
     lowest cluster of a core within eps, or -1. Clusters are numbered by their
     smallest core key. Keys are whole numbers.
 
     Copies of one vector are folded into their smallest key first and weighed, so
-    a crowd of copies costs one row in the neighbour searches.
+    a crowd of copies costs one row in the neighbour searches. These run inside
+    cells with copies of border rows (`eps_cells`): where rows form clusters smaller than
+    their distances, the pairs compared grow with the rows.
     """
     rows = df.select(F.col(key).alias("__key"), F.col(vec).alias("__vec"))
     points = cut_lineage(rows.groupBy("__vec").agg(F.min("__key").alias("__rep"), F.count(F.lit(1)).alias("__w")), "points")
@@ -65,11 +67,11 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
         near |= q["id"].to_numpy()[:, None] == c["id"].to_numpy()[None, :]
         return pd.DataFrame({"id": q["id"], "n": near @ c["w"].to_numpy(dtype="int64")})
 
-    _, parts = knn.within(points, "__rep", "__vec", eps, count, "id bigint, n bigint", block_rows, keep={"w": "__w"})
+    placed = eps_cells.cells(knn.as_double(points, "__rep", "__vec", "euclidean", keep={"w": "__w"}), eps, block_rows)
+    parts = eps_cells.block_join(placed, count, "id bigint, n bigint", block_rows)
     density = cut_lineage(parts.groupBy("id").agg(F.sum("n").alias("n")), "density")
     cores = density.filter(F.col("n") >= min_points).select("id")
-    marked = points.join(cores.withColumnRenamed("id", "__core"), F.col("__rep") == F.col("__core"), "left") \
-        .withColumn("__is_core", F.col("__core").isNotNull()).drop("__core")
+    marked = placed.join(density.select("id", (F.col("n") >= min_points).alias("core")), "id")
 
     def link(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         near = knn.distances(knn.matrix(q["v"]), knn.matrix(c["v"])) <= eps
@@ -86,8 +88,7 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
             frames.append(pd.DataFrame({"a": qid[~core_q][r], "b": lc[k], "kind": "border"}).drop_duplicates())
         return pd.concat(frames)
 
-    _, links = knn.within(marked, "__rep", "__vec", eps, link, "a bigint, b bigint, kind string", block_rows,
-                          keep={"core": "__is_core"})
+    links = eps_cells.block_join(cut_lineage(marked, "marked"), link, "a bigint, b bigint, kind string", block_rows)
     links = cut_lineage(links, "links")
     comps = connected_components(cores, links.filter("kind = 'core'"))
     names = ranked(comps.select("component").distinct(), [], "component").select(
@@ -101,11 +102,13 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_points: int,
     return rows.join(placed, F.col("__vec") == F.col("__v2")).select(F.col("__key").alias(key), "cluster")
 
 
-def knn_vote(train: DataFrame, query: DataFrame, key: str, vec: str, target: str, k: int = 7,
-             weights: str = "uniform", regression: bool = False, probes: int | None = None) -> DataFrame:
+def knn_vote(train: DataFrame, query: DataFrame, key: str, vec: str, target: str, k: int = 7, weights: str = "uniform",
+             regression: bool = False, probes: int | None = None, exclude_self: bool = False, near: DataFrame | None = None) -> DataFrame:
     """(key, prediction) from the k nearest training rows: the heaviest class
-    (lowest on ties) or the weighted mean. Each query has at most k votes."""
-    near = knn.nearest(query, train, key, vec, k=k, probes=probes)
+    (lowest on ties) or the weighted mean. Each query has at most k votes. `near` gives neighbours
+    that were found otherwise, such as by an index."""
+    if near is None:
+        near = knn.nearest(query, train, key, vec, k=k, probes=probes, exclude_self=exclude_self)
     names = train.select(F.col(key).alias("candidate_id"), F.col(target).alias("__y"))
     votes = near.join(names, "candidate_id")
     if weights == "distance":

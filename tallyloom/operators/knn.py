@@ -1,4 +1,4 @@
-"""Exact nearest neighbours, neighbourhood counts and distance sums.
+"""Exact nearest neighbours.
 
 Vectors are grouped into cells around pivots. A cell's radius bounds how close
 its members can be, so a query visits only cells that can still hold a closer
@@ -204,13 +204,3 @@ def nearest(queries: DataFrame, candidates: DataFrame, key: str, vec: str, k: in
     more = cells.block_join(cells.reach(asked, "far", skip_home=True).drop("far"), top, out_schema)
     return (best.drop("place").unionByName(more)
             .withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= k))
-
-
-def within(df: DataFrame, key: str, vec: str, eps: float, fn: Callable, schema: str,
-           block_rows: int = BLOCK_ROWS, pivots: int | None = None,
-           keep: dict | None = None) -> tuple[Cells, DataFrame]:
-    """Self block join over all cells that can hold a row within `eps`."""
-    rows = as_double(df, key, vec, "euclidean", keep)
-    cells = Cells(rows, block_rows, pivots)
-    visits = cells.reach(cells.tag(rows).drop("gap").withColumn("far", F.lit(float(eps))), "far", False)
-    return cells, cells.block_join(visits.drop("far"), fn, schema)

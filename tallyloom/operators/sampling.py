@@ -8,6 +8,7 @@ group's quota runs out, and only the rows of that slice are ranked.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -17,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.operators import knn
+from tallyloom.operators import knn, vector_index
 from tallyloom.operators.ordered import hash_order, hash_slice, on_keys, ranked
+from tallyloom.session import cut_lineage
 
 SLICES = 65536
 
@@ -170,42 +172,51 @@ def upsample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     return df.withColumn("copy", F.lit(0).cast("long")).unionByName(extra.select(*df.columns, "copy"))
 
 
-def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int = 42, probes: int | None = None) -> DataFrame:
-    """(label, vector, synthetic): originals and rows between a row and one of
-    its k nearest of the same class, until all classes are equal.
+def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int = 42, share: float | None = None) -> DataFrame:
+    """(label, vector, synthetic): originals and rows between a row and one of its k nearest of the same
+    class, until all classes are equal.
 
-    Classes are kept apart in one neighbour search by a coordinate per class
-    that is far larger than any distance inside a class; `probes` limits the
-    cells a row looks into.
-    """
+    Only drawn rows of classes that are short ask for neighbours, and only rows of their class answer. With
+    `share`, they read that share of the cells of a neighbour index; without, the search is exact: classes
+    are kept apart by a coordinate that is far larger than any distance inside a class."""
+    double = F.transform(vec, lambda x: x.cast("double"))
+    originals = df.select(label, double.alias(vec), F.lit(False).alias("synthetic"))
     counts = largest(class_counts(df, label))
-    span = df.agg(F.max(F.aggregate(F.transform(vec, lambda x: x.cast("double") * x), F.lit(0.0),
-                                    lambda a, x: a + x))).first()[0] or 1.0
-    far = 10.0 * span ** 0.5 + 1.0
-    coded = counts.select(label, ((F.row_number().over(W.partitionBy(F.lit(0)).orderBy(label)) - 1) * F.lit(far)).alias("__code"))
-    wide = on_keys(df.select(F.col(key).alias("id"), label, F.transform(vec, lambda x: x.cast("double")).alias("v")), coded, [label]) \
-        .select("id", F.concat("v", F.array("__code")).alias("v"))
-    near = knn.nearest(wide, wide, "id", "v", k=k, exclude_self=True, probes=probes)
-    names = df.select(F.col(key).alias("candidate_id"), F.col(label).alias("__cl"), F.col(vec).alias("__cv"))
-    own = df.select(F.col(key).alias("query_id"), F.col(label).alias("__ql"))
-    same = near.join(own, "query_id").join(names, "candidate_id").filter(F.col("__ql") == F.col("__cl"))
-    short = W.partitionBy("query_id").orderBy("place")
-    same = same.withColumn("__pos", F.row_number().over(short)).select("query_id", "__pos", "__cv")  # <= k rows each
-    reach = same.groupBy("query_id").agg(F.max("__pos").alias("__reach"))
     pool = ranked(df.withColumn("__h", hash_order(key, seed=seed)), [label], "__h", [key], hashed=True, rank="__rank")
     wanted = draws(counts, label, F.col("__top") - F.col("__n")).withColumn("__rank", pick_rank(seed, label, "draw")).drop("__size")
-    base = on_keys(wanted, pool, [label, "__rank"]).join(reach, F.col(key) == F.col("query_id"), "left").drop("query_id")
+    base = cut_lineage(on_keys(wanted, pool, [label, "__rank"]).select(label, "draw", key, double.alias(vec)), "drawn")
+    if base.isEmpty():
+        return originals
+    short = counts.where("__n < __top").select(F.col(label).alias("__short"))
+    members = cut_lineage(df.join(short, F.col(label).eqNullSafe(F.col("__short")), "left_semi").select(
+        key, label, double.alias(vec)), "members")
+    asked = base.select(key, label, vec).dropDuplicates([key])
+    if share is not None:
+        index = vector_index.build(members, key, vec, group=label)
+        near = vector_index.search(index, asked, key, vec, k, max(1, math.ceil(share * index.cells)), group=label, exclude_self=True)
+    else:
+        span = members.agg(F.max(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x))).first()[0] or 1.0
+        coded = counts.select(label, ((F.row_number().over(W.partitionBy(F.lit(0)).orderBy(label)) - 1)
+                                      * F.lit(10.0 * span ** 0.5 + 1.0)).alias("__code"))
+        wide = lambda rows: on_keys(rows, coded, [label]).select(F.col(key).alias("id"), F.concat(vec, F.array("__code")).alias("v"))
+        near = knn.nearest(wide(asked), wide(members), "id", "v", k=k, exclude_self=True)
+    names = members.select(F.col(key).alias("candidate_id"), F.col(label).alias("__cl"), F.col(vec).alias("__cv"))
+    own = asked.select(F.col(key).alias("query_id"), F.col(label).alias("__ql"))
+    same = near.join(own, "query_id").join(names, "candidate_id").filter(F.col("__ql").eqNullSafe(F.col("__cl")))
+    order = W.partitionBy("query_id").orderBy("place")
+    same = same.withColumn("__pos", F.row_number().over(order)).select("query_id", "__pos", "__cv")  # <= k rows each
+    same = cut_lineage(same, "neighbours")
+    reach = same.groupBy(F.col("query_id").alias("__asked")).agg(F.max("__pos").alias("__reach"))
+    drawn = base.join(reach, F.col(key) == F.col("__asked"), "left")
     step = uniform(label, "draw", F.lit("gap"), seed=seed)
     pos = (F.floor(uniform(label, "draw", F.lit("pos"), seed=seed) * F.col("__reach")) + 1).cast("int")
     # a class of one row has no neighbour: its copies stay on the row
-    made = (base.withColumn("__pos", pos).withColumn("__step", step)
-            .join(same.withColumnRenamed("__pos", "__p2"), (F.col(key) == F.col("query_id"))
-                  & (F.col("__pos") == F.col("__p2")), "left")
-            .select(F.col(label), F.when(F.col("__cv").isNull(), F.transform(vec, lambda x: x.cast("double")))
-                    .otherwise(F.zip_with(vec, "__cv", lambda a, b: a.cast("double") + F.col("__step") * (b - a)))
+    made = (drawn.withColumn("__p", pos).withColumn("__step", step)
+            .join(same, (F.col(key) == F.col("query_id")) & (F.col("__p") == F.col("__pos")), "left")
+            .select(F.col(label), F.when(F.col("__cv").isNull(), F.col(vec))
+                    .otherwise(F.zip_with(vec, "__cv", lambda a, b: a + F.col("__step") * (b - a)))
                     .alias(vec), F.lit(True).alias("synthetic")))
-    return df.select(label, F.transform(vec, lambda x: x.cast("double")).alias(vec), F.lit(False).alias("synthetic")) \
-        .unionByName(made)
+    return originals.unionByName(made)
 
 
 def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

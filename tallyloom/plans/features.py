@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
 from tallyloom.functions import values as vl
-from tallyloom.operators import cluster, features as op, profile
+from tallyloom.operators import cluster, features as op, profile, vector_index
 from tallyloom.plans.registry import query, run_key, table
 from tallyloom.sources.readers import union_all
 
@@ -252,16 +252,41 @@ def inf_tokens(spark, sf):
     return table(spark, sf, "events").select("event_id", F.regexp_replace(lab, r"\.0$", "").alias("label"))
 
 
-@query("M03_knn_predict", """
-    WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, vec_id % 4 = 0 AS q FROM embeddings),
-    n AS (SELECT a.vec_id, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS r FROM v a JOIN v b ON a.q AND NOT b.q),
+NEIGHBOURS_SQL = """
+    v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+    n AS (SELECT a.vec_id, b.label, list_distance(a.e, b.e) AS d, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS r
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+"""
+
+
+@query("M03_knn_predict", f"""
+    WITH {NEIGHBOURS_SQL},
     c AS (SELECT vec_id, label, count(*) AS s FROM n WHERE r <= 7 GROUP BY ALL)
     SELECT vec_id, label AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS r FROM c) WHERE r = 1
 """)
 def knn_predict(spark, sf):
     v = table(spark, sf, "embeddings")
-    held = F.col("vec_id") % 4 == 0
-    return cluster.knn_vote(v.filter(~held), v.filter(held), "vec_id", "embedding", "label")
+    return cluster.knn_vote(v, v.filter(F.col("vec_id") % 100 == 0), "vec_id", "embedding", "label", exclude_self=True)
+
+
+@query("M03_knn_predict_regression", f"""
+    WITH {NEIGHBOURS_SQL} SELECT vec_id, round(sum(label / d) / sum(1 / d), 9) AS prediction FROM n WHERE r <= 7 GROUP BY vec_id
+""")
+def knn_predict_regression(spark, sf):
+    v = table(spark, sf, "embeddings")
+    found = cluster.knn_vote(v, v.filter(F.col("vec_id") % 100 == 0), "vec_id", "embedding", "label", weights="distance",
+                             regression=True, exclude_self=True)
+    return found.select("vec_id", F.round("prediction", 9).alias("prediction"))
+
+
+@query("M03_knn_indexed")
+def knn_indexed(spark, sf):
+    """Every row is indexed; half of the cells are read, which these unclustered vectors need for a recall above 0.9."""
+    v = table(spark, sf, "embeddings")
+    index = vector_index.build(v, "vec_id", "embedding")
+    near = vector_index.search(index, v.filter(F.col("vec_id") % 100 == 0), "vec_id", "embedding", k=7,
+                               probes=-(-index.cells // 2), exclude_self=True)
+    return cluster.knn_vote(v, v, "vec_id", "embedding", "label", near=near)
 
 
 @query("M06_cluster_density", """

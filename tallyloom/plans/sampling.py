@@ -89,7 +89,7 @@ def upsample(spark, sf):
 @query("P09_smote")
 def smote(spark, sf):
     vecs = table(spark, sf, "embeddings").withColumn("label", (F.col("label") < 3).cast("int"))
-    return op.smote(vecs, "vec_id", "embedding", "label")
+    return op.smote(vecs, "vec_id", "embedding", "label", share=0.5)
 
 
 @query("P10_bootstrap")
