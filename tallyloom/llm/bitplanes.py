@@ -27,6 +27,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
@@ -139,28 +140,24 @@ class PlaneReader:
         return unshuffle([open_.decompress(self.source.read(s)) for s in sizes[:planes]], n, self.bits)
 
 
-_tokenizers: dict[str, object] = {}
-
-
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        loaded = Tokenizer.from_file(path)
-        loaded.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizers[path] = loaded
-    return _tokenizers[path]
+# cuts that are handed to the tokenizer at a time
+LOT = 1 << 16
 
 
 class _Encoder:
     """Encodes texts cut before white space, each distinct cut once while it is remembered.
 
     A byte-level pre-tokeniser never joins what stands before white space to what
-    follows, so the ids of a text are those of its cuts in a row."""
+    follows, so the ids of a text are those of its cuts in a row. Strings of special tokens hold no
+    white space, so none is cut; they are their own ids, or ordinary text with `plain_specials`."""
 
-    def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+    def __init__(self, path: str, plain_specials: bool):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        if plain_specials:
+            self.tokenizer.encode_special_tokens = True
         self.forget()
 
     def forget(self) -> None:
@@ -186,13 +183,30 @@ class _Encoder:
         start = np.flatnonzero(cut)
         return start, np.append(start[1:], len(data)) if len(start) else start
 
+    def coded(self, texts: tw.Texts, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some cuts in a row, and their numbers; a lot of cuts is one list of words to the tokenizer."""
+        body, flat, numbers = texts.data.tobytes(), [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(start), LOT):
+            strings = [body[a:b].decode() for a, b in zip(start[at:at + LOT].tolist(), end[at:at + LOT].tolist())]
+            found = self.tokenizer.encode(strings, is_pretokenized=True, add_special_tokens=False)
+            flat.append(np.array(found.ids, np.uint32))
+            numbers.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(strings)))
+        return np.concatenate(flat), np.concatenate(numbers)
+
     def encode(self, texts: tw.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
         start, end = self.cuts(texts)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         key = tw.hash_spans(texts.data, start, end)
-        seen, where, back = np.unique(key, return_index=True, return_inverse=True)
+        back, seen = pd.factorize(key)
+        where = np.empty(len(seen), np.int64)
+        where[back[::-1]] = np.arange(len(key))[::-1]
+        order = np.argsort(seen, kind="stable")
+        seen, where = seen[order], where[order]
+        turn = np.empty(len(order), np.int64)
+        turn[order] = np.arange(len(order))
+        back = turn[back]
         place = np.searchsorted(self.keys, seen)
         known = np.zeros(len(seen), bool)
         inside = place < len(self.keys)
@@ -200,20 +214,15 @@ class _Encoder:
         if not known.all():
             if len(self.keys) + (~known).sum() > CACHE:
                 self.forget()
-                known[:] = False
+                known[:], place[:] = False, 0
             new = np.flatnonzero(~known)
-            body = texts.data.tobytes()
-            strings = [body[a:b].decode() for a, b in zip(start[where[new]].tolist(), end[where[new]].tolist())]
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-            n = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(n.sum()))
+            flat, n = self.coded(texts, start[where[new]], end[where[new]])
             first = len(self.ids) + np.cumsum(n) - n
             self.ids = np.concatenate([self.ids, flat])
-            keys = np.concatenate([self.keys, seen[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.first = np.concatenate([self.first, first])[order]
-            self.n = np.concatenate([self.n, n])[order]
+            # both lists of keys are sorted: the new ones go between the old
+            self.keys = np.insert(self.keys, place[new], seen[new])
+            self.first = np.insert(self.first, place[new], first)
+            self.n = np.insert(self.n, place[new], n)
             place = np.searchsorted(self.keys, seen)
         n = self.n[place][back]
         ends = np.cumsum(n)
@@ -223,7 +232,7 @@ class _Encoder:
         return self.ids[at], np.diff(bounds)
 
 
-_encoders: dict[str, _Encoder] = {}
+_encoders: dict[tuple[str, bool], _Encoder] = {}
 
 
 def _open(uri: str):
@@ -243,8 +252,9 @@ def _qualified(spark, path: str) -> str:
 
 
 def write_tokens(docs: DataFrame, *, id: str, text: str, tokenizer: str, end_id: int, folder: str | None = None,
-                 block_ids: int = 1 << 16, bits: int = 8, level: int = 3) -> DataFrame:
-    """Write the files and return their manifest: part, uri, n_ids, n_docs, start."""
+                 block_ids: int = 1 << 16, bits: int = 8, level: int = 3, plain_specials: bool = False) -> DataFrame:
+    """Write the files and return their manifest: part, uri, n_ids, n_docs, start. Strings of special tokens in a text
+    become their ids, as the tokenizer does by itself, or with `plain_specials` those of ordinary text."""
     if bits not in (1, 8) or block_ids < 1:
         raise ValueError("bits is 1 or 8, block_ids positive")
     spark = docs.sparkSession
@@ -253,7 +263,8 @@ def write_tokens(docs: DataFrame, *, id: str, text: str, tokenizer: str, end_id:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, uri = None, ""
-        coder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, _Encoder(tokenizer))
+        way = (tokenizer, plain_specials)
+        coder = _encoders.get(way) or _encoders.setdefault(way, _Encoder(*way))
         for batch in batches:
             doc = batch.column(0).fill_null(NO_ID).to_numpy()
             for piece in tw.pieces(tw.texts_of(batch.column(1)), 4 * tw.PIECE):

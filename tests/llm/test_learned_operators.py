@@ -250,8 +250,8 @@ def test_planes_round_trip(bits, n):
     assert (bitplanes.unshuffle(planes, n, bits) == ids).all()
 
 
-@pytest.mark.parametrize("bits,block", [(8, 1 << 16), (1, 50)])
-def test_token_files(spark, bits, block, monkeypatch):
+@pytest.mark.parametrize("bits,block,plain_specials", [(8, 1 << 16, False), (1, 50, False), (8, 300, True)])
+def test_token_files(spark, bits, block, plain_specials):
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -261,12 +261,15 @@ def test_token_files(spark, bits, block, monkeypatch):
     for i in range(60):
         rows.append((100 + i, "".join(rng.choice(["word", " ", "  ", "\n", "é", " ", " ", "1", "'s", "!", "\t", "Ω", "\x1d", "　"])
                                       for _ in range(rng.randint(0, 80))), None))
-    rows += [(7, "again", None), (None, "no id", None)]
+    rows += [(7, "again", None), (None, "no id", None), (300, "a b <|endoftext|> c", None), (301, "x  <|endoftext|><|endoftext|>  \n y<|endoftext|>", None)]
     rng.shuffle(rows)
-    files = bitplanes.write_tokens(table(spark, rows), id="doc_id", text="text", tokenizer=path, end_id=2, bits=bits, block_ids=block)
+    files = bitplanes.write_tokens(table(spark, rows), id="doc_id", text="text", tokenizer=path, end_id=2, bits=bits, block_ids=block,
+                                   plain_specials=plain_specials)
     got = bitplanes.read_tokens(files, id="doc_id").orderBy("start").collect()
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
+    if plain_specials:
+        plain.encode_special_tokens = True
+    assert (50256 in plain.encode("a b <|endoftext|> c", add_special_tokens=False).ids) != plain_specials
     key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())
     start = 0
     assert len(got) == len(rows)
