@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import knn, vector_index
 from tallyloom.operators.ordered import hash_order, hash_slice, on_keys, ranked
+from tallyloom.operators.sparse_topk import nearest_rows
 from tallyloom.session import cut_lineage
 
 SLICES = 65536
@@ -219,6 +220,38 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     return originals.unionByName(made)
 
 
+def smote_sparse(docs: DataFrame, weights: DataFrame, key: str, label: str, term: str = "term", weight: str = "weight",
+                 k: int = 5, seed: int = 42, postings: int = 256) -> DataFrame:
+    """(label, draw, base, other, step, term, weight): synthetic sparse rows that raise every class to the largest.
+
+    `docs` holds (key, label), `weights` the rows' positive weights (key, term, weight). A synthetic row lies
+    the share `step` of the way from a drawn row to one of its k nearest of its class; a drawn row that shares
+    no term with another of its class, or is alone, is copied (`other` null). A drawn row without any
+    weight gives one line without a term."""
+    counts = largest(class_counts(docs, label))
+    pool = ranked(docs.select(key, label).withColumn("__h", hash_order(key, seed=seed)), [label], "__h", [key], hashed=True, rank="__rank")
+    wanted = draws(counts, label, F.col("__top") - F.col("__n")).withColumn("__rank", pick_rank(seed, label, "draw")).drop("__size")
+    base = cut_lineage(on_keys(wanted, pool, [label, "__rank"]).select(label, "draw", F.col(key).alias("base")), "drawn")
+    short = counts.where("__n < __top").select(F.col(label).alias("__short"))
+    members = docs.select(key, label).join(short, F.col(label).eqNullSafe(F.col("__short")), "left_semi")
+    rows = weights.select(F.col(key).alias("__k"), F.col(term).alias("term"), F.col(weight).cast("double").alias("weight"))
+    # a null class is a class of its own, apart from one that is called so
+    named = F.to_json(F.struct(F.col(label).alias("c")))
+    held = cut_lineage(members.withColumn("__g", named).join(rows, F.col(key) == F.col("__k")).select("__k", "__g", "term", "weight"), "members")
+    asked = held.join(base.select(F.col("base").alias("__k")).distinct(), "__k", "left_semi")
+    near = cut_lineage(nearest_rows(asked, held, "__k", k=k, group="__g", postings=postings), "neighbours")
+    reach = near.groupBy(F.col("query_id").alias("base")).agg(F.max("place").alias("__reach"))
+    pos = (F.floor(uniform(label, "draw", F.lit("pos"), seed=seed) * F.col("__reach")) + 1).cast("int")
+    made = base.join(reach, "base", "left").withColumn("place", pos).join(
+        near.select(F.col("query_id").alias("base"), "place", F.col("candidate_id").alias("other")), ["base", "place"], "left")
+    step = F.when(F.col("other").isNotNull(), uniform(label, "draw", F.lit("gap"), seed=seed)).otherwise(F.lit(0.0))
+    made = cut_lineage(made.select(label, "draw", "base", "other", step.alias("step")), "made")
+    names = [label, "draw", "base", "other", "step"]
+    own = made.join(rows, F.col("base") == F.col("__k"), "left").select(*names, "term", ((1 - F.col("step")) * F.col("weight")).alias("weight"))
+    far = made.join(rows, F.col("other") == F.col("__k")).select(*names, "term", (F.col("step") * F.col("weight")).alias("weight"))
+    return own.unionByName(far).groupBy(*names, "term").agg(F.sum("weight").alias("weight"))
+
+
 def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """n rows drawn with replacement."""
     total = df.count()

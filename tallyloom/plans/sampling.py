@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import augment, sampling as op
+from tallyloom.functions import text as tx
+from tallyloom.operators import augment, features, sampling as op
 from tallyloom.plans.registry import query, run_key, table
+from tallyloom.session import cut_lineage
 
 H = "md5(doc_id || '|42')"
 QUOTA = """
@@ -92,6 +94,17 @@ def smote(spark, sf):
     return op.smote(vecs, "vec_id", "embedding", "label", share=0.5)
 
 
+@query("P09_smote_text")
+def smote_text(spark, sf):
+    """Labelled texts balanced on their TF-IDF rows."""
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").select("doc_id", "text", "quality")
+    counts = cut_lineage(features.term_counts(docs, "doc_id", tx.mixed_tokens(F.col("text"))), "counts")
+    rows = features.apply_tfidf(counts, "doc_id", features.fit_tfidf(counts, docs.count()))
+    made = op.smote_sparse(docs.select("doc_id", "quality"), rows, "doc_id", "quality")
+    return made.groupBy("quality", "draw", "base", "other", "step").agg(
+        F.count("term").alias("n_terms"), F.round(F.sum("weight"), 9).alias("total"))
+
+
 @query("P10_bootstrap")
 def bootstrap(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang")
