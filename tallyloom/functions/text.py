@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.patterns import word_table
 from tallyloom.functions.values import round_even
-from tallyloom.sources.readers import union_all
 
 # Unit names of the formatted sizes and durations.
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
@@ -158,38 +158,6 @@ def char_ngrams(text: Column, width: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WHOLE}(?=(.{{{width}}}))"), F.lit(1))
 
 
-# words of one pattern, and the most words a lexicon may have
-PATTERN_WORDS, MAX_LEXICON = 64, 20_000
-
-
-def word_chunks(lexicon: DataFrame, word: str, widths: Sequence[int]) -> list[tuple[int, list[str]]]:
-    """The lexicon's words by length, in runs short enough for a pattern. A lexicon of more than
-    MAX_LEXICON words is an error: it is read to the driver."""
-    rows = lexicon.select(word).distinct().limit(MAX_LEXICON + 1).collect()
-    if len(rows) > MAX_LEXICON:
-        raise ValueError(f"the lexicon has more than {MAX_LEXICON} words")
-    out = []
-    for w in widths:
-        words = sorted(r[0] for r in rows if len(r[0]) == w)
-        out += [(w, words[i:i + PATTERN_WORDS]) for i in range(0, len(words), PATTERN_WORDS)]
-    return out
-
-
-def any_word(words: Sequence[str]) -> str:
-    return "(?:" + "|".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in words) + ")"
-
-
-def word_hits(text: Column, words: Sequence[str]) -> Column:
-    """Every occurrence of the words (one length), overlapping ones included."""
-    return F.regexp_extract_all(text, F.lit(f"{WHOLE}(?=({any_word(words)}))"), F.lit(1))
-
-
-def hits_with_prefix(text: Column, words: Sequence[str]) -> Column:
-    """Occurrences with the up to three characters before them, in text order."""
-    early = [F.regexp_extract_all(text, F.lit(f"{WHOLE}\\A(?=(.{{{n}}}{any_word(words)}))"), F.lit(1)) for n in range(3)]
-    return F.concat(*early, F.regexp_extract_all(text, F.lit(f"{WHOLE}(?=(.{{3}}{any_word(words)}))"), F.lit(1)))
-
-
 def ngram_array(text: Column, widths: Sequence[int] = (2, 3, 4)) -> Column:
     return F.concat(*[char_ngrams(text, w) for w in widths])
 
@@ -203,13 +171,10 @@ def mixed_tokens(text: Column) -> Column:
 
 def lexicon_hits(df: DataFrame, key: str, text: str, lexicon: DataFrame, word: str, weight: str,
                  widths: Sequence[int] = (2, 3, 4)) -> DataFrame:
-    """Hits and weighted score per (row, lexicon word). Patterns of a bounded number of
-    words find the occurrences, so only hits leave the text."""
-    chunks = word_chunks(lexicon, word, widths)
-    found = F.concat(*[word_hits(F.col(text), ws) for _, ws in chunks]) if chunks else F.array().cast("array<string>")
-    grams = df.select(key, F.explode(found).alias(word))
-    return (grams.join(lexicon, word).groupBy(key, word)
-            .agg(F.count(F.lit(1)).alias("hits"), F.sum(weight).alias("score")))
+    """Hits and weighted score per (row, lexicon word), overlapping occurrences included. The texts are read once."""
+    found = word_table(df, key, text, lexicon, word, widths)
+    return (found.join(lexicon, word).groupBy(key, word)
+            .agg(F.sum("hits").alias("hits"), F.sum(F.col("hits") * F.col(weight)).alias("score")))
 
 
 def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, word: str, weight: str,
@@ -219,17 +184,12 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
 
     A hit is flipped when a negator occurs in the three characters before the
     word's first occurrence, or when one of the two windows before the hit is
-    itself a negator. Exploded rows carry only the window and its surroundings,
-    never the text.
+    itself a negator. The texts are read once, and only hits leave them.
     """
     body = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
-    found = _hits_around(df.select(key, body.alias("__t")), key, word, word_chunks(lexicon, word, widths))
-    hits = found.join(lexicon, word)
-    near = F.coalesce(F.trim("p1").isin(*negators), F.lit(False)) \
-        | F.coalesce(F.trim("p2").isin(*negators), F.lit(False))
-    per_word = hits.groupBy(key, word, weight).agg(
-        F.count(F.lit(1)).alias("hits"), F.sum(F.when(near, 1).otherwise(0)).alias("near"),
-        F.min_by("prefix", "pos").alias("prefix"))
+    found = word_table(df.select(key, body.alias("__t")), key, "__t", lexicon, word, widths, negators)
+    per_word = found.join(lexicon, word).groupBy(key, word, weight).agg(
+        F.sum("hits").alias("hits"), F.sum("near").alias("near"), F.min_by("prefix", "pos").alias("prefix"))
     flipped = F.lit(False)
     for n in negators:
         flipped = flipped | F.col("prefix").contains(n)
@@ -253,22 +213,6 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, wo
                     .alias("confidence")))
 
 
-def _hits_around(rows: DataFrame, key: str, word: str, chunks: Sequence[tuple[int, Sequence[str]]]) -> DataFrame:
-    """(key, word, pos, prefix, p1, p2) for every occurrence. The windows one and two
-    characters earlier are the end of the prefix and the word's start."""
-    parts = []
-    for w, words in chunks:
-        hit = rows.select(key, F.posexplode(hits_with_prefix(F.col("__t"), words)).alias("pos", "s"))
-        n = F.length("s") - w
-        hit = hit.select(key, "pos", F.substring("s", n + 1, F.lit(w)).alias(word), F.substring("s", F.lit(1), n).alias("prefix"))
-        ahead = lambda k, w=w: F.when(F.length("prefix") >= k, F.substring(
-            F.concat("prefix", word), F.length("prefix") - k + 1, F.lit(w)))
-        parts.append(hit.select(key, word, "pos", "prefix", ahead(1).alias("p1"), ahead(2).alias("p2")))
-    empty = rows.select(key, F.lit("").alias(word), F.lit(0).alias("pos"), F.lit("").alias("prefix"),
-                        F.lit("").alias("p1"), F.lit("").alias("p2")).filter(F.lit(False))
-    return union_all(parts) if parts else empty
-
-
 def keyword_class(text: Column, classes: Sequence[str]) -> tuple[Column, Column]:
     """(class, probability per class): name contained scores 1, a word of the
     text contained in the name 0.5; the first best wins, capped at 0.5 and the

@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.patterns import passage_windows, window_hits
 from tallyloom.operators.filters import length_band
 from tallyloom.operators.ordered import on_keys
 from tallyloom.operators.profile import missing
 from tallyloom.operators.sampling import downsample
+from tallyloom.session import cut_lineage
 from tallyloom.sources.readers import union_all
 
 
@@ -85,34 +87,21 @@ def leakage_contained(passages: DataFrame, pkey: str, ptext: str, docs: DataFram
                       width: int = 24) -> DataFrame:
     """(passage key, document key) where the passage text occurs in the document.
 
-    Passages meet documents on one fixed-width window of the passage: its rarest
-    at the corpus (fewest documents), which any containing document must have.
-    The full text is compared afterwards. Passages shorter than the window use
-    their own length as the width.
+    Passages meet documents on one window of `width` bytes: the passage's rarest at the
+    corpus (fewest documents), which any containing document must have. One pass over the
+    documents finds the windows of all passages; the full text is compared afterwards.
+    Passages with fewer bytes than the window use their own length.
     """
     texts = passages.select(F.col(pkey).alias("pk"), F.col(ptext).alias("pt")).filter(F.length("pt") > 0)
-    sized = texts.withColumn("w", F.least(F.lit(width), F.length("pt")))
-    widths = [r["w"] for r in sized.select("w").distinct().collect()]  # at most `width` values
-    found = []
-    for w in widths:
-        grams = F.regexp_extract_all(F.col("pt"), F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1))
-        p = sized.filter(F.col("w") == w)
-        windows = p.select("pk", F.explode(F.array_distinct(grams)).alias("g"))
-        wanted = windows.select("g").distinct()
-        hits = (docs.select(F.col(dkey).alias("dk"), F.col(dtext).alias("dt"))
-                .select("dk", F.explode(F.array_distinct(F.regexp_extract_all(
-                    F.col("dt"), F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)))).alias("g"))
-                .join(wanted, "g", "left_semi"))
-        rarity = hits.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-        best = (windows.join(rarity, "g", "left").groupBy("pk")
-                .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("g"))).alias("b"))
-                .filter(F.col("b.df") > 0).select("pk", F.col("b.g").alias("g")))
-        found.append(best.join(hits, "g").select("pk", "dk"))
-    if not found:
-        raise ValueError("no passages")
-    pairs = union_all(found)
-    return (pairs.join(texts, "pk").join(docs.select(F.col(dkey).alias("dk"), F.col(dtext).alias("dt")), "dk")
-            .filter(F.col("dt").contains(F.col("pt")))
+    windows = cut_lineage(passage_windows(texts, "pk", "pt", width), "windows")
+    known = docs.select(F.col(dkey).alias("dk"), F.col(dtext).alias("dt"))
+    hits = cut_lineage(window_hits(known, "dk", "dt", windows.select("w", "h").distinct()), "hits")
+    rarity = hits.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    best = (windows.join(rarity, "h", "left").groupBy("pk")
+            .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("h"))).alias("b"))
+            .filter(F.col("b.df") > 0).select("pk", F.col("b.h").alias("h")))
+    pairs = best.join(hits, "h").select("pk", "dk").distinct()
+    return (pairs.join(texts, "pk").join(known, "dk").filter(F.col("dt").contains(F.col("pt")))
             .select(F.col("pk").alias(pkey), F.col("dk").alias(dkey)))
 
 

@@ -1,10 +1,12 @@
 """Text, value and profile rules on small frames, CJK included."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.functions import patterns
 from tallyloom.functions import text as tx
 from tallyloom.functions import values as vl
 from tallyloom.operators import features, filters, governance, profile, sets, stats
@@ -33,19 +35,39 @@ def test_sentiment_and_negation(spark):
                    5: ("neutral", 0.0), 6: ("negative", 1.0), 7: ("negative", 1.0)}
 
 
-def test_lexicon_in_several_patterns(spark, monkeypatch, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    odd = spark.createDataFrame([(-1, "😀no tion😀un able 😀😀tion"), (-2, "tion"), (-3, "untion tiontion")], "doc_id long, text string")
-    docs = docs.select("doc_id", "text").unionByName(odd)
-    lexicon = spark.createDataFrame([("tion", 1), ("able", 1), ("ing", -1), ("e", -1)], "word string, weight int")
+def test_lexicons_of_any_size(spark, monkeypatch, sf_dir):
+    """Words sent to the tasks, and words joined with the texts' windows, give the same hits as plain Python."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    odd = spark.createDataFrame([(-1, "😀no tion😀un able 😀😀tion"), (-2, "tion"), (-3, "untion tiontion"), (-4, None), (-5, "")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(odd).cache()
+    lexicon = spark.createDataFrame([("tion", 1), ("able", 1), ("ing", -1), ("e", -1), ("ti", 2)], "word string, weight int")
     run = lambda: (sorted(tx.lexicon_sentiment(docs, "doc_id", "text", lexicon, "word", "weight", ["un", "no"]).collect()),
                    sorted(tx.lexicon_hits(docs, "doc_id", "text", lexicon, "word", "weight", (1, 3, 4)).collect()))
     whole = run()
-    monkeypatch.setattr(tx, "PATTERN_WORDS", 1)
+    monkeypatch.setattr(patterns, "LOOKUP_WORDS", 3)
     assert whole == run()
-    monkeypatch.setattr(tx, "MAX_LEXICON", 3)
-    with pytest.raises(ValueError, match="more than 3 words"):
-        run()
+    weights = {"tion": 1, "able": 1, "ing": -1, "e": -1}
+    want = []
+    for r in docs.collect():
+        for w, x in weights.items():
+            n = sum((r["text"] or "").startswith(w, i) for i in range(len(r["text"] or "")))
+            want += [(r["doc_id"], w, n, n * x)] if n else []
+    assert [tuple(r) for r in whole[1]] == sorted(want)
+
+
+@pytest.mark.parametrize("lot", [2_000_000, 50])
+def test_contained_passages(spark, monkeypatch, lot):
+    rng = random.Random(lot)
+    say = lambda n: "".join(rng.choice("abcde é😀\n") for _ in range(n))
+    texts = {i: say(rng.randint(0, 400)) for i in range(60)} | {60: None, 61: "", 62: "abc", 63: "a" * 3000}
+    passages = {i: (texts[i % 60] or "x")[5:5 + rng.choice([1, 3, 30, 120])] for i in range(50)}
+    passages |= {50: "never in there, not at all, no", 51: "", 52: None, 53: "a" * 40, 54: "abc"}
+    monkeypatch.setattr(patterns, "LOOKUP_WINDOWS", lot)
+    got = sets.leakage_contained(spark.createDataFrame(list(passages.items()), "p long, said string"), "p", "said",
+                                 spark.createDataFrame(list(texts.items()), "d long, body string"), "d", "body")
+    want = {(p, d) for p, x in passages.items() for d, t in texts.items() if x and t and x in t}
+    rows = [tuple(r) for r in got.select("p", "d").collect()]
+    assert set(rows) == want and len(rows) == len(want)
 
 
 @pytest.mark.parametrize("size,want", [(0, "0 B"), (1023, "1023.00 B"), (1024, "1.00 KB"), (1152, "1.12 KB"), (5 * 1024 ** 3, "5.00 GB"), (3 * 1024 ** 5, "3072.00 TB")])
