@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,3 +167,52 @@ def window_hits(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> Data
         hits = rows.mapInArrow(scan_for(spark.sparkContext.broadcast(tables)), f"key {kind}, h long")
         out = hits if out is None else out.unionByName(hits)
     return out.withColumnRenamed("key", key)
+
+
+GROUP_CHARS = 1 << 20
+
+
+def _counted(texts: list[str], widths: Sequence[int]) -> tuple[list[str], list[int]]:
+    """The distinct windows of some texts and how often they occur."""
+    body = "".join(texts)
+    points = np.frombuffer(body.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    ends = np.cumsum([len(t) for t in texts])
+    grams, counts = [], []
+    for lo in range(0, len(points), GROUP_CHARS):
+        start = np.arange(lo, min(lo + GROUP_CHARS, len(points)))
+        room = ends[np.searchsorted(ends, start, "right")] - start
+        for w in widths:
+            at = start[room >= w]
+            # three code points of 21 bits fill a number; longer windows are hashed to 64 bits
+            step = np.uint64(1 << 21) if w <= 3 else np.uint64(STEP)
+            h = np.zeros(len(at), np.uint64)
+            for j in range(w):
+                h = h * step + points[at + j]
+            code, distinct = pd.factorize(h)
+            first = np.empty(len(distinct), np.int64)
+            first[code[::-1]] = at[::-1]
+            grams += [body[i:i + w] for i in first.tolist()]
+            counts += np.bincount(code, minlength=len(distinct)).tolist()
+    return grams, counts
+
+
+def window_counts(df: DataFrame, text: str, widths: Sequence[int]) -> DataFrame:
+    """(gram, n): all overlapping character windows of the widths and how often they occur in the table. Windows are
+    counted inside the tasks, about a million characters at a time, before they meet."""
+    widths = sorted(set(widths))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group, size = [], 0
+            bodies = batch.column(0).to_pylist()
+            for i, body in enumerate(bodies):
+                if body:
+                    group.append(body)
+                    size += len(body)
+                if group and (size >= GROUP_CHARS or i + 1 == len(bodies)):
+                    grams, counts = _counted(group, widths)
+                    yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(counts, pa.int64())], ["gram", "n"])
+                    group, size = [], 0
+
+    found = df.select(F.col(text).cast("string").alias("text")).mapInArrow(scan, "gram string, n long")
+    return found.groupBy("gram").agg(F.sum("n").alias("n"))

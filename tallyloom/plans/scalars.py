@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyloom.functions import patterns
 from tallyloom.functions import text as tx
 from tallyloom.functions import values as vl
 from tallyloom.operators import ordered
@@ -195,8 +196,7 @@ def url_admissible(spark, sf):
     SELECT gram, count(*) AS n FROM g GROUP BY gram
 """)
 def char_ngrams(spark, sf):
-    return (table(spark, sf, "documents").select("text").select(F.explode(tx.ngram_array(F.col("text"))).alias("gram"))
-            .groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    return patterns.window_counts(table(spark, sf, "documents"), "text", (2, 3, 4))
 
 
 LEXICON = [("tion", 1), ("able", 1), ("heit", 1), ("err", -1), ("est", -1), ("des", -1)]

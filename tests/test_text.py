@@ -55,6 +55,23 @@ def test_lexicons_of_any_size(spark, monkeypatch, sf_dir):
     assert [tuple(r) for r in whole[1]] == sorted(want)
 
 
+@pytest.mark.parametrize("group", [1 << 20, 7])
+def test_window_counts(spark, monkeypatch, group):
+    rng = random.Random(group)
+    texts = ["".join(rng.choice("ab\n😀é中") for _ in range(rng.randint(0, 60))) for _ in range(80)] + [None, "", "a", "ab"]
+    monkeypatch.setattr(patterns, "GROUP_CHARS", group)
+    want = {}
+    for t in texts:
+        for w in (1, 2, 3, 4, 6):
+            for i in range(len(t or "") - w + 1):
+                want[t[i:i + w]] = want.get(t[i:i + w], 0) + 1
+    df = spark.createDataFrame([(t,) for t in texts], "said string")
+    assert {r["gram"]: r["n"] for r in patterns.window_counts(df, "said", (1, 2, 3, 4, 6)).collect()} == want
+    # the expression finds the same windows
+    grams = df.select(F.explode(tx.ngram_array(F.col("said"), (2, 3, 4))).alias("g")).groupBy("g").count().collect()
+    assert {r["g"]: r["count"] for r in grams} == {g: n for g, n in want.items() if len(g) in (2, 3, 4)}
+
+
 @pytest.mark.parametrize("lot", [2_000_000, 50])
 def test_contained_passages(spark, monkeypatch, lot):
     rng = random.Random(lot)
