@@ -91,7 +91,7 @@ def quick_diagnose(spark, sf):
 
 
 SOURCE_SQL = """
-    m AS (SELECT l_partkey AS id, count(*) AS n FROM lineitem WHERE l_quantity > 46 GROUP BY 1),
+    m AS (SELECT l_partkey AS id, count(*) AS n FROM lineitem GROUP BY 1),
     s AS (SELECT p_partkey AS id, coalesce(n, 0) AS n_models, CASE WHEN regexp_matches(p_name, '^(red|blue) ') THEN 'KEEP' WHEN regexp_matches(p_name, 'ring$') THEN 'DELETE'
        WHEN contains(p_name, 'bolt') AND p_type = 'PROMO' THEN 'KEEP' WHEN regexp_matches(p_brand, '^Brand#1[0-9]$') THEN 'DELETE' ELSE 'UNCERTAIN' END AS v,
        CASE WHEN regexp_matches(p_name, '^(red|blue) ') THEN 'named' WHEN regexp_matches(p_name, 'ring$') THEN 'pattern'
@@ -102,8 +102,7 @@ SOURCE_SQL = """
 
 
 def sources(spark, sf):
-    used = table(spark, sf, "lineitem").filter(F.col("l_quantity") > 46)
-    part = joins.children_count(table(spark, sf, "part"), "p_partkey", used, "l_partkey", "n_models")
+    part = joins.children_count(table(spark, sf, "part"), "p_partkey", table(spark, sf, "lineitem"), "l_partkey", "n_models")
     return op.classify_sources(part, [
         (F.col("p_name").rlike("^(red|blue) "), "KEEP", "named"), (F.col("p_name").rlike("ring$"), "DELETE", "pattern"),
         (F.col("p_name").contains("bolt") & (F.col("p_type") == "PROMO"), "KEEP", "manifest"),

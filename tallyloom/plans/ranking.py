@@ -188,13 +188,13 @@ def sort_nulls_last(spark, sf):
 
 
 @query("L02_topk_classes", """
-    WITH v AS (SELECT vec_id, unnest(range(0, 10)) AS class, unnest(list_transform(embedding[1:10], lambda x: x::DOUBLE)) AS p FROM embeddings)
+    WITH v AS (SELECT vec_id, unnest(range(0, len(embedding))) AS class, unnest(list_transform(embedding, lambda x: x::DOUBLE)) AS p FROM embeddings)
     SELECT vec_id, place, class, round(p, 6) AS probability FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, class) AS place FROM v) WHERE place <= 3
 """)
 def topk_classes(spark, sf):
     from tallyloom.operators.learn import topk_classes as topk
 
-    df = table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double")).alias("p"))
+    df = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("p"))
     return (df.select("vec_id", F.posexplode(topk(F.col("p"), 3)).alias("place", "t"))
             .select("vec_id", (F.col("place") + 1).cast("long").alias("place"), F.col("t.class").cast("long").alias("class"),
                     F.round("t.probability", 6).alias("probability")))
