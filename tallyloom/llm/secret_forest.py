@@ -1,13 +1,16 @@
 """Secrets in text: wide candidate rule, then a random forest that removes false positives.
 
 A candidate is a run of at least `LEAST` characters of `[A-Za-z0-9+/_=-]` with a digit, cut behind
-the name of an assignment without blanks (`NAME=value`) and around known formats; or any value of `SHORT` to `LONGEST`
-bytes, whatever its signs, that is assigned to a name which announces a secret (.env, YAML, JSON, URL
+the name of an assignment without blanks (`NAME=value`) and around known formats; or any value of at least `SHORT`
+bytes, whatever its signs and however long, that is assigned to a name which announces a secret (.env, YAML, JSON, URL
 queries), or the password of a URL. Its features are length, character transitions (changes of class, surprise of its letter pairs in this
 corpus, entropy), how much of it words of the corpus cover, path signs around and inside it, and its
-neighbouring words (names that announce secrets, common words). A forest trained on labelled
-findings by MLlib votes; candidates with a vote under `least_vote` are dropped, but not known formats and values that
-a name announces: these are secrets whatever the forest has seen.
+neighbouring words (other names that announce secrets, common words).
+
+A forest trained by MLlib on labelled findings votes on every candidate; known formats alone are
+secrets without it. How a candidate is assigned is no feature: it is the evidence that labels findings where the
+caller has no labels (`sure_label`), and it sets the vote needed (`VOTES`): a value announced
+in machine form is dropped only by a clear vote, words in the place of a value are kept as text unless the vote is clear.
 
 Letter pairs and the dictionary are counted over all texts; the dictionary holds words with a share
 of at least `word_share` of all words, so it has at most 1 / word_share entries. The forest is fitted
@@ -16,7 +19,7 @@ documents are scanned, judged and redacted in place without a shuffle.
 
 Defined results: null and empty texts have no candidates and stay as they are; findings without a
 label are not learnt from; labels of one kind only give that label to every candidate, and without
-labels nothing is removed; repeated rows each give a row; an empty table gives no rows. Input columns pass through unchanged, but for the redacted text.
+labels nothing is removed; repeated rows each give a row; an empty table gives no rows. Input columns pass through unchanged, but for the redacted text; a column named like an added one is an error.
 """
 
 from __future__ import annotations
@@ -39,12 +42,19 @@ from tallyloom.llm import words as tw
 LEAST = 16
 BODY = np.ones(256, bool)
 BODY[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = False
+KINDS = np.full(256, 4, np.int8)
+KINDS[48:58], KINDS[97:123], KINDS[65:91] = 1, 2, 3
+HEX = np.frombuffer(b"0123456789abcdefABCDEF", np.uint8)
 LETTERS = np.ones(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = False
 NAMES = ("token", "secret", "password", "passwd", "pwd", "key", "auth", "bearer", "credential", "signature")
 KNOWN = re.compile(rb"(?<![0-9A-Za-z])(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{30,}|xox[abps]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,})"
                    rb"(?![0-9A-Za-z])")
-SHORT, LONGEST = 4, 256
+SHORT = 4
+COVER = 1 << 16  # bytes whose dictionary cover is looked up at a time
+# least share of the limit that a vote needs, by the evidence of the place: none, announced in machine form, words for a value
+PLAIN, ANNOUNCED_VALUE, WORDS = 0, 1, 2
+VOTES = np.array([1.0, 0.4, 1.6])
 NAMED_CUT = re.compile(rb"[A-Za-z0-9_-]*[A-Za-z][A-Za-z0-9_-]*=(?=[^=])")
 # a name that announces a secret, up to its assignment sign; group 1 is what stands before it on the line
 ANNOUNCED = re.compile(
@@ -54,10 +64,12 @@ ANNOUNCED = re.compile(
 VALUE = re.compile(rb"(=|:=|=>|:)?([ \t]*)(?:(?:Bearer|Basic|Token)[ \t]+)?(?:\\?([\"'`])([^\"'`\\\n]+)\\?\3|([^\s\"'`,;<>()\[\]{}&|\\]+))", re.I)
 LINE = re.compile(rb"[^\s\"'`]+")
 EMPTY = re.compile(rb"(?i)(null|none|nil|true|false|undefined|required|optional|x+|\*+|\.+|string|str|int|bytes)$|\$?[{(]|\$\(|%\(|<|[A-Za-z_][\w.]*\(")
+URL_PASSWORD = re.compile(rb":([^\s/@]+)@")
 USERINFO = re.compile(rb"://[^\s/:@]*$")
 AROUND = 64  # bytes of context read on each side
 FEATURES = ("length", "class_changes", "surprise", "entropy", "digits", "hex", "upper", "covered", "slashes",
-            "path_before", "path_after", "assigned", "quoted", "named", "common_before", "common_after")
+            "path_before", "path_after", "named", "common_before", "common_after")
+SPELT = re.compile(rb"[A-Za-z]+([-_ ][A-Za-z]+)+")
 
 
 @dataclass
@@ -119,63 +131,81 @@ def learn_lexicon(docs: DataFrame, *, text: str, word_share: float = 5e-5) -> Le
     return Lexicon(-np.log(table / table.sum(1, keepdims=True)), np.sort(common.column("key").to_numpy().view(np.uint64)))
 
 
-def _known_words(lexicon: Lexicon, body: bytes, spans: list[tuple[int, int]]) -> np.ndarray:
-    if not spans or not len(lexicon.words):
-        return np.zeros(len(spans), bool)
-    data = np.frombuffer(body, np.uint8)
-    start, end = np.array(spans).T
+def _known_words(lexicon: Lexicon, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    if not len(start) or not len(lexicon.words):
+        return np.zeros(len(start), bool)
     h = tw.hash_spans(data, start, end, tw.LOWER)
     at = np.minimum(np.searchsorted(lexicon.words, h), len(lexicon.words) - 1)
     return lexicon.words[at] == h
 
 
+def _covered(data: np.ndarray, lexicon: Lexicon) -> float:
+    """Share of the bytes that lie in a common word of 4 to 12 letters."""
+    total, n = 0, len(data)
+    for at in range(0, n, COVER):
+        low = max(0, at - 11)
+        part = data[low:at + COVER + 11]
+        letters = np.concatenate([[0], np.cumsum(~LETTERS[part] & (part < 128))])
+        marks = np.zeros(len(part) + 1, np.int64)
+        for k in range(4, min(12, len(part)) + 1):
+            start = np.flatnonzero(letters[k:] - letters[:-k] == k)
+            start = start[_known_words(lexicon, part, start, start + k)]
+            np.add.at(marks, start, 1)
+            np.add.at(marks, start + k, -1)
+        total += int((np.cumsum(marks[:-1]) > 0)[at - low:at - low + COVER].sum())
+    return total / n
+
+
 def describe(body: bytes, before: bytes, after: bytes, lexicon: Lexicon) -> list[float]:
     """The FEATURES of one candidate between its contexts."""
     n = len(body)
-    kinds = [1 if 48 <= c <= 57 else 2 if 97 <= c <= 122 else 3 if 65 <= c <= 90 else 4 for c in body]
-    changes = sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1)
-    letters = [c - 96 if 97 <= c <= 122 else c - 64 if 65 <= c <= 90 else 0 for c in body]
-    pairs = [lexicon.pairs[a, b] for a, b in zip(letters, letters[1:]) if a and b]
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(body).values())
-    spans = [(m.start() + i, m.start() + i + k) for m in re.finditer(rb"[A-Za-z]{4,}", body)
-             for k in range(4, min(12, len(m.group())) + 1) for i in range(len(m.group()) - k + 1)]
-    covered = np.zeros(n, bool)
-    for (a, b), known in zip(spans, _known_words(lexicon, body, spans)):
-        if known:
-            covered[a:b] = True
+    data = np.frombuffer(body, np.uint8)
+    kinds = KINDS[data]
+    low = tw.LOWER[data]
+    letter = (low >= 97) & (low <= 122)
+    both = letter[1:] & letter[:-1]
+    pairs = lexicon.pairs[low[:-1][both] - 96, low[1:][both] - 96]
+    share = np.bincount(data, minlength=256) / n
+    seen = share[share > 0]
     left, right = re.findall(rb"[A-Za-z\x80-\xff]+", before)[-3:], re.findall(rb"[A-Za-z\x80-\xff]+", after)[:1]
-    sides = b" ".join([*left[-1:], *right])
-    ends = [(0, len(left[-1]))] if left else []
-    ends += [(len(sides) - len(right[0]), len(sides))] if right else []
-    common = iter(_known_words(lexicon, sides, ends).tolist())
-    bare = before.rstrip(b" \t\"'`")
-    near = b" ".join(left).lower()
+    sides = [*left[-1:], *right]
+    ends = np.cumsum([len(w) for w in sides], dtype=np.int64)
+    common = iter(_known_words(lexicon, np.frombuffer(b"".join(sides), np.uint8),
+                               ends - np.array([len(w) for w in sides], np.int64), ends).tolist())
+    near = b" ".join([*left[:-1], *right]).lower()  # without the name of the value itself
     return [
-        float(n), changes, float(np.mean(pairs)) if pairs else 0.0, entropy, kinds.count(1) / n,
-        sum(c in b"0123456789abcdefABCDEF" for c in body) / n, kinds.count(3) / n, float(covered.mean()),
-        float(body.count(b"/")), float(before[-1:] in (b"/", b"\\", b".", b"@")),
-        float(bool(re.match(rb"[.@/\\][A-Za-z]", after))), float(bare[-1:] in (b"=", b":")),
-        float(before[-1:] in (b'"', b"'", b"`")), float(any(x.encode() in near for x in NAMES)),
+        float(n), float((kinds[1:] != kinds[:-1]).sum()) / max(1, n - 1), float(pairs.mean()) if len(pairs) else 0.0,
+        float(-(seen * np.log2(seen)).sum()), float((kinds == 1).mean()), float(share[HEX].sum()),
+        float((kinds == 3).mean()), _covered(data, lexicon), float((data == 47).sum()),
+        float(before[-1:] in (b"/", b"\\", b".", b"@")), float(bool(re.match(rb"[.@/\\][A-Za-z]", after))),
+        float(any(x.encode() in near for x in NAMES)),
         float(next(common)) if left else 0.0, float(next(common)) if right else 0.0,
     ]
 
 
-def sure_label(body: bytes, x: list[float], announced: bool = False, close: bool = False) -> int | None:
-    """Label of a finding that a plain rule settles, else None: known formats, values that a name announces, and named
-    and quoted assignments of no plain number, are secrets; bare numbers and parts of paths outside assignments,
-    and unquoted common words behind an announcing name and a blank (not `close`), are not."""
-    f = dict(zip(FEATURES, x))
+def evidence(body: bytes, before: bytes, announced: bool) -> int:
+    """What the place of a candidate says: PLAIN, ANNOUNCED_VALUE or WORDS."""
+    if not announced:
+        return PLAIN
+    if SPELT.fullmatch(body) or (body.isalpha() and body.isascii() and before[-1:] not in (b"=", b'"', b"'", b"`")):
+        return WORDS
+    return PLAIN if body[:1] == b"/" or body[:2] == b"./" or b"://" in body else ANNOUNCED_VALUE
+
+
+def sure_label(body: bytes, before: bytes, announced: bool = False) -> int | None:
+    """Label of a finding by its place, else None: known formats, and quoted values of an announcing name that are neither a
+    number nor words, are secrets; what stands in running text without a name, a sign of assignment or quotes is not."""
     if KNOWN.fullmatch(body):
         return 1
-    if announced and not f["quoted"] and not close and body.isalpha():
-        return 0 if f["covered"] == 1 else None
-    if announced and not (body[:1] == b"/" or body[:2] == b"./" or b"://" in body):
-        return 1
-    if f["named"] and f["assigned"] and f["quoted"] and f["digits"] < 1:
-        return 1
-    if not f["assigned"] and (f["digits"] == 1 or f["path_before"] or f["path_after"] or f["slashes"] > 1):
+    bare = before.rstrip(b" \t\"'`")
+    assigned, quoted = bare[-1:] in (b"=", b":"), before[-1:] in (b'"', b"'", b"`")
+    left = b" ".join(re.findall(rb"[A-Za-z\x80-\xff]+", before)[-3:]).lower()
+    named = any(x.encode() in left for x in NAMES)
+    if (announced or (named and assigned)) and quoted:
+        return 0 if SPELT.fullmatch(body) else None if body.isdigit() else 1
+    if SPELT.fullmatch(body) and not quoted:
         return 0
-    return None
+    return None if announced or named or assigned or quoted else 0
 
 
 def _announced(piece: tw.Texts) -> list[tuple[int, int, int]]:
@@ -183,39 +213,43 @@ def _announced(piece: tw.Texts) -> list[tuple[int, int, int]]:
     signs = np.flatnonzero((piece.data == 61) | (piece.data == 58))
     if not len(signs):
         return []
-    out, last = [], -1
+    out, last, body_of, body_row = [], -1, b"", -1
     rows = np.searchsorted(piece.bounds, signs, "right") - 1
     for at, row in zip(signs.tolist(), rows.tolist()):
         if at < last:
             continue
         low, high = int(piece.bounds[row]), int(piece.bounds[row + 1])
         before = piece.data[max(low, at - AROUND):at].tobytes()
-        ahead = piece.data[at:min(high, at + 4 * LONGEST)].tobytes()
+        if row != body_row:
+            body_of, body_row = piece.bytes_of(row), row
+        here = at - low  # values are matched in place, to their end
+        ahead = body_of[here:here + 4]
         if ahead[:1] == b":" and (user := USERINFO.search(before)):
-            if found := re.match(rb":([^\s/@]+)@", ahead):
-                out.append((row, at + 1, at + found.end(1)))
-                last = at + found.end(1)
+            if found := URL_PASSWORD.match(body_of, here):
+                out.append((row, at + 1, low + found.end(1)))
+                last = low + found.end(1)
             continue
         # a name, or one before the first sign of := and =>
         line = before.rsplit(b"\n", 1)[-1]
         name = ANNOUNCED.match(line[:-1] if line[-1:] == b":" and ahead[:1] == b"=" else line)
         if not name:
             continue
-        found = VALUE.match(ahead)
+        found = VALUE.match(body_of, here)
         if not found or ahead[:2] in (b"==", b"::") or ahead[:3] == b"://":
             continue
         start, end = found.span(4) if found.group(3) else found.span(5)
         if not found.group(3):
-            whole = ahead[:1] == b"=" and start == 1 and name.group(1).strip() in (b"", b"export", b"set") and LINE.match(ahead, 1)
+            whole = ahead[:1] == b"=" and start == here + 1 and name.group(1).strip() in (b"", b"export", b"set") \
+                and LINE.match(body_of, here + 1)
             if whole:
                 end = whole.end()
-            end -= len(ahead[start:end]) - len(ahead[start:end].rstrip(b".,;:"))
-        body = ahead[start:end]
+            end -= len(body_of[start:end]) - len(body_of[start:end].rstrip(b".,;:"))
+        body = body_of[start:end]
         number = body.isdigit() and len(body) < LEAST and not re.search(rb"(?i)pass|pwd", line)
-        if not SHORT <= len(body) <= LONGEST or EMPTY.match(body) or number or body.count(b" ") > 5:
+        if len(body) < SHORT or EMPTY.match(body) or number or body.count(b" ") > 5:
             continue
-        out.append((row, at + start, at + end))
-        last = at + end
+        out.append((row, low + start, low + end))
+        last = low + end
     return out
 
 
@@ -264,7 +298,7 @@ def find(docs: DataFrame, lexicon: Lexicon, *, text: str) -> DataFrame:
                     x = describe(body, before, after, shared.value)
                     bodies.append(body.decode())
                     rows.append(x)
-                    labels.append(sure_label(body, x, announced, before[-1:] == b"="))
+                    labels.append(sure_label(body, before, announced))
                 if bodies:
                     yield pa.RecordBatch.from_arrays([pa.array(bodies), pa.array(rows, pa.list_(pa.float64())),
                                                       pa.array(labels, pa.int32())], ["candidate", "features", "label"])
@@ -318,22 +352,24 @@ def scan_secrets(docs: DataFrame, lexicon: Lexicon, forest: Forest, *, text: str
     """All columns of `docs`, secrets in `text` replaced by `mark`, with `<name>_candidates` (count) and
     `<name>_spans` (first character and length in the text as it was, vote)."""
     shared = docs.sparkSession.sparkContext.broadcast((lexicon, forest))
-    place = docs.columns.index(text)
+    column = tw.place_of(docs, text)
+    tw.refuse_names(docs, f"{name}_candidates", f"{name}_spans")
     spans_type = pa.list_(pa.struct([("first", pa.int32()), ("length", pa.int32()), ("vote", pa.float64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, forest = shared.value
         for batch in batches:
-            for piece in tw.pieces(tw.texts_of(batch.column(place).cast(pa.string()))):
+            for piece in tw.pieces(tw.texts_of(batch.column(column).cast(pa.string()))):
                 n = len(piece)
                 rows, starts, ends, announced = _candidates(piece)
                 around = [_context(piece, r, a, b) for r, a, b in zip(rows.tolist(), starts.tolist(), ends.tolist())]
                 x = np.array([describe(*c, lexicon) for c in around]).reshape(-1, len(FEATURES))
-                sure = [sure_label(c[0], own, named, c[1][-1:] == b"=") == 1 for c, own, named in zip(around, x.tolist(), announced.tolist())]
-                vote = np.where(np.array(sure, bool), 1.0, forest.votes(x))
-                own = batch.column(place).slice(piece.first, n)
+                sure = np.array([KNOWN.fullmatch(c[0]) is not None for c in around], bool)
+                place = np.array([evidence(c[0], c[1], a) for c, a in zip(around, announced.tolist())], np.int64)
+                vote = np.where(sure, 1.0, forest.votes(x))
+                own = batch.column(column).slice(piece.first, n)
                 spans: list[list] = [[] for _ in range(n)]
-                hit = vote >= least_vote
+                hit = sure | (vote >= np.minimum(least_vote * VOTES[place], 1.0))
                 if hit.any():
                     texts = own.to_pylist()
                     for r in np.unique(rows[hit]).tolist():
@@ -344,9 +380,9 @@ def scan_secrets(docs: DataFrame, lexicon: Lexicon, forest: Forest, *, text: str
                             last = b
                             spans[r].append({"first": len(body[:a].decode()), "length": len(body[a:b].decode()), "vote": float(vote[i])})
                         texts[r] = b"".join([*out, body[last:]]).decode()
-                    own = pa.array(texts, batch.column(place).type)
+                    own = pa.array(texts, batch.column(column).type)
                 columns = [c.slice(piece.first, n) for c in batch.columns]
-                columns[place] = own
+                columns[column] = own
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(np.bincount(rows, minlength=n)), pa.array(spans, spans_type)],
                     [*batch.schema.names, f"{name}_candidates", f"{name}_spans"])

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PIECE = 1 << 20
 # odd multipliers of the two rolling hashes and of the finisher
@@ -72,6 +74,20 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(raw[bounds[0]:bounds[-1]], bounds - bounds[0], null)
 
 
+def place_of(docs: DataFrame, name: str) -> int:
+    """Place of a column, found as Spark finds names (in any case, unless the session tells cases apart)."""
+    docs.select(F.col(f"`{name}`"))  # raises where Spark finds none, or several
+    names = docs.columns
+    return names.index(name) if name in names else [c.lower() for c in names].index(name.lower())
+
+
+def refuse_names(docs: DataFrame, *added: str) -> None:
+    """Raise if a column of `docs` has, in any case, the name of one that is to be added."""
+    taken = {c.lower() for c in docs.columns} & {a.lower() for a in added}
+    if taken:
+        raise ValueError(f"columns are named like results: {', '.join(sorted(taken))}")
+
+
 def pieces(texts: Texts, size: int = PIECE) -> Iterator[Texts]:
     """Runs of whole rows of about `size` bytes; `first` is the place of their first row."""
     at, n = 0, len(texts)
