@@ -8,15 +8,17 @@ so it is enough to compare the windows of equal anchors.
    seven words) with short window codes; equal runs of a piece and block are folded first.
    Rows meet by anchor, sorted by place; windows seen twice are confirmed, and for each
    block of documents one sample place is kept, with a flag if the very first place of the
-   window lies in that block.
+   window lies in that block. Anchors with very many rows (a line in a third of the documents) are
+   found first; their windows are counted by Spark per window and block, with partial sums, so
+   no task sees all rows of one.
 2. Compile. Documents are dealt into blocks of bounded size by a hash of their id. Each block
    gets the samples it needs and compiles one Aho-Corasick automaton of their anchor phrases:
    the automaton is sharded by documents, so each text passes through exactly one.
 3. Stream. All documents of the block run through the automaton; around each hit the windows
    are looked up among the confirmed ones. All but the first place are covered.
 
-No group is held whole but a block; a phrase in a third of all documents sends at most one
-row per piece and block.
+No group is held whole but a block and the rows of an anchor that has fewer than `hot_rows` (or one in
+two million bytes of text, if that is more; an anchor that never recurs within a piece can have one row per piece). Both ways give the same samples.
 
 Defined results: null or empty text has no words and stays empty; texts shorter than a
 window keep all words; rows that repeat an id are taken as copies of one document and
@@ -37,10 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import words as tw
+from tallyloom.session import cut_lineage
 
 CODE = 5  # bytes of a window's hash beside its anchor's 8
 SCAN_PIECE = 2 << 20
 RUNS = "anchor long, doc long, place long, n int, codes binary"
+WINDOWS = "anchor long, code long, block long, doc long, place long, nth int, n int"
+HOT_BYTES = 2_000_000  # a hot anchor has at least one run in so many bytes, and a run two bytes: at most 1e6 are hot
 SAMPLES = "block long, doc long, place long, wanted int, first int"
 
 
@@ -69,26 +74,55 @@ def anchors(h: np.ndarray, row: np.ndarray, window: int, phrase: int):
     return at, tw.hash_runs(h, at, at + window), place[at], least[at]
 
 
-def scan_runs(docs: DataFrame, blocks: int, window: int, phrase: int) -> DataFrame:
-    """(id, text) to runs of windows with one anchor; place is 64 * first window + place of the anchor in it."""
+def _runs_of(piece: tw.Texts, window: int, phrase: int):
+    """The runs of windows with one anchor: row, place, anchor, size, first window; and the hashes of all windows."""
+    parts = tw.split(piece)
+    h = tw.hash_spans(piece.data, parts.start, parts.end)
+    at, codes, place, least = anchors(h, parts.row, window, phrase)
+    row = parts.row[at]
+    first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (row[1:] != row[:-1])])) if len(at) else at
+    where = (at[first] - parts.bounds[row[first]]) * 64 + (place[first] - at[first])
+    return row[first], where, least[first], np.diff(np.append(first, len(at))), first, codes
+
+
+def hot_anchors(docs: DataFrame, least: int, window: int, phrase: int) -> np.ndarray:
+    """Anchors, ascending, with at least `least` runs in pieces where they recur."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in tw.pieces(tw.texts_of(batch.column(1)), SCAN_PIECE):
+                key, n = np.unique(_runs_of(piece, window, phrase)[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([tw.signed(key[n > 1]), pa.array(n[n > 1])], ["anchor", "n"])
+
+    found = docs.mapInArrow(scan, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return np.sort(found.select("anchor").toArrow().column("anchor").to_numpy().view(np.uint64))
+
+
+def _is_in(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
+def scan_runs(docs: DataFrame, blocks: int, window: int, phrase: int, hot: np.ndarray, windows: bool = False) -> DataFrame:
+    """(id, text) to runs of windows with one anchor; place is 64 * first window + place of the anchor in it.
+    Runs of hot anchors are left out, or with `windows` are the only ones and give one row per window."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for piece in tw.pieces(tw.texts_of(batch.column(1)), SCAN_PIECE):
-                parts = tw.split(piece)
-                h = tw.hash_spans(piece.data, parts.start, parts.end)
-                at, codes, place, least = anchors(h, parts.row, window, phrase)
-                if not len(at):
+                row, where, least, size, first, codes = _runs_of(piece, window, phrase)
+                mine = np.flatnonzero(_is_in(least, hot) == windows)
+                if not len(mine):
                     continue
-                row = parts.row[at]
-                first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (row[1:] != row[:-1])]))
-                size = np.diff(np.append(first, len(at)))
-                doc = ids[piece.first + row[first]]
-                where = (at[first] - parts.bounds[row[first]]) * 64 + (place[first] - at[first])
+                row, where, least, size, first = row[mine], where[mine], least[mine], size[mine], first[mine]
+                doc = ids[piece.first + row]
+                block = block_of(doc, blocks)
                 # equal runs of this piece and block: the earliest stands for all
-                key = tw.mix(tw.hash_runs(codes, first, first + size) ^ least[first]) ^ tw.mix(
-                    block_of(doc, blocks).view(np.uint64))
+                key = tw.mix(tw.hash_runs(codes, first, first + size) ^ least) ^ tw.mix(block.view(np.uint64))
                 order = np.lexsort((where, doc, key))
                 lead = np.concatenate([[True], key[order][1:] != key[order][:-1]])
                 times = np.diff(np.append(np.flatnonzero(lead), len(order)))
@@ -96,17 +130,38 @@ def scan_runs(docs: DataFrame, blocks: int, window: int, phrase: int) -> DataFra
                 own = np.zeros(len(first), np.int64)
                 own[keep] = times
                 keep = np.flatnonzero(own)
-                body = codes.view(np.uint8).reshape(-1, 8)[:, :CODE]
-                if len(keep) < len(first):
-                    body = body[np.repeat(own > 0, size)]
-                ends = np.concatenate([[0], np.cumsum(size[keep] * CODE)]).astype(np.int32)
+                ends = np.cumsum(size[keep])
+                nth = np.arange(int(ends[-1])) - np.repeat(ends - size[keep], size[keep])
+                code = codes[np.repeat(first[keep], size[keep]) + nth]
+                body = np.ascontiguousarray(code.view(np.uint8).reshape(-1, 8)[:, :CODE])
+                if windows:
+                    wide = np.zeros((len(body), 8), np.uint8)
+                    wide[:, :CODE] = body
+                    of = np.repeat(keep, size[keep])
+                    yield pa.RecordBatch.from_arrays(
+                        [tw.signed(least[of]), pa.array(wide.view(np.int64).ravel()), pa.array(block[of]), pa.array(doc[of]),
+                         pa.array(where[of]), pa.array(nth, pa.int32()), pa.array(own[of], pa.int32())],
+                        ["anchor", "code", "block", "doc", "place", "nth", "n"])
+                    continue
                 packed = pa.Array.from_buffers(pa.binary(), len(keep), [
-                    None, pa.py_buffer(ends.tobytes()), pa.py_buffer(np.ascontiguousarray(body).tobytes())])
+                    None, pa.py_buffer(np.append(0, ends * CODE).astype(np.int32).tobytes()), pa.py_buffer(body.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [tw.signed(least[first[keep]]), pa.array(doc[keep]), pa.array(where[keep]),
+                    [tw.signed(least[keep]), pa.array(doc[keep]), pa.array(where[keep]),
                      pa.array(own[keep], pa.int32()), packed], ["anchor", "doc", "place", "n", "codes"])
 
-    return docs.mapInArrow(scan, RUNS)
+    return docs.mapInArrow(scan, WINDOWS if windows else RUNS)
+
+
+def confirm_hot(windows: DataFrame) -> DataFrame:
+    """Windows of hot anchors to samples, by partial sums per window and block and then per window."""
+    here = windows.groupBy("anchor", "code", "block").agg(
+        F.sum("n").alias("n"), F.min(F.struct("doc", "place", "nth")).alias("at"))
+    here = cut_lineage(here, "hot")
+    window = here.groupBy("anchor", "code").agg(F.sum("n").alias("seen"), F.min("at").alias("first_at")).where("seen > 1")
+    first = F.col("at") == F.col("first_at")
+    bit = F.expr("shiftleft(1, at.nth)")
+    return here.join(window, ["anchor", "code"]).where(~first | (F.col("n") > 1)).select(
+        "block", "at.doc", "at.place", bit.alias("wanted"), F.when(first, bit).otherwise(0).alias("first"))
 
 
 def _confirm(t: pa.Table, blocks: int) -> pa.RecordBatch | None:
@@ -266,14 +321,18 @@ def _removed(h: np.ndarray, parts: tw.Words, doc: list, samples: pa.Table, windo
 
 
 def remove_repeats(docs: DataFrame, *, id: str, text: str, window: int = 20, phrase: int = 8,
-                   block_bytes: int = 8 << 20) -> DataFrame:
+                   block_bytes: int = 8 << 20, hot_rows: int = 20_000) -> DataFrame:
     """One row per document: id, n_words, n_removed and kept_text (the words left, joined by blanks)."""
     if not 1 <= phrase <= window or window - phrase > 30:
         raise ValueError("phrase must be within the window and at most 30 words shorter")
     rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    samples = confirm(scan_runs(rows.where("doc IS NOT NULL"), blocks, window, phrase), blocks)
+    named = rows.where("doc IS NOT NULL")
+    hot = hot_anchors(named, max(hot_rows, total // HOT_BYTES), window, phrase)
+    samples = confirm(scan_runs(named, blocks, window, phrase, hot), blocks)
+    if len(hot):
+        samples = samples.unionByName(confirm_hot(scan_runs(named, blocks, window, phrase, hot, windows=True)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
