@@ -13,7 +13,7 @@ language that owns most letters is the text's; `score` is its share of the lette
 Defined results: `und`, score 0 and no spans for null texts, texts without a letter and
 models without languages; ties go to the first language by name; repeated rows each give
 a row; rows with null language are not learnt from; an empty table gives no rows. Only the
-named columns are read.
+named columns are read; others pass through, and one named like an added column is an error.
 """
 
 from __future__ import annotations
@@ -195,7 +195,8 @@ def label_spans(docs: DataFrame, model: Model, *, text: str, penalty: float = 6.
     """All columns of `docs` with `<name>_pred`, `<name>_score` and `<name>_spans` (language, first
     word, words; words are runs of letters)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text)
+    place = tw.place_of(docs, text)
+    tw.refuse_names(docs, f"{name}_pred", f"{name}_score", f"{name}_spans")
     spans_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ Every document is scored, over its whole text.
 Defined results: rows without a grade or text are not learnt from; texts without words and null texts
 have grade 0, tail 0 and are not kept; labels with one grade only, or none, give that
 grade (or 0) to every text with words, tail 1 and kept; repeated rows each give a row; an empty
-table gives no rows. Input columns pass through unchanged.
+table gives no rows. Input columns pass through unchanged; one named like an added column is an error.
 """
 
 from __future__ import annotations
@@ -186,7 +186,8 @@ def grade_documents(docs: DataFrame, model: Model, *, text: str, select: int, le
                     name: str = "quality") -> DataFrame:
     """All columns of `docs` with `<name>_grade` (expected), `<name>_tail` (P(grade >= select)) and `<name>_kept`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text)
+    place = tw.place_of(docs, text)
+    tw.refuse_names(docs, f"{name}_grade", f"{name}_tail", f"{name}_kept")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -15,7 +15,7 @@ but the counts of benchmark shingles.
 Defined results: null text has no words; null item ids give hits but no item;
 items of the same id are one item; repeated documents each give a row; an empty
 benchmark or table gives rows without hits, or no rows. Only the named columns are
-read, so extra columns of any name pass through.
+read, so extra columns of any name pass through; for `mark`, one named like an added column is an error.
 """
 
 from __future__ import annotations
@@ -165,10 +165,11 @@ def mark(docs: DataFrame, benchmark: DataFrame, *, text: str, item: str, item_te
     n_blocks = max(1, math.ceil(total / block_windows))
     numbered = wanted.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(n_blocks)))
     names = [f"{prefix}_words", f"{prefix}_hits", f"{prefix}_items"]
+    tw.refuse_names(docs, *names)
     out = docs.withColumn(names[0], F.lit(0)).withColumn(names[1], F.array().cast(HITS)) \
         .withColumn(names[2], F.array().cast(ITEMS))
     schema = out.schema
-    place = out.columns.index(text)
+    place = tw.place_of(docs, text)
     session = docs.sparkSession
     for number in range(n_blocks):
         block = _block_arrays(numbered.where(F.col("block") == number).sort("window").collect() if total else [])
@@ -226,6 +227,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id: str, text: str,
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, text: str, item: str, item_text: str,
                     window: int = 10, block_windows: int = 200_000) -> DataFrame:
     """The rows of `docs` in which no window occurs, columns unchanged."""
+    prefix = tw.unused(docs, "_bench")
     marked = mark(docs, benchmark, text=text, item=item, item_text=item_text, window=window,
-                  block_windows=block_windows)
-    return marked.where(F.size("_bench_hits") == 0).drop("_bench_words", "_bench_hits", "_bench_items")
+                  block_windows=block_windows, prefix=prefix)
+    return marked.where(F.size(f"{prefix}_hits") == 0).drop(*(f"{prefix}_{x}" for x in ("words", "hits", "items")))

@@ -20,7 +20,7 @@ text is read; both are bounded by the shares. All others are joined with the tab
 Defined results: a null text is the empty text, which has its end mark only; without
 training texts every token is unknown and the probability of each is one; a null id is
 trained on and not held out; repeated rows each give a row; an empty table gives no rows.
-Only the named columns are read.
+Only the named columns are read; kept columns named like results or `WORKING` are an error.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from tallyloom.session import cut_lineage
 END = np.uint64(0xE4D)  # the end mark's key; words have 64-bit hashes
 BITS = 20  # a sequence of up to three word numbers is one 60-bit key
 LEAST = 2  # occurrences of a kept continuation
+WORKING = ("_text", "_tokens", "_known", "_base", "_gain", "_rare", "_row", "_more", "_add", "_deltas")  # columns of `score`
 STATE = np.uint64(0x5A17E5)  # tells the key of a context from that of the same words as a continuation
 FILTER_BITS = 28  # a bit filter has at most 2**28 bits
 
@@ -284,6 +285,8 @@ def _gains(ids: np.ndarray, row: np.ndarray, states: list, nodes: list) -> np.nd
 def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFrame:
     """Columns `keep` of every row with n_tokens, n_known, train_tokens, base_score and score
     (log10 probabilities under the root alone and under the tree)."""
+    rows = docs.select(*keep)
+    tw.refuse_names(rows, "n_tokens", "n_known", "train_tokens", "base_score", "score", *WORKING)
     rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(
         {"keys": tree.keys, "n": tree.n, "number": tree.number, "states": tree.states, "nodes": tree.nodes,

@@ -88,6 +88,13 @@ def refuse_names(docs: DataFrame, *added: str) -> None:
         raise ValueError(f"columns are named like results: {', '.join(sorted(taken))}")
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `docs` begins with it (in any case)."""
+    while any(c.lower().startswith(name.lower()) for c in docs.columns):
+        name += "_"
+    return name
+
+
 def pieces(texts: Texts, size: int = PIECE) -> Iterator[Texts]:
     """Runs of whole rows of about `size` bytes; `first` is the place of their first row."""
     at, n = 0, len(texts)
