@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import length_buckets, lsh_forest, ordinal_quality, prefix_join, secret_forest
+from tallyloom.llm import length_buckets, lsh_forest, ordinal_quality, prefix_join, secret_forest, words
 from tallyloom.session import cut_lineage
 
 
@@ -17,7 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the graded labels lead to expect to be good; toxic and poor ones go."""
     graded = ordinal_quality.three_grades(spark.read.parquet(f"{sf_dir}/labels.parquet"), quality="quality", toxic="toxic")
     model = ordinal_quality.fit(docs, graded, id="doc_id", text="text", grade="grade")
-    return ordinal_quality.grade_documents(docs, model, text="text", select=2).where("quality_kept").select(*docs.columns)
+    name = words.unused(docs, "quality")
+    return ordinal_quality.grade_documents(docs, model, text="text", select=2, name=name).where(f"{name}_kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +36,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in their texts; n_chars follows the text."""
     lexicon = secret_forest.learn_lexicon(docs, text="text")
     forest = secret_forest.fit(secret_forest.find(docs, lexicon, text="text"))
-    found = secret_forest.scan_secrets(docs, lexicon, forest, text="text")
-    return found.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast("long"))
+    name = words.unused(docs, "secret")
+    found = secret_forest.scan_secrets(docs, lexicon, forest, text="text", name=name)
+    return found.withColumn("n_chars", F.when(F.size(f"{name}_spans") > 0, F.length("text").cast("long"))
                             .otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
