@@ -57,3 +57,26 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
+    """As `cut_lineage`, with the folder, for tables that `discard` removes later. The shuffle
+    files behind `df` go when it is written; nothing reads them again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that `written` made, once no plan to come reads them."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
