@@ -15,7 +15,10 @@ the level before leaves out most others (a filter never loses a key).
 Scoring. What a state or a continuation adds to what its suffix gives is one number, so the score of
 a token is a sum over its contexts. Hot states all of whose words have a share of `node_share` are
 arrays (the head), and other numbers of keys seen with a share of `lookup_share` are looked up where a
-text is read; both are bounded by the shares. All others are joined with the tables.
+text is read; both are bounded by the shares. All others are joined with the tables, in `TURNS` parts.
+
+Disk. A level's tables are deleted when the next level is written, and shuffle files when the table they
+lead to is; what stays is the words, the kept states and continuations, and the keys to be joined.
 
 Defined results: a null text is the empty text, which has its end mark only; without
 training texts every token is unknown and the probability of each is one; a null id is
@@ -34,14 +37,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import words as tw
-from tallyloom.session import cut_lineage
+from tallyloom.session import discard, written
 
 END = np.uint64(0xE4D)  # the end mark's key; words have 64-bit hashes
 BITS = 20  # a sequence of up to three word numbers is one 60-bit key
 LEAST = 2  # occurrences of a kept continuation
 WORKING = ("_text", "_tokens", "_known", "_base", "_gain", "_rare", "_row", "_more", "_add", "_deltas")  # columns of `score`
+STEP = np.uint64(0x9FB21C651E98DF25)  # an odd multiplier
 STATE = np.uint64(0x5A17E5)  # tells the key of a context from that of the same words as a continuation
 FILTER_BITS = 28  # a bit filter has at most 2**28 bits
+TURNS = 3  # the joins of scoring take the keys in so many parts, one after the other, to shuffle less at a time
+MARKS = (58, 52, 46)  # where the six bits of a key that choose a bit of its filter word begin
 
 
 @dataclass
@@ -111,10 +117,10 @@ def _numbers(h: np.ndarray, keys: np.ndarray, number: np.ndarray) -> np.ndarray:
 
 
 def _filter(keys: DataFrame, n: int) -> np.ndarray:
-    """Bits by key of the column `key`; the bit of every key is set."""
-    slots = 1 << min(FILTER_BITS, max(10, int(8 * n).bit_length())) - 6
-    t = keys.select((F.col("key").bitwiseAND(F.lit(slots - 1))).alias("slot"),
-                    F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))").alias("mask")) \
+    """Words of bits by key of the column `key`: each key sets a bit of its word for each of `MARKS`."""
+    slots = 1 << min(FILTER_BITS, max(10, int(16 * n).bit_length())) - 6
+    mask = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(key, {at}) & 63 as int))" for at in MARKS)
+    t = keys.select((F.col("key").bitwiseAND(F.lit(slots - 1))).alias("slot"), F.expr(mask).alias("mask")) \
         .groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     out = np.zeros(slots, np.int64)
     out[t.column("slot").to_numpy()] = t.column("mask").to_numpy()
@@ -124,20 +130,26 @@ def _filter(keys: DataFrame, n: int) -> np.ndarray:
 def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys may be in the filter."""
     word = bits[(keys & np.uint64(len(bits) - 1)).astype(np.int64)]
-    return (word >> (keys >> np.uint64(58))) & np.uint64(1) == 1
+    for at in MARKS:
+        word = word & (word >> (keys >> np.uint64(at) & np.uint64(63)) & np.uint64(1)) * ~np.uint64(0)
+    return word != 0
+
+
+def _key(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Key of a sequence from the keys of all but its last and all but its first token."""
+    return tw.mix(tw.mix(context) * STEP + suffix)
 
 
-def _runs(h: np.ndarray, row: np.ndarray, length: int) -> np.ndarray:
-    """Keys of the sequences of `length` tokens from each place on; the row must hold them."""
-    if length == 1:
-        return h
-    at = np.arange(max(0, len(h) - length + 1))
-    return tw.hash_runs(h, at, at + length)
+def _runs(h: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the sequences of `length` tokens from each place on, whatever their rows."""
+    for _ in range(length - 1):
+        h = _key(h[:-1], h[1:])
+    return h
 
 
 def _grams(rows: DataFrame, length: int, bits: np.ndarray, keys: np.ndarray, number: np.ndarray) -> DataFrame:
-    """Sequences seen `LEAST` times: key, context (all but the last), suffix (all but the first), their
-    word numbers packed (or -1) and n."""
+    """Sequences seen `LEAST` times: context (all but the last), suffix (all but the first), their
+    word numbers packed (or -1), n, and the key, which follows from context and suffix and is not shuffled."""
     shared = rows.sparkSession.sparkContext.broadcast((bits, keys, number))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,10 +160,10 @@ def _grams(rows: DataFrame, length: int, bits: np.ndarray, keys: np.ndarray, num
                 n = len(h) - length + 1
                 if n <= 0:
                     continue
-                parts = _runs(h, row, length - 1)
+                parts = _runs(h, length - 1)
                 there = _maybe(bits, parts)
                 at = np.flatnonzero((row[:n] == row[length - 1:]) & there[:n] & there[1:n + 1])
-                key, first, times = np.unique(_runs(h, row, length)[at], return_index=True, return_counts=True)
+                _, first, times = np.unique(_key(parts[at], parts[at + 1]), return_index=True, return_counts=True)
                 at = at[first]
                 packed = np.full(len(at), -1, np.int64)
                 if length <= 3:
@@ -159,12 +171,18 @@ def _grams(rows: DataFrame, length: int, bits: np.ndarray, keys: np.ndarray, num
                     whole = (ids >= 0).all(0)
                     packed[whole] = sum(ids[i, whole] << BITS * (length - 1 - i) for i in range(length))
                 yield pa.RecordBatch.from_arrays(
-                    [tw.signed(key), tw.signed(parts[at]), tw.signed(parts[at + 1]), pa.array(packed), pa.array(times)],
-                    ["key", "context", "suffix", "packed", "n"])
+                    [tw.signed(parts[at]), tw.signed(parts[at + 1]), pa.array(packed), pa.array(times)],
+                    ["context", "suffix", "packed", "n"])
+
+    def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, suffix = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, tw.signed(_key(context, suffix))], [*batch.schema.names, "key"])
 
-    return rows.mapInArrow(scan, "key long, context long, suffix long, packed long, n long").groupBy("key").agg(
-        F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.min("packed").alias("packed"),
-        F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    counted = "context long, suffix long, packed long, n long"
+    return rows.mapInArrow(scan, counted).groupBy("context", "suffix").agg(
+        F.min("packed").alias("packed"), F.sum("n").alias("n")).where(F.col("n") >= LEAST) \
+        .mapInArrow(with_key, counted + ", key long")
 
 
 def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share: float = 1e-6,
@@ -172,8 +190,9 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
     """Learn from all rows of `texts`."""
     if depth < 0 or not 2.0**-BITS < node_share < 1 or not 0 < lookup_share <= node_share:
         raise ValueError("depth is not negative, lookup_share at most node_share, node_share above 2**-20")
+    spark = texts.sparkSession
     rows = texts.select(F.col(text).cast("string").alias("text"))
-    counts = cut_lineage(_count(rows, lambda p: _tokens(p)[0]), "words")
+    counts, _ = written(_count(rows, lambda p: _tokens(p)[0]), "words")
     total = counts.agg(F.sum("n"), F.count("*")).first()
     tokens, types = total[0] or 0, total[1]
     looked = max(2, int(np.ceil(lookup_share * tokens)))
@@ -185,7 +204,7 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
     frequent = np.flatnonzero(n >= least)
     number = np.full(len(keys), -1, np.int64)
     number[frequent] = np.arange(len(frequent))
-    states, nodes, deltas = [], [], []
+    states, nodes, deltas, before = [], [], [], []
     # sequences of the level before: how often, the root's probability of the last symbol, what the
     # tree so far gives over the root, and whether that is all in the head
     level = counts.where(F.col("n") >= LEAST).select(
@@ -195,12 +214,12 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
         size = level.count()
         if not size:
             break
-        found = _grams(rows, length, _filter(level, size), keys, number)
-        found = found.join(level.select(F.col("key").alias("suffix"), "root", F.col("gain").alias("parent"), "headed"), "suffix") \
+        grams, grams_at = written(_grams(rows, length, _filter(level, size), keys, number), "grams")
+        found, found_at = written(grams.join(level.select(F.col("key").alias("suffix"), "root", F.col("gain").alias("parent"), "headed"), "suffix") \
             .join(level.select(F.col("key").alias("context"), F.col("n").alias("seen")), "context") \
             .select("key", "context", "packed", "n", "root", "parent", "headed", "seen",
-                    F.log(F.col("n") / (F.col("seen") + 1)).alias("own"))
-        found = cut_lineage(found, "sequences")
+                    F.log(F.col("n") / (F.col("seen") + 1)).alias("own")), "sequences")
+        discard(spark, grams_at)
         parent = F.col("root") + F.col("parent")
         sums = found.groupBy("context").agg(
             F.sum(F.exp("own")).alias("p"), F.sum(F.exp(parent)).alias("q"),
@@ -208,17 +227,20 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
             (F.every("headed") & (F.min("packed") >= 0) & (F.min("n") >= least)).alias("head"))
         share = F.greatest(1 - F.col("p"), F.lit(1e-12))
         rest = F.log(share / F.greatest(1 - F.col("q"), F.lit(1e-12)))
-        kept = cut_lineage(sums.where(F.col("seen") * (F.col("diverge") + share * rest) >= gain * (F.col("kinds") + 1)).select(
+        kept, kept_at = written(sums.where(F.col("seen") * (F.col("diverge") + share * rest) >= gain * (F.col("kinds") + 1)).select(
             "context", rest.alias("rest"), F.col("seen").alias("n"), "head"), "states")
         state = F.col("rest").isNotNull()
         level = found.join(kept.drop("n"), "context", "left").select(
             "key", "packed", "n", "root", "parent", "rest", "head",
             F.when(state, F.col("own") - F.col("root")).otherwise(F.col("parent")).alias("gain"),
             F.when(state, F.col("head")).otherwise(F.col("headed")).alias("headed"))
-        level = cut_lineage(level, "level")
-        deltas += [
-            kept.where("NOT head").select(F.col("context").bitwiseXOR(F.lit(int(STATE))).alias("key"), "n", F.col("rest").alias("delta")),
-            level.where("NOT head").select("key", "n", (F.col("gain") - F.col("rest") - F.col("parent")).alias("delta"))]
+        level, level_at = written(level, "level")
+        discard(spark, found_at, *before)
+        before = [level_at]
+        added, _ = written(
+            kept.where("NOT head").select(F.col("context").bitwiseXOR(F.lit(int(STATE))).alias("key"), "n", F.col("rest").alias("delta")).unionByName(level.where("NOT head").select("key", "n", (F.col("gain") - F.col("rest") - F.col("parent")).alias("delta"))), "deltas")
+        deltas.append(added)
+        discard(spark, kept_at)
         if length <= 3:
             t = level.where("head").select("packed", "gain", "rest").toArrow()
             packed, gained, left = (t.column(c).to_numpy() for c in ("packed", "gain", "rest"))
@@ -226,13 +248,13 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
             heads, first = np.unique(packed[order] >> BITS, return_index=True)
             states.append((heads, left[order][first]))
             nodes.append((packed[order], gained[order]))
+    discard(spark, *before)
     none = np.zeros(0, np.uint64)
     if not deltas:
         return Tree(counts, tokens, types, keys, n, number, states, nodes, depth, None, none, np.zeros(0), np.zeros(1, np.uint64))
     table = deltas[0]
     for more in deltas[1:]:
         table = table.unionByName(more)
-    table = cut_lineage(table, "deltas")
     t = table.where(F.col("n") >= looked).toArrow()
     hot, delta = t.column("key").to_numpy().view(np.uint64), t.column("delta").to_numpy()
     order = np.argsort(hot)
@@ -307,11 +329,13 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
                 gain = np.bincount(row, _gains(ids, row, t["states"], t["nodes"]), n)
                 rare = np.flatnonzero(~there)
                 more_rows, more_keys = [row[rare]], [h[rare]]
+                part = h
                 for length in range(1, t["depth"] + 1):
                     if len(h) <= length:
                         break
                     good = row[:-length] == row[length:]
-                    for key in (_runs(h, row, length)[:len(good)] ^ STATE, _runs(h, row, length + 1)):
+                    context, part = part, _key(part[:-1], part[1:])
+                    for key in (context[:len(good)] ^ STATE, part):
                         place = np.flatnonzero(good & _maybe(t["known"], key))
                         key = key[place]
                         at, found = _find(t["hot"], key)
@@ -331,14 +355,21 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
     scanned = rows.mapInArrow(scan, f"{own}{', ' if own else ''}_tokens long, _known long, _base double, "
                                     "_gain double, _rare array<long>").withColumn(
         "_row", F.monotonically_increasing_id())
-    scanned = cut_lineage(scanned, "scored")
+    scanned, _ = written(scanned, "scored")
     zero = F.lit(0.0)
     table = tree.counts.select("key", F.lit(1).alias("_one"), F.log10(F.col("n") + F.lit(1.0)).alias("_log"), zero.alias("_delta"))
     if tree.deltas is not None:
         table = table.unionByName(tree.deltas.select(
             "key", F.lit(0).alias("_one"), zero.alias("_log"), (F.col("delta") / F.lit(float(np.log(10)))).alias("_delta")))
-    found = scanned.select("_row", F.explode("_rare").alias("key")).join(table, "key").groupBy("_row").agg(
-        F.sum("_one").alias("_more"), F.sum("_log").alias("_add"), F.sum("_delta").alias("_deltas"))
+    found = None
+    for turn in range(TURNS):
+        rare = F.filter("_rare", lambda key: F.pmod(key, F.lit(TURNS)) == turn)  # noqa: B023
+        part = scanned.select("_row", F.explode(rare).alias("key")).join(
+            table.where(F.pmod("key", F.lit(TURNS)) == turn), "key").groupBy("_row").agg(
+            F.sum("_one").alias("_more"), F.sum("_log").alias("_add"), F.sum("_delta").alias("_deltas"))
+        part, _ = written(part, "sums")
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("_more", "_add", "_deltas")))
     base = F.col("_base") + F.coalesce("_add", zero) - F.col("_tokens") * F.lit(whole)
     return scanned.join(found, "_row", "left").select(
         *keep, F.col("_tokens").alias("n_tokens"), (F.col("_known") + F.coalesce("_more", F.lit(0))).alias("n_known"),
