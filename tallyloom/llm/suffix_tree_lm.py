@@ -215,11 +215,15 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
         if not size:
             break
         grams, grams_at = written(_grams(rows, length, _filter(level, size), keys, number), "grams")
-        found, found_at = written(grams.join(level.select(F.col("key").alias("suffix"), "root", F.col("gain").alias("parent"), "headed"), "suffix") \
-            .join(level.select(F.col("key").alias("context"), F.col("n").alias("seen")), "context") \
-            .select("key", "context", "packed", "n", "root", "parent", "headed", "seen",
-                    F.log(F.col("n") / (F.col("seen") + 1)).alias("own")), "sequences")
+        # two joins and two tables, so that the shuffles of one go before the other begins
+        ended, ended_at = written(grams.join(
+            level.select(F.col("key").alias("suffix"), "root", F.col("gain").alias("parent"), "headed"), "suffix").drop("suffix"), "ended")
         discard(spark, grams_at)
+        found, found_at = written(ended.join(
+            level.select(F.col("key").alias("context"), F.col("n").alias("seen")), "context").select(
+                    "key", "context", "packed", "n", "root", "parent", "headed", "seen",
+                    F.log(F.col("n") / (F.col("seen") + 1)).alias("own")), "sequences")
+        discard(spark, ended_at, *before)
         parent = F.col("root") + F.col("parent")
         sums = found.groupBy("context").agg(
             F.sum(F.exp("own")).alias("p"), F.sum(F.exp(parent)).alias("q"),
@@ -235,11 +239,13 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
             F.when(state, F.col("own") - F.col("root")).otherwise(F.col("parent")).alias("gain"),
             F.when(state, F.col("head")).otherwise(F.col("headed")).alias("headed"))
         level, level_at = written(level, "level")
-        discard(spark, found_at, *before)
+        discard(spark, found_at)
         before = [level_at]
-        added, _ = written(
-            kept.where("NOT head").select(F.col("context").bitwiseXOR(F.lit(int(STATE))).alias("key"), "n", F.col("rest").alias("delta")).unionByName(level.where("NOT head").select("key", "n", (F.col("gain") - F.col("rest") - F.col("parent")).alias("delta"))), "deltas")
-        deltas.append(added)
+        left_over = kept.where("NOT head").select(
+            F.col("context").bitwiseXOR(F.lit(int(STATE))).alias("key"), "n", F.col("rest").alias("delta"))
+        continued = level.where("NOT head").select(
+            "key", "n", (F.col("gain") - F.col("rest") - F.col("parent")).alias("delta"))
+        deltas.append(written(left_over.unionByName(continued), "deltas")[0])
         discard(spark, kept_at)
         if length <= 3:
             t = level.where("head").select("packed", "gain", "rest").toArrow()
