@@ -11,11 +11,13 @@ from tallyloom.session import scratch_path
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, schema, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the parquet files of `folder` whose name matches `name`."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    """Stream the parquet files of `folder` whose name matches `name`, and the files of folders so named."""
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    # a pattern even for one name: a stream takes a single file only from a pattern
+    pattern = name if any(c in name for c in "*?[{") else f"[{name[0]}]{name[1:]}"
+    return reader.parquet(f"{folder}/{pattern}")
 
 
 def drain(stream: DataFrame, label: str, on_batch: Callable[[DataFrame, int], None] | None = None,

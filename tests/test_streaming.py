@@ -101,3 +101,16 @@ def test_watchdog_equals_one_pass(stream, events):
     seen = []
     run.drain(pick(stream), "t", op.watchdog(pick(stream), {}, lambda df, b: seen.extend(tuple(r) for r in df.select("event_id", "tier").collect())))
     assert sorted(seen) == table(governance.with_tier(pick(events)), "event_id", "tier")
+
+
+def test_a_table_of_several_files_streams_whole(spark, tmp_path):
+    """A table is a folder of files as often as one file, and may be without rows."""
+    from tallyloom.plans import QUERIES, load_all
+
+    load_all()
+    said = [(i // 3, i % 3, f"<b>hello {i}</b>" if i % 2 else f"casino {i}") for i in range(30)]
+    for name, rows in (("some", said), ("none", [])):
+        spark.createDataFrame(rows, "conv_id long, turn int, text string").repartition(4).write.parquet(f"{tmp_path}/{name}/conversations.parquet")
+        got = QUERIES["T13_moderation_stream"](spark, f"{tmp_path}/{name}").collect()
+        want = [(c, t, f"hello {3 * c + t}", None) if (3 * c + t) % 2 else (c, t, f"casino {3 * c + t}", "auto_filtered:casino") for c, t, _ in rows]
+        assert sorted(map(tuple, got)) == sorted(want)
