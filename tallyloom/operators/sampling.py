@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import knn, vector_index
 from tallyloom.operators.ordered import hash_order, hash_slice, on_keys, ranked
-from tallyloom.operators.sparse_topk import nearest_rows
+from tallyloom.operators.sparse_topk import ROW_BLOCK, nearest_rows
 from tallyloom.session import cut_lineage
 
 SLICES = 65536
@@ -221,7 +221,7 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
 
 
 def smote_sparse(docs: DataFrame, weights: DataFrame, key: str, label: str, term: str = "term", weight: str = "weight",
-                 k: int = 5, seed: int = 42, postings: int = 256) -> DataFrame:
+                 k: int = 5, seed: int = 42, postings: int = ROW_BLOCK) -> DataFrame:
     """(label, draw, base, other, step, term, weight): synthetic sparse rows that raise every class to the largest.
 
     `docs` holds (key, label), `weights` the rows' positive weights (key, term, weight). A synthetic row lies
@@ -246,10 +246,15 @@ def smote_sparse(docs: DataFrame, weights: DataFrame, key: str, label: str, term
         near.select(F.col("query_id").alias("base"), "place", F.col("candidate_id").alias("other")), ["base", "place"], "left")
     step = F.when(F.col("other").isNotNull(), uniform(label, "draw", F.lit("gap"), seed=seed)).otherwise(F.lit(0.0))
     made = cut_lineage(made.select(label, "draw", "base", "other", step.alias("step")), "made")
+    # the weights of a row travel as one array, and the lines of a synthetic row are made and added up where it lies
     names = [label, "draw", "base", "other", "step"]
-    own = made.join(rows, F.col("base") == F.col("__k"), "left").select(*names, "term", ((1 - F.col("step")) * F.col("weight")).alias("weight"))
-    far = made.join(rows, F.col("other") == F.col("__k")).select(*names, "term", (F.col("step") * F.col("weight")).alias("weight"))
-    return own.unionByName(far).groupBy(*names, "term").agg(F.sum("weight").alias("weight"))
+    used = made.select(F.col("base").alias("__k")).unionByName(made.select(F.col("other").alias("__k"))).distinct()
+    packed = cut_lineage(rows.join(used, "__k", "left_semi").groupBy("__k").agg(F.collect_list(F.struct("term", "weight")).alias("__terms")), "packed")
+    scaled = lambda share: F.transform("__terms", lambda e: F.struct(e["term"].alias("term"), (share * e["weight"]).alias("weight")))
+    own = made.join(packed, F.col("base") == F.col("__k"), "left").select(*names, scaled(1 - F.col("step")).alias("__terms"))
+    far = made.join(packed, F.col("other") == F.col("__k")).select(*names, scaled(F.col("step")).alias("__terms"))
+    lines = own.unionByName(far).repartition(label, "draw").select(*names, F.explode_outer("__terms").alias("__e"))
+    return lines.select(*names, "__e.term", "__e.weight").groupBy(*names, "term").agg(F.sum("weight").alias("weight"))
 
 
 def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -99,7 +99,7 @@ def smote_text(spark, sf):
     """Labelled texts balanced on their TF-IDF rows."""
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").select("doc_id", "text", "quality")
     counts = cut_lineage(features.term_counts(docs, "doc_id", tx.mixed_tokens(F.col("text"))), "counts")
-    rows = features.apply_tfidf(counts, "doc_id", features.fit_tfidf(counts, docs.count()))
+    rows = cut_lineage(features.apply_tfidf(counts, "doc_id", features.fit_tfidf(counts, docs.count())), "rows")
     made = op.smote_sparse(docs.select("doc_id", "quality"), rows, "doc_id", "quality")
     return made.groupBy("quality", "draw", "base", "other", "step").agg(
         F.count("term").alias("n_terms"), F.round(F.sum("weight"), 9).alias("total"))

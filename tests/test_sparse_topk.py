@@ -80,3 +80,47 @@ def test_balanced_text_rows_lie_between_neighbours_of_their_class(spark):
         for t, w in rows.get(other, {}).items():
             want[t] = want.get(t, 0.0) + step * w
         assert {x["term"]: x["weight"] for x in lines if x["term"] is not None} == pytest.approx(want)
+
+
+def test_pairs_of_rows_are_not_written(spark, monkeypatch):
+    """Terms that every row has give no table of pairs: what is written grows with the rows."""
+    from tallyloom.operators import sparse_topk
+
+    written = []
+    keep = sparse_topk.cut_lineage
+
+    def watched(df, label="stage"):
+        out = keep(df, label)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(sparse_topk, "cut_lineage", watched)
+    rows = {i: {f"t{j}": 0.1 + ((i * 7 + j * 3) % 11) / 10 for j in range(6)} for i in range(300)}
+    df = frame(spark, rows)
+    got = nearest_rows(df, df, "id", k=2).collect()
+    assert len(got) == 600 and max(written) <= 300 * 6
+    found = {}
+    for r in sorted(got, key=lambda r: r["place"]):
+        found.setdefault(r["query_id"], []).append(r["candidate_id"])
+    assert all(found[q] == brute(rows, q, 2) for q in rows)
+
+
+def test_synthetic_rows_meet_each_weight_once(spark, monkeypatch):
+    """The weights of the drawn rows travel as one array a row, not as lines."""
+    rows = sparse(4, 60)
+    df = frame(spark, rows)
+    docs = spark.createDataFrame([(i, "a" if i % 5 else "b") for i in rows], "id long, y string")
+    written = {}
+    keep = sampling.cut_lineage
+
+    def watched(df, label="stage"):
+        out = keep(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(sampling, "cut_lineage", watched)
+    made = sampling.smote_sparse(docs, df.select("id", "term", "weight"), "id", "y", k=3).collect()
+    assert 0 < written["packed"] <= len(rows)
+    for line in made:
+        a, b, s, t = rows[line["base"]], rows.get(line["other"], {}), line["step"], line["term"]
+        assert line["weight"] == pytest.approx((1 - s) * a.get(t, 0.0) + s * b.get(t, 0.0))
