@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from tallyloom.operators.sampling import uniform
 # Share of characters dropped per variant, and the share kept when
 # a drop would leave nothing.
 DROP_LOW, DROP_HIGH, KEEP_SHARE = 0.10, 0.20, 0.30
+# bytes of text a task edits at once
+PIECE = 1 << 20
 
 
 def drop_chars(text: str, rate: float, seed: Sequence[int]) -> str:
@@ -21,23 +24,33 @@ def drop_chars(text: str, rate: float, seed: Sequence[int]) -> str:
     keeps 30 % of its characters (at least one)."""
     if not text:
         return text
-    chars = np.array(list(text), dtype=object)
+    chars = np.frombuffer(text.encode("utf-32-le"), "<u4")
     draw = np.random.default_rng(list(seed)).random(len(chars))
     kept = draw > rate
     if not kept.any():
         kept[np.argsort(-draw, kind="stable")[:max(1, int(len(chars) * KEEP_SHARE))]] = True
-    return "".join(chars[kept])
+    return chars[kept].tobytes().decode("utf-32-le")
+
+
+def edited(df: DataFrame, text: str, inputs: Sequence[str], edit: Callable[..., str]) -> DataFrame:
+    """Replace `text` by `edit(text, *inputs)`; a task holds the texts of a piece of a batch as objects."""
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = np.flatnonzero(np.diff(ends // PIECE)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                part = batch.slice(lo, hi - lo)
+                made = [edit(*values) for values in zip(*[part.column(part.schema.get_field_index(c)).to_pylist() for c in (text, *inputs)],
+                                                        strict=True)]
+                yield part.set_column(at, part.schema.field(at), pa.array(made, part.schema.field(at).type))
+
+    return df.mapInArrow(run, df.schema)
 
 
 def dropout_column(df: DataFrame, key: str, text: str, variant: str, rate: str, seed: int = 42) -> DataFrame:
     """Replace `text` by its dropout variant (Arrow batches; seeded by row key)."""
-    def drop(batches):
-        for pdf in batches:
-            pdf[text] = [drop_chars(t, r, (seed, abs(int(k)), int(v))) for t, r, k, v in
-                         zip(pdf[text], pdf[rate], pdf[key], pdf[variant], strict=True)]
-            yield pdf
-
-    return df.mapInPandas(drop, df.schema)
+    return edited(df, text, [rate, key, variant], lambda t, r, k, v: drop_chars(t, r, (seed, abs(int(k)), int(v))))
 
 
 def synonym_spots(text: str, synonyms: Mapping[str, Sequence[str]]) -> list:
@@ -70,13 +83,7 @@ def synonym_column(df: DataFrame, key: str, text: str, variant: str, synonyms: M
     """Replace `text` by its synonym variant (Arrow batches; seeded by row key)."""
     words = dict(synonyms)
 
-    def swap(batches):
-        for pdf in batches:
-            pdf[text] = [synonym_replace(t, words, n, (seed, abs(int(k)), int(v)))
-                         for t, k, v in zip(pdf[text], pdf[key], pdf[variant], strict=True)]
-            yield pdf
-
-    return df.mapInPandas(swap, df.schema)
+    return edited(df, text, [key, variant], lambda t, k, v: synonym_replace(t, words, n, (seed, abs(int(k)), int(v))))
 
 
 def augment_text(df: DataFrame, key: str, text: str, keep: Sequence[str], synonyms: Mapping[str, Sequence[str]],
