@@ -120,8 +120,9 @@ def tolerance_bands(df: DataFrame, keys: Sequence[str], value: str, second: str,
         return state["head"], opens
 
     present = df.filter(F.col(value).isNotNull()).withColumn("__second", -F.coalesce(F.col(second), F.lit(0.0)))
-    banded = fold_by_key(present, keys, value, ["__second", key], [value], step,
-                         "band double, is_head boolean", descending=True, **kw)
+    # written once: the rows and the lowest heads are both read from it
+    banded = cut_lineage(fold_by_key(present, keys, value, ["__second", key], [value], step,
+                                     "band double, is_head boolean", descending=True, **kw), "bands")
     # a lower band exists exactly when some value is not within `width` of a perfect head
     # and below `perfect`; the lowest head per key decides
     heads = banded.filter("is_head").groupBy(*keys).agg((F.min("band") < perfect).alias("__lower"))
