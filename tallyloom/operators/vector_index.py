@@ -27,7 +27,8 @@ from tallyloom.operators import knn
 from tallyloom.session import cut_lineage
 
 MAX_CELLS, WORDS = 1024, 256
-BLOCK_ROWS = 8192
+# index rows in a block, and queries that meet it at once
+BLOCK_ROWS, LOT_ROWS = 65_536, 1024
 
 
 def lloyd(rows: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -102,15 +103,18 @@ def build(df: DataFrame, key: str, vec: str, metric: str = "euclidean", group: s
 
     kind = vectors.schema["id"].dataType.simpleString()
     coded = cut_lineage(vectors.mapInPandas(encode, f"grp string, cell int, id {kind}, code binary"), "codes")
-    sizes = coded.groupBy("grp", "cell").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("blocks"))
+    sizes = coded.groupBy("grp").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("blocks"))
     sizes = cut_lineage(sizes, "sizes")
-    coded = coded.join(sizes, ["grp", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks")
+    coded = coded.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks")
     return VectorIndex(coded, vectors.select("id", "v"), sizes, centres, words, metric)
 
 
 def search(index: VectorIndex, queries: DataFrame, key: str, vec: str, k: int, probes: int, rerank: int | None = None,
-           group: str | None = None, exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, candidate_id, distance, place): the k nearest rows found in the `probes` nearest cells."""
+           group: str | None = None, exclude_self: bool = False, block_rows: int = LOT_ROWS) -> DataFrame:
+    """(query_id, candidate_id, distance, place): the k nearest rows found in the `probes` nearest cells.
+
+    A block holds a share of every cell, so a query travels once for each block and not for each cell, and
+    keeps `rerank` rows of a block."""
     spark = queries.sparkSession
     keep = rerank or max(100, 20 * k)
     if keep < k or probes < 1:
@@ -123,46 +127,49 @@ def search(index: VectorIndex, queries: DataFrame, key: str, vec: str, k: int, p
     asked = cut_lineage(asked, "queries")
     kind = asked.schema["id"].dataType.simpleString()
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centres, _, _ = shared.value
-        for pdf in batches:
-            if len(pdf):
-                gap = (centres * centres).sum(1)[None, :] - 2.0 * (knn.matrix(pdf["v"]) @ centres.T)
-                yield pdf.assign(cells=list(np.argsort(gap, axis=1, kind="stable")[:, :probes].astype("int32")))
-
-    visits = asked.mapInPandas(visit, f"id {kind}, v array<double>, grp string, cells array<int>")
-    visits = visits.withColumn("cell", F.explode("cells")).drop("cells").join(index.sizes, ["grp", "cell"])
-    lots = visits.groupBy("grp", "cell").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("lots"))
+    lots = asked.groupBy("grp").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("lots"))
+    lots = cut_lineage(lots, "lots")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    left = visits.join(lots, ["grp", "cell"]).withColumn("lot", F.pmod(F.xxhash64("id"), F.col("lots"))) \
-        .withColumn("block", every("blocks")).select("grp", "cell", "block", "lot", "id", "v")
-    right = index.codes.join(lots.select("grp", "cell", F.col("lots").alias("n")), ["grp", "cell"]) \
-        .withColumn("lot", every("n")).select("grp", "cell", "block", "lot", "id", "code")
+    left = asked.join(lots, "grp").join(index.sizes, "grp").withColumn("lot", F.pmod(F.xxhash64("id"), F.col("lots"))) \
+        .withColumn("block", every("blocks")).select("grp", "block", "lot", "id", "v")
+    right = index.codes.join(lots.select("grp", F.col("lots").alias("n")), "grp") \
+        .withColumn("lot", every("n")).select("grp", "block", "lot", "cell", "id", "code")
 
     def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame()
         centres, words, cuts = shared.value
+        c = c.sort_values(["cell", "id"], kind="stable")
         code = np.frombuffer(b"".join(c["code"]), np.uint8).reshape(len(c), len(words))
-        v = knn.matrix(q["v"]) - centres[q["cell"].iat[0]]
-        ids, own = c["id"].to_numpy(), q["id"].to_numpy()
-        take = min(keep, len(c))
-        out = []
-        step = max(1, (1 << 22) // len(c))
-        for at in range(0, len(v), step):
-            some = v[at:at + step]
-            far = np.zeros((len(some), len(c)))
-            for j, (cut, word) in enumerate(zip(cuts, words)):
-                far += knn.distances(some[:, cut], word)[:, code[:, j]] ** 2
-            if exclude_self:
-                far[own[at:at + step, None] == ids[None, :]] = np.inf
-            near = np.argpartition(far, take - 1, axis=1)[:, :take]
-            r = np.repeat(np.arange(len(some)), take)
-            found = pd.DataFrame({"query_id": own[at:at + step][r], "candidate_id": ids[near.ravel()], "guess": far[r, near.ravel()]})
-            out.append(found[np.isfinite(found["guess"])])
-        return pd.concat(out)
-
-    on = ["grp", "cell", "block", "lot"]
+        v, ids, own, cell = knn.matrix(q["v"]), c["id"].to_numpy(), q["id"].to_numpy(), c["cell"].to_numpy()
+        gap = (centres * centres).sum(1)[None, :] - 2.0 * (v @ centres.T)
+        visited = np.zeros(gap.shape, bool)
+        np.put_along_axis(visited, np.argsort(gap, axis=1, kind="stable")[:, :probes], True, axis=1)
+        # |q - centre - word|² in three parts: of the query and the cell, of the row, and of the query and the words
+        near = gap + (v * v).sum(1)[:, None]
+        row, dots = np.zeros(len(c)), []
+        for j, (cut, word) in enumerate(zip(cuts, words)):
+            row += ((word * word).sum(1)[None, :] + 2.0 * (centres[:, cut] @ word.T))[cell, code[:, j]]
+            dots.append(2.0 * (v[:, cut] @ word.T))
+        guess, place = np.full((len(v), keep), np.inf), np.zeros((len(v), keep), np.int64)
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1, [len(c)]])
+        for start, end in zip(edges[:-1], edges[1:]):
+            who = np.flatnonzero(visited[:, cell[start]])
+            step = max(1, (1 << 21) // (end - start))
+            for some in (who[i:i + step] for i in range(0, len(who), step)):
+                far = near[some, cell[start]][:, None] + row[start:end][None, :]
+                for j, table in enumerate(dots):
+                    far -= table[some[:, None], code[None, start:end, j]]
+                if exclude_self:
+                    far[own[some, None] == ids[None, start:end]] = np.inf
+                far = np.concatenate([guess[some], far], axis=1)
+                at = np.concatenate([place[some], np.broadcast_to(np.arange(start, end), (len(some), end - start))], axis=1)
+                kept = np.argpartition(far, keep - 1, axis=1)[:, :keep]
+                guess[some], place[some] = np.take_along_axis(far, kept, 1), np.take_along_axis(at, kept, 1)
+        r, i = np.nonzero(np.isfinite(guess))
+        return pd.DataFrame({"query_id": own[r], "candidate_id": ids[place[r, i]], "guess": guess[r, i]})
+
+    on = ["grp", "block", "lot"]
     found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(best, f"query_id {kind}, candidate_id {kind}, guess double")
     rank = W.partitionBy("query_id").orderBy("guess", "candidate_id")
     short = found.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= keep).select("query_id", "candidate_id")
