@@ -272,6 +272,8 @@ def synth_classification(df: DataFrame, key: str, label: str, numeric: Sequence[
     noise of `noise` deviations; categories come from a random row."""
     pool = ranked(df.select(label, key, *numeric, *categorical).withColumn("__h", hash_order(key, seed=seed)),
                   [label], "__h", [key], hashed=True, rank="__rank").drop("__h", key)
+    # three draws meet the ranked rows: they are ranked once
+    pool = cut_lineage(pool, "pool")
     sd = df.groupBy(label).agg(*[(F.stddev_pop(c) + 1e-8).alias(f"__sd_{c}") for c in numeric])
     d = draws(class_counts(df, label), label, F.lit(per_class))
     first = pick_rank(seed, label, "draw", )
