@@ -8,6 +8,7 @@ from tallyloom.functions import text as tx
 from tallyloom.functions import values as vl
 from tallyloom.operators import cluster, features as op, profile, vector_index
 from tallyloom.plans.registry import query, run_key, table
+from tallyloom.session import cut_lineage
 from tallyloom.sources.readers import union_all
 
 
@@ -109,13 +110,10 @@ def char_ngram_tokens(spark, sf):
     return table(spark, sf, "conversations").select(grams).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
-def tfidf_parts(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    train = docs.filter(F.md5(F.col("doc_id").cast("string")) < "c")
-    tokens = tx.mixed_tokens(F.col("text"))
-    n = train.count()
-    vocabulary = op.fit_tfidf(op.term_counts(train, "doc_id", tokens), n)
-    return docs, tokens, vocabulary
+def tfidf_vocabulary(docs, counts):
+    """Fitted on three quarters of the texts; `counts` holds the terms of these at least."""
+    learned = F.md5(F.col("doc_id").cast("string")) < "c"
+    return op.fit_tfidf(counts.filter(learned), docs.filter(learned).count())
 
 
 VOCAB_SQL = f"""
@@ -132,8 +130,10 @@ VOCAB_SQL = f"""
     SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 8) AS weight FROM w
 """)
 def tfidf(spark, sf):
-    docs, tokens, vocabulary = tfidf_parts(spark, sf)
-    out = op.apply_tfidf(op.term_counts(docs, "doc_id", tokens), "doc_id", vocabulary)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    # the texts are cut into terms once, for fitting and for weighing
+    counts = cut_lineage(op.term_counts(docs, "doc_id", tx.mixed_tokens(F.col("text"))), "counts")
+    out = op.apply_tfidf(counts, "doc_id", tfidf_vocabulary(docs, counts))
     return out.withColumn("weight", F.round("weight", 8))
 
 
@@ -144,8 +144,10 @@ def tfidf(spark, sf):
     FROM benchmark LEFT JOIN b USING (item_id)
 """)
 def nnz_check(spark, sf):
-    _, tokens, vocabulary = tfidf_parts(spark, sf)
-    return op.nnz_check(table(spark, sf, "benchmark"), "item_id", tokens, vocabulary)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    train = docs.filter(F.md5(F.col("doc_id").cast("string")) < "c")
+    vocabulary = tfidf_vocabulary(docs, op.term_counts(train, "doc_id", tx.mixed_tokens(F.col("text"))))
+    return op.nnz_check(table(spark, sf, "benchmark"), "item_id", tx.mixed_tokens(F.col("text")), vocabulary)
 
 
 @query("X13_l2_normalise", """
