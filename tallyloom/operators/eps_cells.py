@@ -9,11 +9,14 @@ row. Where a cut would leave nine tenths of a cell on one side, as where all row
 
 A round of cuts reads the rows a few times and writes them once to the shared folder; the rounds grow with
 the logarithm of the rows.
+
+The blocks of a cell are cut by hash, so the first ones are a fair part of it. A caller that needs only some
+neighbours of a row joins in `rounds` and asks again only for rows that are still open.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,6 +26,7 @@ from tallyloom.session import cut_lineage
 
 LIMIT = 4096
 KEEP = 0.9
+GROW = 4
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -80,23 +84,37 @@ def compared(placed: DataFrame) -> int:
     return per.agg(F.sum("__pairs")).first()[0] or 0
 
 
-def block_join(placed: DataFrame, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, limit: int = LIMIT) -> DataFrame:
-    """`fn(rows at home, rows of the cell)` for every pair of blocks of a cell."""
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / limit).cast("long").alias("__blocks"),
-                                       F.ceil(F.count(F.when(F.col("home"), 1)) / limit).cast("long").alias("__parts")).where("__parts > 0")
-    sizes = cut_lineage(sizes, "sizes")
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    rows = placed.join(sizes, "cell")
-    left = rows.where("home").withColumn("__part", F.pmod(F.xxhash64("id"), F.col("__parts"))).withColumn("__block", every("__blocks"))
+def block_join(placed: DataFrame, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, limit: int = LIMIT,
+               asked: DataFrame | None = None, first: int = 0, last: int | None = None) -> DataFrame:
+    """`fn(rows at home, rows of the cell)` for every pair of blocks of a cell. `asked` gives other rows
+    instead of all at home; they meet the blocks of their cell from `first` up to, but not with, `last`."""
+    asked = placed.where("home") if asked is None else asked
+    parts = asked.groupBy("cell").agg(F.ceil(F.count("*") / limit).cast("long").alias("__parts"))
+    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / limit).cast("long").alias("__blocks")).where(F.col("__blocks") > first)
+    sizes = cut_lineage(sizes.join(parts, "cell"), "sizes")
+    until = F.col("__blocks") if last is None else F.least("__blocks", F.lit(last).cast("long"))
+    left = asked.join(sizes, "cell").withColumn("__part", F.pmod(F.xxhash64("id"), F.col("__parts"))) \
+        .withColumn("__block", F.explode(F.sequence(F.lit(first).cast("long"), until - 1)))
     # read again: the two sides of a cogroup are different tables
     right = placed.select("*").join(sizes.select("cell", F.col("__blocks").alias("__b"), F.col("__parts").alias("__p")), "cell") \
-        .withColumn("__block", F.pmod(F.xxhash64("id"), F.col("__b"))).withColumn("__part", every("__p"))
-    names = placed.columns
-    left = left.select(*[F.col(c).alias(c) for c in names], F.col("__part").alias("__part"), F.col("__block").alias("__block"))
-    right = right.select(*[F.col(c).alias(c) for c in names], F.col("__part").alias("__part"), F.col("__block").alias("__block"))
+        .withColumn("__block", F.pmod(F.xxhash64("id"), F.col("__b")))
+    right = right.where(F.col("__block") >= first) if last is None else right.where(F.col("__block").between(first, last - 1))
+    right = right.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__p") - 1)))
+    left = left.select(*[F.col(c).alias(c) for c in asked.columns], F.col("__part").alias("__part"), F.col("__block").alias("__block"))
+    right = right.select(*[F.col(c).alias(c) for c in placed.columns], F.col("__part").alias("__part"), F.col("__block").alias("__block"))
 
     def pair(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         return fn(q, c) if len(q) and len(c) else pd.DataFrame()
 
     on = ["cell", "__part", "__block"]
     return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(pair, schema)
+
+
+def rounds(placed: DataFrame, limit: int = LIMIT) -> Iterator[tuple[int, int]]:
+    """Bounds (first, last) of the blocks that each round of joins meets: one block of every cell, then
+    each time `GROW` times as many, up to all blocks of the largest cell."""
+    most = placed.groupBy("cell").agg(F.count("*").alias("__n")).agg(F.max("__n")).first()[0] or 0
+    first, last = 0, 1
+    while first * limit < most:
+        yield first, last
+        first, last = last, last * GROW

@@ -65,3 +65,62 @@ def test_clusters_across_many_cells(spark):
     assert len(set(got[i] for i in range(900) if core[i])) == 1 and all(got[i] == -1 for i in range(1000, 1030) if not near[i][core].any())
     assert len({got[i] for i in range(900, 1000) if core[i]}) == 1 and got[900] != got[0]
     assert frame(spark, x).where(F.col("id") >= 0).count() == len(got)
+
+
+def by_pairs(x, eps, least):
+    """Clusters from all distances."""
+    near = knn.distances(x, x) <= eps
+    core = near.sum(1) >= least
+    label = np.arange(len(x))
+    while True:
+        new = np.where(core, np.where(near & core[None, :], label[None, :], len(x)).min(1), label)
+        if (new == label).all():
+            break
+        label = new
+    names = {c: k for k, c in enumerate(sorted(set(label[core].tolist())))}
+    return {i: names[label[i]] if core[i] else min((names[label[j]] for j in np.flatnonzero(near[i] & core)), default=-1)
+            for i in range(len(x))}
+
+
+def ball(rng, n, radius):
+    v = rng.normal(0, 1, (n, 3))
+    return v / np.linalg.norm(v, axis=1, keepdims=True) * radius * rng.uniform(0, 1, (n, 1)) ** (1 / 3)
+
+
+@pytest.mark.parametrize("case", ["spread", "touching", "apart"])
+def test_clusters_of_cells_that_stay_whole(spark, case):
+    rng = np.random.default_rng(8)
+    if case == "spread":
+        x = rng.normal(0, 1, (260, 24))
+        x, eps = x / np.linalg.norm(x, axis=1, keepdims=True), 0.95
+        x[200:205] = x[7]  # copies: a core by themselves
+    else:
+        # two balls that no cut parts, with one pair of rows in reach of each other, or none
+        gap = 0.99 if case == "touching" else 1.01
+        x, eps = np.concatenate([ball(rng, 130, 0.79), ball(rng, 130, 0.79) + [1.6 + gap, 0, 0], [[0.8, 0, 0], [0.8 + gap, 0, 0]]]), 1.0
+    got = {r["id"]: r["cluster"] for r in cluster.dbscan(frame(spark, x), "id", "v", eps, 4, block_rows=40).collect()}
+    want = by_pairs(x, eps, 4)
+    assert got == want
+    assert len(set(want.values()) - {-1}) == {"touching": 1, "apart": 2}.get(case, len(set(want.values()) - {-1}))
+
+
+def test_compared_pairs_of_a_whole_cell_grow_with_its_rows(spark, monkeypatch):
+    """Rows about as far apart as the distance, with many neighbours: not each is compared with each."""
+    pairs = []
+    join = eps_cells.block_join
+
+    def counted(placed, fn, schema, limit=eps_cells.LIMIT, **some):
+        asked, all_ = some.get("asked", placed.where("home")).count(), placed.count()
+        met = min(all_, some.get("last", all_) * limit) - min(all_, some.get("first", 0) * limit)
+        pairs.append(asked * met)
+        return join(placed, fn, schema, limit, **some)
+
+    monkeypatch.setattr(eps_cells, "block_join", counted)
+    per_row = []
+    for n in (400, 1600):
+        x = np.random.default_rng(9).normal(0, 1, (n, 24))
+        pairs.clear()
+        got = cluster.dbscan(frame(spark, x / np.linalg.norm(x, axis=1, keepdims=True)), "id", "v", 1.13, 4, block_rows=100)
+        assert got.where("cluster = 0").count() == n
+        per_row.append(sum(pairs) / n)
+    assert per_row[1] < 1.5 * per_row[0] and per_row[1] < 0.5 * 2 * 1600
