@@ -326,6 +326,23 @@ def test_contexts_are_kept_whatever_the_share(spark, lookup):
     assert [r["score"] for r in got] == pytest.approx(want, abs=1e-6)
 
 
+@pytest.mark.parametrize("part", [40, 1000])
+def test_score_in_many_parts(spark, monkeypatch, part):
+    """Sequences dealt over many parts, with contexts and suffixes in more than one, give the tree of a single part."""
+    rows = [(i, " ".join(t.split()[:40] + ["the", f"w{i % 9}", "the", "cat"]), None) for i, (_, t, _) in enumerate(corpus(7)) if t]
+    docs = table(spark, rows)
+
+    def scores():
+        tree = suffix_tree_lm.fit(docs, text="text", node_share=0.02, lookup_share=0.01, gain=1.0)
+        assert tree.deltas.count() and len(tree.hot)
+        return {r["doc_id"]: r["score"] for r in suffix_tree_lm.score(docs, tree, text="text", keep=["doc_id"]).collect()}
+
+    want = scores()
+    monkeypatch.setattr(suffix_tree_lm, "PART", part)
+    assert suffix_tree_lm._parts(docs, 5000) == -(-5000 // part)
+    assert scores() == pytest.approx(want, abs=1e-9)
+
+
 # ---------------------------------------------------------------- forms of assignments
 
 def test_secrets_in_assignments_of_many_forms(spark):
