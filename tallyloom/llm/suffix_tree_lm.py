@@ -94,6 +94,40 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+class _Index:
+    """Places of many keys in `keys`, in any order, found by slots of a hash."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        bits = int(4 * len(keys) + 1).bit_length()
+        self.shift = np.uint64(64 - bits)
+        slot = self._slot(keys)
+        self.order = np.argsort(slot)
+        self.keys = keys.view(np.uint64)[self.order]
+        self.starts = np.zeros((1 << bits) + 1, np.int32)
+        np.cumsum(np.bincount(slot, minlength=1 << bits), out=self.starts[1:])
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * STEP >> self.shift).view(np.int64)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of `wanted`, and which are there."""
+        if not len(self.keys):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        wanted = wanted.view(np.uint64)
+        slot = self._slot(wanted)
+        at, end = self.starts[slot], self.starts[slot + 1]
+        at = np.minimum(at, len(self.keys) - 1)
+        there = self.keys[at] == wanted
+        left = np.flatnonzero(~there & (end > at + 1))
+        while len(left):
+            at[left] += 1
+            hit = self.keys[at[left]] == wanted[left]
+            there[left] = hit
+            left = left[~hit]
+            left = left[end[left] > at[left] + 1]
+        return self.order[at], there
+
+
 def _sums(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
     """Counts of the keys of each batch."""
     for batch in batches:
@@ -125,21 +159,30 @@ def _parts(rows: DataFrame, n: int) -> int:
 
 
 def _packet_type(width: int) -> str:
-    return "part int, side int, " + ", ".join(f"f{i} binary" for i in range(width))
+    return "part int, side int, rows long, " + ", ".join(f"f{i} binary" for i in range(width))
+
 
+def _part_of(place: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each place; a part is a range of places."""
+    return ((place >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts < 1 << 16 else np.int32)
 
-def _packet(place: np.ndarray, fields: list[np.ndarray], parts: int, side: int = 0, width: int = 0) -> pa.RecordBatch:
-    """Rows in ascending order of `place` as one row of bytes for each part, which is a range of places."""
-    limits = -(-(np.arange(1, parts) << 32) // parts).astype(np.uint64) << np.uint64(32)
-    bounds = np.concatenate([[0], np.searchsorted(place, limits), [len(place)]])
-    filled = np.flatnonzero(np.diff(bounds))
-    ends = np.append(bounds[filled], len(place))
-    out = [pa.array(filled, pa.int32()), pa.array(np.full(len(filled), side, np.int32))]
+
+def _packet(part: np.ndarray, fields: list[np.ndarray], side: int = 0, width: int = 0) -> pa.RecordBatch:
+    """Rows in ascending order of `part` as one row of bytes for each part."""
+    first = _starts(part)
+    ends = np.append(first, len(part))
+    out = [pa.array(part[first].astype(np.int32)), pa.array(np.full(len(first), side, np.int32)), pa.array(np.diff(ends))]
     for f in fields:
         offsets = pa.py_buffer((ends * f.itemsize).astype(np.int32))
-        out.append(pa.Array.from_buffers(pa.binary(), len(filled), [None, offsets, pa.py_buffer(np.ascontiguousarray(f))]))
-    out += [pa.nulls(len(filled), pa.binary())] * (width - len(fields))
-    return pa.RecordBatch.from_arrays(out, ["part", "side", *(f"f{i}" for i in range(len(out) - 2))])
+        out.append(pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pa.py_buffer(np.ascontiguousarray(f))]))
+    out += [pa.nulls(len(first), pa.binary())] * (width - len(fields))
+    return pa.RecordBatch.from_arrays(out, ["part", "side", "rows", *(f"f{i}" for i in range(len(out) - 3))])
+
+
+def _deal(place: np.ndarray, fields: list[np.ndarray], parts: int, side: int = 0, width: int = 0) -> pa.RecordBatch:
+    part = _part_of(place, parts)
+    order = np.argsort(part, kind="stable")
+    return _packet(part[order], [f[order] for f in fields], side, width)
 
 
 def _blocks(rows: Iterable[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
@@ -163,9 +206,7 @@ def _columns(batches: Iterator[pa.RecordBatch], types: list[str]) -> Iterator[li
 def _packets(rows: Iterable[list[np.ndarray]], place: Callable, parts: int, side: int, width: int) -> Iterator[pa.RecordBatch]:
     """Columns of some rows, dealt by the place that `place` gives each row."""
     for fields in _blocks(rows):
-        at = place(*fields)
-        order = np.argsort(at)
-        yield _packet(at[order], [f[order] for f in fields], parts, side, width)
+        yield _deal(place(*fields), fields, parts, side, width)
 
 
 def _dealt(rows: DataFrame, types: list[str], place: Callable, parts: int, side: int = 0, width: int = 0) -> DataFrame:
@@ -173,7 +214,7 @@ def _dealt(rows: DataFrame, types: list[str], place: Callable, parts: int, side:
     return rows.mapInArrow(lambda b: _packets(_columns(b, types), place, parts, side, width), _packet_type(width))
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch], *types: list[str]) -> list[list[np.ndarray]]:
+def _unpacked(batches: Iterable[pa.RecordBatch], *types: list[str]) -> list[list[np.ndarray]]:
     """The columns of each side, from all packets of one part."""
     found = [[[np.zeros(0, t)] for t in side] for side in types]
     for batch in batches:
@@ -181,8 +222,8 @@ def _unpacked(batches: Iterator[pa.RecordBatch], *types: list[str]) -> list[list
         for side, columns in enumerate(types):
             rows = batch.filter(pa.array(side_of == side))
             for i, t in enumerate(columns if rows.num_rows else []):
-                _, offsets, data = rows.column(2 + i).buffers()
-                first = rows.column(2 + i).offset
+                _, offsets, data = rows.column(3 + i).buffers()
+                first = rows.column(3 + i).offset
                 ends = np.frombuffer(offsets, np.int32)
                 found[side][i].append(np.frombuffer(data, np.uint8)[ends[first]:ends[first + rows.num_rows]].view(t))
     return [[np.concatenate(c) for c in side] for side in found]
@@ -196,7 +237,7 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
 
 
 def _filter(keys: DataFrame, n: int) -> np.ndarray:
-    """Words of bits by key of the column `key`: each key sets a bit of its word for each of `MARKS`."""
+    """Words of bits by key, given as packets of keys: each key sets a bit of its word for each of `MARKS`."""
     slots = 1 << min(FILTER_BITS, max(10, int(16 * n).bit_length())) - 6
     scale = np.uint64(64 - slots.bit_length() + 1)
     parts = _parts(keys, n)
@@ -207,12 +248,12 @@ def _filter(keys: DataFrame, n: int) -> np.ndarray:
         return [slot[order][first], np.bitwise_or.reduceat(mask[order], first) if len(first) else mask]
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, in _blocks(_columns(batches, ["u8"])):
+        for key, in _blocks(_unpacked([batch], ["u8"])[0] for batch in batches):
             mask = np.zeros(len(key), np.uint64)
             for at in MARKS:
                 mask |= np.uint64(1) << (key >> np.uint64(at) & np.uint64(63))
             slot, mask = combined(key & np.uint64(slots - 1), mask)
-            yield _packet(slot << scale, [slot.astype("u4"), mask], parts)
+            yield _packet(_part_of(slot << scale, parts), [slot.astype("u4"), mask])
 
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (slot, mask), = _unpacked(batches, ["u4", "u8"])
@@ -220,7 +261,7 @@ def _filter(keys: DataFrame, n: int) -> np.ndarray:
         if len(slot):
             yield pa.RecordBatch.from_arrays([pa.array([f.tobytes()]) for f in (slot, mask)], ["slot", "mask"])
 
-    t = keys.select("key").mapInArrow(marked, _packet_type(2)).repartitionById(parts, F.col("part")) \
+    t = keys.mapInArrow(marked, _packet_type(2)).repartitionById(parts, F.col("part")) \
         .mapInArrow(united, "slot binary, mask binary").toArrow()
     out = np.zeros(slots, np.uint64)
     for slot, mask in zip(t.column("slot"), t.column("mask"), strict=True):
@@ -248,10 +289,10 @@ def _runs(h: np.ndarray, length: int) -> np.ndarray:
     return h
 
 
-def _grams(rows: DataFrame, length: int, bits: np.ndarray, least: int, named: tuple, parts: int) -> DataFrame:
-    """Sequences seen `LEAST` times: key, context (all but the last), suffix (all but the first), n, and the
-    word numbers packed of those seen `least` times (else -1); `named` has those of the level before by key."""
-    shared = rows.sparkSession.sparkContext.broadcast((bits, *named))
+def _grams(rows: DataFrame, length: int, bits: np.ndarray, hot: dict, least: int, named: tuple, parts: int) -> DataFrame:
+    """Sequences seen `LEAST` times, dealt by suffix: key, context (all but the last), suffix (all but the first), n, and
+    the word numbers packed of those seen `least` times (else -1); `named` has those of the level before by key."""
+    shared = rows.sparkSession.sparkContext.broadcast((bits, *named, hot["key"]))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         bits = shared.value[0]
@@ -274,7 +315,7 @@ def _grams(rows: DataFrame, length: int, bits: np.ndarray, least: int, named: tu
             first = _starts(key)
             times = np.diff(first, append=len(key)).astype("i4")
             order = order[first]
-            yield _packet(key[first], [context[order], suffix[order], times], parts)
+            yield _packet(_part_of(key[first], parts), [context[order], suffix[order], times])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (context, suffix, n), = _unpacked(batches, ["u8", "u8", "i4"])
@@ -289,43 +330,58 @@ def _grams(rows: DataFrame, length: int, bits: np.ndarray, least: int, named: tu
         packed = np.full(len(order), -1, np.int64)
         often = np.flatnonzero(times >= least)
         if length <= 3 and len(often):
-            _, names, numbers = shared.value
+            _, names, numbers, _ = shared.value
             left, right = (_find(names, part[order[often]]) for part in (context, suffix))
             whole = left[1] & right[1]
             packed[often[whole]] = numbers[left[0][whole]] << BITS | numbers[right[0][whole]] & ((1 << BITS) - 1)
-        yield pa.RecordBatch.from_arrays([*(tw.signed(f[order]) for f in (key, context, suffix)), pa.array(times), pa.array(packed)],
-                                         ["key", "context", "suffix", "n", "packed"])
+        key, context, suffix = key[order], context[order], suffix[order]
+        often = _find(shared.value[3], suffix)[1]
+        yield _deal(np.where(often, key, suffix), [key, context, suffix, times, packed], parts)
 
-    return rows.mapInArrow(scan, _packet_type(3)).repartitionById(parts, F.col("part")) \
-        .mapInArrow(count, "key long, context long, suffix long, n long, packed long")
+    return rows.mapInArrow(scan, _packet_type(3)).repartitionById(parts, F.col("part")).mapInArrow(count, _packet_type(5))
 
 
-def _ended(grams: DataFrame, level: DataFrame, hot: dict, parts: int) -> DataFrame:
-    """Sequences with what the level before gives for their suffix, and `seen` of hot contexts (else 0)."""
+def _ended(grams: DataFrame, level: DataFrame, hot: dict, least: int, parts: int) -> DataFrame:
+    """Sequences with what the level before gives for their suffix, dealt by context, and `seen` of hot contexts (else
+    0); and on side 1 the sums for hot contexts in this part."""
     shared = grams.sparkSession.sparkContext.broadcast(hot)
     sent = ["u8", "u8", "u8", "i8", "i8"], ["u8", "f8", "f8", "?"]
 
-    def place(key: np.ndarray, context: np.ndarray, suffix: np.ndarray, n: np.ndarray, packed: np.ndarray) -> np.ndarray:
-        return np.where(_find(shared.value["key"], suffix)[1], key, suffix)
-
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (key, context, suffix, n, packed), before = _unpacked(batches, *sent)
+        if not len(key):
+            return
         hot = shared.value
         before = [np.concatenate([f, hot[c]]) for f, c in zip(before, ("key", "root", "gain", "headed"), strict=True)]
-        order = np.argsort(before[0])
-        at, there = _find(before[0][order], suffix)
-        at = order[at[there]] if len(order) else at
-        own, often = _find(hot["key"], context[there])
+        at, there = _Index(before[0]).find(suffix)
+        if not there.all():
+            key, context, n, packed, at = (f[there] for f in (key, context, n, packed, at))
+        root, parent, headed = (f[at] for f in before[1:])
+        own, often = _find(hot["key"], context)
         seen = np.where(often, hot["n"][own] if len(hot["n"]) else 0, 0)
-        yield pa.RecordBatch.from_arrays(
-            [tw.signed(key[there]), tw.signed(context[there]), pa.array(n[there]), pa.array(packed[there]),
-             *(pa.array(f[at]) for f in before[1:]), pa.array(seen)],
-            ["key", "context", "n", "packed", "root", "parent", "headed", "seen"])
-
-    return _dealt(grams, sent[0], place, parts).union(
-        _dealt(level.select("key", "root", "gain", "headed"), sent[1], lambda key, *_: key, parts, 1, 5)) \
-        .repartitionById(parts, F.col("part")) \
-        .mapInArrow(join, "key long, context long, n long, packed long, root double, parent double, headed boolean, seen long")
+        yield _deal(np.where(often, key, context), [key, context, n, packed, root, parent, headed, seen], parts)
+        if often.any():
+            sums = _sums_of(*(f[often] for f in (context, n, packed, root, parent, headed, seen)), least)[0]
+            yield _packet(np.zeros(len(sums[0]), np.int32), [*sums, np.zeros(len(sums[0]))], 1)
+
+    return grams.union(level.select("part", F.lit(1), "rows", "f0", "f2", "f3", "f4", F.lit(None).cast("binary"))) \
+        .repartitionById(parts, F.col("part")).mapInArrow(join, _packet_type(8))
+
+
+def _sums_of(context: np.ndarray, n: np.ndarray, packed: np.ndarray, root: np.ndarray, parent: np.ndarray, headed: np.ndarray,
+             seen: np.ndarray, least: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """What the test of each context needs, from its rows: context, probabilities under it and under its suffix,
+    divergence, number of rows, times seen, and whether it can be in the head; and the group of each row."""
+    order = np.argsort(context)
+    first = _starts(context[order])
+    kinds = np.diff(first, append=len(order))
+    group = np.empty(len(order), np.int64)
+    group[order] = np.repeat(np.arange(len(first)), kinds)
+    own, below = np.log(n / (seen + 1)), root + parent
+    p = np.exp(own)
+    sums = (np.bincount(group, x, len(first)) for x in (p, np.exp(below), p * (own - below)))
+    head = np.bincount(group, ~headed | (packed < 0) | (n < least), len(first)) == 0
+    return [context[order[first]], *sums, kinds, seen[order[first]], head], group
 
 
 def _tested(p: np.ndarray, q: np.ndarray, diverge: np.ndarray, kinds: np.ndarray, seen: np.ndarray,
@@ -336,69 +392,88 @@ def _tested(p: np.ndarray, q: np.ndarray, diverge: np.ndarray, kinds: np.ndarray
     return rest, seen * (diverge + share * rest) >= gain * (kinds + 1)
 
 
-def _hot_states(ended: DataFrame, least: int, gain: float) -> dict:
+SUMS = ["u8", "f8", "f8", "f8", "i8", "i8", "?"]  # types of the sums of `_sums_of`
+
+
+def _hot_states(ended: DataFrame, gain: float) -> dict:
     """The test of hot contexts, whose continuations are in many parts; at most one in `PART` tokens is hot."""
-    own, parent = F.log(F.col("n") / (F.col("seen") + 1)), F.col("root") + F.col("parent")
-    t = ended.where("seen > 0").groupBy("context").agg(
-        F.sum(F.exp(own)).alias("p"), F.sum(F.exp(parent)).alias("q"), F.sum(F.exp(own) * (own - parent)).alias("diverge"),
-        F.count("*").alias("kinds"), F.max("seen").alias("seen"),
-        (F.every("headed") & (F.min("packed") >= 0) & (F.min("n") >= least)).alias("head")).toArrow()
-    c = {name: t.column(name).to_numpy() for name in t.column_names}
-    order = np.argsort(c["context"].view(np.uint64))
-    rest, state = _tested(*(c[name] for name in ("p", "q", "diverge", "kinds", "seen")), gain)
-    return {"context": c["context"].view(np.uint64)[order], "seen": c["seen"][order], "rest": rest[order],
-            "state": state[order], "head": c["head"][order].astype(bool)}
-
-
-def _level(ended: DataFrame, level: DataFrame, hot: dict, least: int, gain: float, parts: int) -> DataFrame:
-    """Sequences (with `root`) with what the tree gives them, and the states outside the head (without)."""
+    found = _side(ended, 1, SUMS)
+    context, group = np.unique(found[0], return_inverse=True)
+    p, q, diverge, kinds = (np.bincount(group, f, len(context)) for f in found[1:5])
+    seen = np.zeros(len(context), np.int64)
+    seen[group] = found[5]
+    head = np.bincount(group, ~found[6], len(context)) == 0
+    rest, state = _tested(p, q, diverge, kinds, seen, gain)
+    return {"context": context, "seen": seen, "rest": rest, "state": state, "head": head}
+
+
+def _side(packets: DataFrame, side: int, types: list[str]) -> list[np.ndarray]:
+    """All rows of one side, on the driver."""
+    t = packets.where(F.col("side") == side).select("part", F.lit(0).alias("side"), "rows", *(f"f{i}" for i in range(len(types))))
+    return _unpacked(t.toArrow().to_batches(), types)[0]
+
+
+LEVEL = ["u8", "i8", "f8", "f8", "?"]  # side 0 of a level: key, n, root, gain, headed
+
+
+def _level(ended: DataFrame, level: DataFrame, hot: dict, gain: float, least: int, parts: int) -> DataFrame:
+    """Sequences with what the tree gives them, dealt by key (side 0, as `LEVEL`); key, n and delta of states and
+    continuations outside the head (1); packed, gain and rest of those in it (2); key and packed where known (3)."""
     shared = ended.sparkSession.sparkContext.broadcast(hot)
     sent = ["u8", "u8", "i8", "i8", "f8", "f8", "?", "i8"], ["u8", "i8"]
 
-    def place(key: np.ndarray, context: np.ndarray, *rest: np.ndarray) -> np.ndarray:
-        return np.where(rest[-1] > 0, key, context)
-
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, (keys, times) = _unpacked(batches, *sent)
-        order = np.argsort(rows[1])
-        key, context, n, packed, root, parent, headed, seen = (f[order] for f in rows)
+        (key, context, n, packed, root, parent, headed, seen), (keys, times) = _unpacked(batches, *sent)
         if not len(key):
             return
         hot = shared.value
-        first = _starts(context)
-        kinds = np.diff(first, append=len(key))
-        group = np.repeat(np.arange(len(first)), kinds)
-        order = np.argsort(keys)
-        at, _ = _find(keys[order], context[first])
-        often = seen[first] > 0
-        total = seen[first]
-        total[~often] = times[order[at[~often]]]
-        own, below = np.log(n / (total[group] + 1)), root + parent
-        p, q, diverge = (np.add.reduceat(x, first) for x in (np.exp(own), np.exp(below), np.exp(own) * (own - below)))
-        rest, state = _tested(p, q, diverge, kinds, total, gain)
-        head = np.logical_and.reduceat(headed, first) & (np.minimum.reduceat(packed, first) >= 0) & (
-            np.minimum.reduceat(n, first) >= least)
-        at = _find(hot["context"], context[first[often]])[0]
-        rest[often], state[often], head[often] = (hot[c][at] for c in ("rest", "state", "head"))
+        often = seen > 0
+        if len(keys):
+            seen = np.where(often, seen, times[_Index(keys).find(context)[0]])
+        (contexts, p, q, diverge, kinds, seen, head), group = _sums_of(context, n, packed, root, parent, headed, seen, least)
+        rest, state = _tested(p, q, diverge, kinds, seen, gain)
+        at, elsewhere = _find(hot["context"], contexts)
+        rest[elsewhere], state[elsewhere], head[elsewhere] = (hot[c][at[elsewhere]] for c in ("rest", "state", "head"))
         head &= state
         apart = state & ~head
-        gained = np.where(state[group], own - root, parent)
-        yield pa.RecordBatch.from_arrays(
-            [tw.signed(key), pa.array(n), pa.array(packed), pa.array(root), pa.array(gained),
-             pa.array(np.where(state[group], head[group], headed)), pa.array(head[group]), pa.array(rest[group], mask=~state[group]),
-             pa.array(gained - rest[group] - parent, mask=~apart[group])], names)
-        out = np.flatnonzero(apart & ~often)
-        none = pa.nulls(len(out), pa.float64())
-        yield pa.RecordBatch.from_arrays(
-            [tw.signed(context[first[out]] ^ STATE), pa.array(total[out]), pa.array(np.full(len(out), -1)), none, none,
-             pa.array(np.zeros(len(out), bool)), pa.array(np.zeros(len(out), bool)), none, pa.array(rest[out])], names)
-
-    names = ["key", "n", "packed", "root", "gain", "headed", "head", "rest", "delta"]
-    return _dealt(ended, sent[0], place, parts).union(
-        _dealt(level.select("key", "n"), sent[1], lambda key, _: key, parts, 1, 8)) \
-        .repartitionById(parts, F.col("part")) \
-        .mapInArrow(join, "key long, n long, packed long, root double, gain double, headed boolean, head boolean, "
-                          "rest double, delta double")
+        kept, left, inside = state[group], rest[group], head[group]
+        gained = np.where(kept, np.log(n / (seen[group] + 1)) - root, parent)
+        yield _deal(key, [key, n, root, gained, np.where(kept, inside, headed)], parts, 0)
+        own, out = apart[group], apart & ~elsewhere
+        delta = [np.concatenate([key[own], contexts[out] ^ STATE]), np.concatenate([n[own], seen[out]]),
+                 np.concatenate([(gained - left - parent)[own], rest[out]])]
+        for side, fields in (1, delta), (2, [packed[inside], gained[inside], left[inside]]), (3, [key[packed >= 0], packed[packed >= 0]]):
+            yield _packet(np.zeros(len(fields[0]), np.int32), fields, side, len(LEVEL))
+
+    return ended.where("side = 0").union(
+        level.select("part", F.lit(1), "rows", "f0", "f1", *[F.lit(None).cast("binary")] * 6)) \
+        .repartitionById(parts, F.col("part")).mapInArrow(join, _packet_type(len(LEVEL)))
+
+
+def _often(level: DataFrame) -> dict:
+    """The rows of keys seen `PART` times, on the driver."""
+    often = PART
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for fields in (_unpacked([batch], LEVEL)[0] for batch in batches):
+            kept = fields[1] >= often
+            yield _packet(np.zeros(kept.sum(), np.int32), [f[kept] for f in fields])
+
+    names = ("key", "n", "root", "gain", "headed")
+    found = _side(level.mapInArrow(rows, _packet_type(len(LEVEL))), 0, LEVEL)
+    order = np.argsort(found[0])
+    return {name: f[order] for name, f in zip(names, found, strict=True)}
+
+
+def _deltas(packets: DataFrame) -> DataFrame:
+    """Rows of side 1 of a level."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (key, n, delta), = _unpacked([batch], ["u8", "i8", "f8"])
+            yield pa.RecordBatch.from_arrays([tw.signed(key), pa.array(n), pa.array(delta)], ["key", "n", "delta"])
+
+    return packets.where("side = 1").select("part", F.lit(0).alias("side"), "rows", "f0", "f1", "f2").mapInArrow(
+        rows, "key long, n long, delta double")
 
 
 def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share: float = 1e-6,
@@ -422,41 +497,39 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
     number[frequent] = np.arange(len(frequent))
     states, nodes, deltas, before = [], [], [], []
     named = keys[frequent], number[frequent]
+    parts = _parts(rows, tokens)
     # sequences of the level before: how often, the root's probability of the last symbol, what the
     # tree so far gives over the root, and whether that is all in the head
-    level = counts.where(F.col("n") >= LEAST).select(
+    level = _dealt(counts.where(F.col("n") >= LEAST).select(
         "key", "n", F.log((F.col("n") + 1) / F.lit(float(tokens + types + 1))).alias("root"),
-        F.lit(0.0).alias("gain"), F.lit(True).alias("headed"))
+        F.lit(0.0).alias("gain"), F.lit(True).alias("headed")), LEVEL, lambda key, *_: key, parts)
+    level, level_at = written(level, "level")
+    before = [level_at]
     for length in range(2, depth + 2):
-        size = level.count()
+        size = level.agg(F.sum("rows")).first()[0] or 0
         if not size:
             break
-        grams, grams_at = written(_grams(rows, length, _filter(level, size), least, named, _parts(rows, tokens)), "grams")
-        parts = _parts(rows, size + grams.count())
-        t = level.where(F.col("n") >= PART).toArrow()
-        often = {c: t.column(c).to_numpy() for c in ("key", "n", "root", "gain", "headed")}
-        often = {c: f[np.argsort(often["key"].view(np.uint64))] for c, f in often.items()}
-        often |= {"key": often["key"].view(np.uint64), "headed": often["headed"].astype(bool)}
+        hot = _often(level)
+        bits = _filter(level.select("part", "side", "rows", "f0"), size)
+        grams, grams_at = written(_grams(rows, length, bits, hot, least, named, parts), "grams")
         # two shuffles and two tables, so that the files of one go before the other begins
-        ended, ended_at = written(_ended(grams, level, often, parts), "ended")
+        ended, ended_at = written(_ended(grams, level, hot, least, parts), "ended")
         discard(spark, grams_at)
-        hot = _hot_states(ended, least, gain)
-        found, found_at = written(_level(ended, level, hot, least, gain, parts), "level")
+        hot = _hot_states(ended, gain)
+        found, found_at = written(_level(ended, level, hot, gain, least, parts), "level")
         discard(spark, ended_at, *before)
         before = [found_at]
-        level = found.where("root IS NOT NULL")
-        deltas.append(written(found.where("delta IS NOT NULL").select("key", "n", "delta"), "deltas")[0])
+        level = found.where("side = 0")
+        deltas.append(written(_deltas(found), "deltas")[0])
         apart = np.flatnonzero(hot["state"] & ~hot["head"])
         if len(apart):
             deltas.append(spark.createDataFrame(pa.table(
                 {"key": tw.signed(hot["context"][apart] ^ STATE), "n": hot["seen"][apart], "delta": hot["rest"][apart]})))
         if length <= 3:
-            t = level.where("packed >= 0").select("key", "packed").toArrow()
-            names, numbers = t.column("key").to_numpy().view(np.uint64), t.column("packed").to_numpy()
+            names, numbers = _side(found, 3, ["u8", "i8"])
             order = np.argsort(names)
             named = names[order], numbers[order]
-            t = level.where("head").select("packed", "gain", "rest").toArrow()
-            packed, gained, left = (t.column(c).to_numpy() for c in ("packed", "gain", "rest"))
+            packed, gained, left = _side(found, 2, ["i8", "f8", "f8"])
             order = np.argsort(packed)
             heads, first = np.unique(packed[order] >> BITS, return_index=True)
             states.append((heads, left[order][first]))
@@ -471,8 +544,9 @@ def fit(texts: DataFrame, *, text: str, node_share: float = 4e-6, lookup_share:
     t = table.where(F.col("n") >= looked).toArrow()
     hot, delta = t.column("key").to_numpy().view(np.uint64), t.column("delta").to_numpy()
     order = np.argsort(hot)
+    packed = _dealt(table.select("key"), ["u8"], lambda key: key, 1)
     return Tree(counts, tokens, types, keys, n, number, states, nodes, depth, table.where(F.col("n") < looked), hot[order],
-                delta[order], _filter(table, table.count()), looked)
+                delta[order], _filter(packed, table.count()), looked)
 
 
 def _backed(states: list, nodes: list, key: np.ndarray) -> np.ndarray:
@@ -500,20 +574,22 @@ def _gains(ids: np.ndarray, row: np.ndarray, states: list, nodes: list) -> np.nd
     for length in range(len(states), 0, -1):
         if n <= length:
             continue
-        context = np.zeros(n - length, np.int64)
-        good = row[:n - length] == row[length:]
+        good = (row[:n - length] == row[length:]) & open_[length:]
         for i in range(length):
             good &= ids[i:n - length + i] >= 0
-            context = context << BITS | np.maximum(ids[i:n - length + i], 0)
+        place = np.flatnonzero(good)
+        context = np.zeros(len(place), np.int64)
+        for i in range(length):
+            context = context << BITS | ids[place + i]
         at, state = _find(states[length - 1][0], context)
-        state &= good & open_[length:]
-        symbol = ids[length:]
-        place, node = _find(nodes[length - 1][0], context << BITS | np.maximum(symbol, 0))
-        node &= state & (symbol >= 0)
-        gain = np.where(node, nodes[length - 1][1][place] if len(nodes[length - 1][1]) else 0,
-                        states[length - 1][1][at] if len(states[length - 1][1]) else 0)
-        out[length:] += np.where(state, gain, 0)
-        open_[length:] &= ~node
+        place, context, at = place[state] + length, context[state], at[state]
+        symbol = ids[place]
+        node_at, node = _find(nodes[length - 1][0], context << BITS | np.maximum(symbol, 0))
+        node &= symbol >= 0
+        gain = states[length - 1][1][at]
+        gain[node] = nodes[length - 1][1][node_at[node]]
+        out[place] += gain
+        open_[place[node]] = False
     return out
 
 
@@ -543,10 +619,9 @@ def _added(asked: DataFrame, known: DataFrame, deltas: DataFrame, turn: int, par
         (key, row), *tables = _unpacked(batches, *sent)
         values = []
         for keys, number in tables:
-            order = np.argsort(keys)
-            at, there = _find(keys[order], key)
+            at, there = _Index(keys).find(key)
             value = np.zeros(len(key))
-            value[there] = number[order[at[there]]]
+            value[there] = number[at[there]]
             values += [there.astype("i8"), value]
         more, add, hit, delta = values
         hit = np.flatnonzero(more | hit)
@@ -578,11 +653,12 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
         logs = np.log10(t["n"] + 1.0)
+        words, hot = _Index(t["keys"]), _Index(t["hot"])
         for batch in batches:
             for piece in tw.pieces(tw.texts_of(batch.column(batch.num_columns - 1))):
                 n = len(piece)
                 h, row, bounds = _tokens(piece)
-                at, there = _find(t["keys"], h)
+                at, there = words.find(h)
                 base = np.bincount(row[there], logs[at[there]], n)
                 known = np.bincount(row[there], minlength=n)
                 ids = np.where(there, t["number"][at] if len(t["number"]) else 0, -1)
@@ -598,7 +674,7 @@ def score(docs: DataFrame, tree: Tree, *, text: str, keep: list[str]) -> DataFra
                     for key in (context[:len(good)] ^ STATE, part):
                         place = np.flatnonzero(good & _maybe(t["known"], key))
                         key = key[place]
-                        at, found = _find(t["hot"], key)
+                        at, found = hot.find(key)
                         gain += np.bincount(row[place[found]], t["delta"][at[found]], n)
                         more_rows.append(row[place[~found]])
                         more_keys.append(key[~found])
