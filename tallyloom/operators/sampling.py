@@ -9,17 +9,20 @@ group's quota runs out, and only the rows of that slice are ranked.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tallyloom.functions.digests import unit_hashes
 from tallyloom.operators import knn, vector_index
-from tallyloom.operators.ordered import hash_order, hash_slice, on_keys, ranked
+from tallyloom.operators.ordered import hash_order, hash_slice, on_keys, ranked, slice_count
 from tallyloom.operators.sparse_topk import ROW_BLOCK, nearest_rows
 from tallyloom.session import cut_lineage
 
@@ -32,10 +35,28 @@ def uniform(*parts: Column | str, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(float(16 ** 12))
 
 
+def uniforms(df: DataFrame, parts: Sequence[str], endings: Mapping[str, Sequence[str | int]]) -> DataFrame:
+    """`df` with a column for each ending: uniform(*parts, *ending[:-1], seed=ending[-1]), hashed a batch at a time."""
+    # the joint after the last part goes where all parts are null
+    text = F.concat_ws("|", *[F.col(p).cast("string") for p in parts], F.lit(""))
+    tails = ["|".join(map(str, e)) for e in endings.values()]
+    schema = StructType([*df.schema.fields, *[StructField(name, DoubleType(), False) for name in endings]])
+
+    def run(batches):
+        for batch in batches:
+            made = [pa.array(v) for v in unit_hashes(batch.column(batch.num_columns - 1), tails)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], *endings])
+
+    return df.withColumn("__text", text).mapInArrow(run, schema)
+
+
 def normal(*parts: Column | str, seed: int = 42) -> Column:
     """Standard normal number from two hashes (Box-Muller)."""
-    u = F.greatest(uniform(*parts, F.lit("a"), seed=seed), F.lit(1e-12))
-    return F.sqrt(-2.0 * F.log(u)) * F.cos(2.0 * np.pi * uniform(*parts, F.lit("b"), seed=seed))
+    return box_muller(uniform(*parts, F.lit("a"), seed=seed), uniform(*parts, F.lit("b"), seed=seed))
+
+
+def box_muller(a: Column, b: Column) -> Column:
+    return F.sqrt(-2.0 * F.log(F.greatest(a, F.lit(1e-12)))) * F.cos(2.0 * np.pi * b)
 
 
 def first_by_hash(df: DataFrame, keys: Sequence[str], key: str, limits: DataFrame, seed: int = 42,
@@ -144,12 +165,16 @@ DRAW_CHUNK = 100_000
 
 def draws(counts: DataFrame, label: str, need: Column) -> DataFrame:
     """(label, __size, draw): one row per extra row a class needs. `counts` is the
-    class table (label, __n); the draws of a class are made in chunks by many tasks."""
+    class table (label, __n); the draws of a class are made in chunks by many tasks.
+
+    Spark takes the draws for as small as the class table. So the number of tasks is stated, or
+    one would make them all, and a join is to sort, or they would be sent whole to every task."""
     at = F.col("__chunk") * DRAW_CHUNK
     return (counts.select(label, F.col("__n").alias("__size"), need.cast("long").alias("__need")).filter("__need > 0")
             .withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__need") - 1) / DRAW_CHUNK))))
-            .repartition(label, "__chunk")
-            .select(label, "__size", F.explode(F.sequence(at + 1, F.least(at + DRAW_CHUNK, F.col("__need")))).alias("draw")))
+            .repartition(slice_count(counts), label, "__chunk")
+            .select(label, "__size", F.explode(F.sequence(at + 1, F.least(at + DRAW_CHUNK, F.col("__need")))).alias("draw"))
+            .hint("merge"))
 
 
 def largest(counts: DataFrame) -> DataFrame:
@@ -275,21 +300,24 @@ def synth_classification(df: DataFrame, key: str, label: str, numeric: Sequence[
     # three draws meet the ranked rows: they are ranked once
     pool = cut_lineage(pool, "pool")
     sd = df.groupBy(label).agg(*[(F.stddev_pop(c) + 1e-8).alias(f"__sd_{c}") for c in numeric])
-    d = draws(class_counts(df, label), label, F.lit(per_class))
-    first = pick_rank(seed, label, "draw", )
+    d = uniforms(draws(class_counts(df, label), label, F.lit(per_class)), [label, "draw"],
+                 {"__first": [seed], "__hop": ["j", seed], "__other": [seed + 1]})
+    spot = lambda u: (F.floor(F.col(u) * F.col("__size")) + 1).cast("long")  # noqa: E731  as pick_rank
     # the second row differs from the first wherever the class has two rows
-    hop = F.floor(uniform(label, "draw", F.lit("j"), seed=seed) * (F.col("__size") - 1)) + 1
-    d = d.withColumn("__i", first).withColumn(
+    hop = F.floor(F.col("__hop") * (F.col("__size") - 1)) + 1
+    d = d.withColumn("__i", spot("__first")).withColumn(
         "__j", F.when(F.col("__size") > 1, (F.col("__i") - 1 + hop) % F.col("__size") + 1).otherwise(F.col("__i")).cast("long")) \
-        .withColumn("__c", pick_rank(seed + 1, label, "draw")).drop("__size")
-    a = on_keys(d.withColumn("__rank", F.col("__i")), pool.drop(*categorical), [label, "__rank"]).drop("__rank")
+        .withColumn("__c", spot("__other")).select(label, "draw", "__i", "__j", "__c")
+    a = on_keys(d.withColumn("__rank", F.col("__i")).drop("__i"), pool.drop(*categorical), [label, "__rank"]).drop("__rank")
     b = pool.select(label, F.col("__rank"), *[F.col(c).alias(f"__b_{c}") for c in numeric])
-    ab = on_keys(a.withColumn("__rank", F.col("__j")), b, [label, "__rank"]).drop("__rank")
+    ab = on_keys(a.withColumn("__rank", F.col("__j")).drop("__j"), b, [label, "__rank"]).drop("__rank")
     if categorical:
         ab = on_keys(ab.withColumn("__rank", F.col("__c")), pool.select(label, "__rank", *categorical), [label, "__rank"]).drop("__rank")
-    out = on_keys(ab, sd, [label])
-    step = uniform(label, "draw", F.lit("alpha"), seed=seed) * 1.4 - 0.2
-    made = {c: F.col(c) + step * (F.col(f"__b_{c}") - F.col(c)) + normal(label, "draw", F.lit(c), seed=seed) * noise * F.col(f"__sd_{c}")
+    out = uniforms(ab.drop("__c"), [label, "draw"], {"__alpha": ["alpha", seed]} | {
+        f"__{name}_{c}": [c, part, seed] for c in numeric for name, part in (("n", "a"), ("m", "b"))})
+    out = on_keys(out, sd, [label])
+    step = F.col("__alpha") * 1.4 - 0.2
+    made = {c: F.col(c) + step * (F.col(f"__b_{c}") - F.col(c)) + box_muller(F.col(f"__n_{c}"), F.col(f"__m_{c}")) * noise * F.col(f"__sd_{c}")
             for c in numeric}
     return out.select(label, "draw", *[e.alias(c) for c, e in made.items()], *categorical)
 

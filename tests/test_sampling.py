@@ -1,9 +1,14 @@
 """Counts, shares and determinism of splits, balancing and synthesis."""
 
+import hashlib
+import math
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import augment, sampling
+from tallyloom.operators.ordered import on_keys
 
 
 @pytest.fixture(scope="module")
@@ -56,6 +61,47 @@ def test_draws_are_made_in_chunks(spark, monkeypatch):
     assert sampling.upsample(many, "id", "y").count() == 12000
 
 
+def test_draws_are_made_by_many_tasks_and_sent_to_none_whole(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "DRAW_CHUNK", 10)
+    rows = spark.createDataFrame([(i, "a" if i < 4 else None) for i in range(6)], "id long, y string")
+    made = sampling.draws(sampling.class_counts(rows, "y"), "y", F.lit(300))
+    assert made.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    pool = spark.range(1, 40_001, 1, 4).select(F.lit("a").alias("y"), F.col("id").alias("__rank"), F.repeat(F.lit("x"), 400).alias("t"))
+    met = on_keys(made.withColumn("__rank", F.col("draw")), pool, ["y", "__rank"])
+    assert len(met.collect()) == 300
+    assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_hashed_in_batches_are_those_of_the_column(spark):
+    labels = ["a", None, "", "é" * 9, "b" * 50, "c" * 400]
+    df = spark.range(120).select("id", F.get(F.array(*[F.lit(x) for x in labels]), (F.col("id") % 6).cast("int")).alias("y"))
+    got = sampling.uniforms(df, ["y", "id"], {"u": [42], "v": ["alpha", 7]}).withColumns(
+        {"eu": sampling.uniform("y", "id"), "ev": sampling.uniform("y", "id", F.lit("alpha"), seed=7)}).collect()
+    assert len(got) == 120 and all(r["u"] == r["eu"] and r["v"] == r["ev"] for r in got)
+    alone = sampling.uniforms(df, ["y"], {"u": [1]}).withColumn("eu", sampling.uniform("y", seed=1)).collect()
+    assert all(r["u"] == r["eu"] for r in alone)
+
+
+def test_synthetic_rows_lie_between_two_rows_of_their_class(spark):
+    rows = spark.createDataFrame([(i, "a" if i < 9 else None if i < 11 else "one", float(i * i), f"c{i}") for i in range(12)],
+                                 "id long, y string, x double, c string")
+    at = {y: [r for _, r in sorted((hashlib.md5(f"{r.id}|42".encode()).hexdigest(), r) for r in rows.collect() if r.y == y)]
+          for y in ("a", None, "one")}
+    unit = lambda *p: int(hashlib.md5("|".join(str(x) for x in p if x is not None).encode()).hexdigest()[:12], 16) / 16 ** 12
+    got = sampling.synth_classification(rows, "id", "y", ["x"], ["c"], 40).collect()
+    assert {(r.y, r.draw) for r in got} == {(y, d) for y in at for d in range(1, 41)} and len(got) == 120
+    for r in got:
+        own = at[r.y]
+        n = len(own)
+        i = int(unit(r.y, r.draw, 42) * n)
+        j = (i + int(unit(r.y, r.draw, "j", 42) * (n - 1)) + 1) % n if n > 1 else i
+        sd = statistics.pstdev(o.x for o in own) + 1e-8
+        step = unit(r.y, r.draw, "alpha", 42) * 1.4 - 0.2
+        bell = math.sqrt(-2 * math.log(unit(r.y, r.draw, "x", "a", 42))) * math.cos(2 * math.pi * unit(r.y, r.draw, "x", "b", 42))
+        assert r.x == pytest.approx(own[i].x + step * (own[j].x - own[i].x) + bell * 0.05 * sd)
+        assert r.c == own[int(unit(r.y, r.draw, 43) * n)].c
+
+
 def test_balancing(df):
     full = counts(df)
     assert set(counts(sampling.downsample(df, "id", "y")).values()) == {min(full.values())}
