@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyloom.operators import sampling
@@ -124,3 +126,75 @@ def test_synthetic_rows_meet_each_weight_once(spark, monkeypatch):
     for line in made:
         a, b, s, t = rows[line["base"]], rows.get(line["other"], {}), line["step"], line["term"]
         assert line["weight"] == pytest.approx((1 - s) * a.get(t, 0.0) + s * b.get(t, 0.0))
+
+
+def on_disk(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    size = 0
+    while files.hasNext():
+        size += files.next().length()
+    return size
+
+
+def test_queries_and_rows_are_not_copied_for_each_other(spark):
+    rows = {i: {f"t{j}": 0.1 + ((i * 7 + j * 3) % 11) / 10 for j in range(6)} for i in range(400)}
+    df = frame(spark, rows)
+    before = on_disk(spark)
+    got = nearest_rows(df, df, "id", k=2, postings=6).collect()
+    assert len(got) == 800 and on_disk(spark) - before < 1_000_000
+
+
+@pytest.mark.parametrize("scattered", [False, True])
+def test_lots_and_scattered_rows_with_odd_terms(spark, monkeypatch, scattered):
+    from tallyloom.operators import sparse_topk
+
+    monkeypatch.setattr(sparse_topk, "LOT_BYTES", 400)
+    rows = {f"k{i}": {t + "é\x00|:"[n % 4]: w for n, (t, w) in enumerate(r.items())} for i, r in sparse(7, 60).items()}
+    df = spark.createDataFrame([(i, t, w) for i, r in rows.items() for t, w in r.items()] + [
+        ("k1", "", 0.0), ("k2", None, 1.0), (None, "t1", 1.0), ("k3", "t1", -1.0)], "id string, term string, weight double")
+    df = df.repartition(7, "term") if scattered else df
+    found = {}
+    for r in nearest_rows(df.where("id <> 'k5'"), df, "id", k=3).collect():
+        found.setdefault(r["query_id"], []).append((r["place"], r["candidate_id"]))
+    assert "k5" not in found
+    for q in rows.keys() - {"k5"}:
+        assert [c for _, c in sorted(found.get(q, []))] == brute(rows, q, 3), q
+
+
+def test_a_task_keeps_the_best_of_its_blocks(monkeypatch):
+    from tallyloom.operators import sparse_topk
+
+    monkeypatch.setattr(sparse_topk, "SCORES", 50)
+    rows = sparse(11)
+
+    def table(names):
+        names = [i for i in names if rows[i]]
+        return pa.table({"id": names, "terms": pa.array([b"".join(t.encode() + b"\xff" for t in rows[i]) for i in names], pa.binary()),
+                         "weights": pa.array([np.array([*rows[i].values()]).tobytes() for i in names], pa.binary())})
+
+    class Shared:
+        value = sparse_topk.lot_of(table([i for i in rows if i % 3 == 0]))
+
+    order = random.Random(2).sample([*rows], len(rows))
+    whole = pa.Table.from_batches(sparse_topk.searched(Shared, 4, 9)(iter(table(order).combine_chunks().to_batches(max_chunksize=11)))).to_pylist()
+    found = {}
+    for r in whole:
+        found.setdefault(r["q"], []).append((-r["score"], r["c"]))
+    for q in rows:
+        if q % 3 == 0:
+            assert [c for _, c in sorted(found.get(q, []))] == brute(rows, q, 4), q
+
+
+def test_terms_of_documents_are_counted_where_they_are(spark, sf_dir, monkeypatch):
+    """A document's texts travel once; parts of a bounded size count them."""
+    from tallyloom.operators import features
+    from tallyloom.plans import QUERIES, joins, load_all
+
+    load_all()
+    seen, keep = [], features.term_counts
+    monkeypatch.setattr(joins, "TEXT_PART", 1000)
+    monkeypatch.setattr(features, "term_counts", lambda *a: (seen.append(keep(*a)), seen[-1])[1])
+    got = QUERIES["J11_sparse_similarity_topk"](spark, sf_dir).collect()
+    assert got and seen[0]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    size = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
+    assert seen[0].rdd.getNumPartitions() == max(8, size // 1000)
