@@ -308,11 +308,11 @@ def synth_classification(df: DataFrame, key: str, label: str, numeric: Sequence[
     d = d.withColumn("__i", spot("__first")).withColumn(
         "__j", F.when(F.col("__size") > 1, (F.col("__i") - 1 + hop) % F.col("__size") + 1).otherwise(F.col("__i")).cast("long")) \
         .withColumn("__c", spot("__other")).select(label, "draw", "__i", "__j", "__c")
-    a = on_keys(d.withColumn("__rank", F.col("__i")).drop("__i"), pool.drop(*categorical), [label, "__rank"]).drop("__rank")
+    a = on_keys(d.withColumn("__rank", F.col("__i")).drop("__i"), pool.drop(*categorical), ["__rank", label]).drop("__rank")
     b = pool.select(label, F.col("__rank"), *[F.col(c).alias(f"__b_{c}") for c in numeric])
-    ab = on_keys(a.withColumn("__rank", F.col("__j")).drop("__j"), b, [label, "__rank"]).drop("__rank")
+    ab = on_keys(a.withColumn("__rank", F.col("__j")).drop("__j"), b, ["__rank", label]).drop("__rank")
     if categorical:
-        ab = on_keys(ab.withColumn("__rank", F.col("__c")), pool.select(label, "__rank", *categorical), [label, "__rank"]).drop("__rank")
+        ab = on_keys(ab.withColumn("__rank", F.col("__c")), pool.select(label, "__rank", *categorical), ["__rank", label]).drop("__rank")
     out = uniforms(ab.drop("__c"), [label, "draw"], {"__alpha": ["alpha", seed]} | {
         f"__{name}_{c}": [c, part, seed] for c in numeric for name, part in (("n", "a"), ("m", "b"))})
     out = on_keys(out, sd, [label])
